@@ -22,7 +22,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUANTILE_ACCURACY = 100_000
+QUANTILE_ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
@@ -52,27 +52,27 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                  (pos - F.floor(pos)).alias(f"_fr{i}")]
     br = br.select(*keys, "_n", *cols)
 
-    # One row per key: AQE turns this into a broadcast join when it is small.
+    # One row per key: AQE turns this into a broadcast join when it is small. The
+    # order-statistic positions travel with each row, so only the below-bracket
+    # counts need joining back.
     tagged = x.join(br, keys)
     below = tagged.groupBy(*keys).agg(
         *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)])
 
     member = F.filter(
         F.array(*[F.when((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")),
-                         F.lit(i)) for i in range(k)]),
+                         F.struct(F.lit(i).alias("_pid"), F.col(f"_r1{i}").alias("_r1"),
+                                  F.col(f"_r2{i}").alias("_r2"), F.col(f"_fr{i}").alias("_fr")))
+                  for i in range(k)]),
         lambda e: e.isNotNull())
-    inside = (tagged.select(*keys, "_v", F.explode(member).alias("_pid"))
+    inside = (tagged.select(*keys, "_v", F.explode(member).alias("_m")).select(*keys, "_v", "_m.*")
               .withColumn("_rn", F.row_number().over(
                   Window.partitionBy(*keys, "_pid").orderBy("_v")) - 1))
+    below_long = below.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_pid"), F.col(f"_below{i}").alias("_below")) for i in range(k)])).alias("_b")
+    ).select(*keys, "_b.*")
 
-    stats = br.join(below, keys)
-    long_stats = stats.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_pid"), F.col(f"_below{i}").alias("_below"),
-                 F.col(f"_r1{i}").alias("_r1"), F.col(f"_r2{i}").alias("_r2"),
-                 F.col(f"_fr{i}").alias("_fr"))
-        for i in range(k)])).alias("_s")).select(*keys, "_s.*")
-
-    picked = (inside.join(long_stats, keys + ["_pid"])
+    picked = (inside.join(below_long, keys + ["_pid"])
               .withColumn("_rank", F.col("_rn") + F.col("_below"))
               .where((F.col("_rank") == F.col("_r1")) | (F.col("_rank") == F.col("_r2")))
               .groupBy(*keys, "_pid")

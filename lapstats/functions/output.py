@@ -8,12 +8,20 @@ from pyspark.sql import functions as F
 _INTS = ("tinyint", "smallint", "int", "bigint")
 
 
+def round_half_away(c, digits: int):
+    """round(x * 10^d) / 10^d, half away from zero: the float rounding DuckDB and
+    C use, and within an ulp of Python's round on the same value."""
+    scale = float(10 ** digits)
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(col * scale, 0) / scale
+
+
 def finalize(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles to ``digits`` and widen integers to bigint (comparison edge only)."""
     cols = []
     for name, t in df.dtypes:
         if t in ("double", "float"):
-            cols.append(F.round(F.col(name).cast("double"), digits).alias(name))
+            cols.append(round_half_away(F.col(name).cast("double"), digits).alias(name))
         elif t in _INTS:
             cols.append(F.col(name).cast("bigint").alias(name))
         else:

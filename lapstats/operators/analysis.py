@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapstats.functions.exprs import safe_corr, std0
+from lapstats.functions.output import round_half_away as rnd
 from lapstats.functions.pvalues import pearson_p
 from lapstats.operators.clean import clean_view
 from lapstats.operators.features import degradation_rates, pit_stop_impact, pit_windows
@@ -106,9 +107,9 @@ def pit_stop_details(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     w = pit_windows(laps, key)
     return (w.where(F.col("before_avg").isNotNull() & F.col("after_avg").isNotNull())
             .select(*key, "driver", F.col("lap_number").alias("pit_lap"),
-                    F.round("before_avg", 3).alias("before_avg"),
-                    F.round("after_avg", 3).alias("after_avg"),
-                    F.round(F.col("before_avg") - F.col("after_avg"), 3).alias("impact")))
+                    rnd("before_avg", 3).alias("before_avg"),
+                    rnd("after_avg", 3).alias("after_avg"),
+                    rnd(F.col("before_avg") - F.col("after_avg"), 3).alias("impact")))
 
 
 def pit_stop_analysis(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -116,9 +117,9 @@ def pit_stop_analysis(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     average is over drivers with a non-zero average; pit_total sums the counts."""
     key = list(key)
     d = (pit_stop_details(laps, key).groupBy(*key, "driver")
-         .agg(F.count("*").alias("pit_count"), F.round(F.avg("impact"), 3).alias("avg_impact")))
+         .agg(F.count("*").alias("pit_count"), rnd(F.avg("impact"), 3).alias("avg_impact")))
     race = d.groupBy(*key).agg(
-        F.round(F.avg(F.when(F.col("avg_impact") != 0, F.col("avg_impact"))), 3).alias("race_avg_impact"),
+        rnd(F.avg(F.when(F.col("avg_impact") != 0, F.col("avg_impact"))), 3).alias("race_avg_impact"),
         F.sum("pit_count").alias("race_pit_total"))
     return d.join(race, key, "left")
 
@@ -190,32 +191,33 @@ def driver_profiles(lap_feats: DataFrame, key: Sequence[str] = KEY) -> DataFrame
     kd = key + ["driver"]
     c = clean_view(lap_feats)
     clean_stats = (c.groupBy(*kd).agg(
-        F.round(F.avg("lap_time"), 3).alias("avg_lap_time"),
-        F.round(F.min("lap_time"), 3).alias("best_lap_time"),
-        F.round(F.stddev_samp("lap_time"), 3).alias("lap_time_std"),
+        rnd(F.avg("lap_time"), 3).alias("avg_lap_time"),
+        rnd(F.min("lap_time"), 3).alias("best_lap_time"),
+        rnd(F.stddev_samp("lap_time"), 3).alias("lap_time_std"),
         F.count("*").alias("lap_count"),
-        *[F.round(F.avg(f"sector{i}_time"), 3).alias(f"sector{i}_mean") for i in (1, 2, 3)])
-        .withColumn("consistency", F.round(1.0 / (1.0 + F.col("lap_time_std")), 4)))
+        *[rnd(F.avg(f"sector{i}_time"), 3).alias(f"sector{i}_mean") for i in (1, 2, 3)])
+        .withColumn("consistency", rnd(1.0 / (1.0 + F.col("lap_time_std")), 4)))
     firsts = lap_feats.groupBy(*kd, "compound").agg(F.min("lap_number").alias("_first"))
     comp = firsts.groupBy(*kd).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("_first", "compound"))), lambda s: s["compound"]), ",")
         .alias("compounds_used"))
     all_laps = lap_feats.groupBy(*kd).agg(
-        F.round(F.avg("tire_degradation_rate"), 4).alias("tire_degradation"),
-        F.round(F.avg("pit_stop_impact"), 3).alias("pit_impact"))
+        rnd(F.avg("tire_degradation_rate"), 4).alias("tire_degradation"),
+        rnd(F.avg("pit_stop_impact"), 3).alias("pit_impact"))
     return all_laps.join(clean_stats, kd, "left").join(comp, kd, "left")
 
 
-def compare_drivers(profiles: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """J10 + I12: every pair of drivers of a race side by side with winners.
+def compare_with_leader(profiles: DataFrame, stability: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """J10 + I12 at linear cost: every driver side by side with the race's most stable driver.
 
-    This is the all-pairs form used by the dashboard and is quadratic in the
-    drivers of a race; ``compare_two`` is the bounded form for one pair.
+    The leader table has one row per race, so the join fans out by at most
+    one; no pair table of all drivers is ever formed.
     """
     key = list(key)
-    a = profiles.alias("a")
+    leader = stability.where(F.col("stability_rank") == 1).select(*key, F.col("driver").alias("_leader"))
+    a = profiles.join(leader, key).where(F.col("driver") != F.col("_leader")).alias("a")
     b = profiles.alias("b")
-    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a.driver") < F.col("b.driver")]
+    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key] + [F.col("a._leader") == F.col("b.driver")]
     return _pair_table(a.join(b, cond), key)
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lapstats.functions.output import finalize
+from lapstats.session import materialize
 from lapstats.operators import analysis as A
 from lapstats.operators.clean import clean_laps
 from lapstats.sources.adapters import laps_from_events, laps_from_lineitem
@@ -30,11 +31,13 @@ def register(name: str):
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_laps(laps_from_events(spark, sf_dir))
+    """Cleaned adapter-A laps, checkpointed: every operator downstream reads them."""
+    return materialize(clean_laps(laps_from_events(spark, sf_dir)))
 
 
 def clean_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_laps(laps_from_lineitem(spark, sf_dir))
+    """Cleaned adapter-B laps, checkpointed."""
+    return materialize(clean_laps(laps_from_lineitem(spark, sf_dir)))
 
 
 @register("driver_stability")
@@ -47,3 +50,152 @@ def q_driver_stability(spark, sf_dir):
 def q_driver_stability_bulk(spark, sf_dir):
     """A9 + W2 on adapter B (order lines)."""
     return A.driver_stability(clean_lineitem(spark, sf_dir))
+
+
+from lapstats.operators import features as FE  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+_LAP_OUT = ["season", "race_name", "driver", "lap_number", "lap_time", "compound", "team", "track_status_label",
+            "is_sc_lap", "is_pit_lap", "is_outlier", "air_temp", "track_temp", "humidity"]
+
+
+@register("clean_laps")
+def q_clean_laps(spark, sf_dir):
+    """Cleaned and tagged laps."""
+    return clean_events(spark, sf_dir).select(*_LAP_OUT)
+
+
+@register("lap_features")
+def q_lap_features(spark, sf_dir):
+    """W1 stint lap, P16 sector sum, P15 normalised track temperature."""
+    laps = clean_events(spark, sf_dir)
+    df = FE.minmax_normalize(FE.sector_sum(FE.stint_lap(laps)), "track_temp", "norm_track_temp")
+    return df.select("season", "race_name", "driver", "lap_number", "stint_lap", "sector_sum", "norm_track_temp")
+
+
+@register("pit_stop_details")
+def q_pit_stop_details(spark, sf_dir):
+    """W3 + A15 per pit lap."""
+    return A.pit_stop_details(clean_events(spark, sf_dir))
+
+
+@register("pit_stop_analysis")
+def q_pit_stop_analysis(spark, sf_dir):
+    """A15 per driver + race average + A33 pit total."""
+    return A.pit_stop_analysis(clean_events(spark, sf_dir))
+
+
+@register("pit_driver_means")
+def q_pit_driver_means(spark, sf_dir):
+    """A29."""
+    return A.pit_driver_means(clean_events(spark, sf_dir))
+
+
+@register("driver_features")
+def q_driver_features(spark, sf_dir):
+    """A1, A2, A5, A6, A14 per driver."""
+    return FE.driver_features(clean_events(spark, sf_dir))
+
+
+@register("driver_features_bulk")
+def q_driver_features_bulk(spark, sf_dir):
+    """Same on adapter B."""
+    return FE.driver_features(clean_lineitem(spark, sf_dir))
+
+
+@register("degradation_rates")
+def q_degradation_rates(spark, sf_dir):
+    """A3 per (driver, compound) on adapter B."""
+    return FE.degradation_rates(clean_lineitem(spark, sf_dir))
+
+
+@register("tire_efficiency")
+def q_tire_efficiency(spark, sf_dir):
+    """A4 per compound."""
+    return FE.tire_efficiency(clean_events(spark, sf_dir))
+
+
+@register("driver_matrix")
+def q_driver_matrix(spark, sf_dir):
+    """A7 + A8 + P17: model feature matrix."""
+    return FE.driver_matrix(clean_events(spark, sf_dir))
+
+
+@register("driver_matrix_bulk")
+def q_driver_matrix_bulk(spark, sf_dir):
+    """Same on adapter B."""
+    return FE.driver_matrix(clean_lineitem(spark, sf_dir))
+
+
+@register("strong_performance")
+def q_strong_performance(spark, sf_dir):
+    """P19 target over the matrix."""
+    m = FE.strong_performance(materialize(FE.driver_matrix(clean_events(spark, sf_dir))))
+    return m.select("season", "race_name", "driver", "average_lap_time", "consistency_score", "strong_performance")
+
+
+@register("compound_stats")
+def q_compound_stats(spark, sf_dir):
+    """A10."""
+    return A.compound_stats(clean_events(spark, sf_dir))
+
+
+@register("tyre_age_curve")
+def q_tyre_age_curve(spark, sf_dir):
+    """A11."""
+    return A.tyre_age_curve(clean_events(spark, sf_dir))
+
+
+@register("strategy_map")
+def q_strategy_map(spark, sf_dir):
+    """A12."""
+    return A.strategy_map(clean_events(spark, sf_dir))
+
+
+@register("degradation_curve")
+def q_degradation_curve(spark, sf_dir):
+    """A13 on adapter B."""
+    return A.degradation_curve(clean_lineitem(spark, sf_dir))
+
+
+@register("race_overview")
+def q_race_overview(spark, sf_dir):
+    """A17."""
+    return A.race_overview(clean_events(spark, sf_dir))
+
+
+@register("compound_usage")
+def q_compound_usage(spark, sf_dir):
+    """A17 / A21 compound counts."""
+    return A.compound_usage(clean_events(spark, sf_dir))
+
+
+@register("driver_profiles")
+def q_driver_profiles(spark, sf_dir):
+    """A18."""
+    return A.driver_profiles(FE.lap_features(clean_events(spark, sf_dir)))
+
+
+@register("driver_vs_leader")
+def q_driver_vs_leader(spark, sf_dir):
+    """J10 + I12: each driver against the race's most stable driver."""
+    laps = clean_events(spark, sf_dir)
+    return A.compare_with_leader(A.driver_profiles(FE.lap_features(laps)), A.driver_stability(laps))
+
+
+@register("fastest_sector_drivers")
+def q_fastest_sector_drivers(spark, sf_dir):
+    """A31."""
+    return A.fastest_sector_drivers(clean_events(spark, sf_dir))
+
+
+@register("fastest_lap_per_driver")
+def q_fastest_lap_per_driver(spark, sf_dir):
+    """A32."""
+    return A.fastest_lap_per_driver(clean_events(spark, sf_dir))
+
+
+@register("weather_correlation")
+def q_weather_correlation(spark, sf_dir):
+    """A16 + T5 (p-value needs a t CDF; no SQL twin)."""
+    return A.weather_correlation(clean_events(spark, sf_dir))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings we want on every session unless the deployment already chose a value.
 _DEFAULTS = {
@@ -31,6 +31,9 @@ def get_session(master: str | None = None, app: str = "lapstats",
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM; give it the machine's memory.
+        builder = builder.config("spark.driver.memory", os.environ.get("LAPSTATS_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -54,3 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="lapstats-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage at a stage boundary with a reliable checkpoint.
+
+    The data goes to the shared folder named by ``spark.checkpoint.dir`` (so a
+    lost executor does not lose it) and later plans start from a leaf, which
+    keeps Catalyst's plan trees small when one table feeds many operators.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -52,7 +52,7 @@ def laps_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("D"), F.col("user_id").cast("string")).alias("driver"),
         F.concat(F.lit("T"), (F.col("user_id") % 10).cast("string")).alias("team"),
         "user_id", "event_id", "ts", "event_type", "value", k.alias("k"))
-        .withColumn("base_time", F.lit(80.0) + F.col("value") / 20.0
+        .withColumn("base_time", F.lit(80.0) + F.col("value") / 19.7
                     + F.when((F.col("event_type") == "purchase") & (F.col("k") < 10), F.lit(60.0))
                     .otherwise(F.lit(0.0))))
     w = Window.partitionBy(*KEY, "driver").orderBy("ts", "event_id")

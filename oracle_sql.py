@@ -19,7 +19,7 @@ ev AS (
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events),
 ev1 AS (
-  SELECT *, 80.0 + value / 20.0 + CASE WHEN event_type = 'purchase' AND k < 10 THEN 60.0 ELSE 0.0 END AS base_time
+  SELECT *, 80.0 + value / 19.7 + CASE WHEN event_type = 'purchase' AND k < 10 THEN 60.0 ELSE 0.0 END AS base_time
   FROM ev),
 ev2 AS (
   SELECT *,
@@ -89,7 +89,8 @@ laps AS (
     lap_time * 0.35 - l_discount AS sector3_time,
     CASE WHEN l_returnflag = 'A' THEN 'SOFT' WHEN l_returnflag = 'N' THEN 'MEDIUM' ELSE 'HARD' END AS compound,
     CAST(l_quantity AS INTEGER) AS tyre_life, stint,
-    20.0 + l_linenumber AS air_temp, 30.0 + l_partkey % 20 AS track_temp, 40.0 + l_orderkey % 30 AS humidity,
+    CAST(20 + l_linenumber AS DOUBLE) AS air_temp, CAST(30 + l_partkey % 20 AS DOUBLE) AS track_temp,
+    CAST(40 + l_orderkey % 30 AS DOUBLE) AS humidity,
     pit_in_time, pit_out_time, track_status, false AS is_personal_best, false AS is_simulated
   FROM li3 LEFT JOIN teams ON l_suppkey = s_suppkey)"""
 
@@ -161,3 +162,268 @@ tm AS (
 
 ORACLE["driver_stability"] = _stability("events")
 ORACLE["driver_stability_bulk"] = _stability("lineitem")
+
+
+def nn(expr: str) -> str:
+    """DuckDB gives NaN where Spark gives NULL (e.g. regr_slope on constant x)."""
+    return f"(CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END)"
+
+
+K = "season, race_name"
+KD = "season, race_name, driver"
+
+# Brute-force range join (the definition of W3): non-outlier laps within 3 laps of a pit lap.
+PIT_WINDOWS = """
+pits AS (SELECT season, race_name, driver, lap_number FROM clean WHERE is_pit_lap),
+pw AS (
+  SELECT p.season, p.race_name, p.driver, p.lap_number,
+    avg(CASE WHEN l.lap_number < p.lap_number THEN l.lap_time END) AS before_avg,
+    avg(CASE WHEN l.lap_number > p.lap_number THEN l.lap_time END) AS after_avg
+  FROM pits p LEFT JOIN clean l
+    ON l.season = p.season AND l.race_name = p.race_name AND l.driver = p.driver AND NOT l.is_outlier
+   AND l.lap_number BETWEEN p.lap_number - 3 AND p.lap_number + 3 AND l.lap_number <> p.lap_number
+  GROUP BY p.season, p.race_name, p.driver, p.lap_number),
+pd AS (
+  SELECT season, race_name, driver, lap_number AS pit_lap, round(before_avg, 3) AS before_avg,
+    round(after_avg, 3) AS after_avg, round(before_avg - after_avg, 3) AS impact
+  FROM pw WHERE before_avg IS NOT NULL AND after_avg IS NOT NULL)"""
+
+DRIVER_FEATURES = PIT_WINDOWS + """,
+drv AS (SELECT DISTINCT season, race_name, driver FROM clean),
+ds AS (
+  SELECT season, race_name, driver, avg(lap_time) AS average_lap_time, min(lap_time) AS best_lap_time,
+    coalesce(stddev_samp(lap_time), 0.0) AS lap_time_std
+  FROM ca GROUP BY season, race_name, driver),
+rm AS (SELECT season, race_name, avg(lap_time) AS _race_mean FROM clean GROUP BY season, race_name),
+pimp AS (
+  SELECT season, race_name, driver, avg(before_avg - after_avg) AS _imp
+  FROM pw WHERE before_avg IS NOT NULL AND after_avg IS NOT NULL GROUP BY season, race_name, driver),
+scs AS (
+  SELECT season, race_name, driver, stddev_samp(sector1_time) AS s1, stddev_samp(sector2_time) AS s2,
+    stddev_samp(sector3_time) AS s3
+  FROM clean GROUP BY season, race_name, driver),
+df AS (
+  SELECT drv.season, drv.race_name, drv.driver, average_lap_time, best_lap_time, lap_time_std,
+    1.0 / (1.0 + lap_time_std) AS consistency_score, average_lap_time AS average_race_pace,
+    CASE WHEN _race_mean > 0 THEN average_lap_time - _race_mean ELSE 0.0 END AS relative_pace,
+    coalesce(_imp, 0.0) AS pit_stop_impact,
+    CASE WHEN (s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT > 0
+      THEN (coalesce(s1, 0.0) + coalesce(s2, 0.0) + coalesce(s3, 0.0))
+           / ((s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT) END AS sector_consistency
+  FROM drv LEFT JOIN ds USING (season, race_name, driver) LEFT JOIN rm USING (season, race_name)
+    LEFT JOIN pimp USING (season, race_name, driver) LEFT JOIN scs USING (season, race_name, driver))"""
+
+DEGRADATION = """
+deg AS (
+  SELECT season, race_name, driver, compound,
+    CASE WHEN count(*) >= 3 AND regr_count(lap_time, tyre_life) >= 2
+      THEN """ + nn("regr_slope(lap_time, tyre_life)") + """ END AS tire_degradation_rate
+  FROM clean WHERE NOT is_pit_lap GROUP BY season, race_name, driver, compound)"""
+
+COMPOUNDS_ALL = ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET", "UNKNOWN")
+MATRIX_NUM = ("average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
+              "tire_degradation_rate", "pit_stop_impact", "sector_consistency", "air_temp", "track_temp") + tuple(
+    f"degradation_{c.lower()}" for c in COMPOUNDS_ALL) + ("avg_air_temp",)
+
+MATRIX = DRIVER_FEATURES + "," + DEGRADATION + """,
+fu AS (SELECT season, race_name, driver, compound, min(lap_number) AS _first_lap FROM clean
+       GROUP BY season, race_name, driver, compound),
+dc AS (SELECT fu.*, deg.tire_degradation_rate FROM fu LEFT JOIN deg USING (season, race_name, driver, compound)),
+fd AS (
+  SELECT season, race_name, driver,
+    first(tire_degradation_rate ORDER BY _first_lap, compound) FILTER (WHERE tire_degradation_rate IS NOT NULL)
+      AS tire_degradation_rate,
+""" + ",\n".join(
+    f"    CASE WHEN bool_or(compound = '{c}') THEN max(CASE WHEN compound = '{c}' THEN tire_degradation_rate END)"
+    f" ELSE 0.0 END AS degradation_{c.lower()}" for c in COMPOUNDS_ALL) + """
+  FROM dc GROUP BY season, race_name, driver),
+tp AS (
+  SELECT season, race_name, driver,
+    first(air_temp ORDER BY lap_number, lap_time) FILTER (WHERE air_temp IS NOT NULL) AS air_temp,
+    first(track_temp ORDER BY lap_number, lap_time) FILTER (WHERE track_temp IS NOT NULL) AS track_temp,
+    avg(air_temp) AS avg_air_temp
+  FROM clean GROUP BY season, race_name, driver),
+m0 AS (
+  SELECT df.season, df.race_name, df.driver, """ + ", ".join(MATRIX_NUM) + """
+  FROM df LEFT JOIN fd USING (season, race_name, driver) LEFT JOIN tp USING (season, race_name, driver)),
+mm AS (SELECT season, race_name, """ + ", ".join(f"median({c}) AS _m_{c}" for c in MATRIX_NUM) + """
+  FROM m0 GROUP BY season, race_name),
+matrix AS (
+  SELECT season, race_name, driver, """ + ", ".join(f"coalesce({c}, _m_{c}) AS {c}" for c in MATRIX_NUM) + """
+  FROM m0 LEFT JOIN mm USING (season, race_name))"""
+
+TARGET = MATRIX + """,
+tmed AS (SELECT season, race_name, median(average_lap_time) AS _ma, median(consistency_score) AS _mc
+  FROM matrix GROUP BY season, race_name),
+t0 AS (SELECT matrix.*, coalesce(CAST(average_lap_time <= _ma AND consistency_score >= _mc AS INTEGER), 0) AS _t
+  FROM matrix LEFT JOIN tmed USING (season, race_name)),
+tc AS (SELECT season, race_name, min(_t) AS _lo, max(_t) AS _hi,
+    first(driver ORDER BY average_lap_time, driver) AS _fastest FROM t0 GROUP BY season, race_name),
+target AS (
+  SELECT t0.* EXCLUDE (_t), CASE WHEN _lo = _hi THEN CAST(driver = _fastest AS INTEGER) ELSE _t END AS strong_performance
+  FROM t0 LEFT JOIN tc USING (season, race_name))"""
+
+DF_DOUBLES = ("average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
+              "relative_pace", "pit_stop_impact", "sector_consistency")
+
+ORACLE["clean_laps"] = _q("events", "", fin("""
+  SELECT season, race_name, driver, lap_number, lap_time, compound, team, track_status_label,
+    is_sc_lap, is_pit_lap, is_outlier, air_temp, track_temp, humidity FROM clean""",
+    doubles=("lap_time", "air_temp", "track_temp", "humidity"), ints=("season", "lap_number")))
+
+ORACLE["lap_features"] = _q("events", """
+mmx AS (SELECT season, race_name, min(track_temp) AS _mn, max(track_temp) AS _mx FROM clean GROUP BY season, race_name)""",
+    fin("""
+  SELECT season, race_name, driver, lap_number,
+    CASE WHEN stint IS NOT NULL THEN row_number() OVER (PARTITION BY season, race_name, driver, stint
+      ORDER BY lap_number, lap_time) END AS stint_lap,
+    coalesce(sector1_time, 0.0) + coalesce(sector2_time, 0.0) + coalesce(sector3_time, 0.0) AS sector_sum,
+    CASE WHEN _mx > _mn THEN (track_temp - _mn) / (_mx - _mn) ELSE 0.5 END AS norm_track_temp
+  FROM clean LEFT JOIN mmx USING (season, race_name)""",
+        doubles=("sector_sum", "norm_track_temp"), ints=("season", "lap_number", "stint_lap")))
+
+ORACLE["pit_stop_details"] = _q("events", PIT_WINDOWS, fin(
+    "SELECT * FROM pd", doubles=("before_avg", "after_avg", "impact"), ints=("season", "pit_lap")))
+
+ORACLE["pit_stop_analysis"] = _q("events", PIT_WINDOWS + """,
+pdd AS (SELECT season, race_name, driver, count(*) AS pit_count, round(avg(impact), 3) AS avg_impact
+  FROM pd GROUP BY season, race_name, driver),
+pr AS (SELECT season, race_name, round(avg(avg_impact) FILTER (WHERE avg_impact <> 0), 3) AS race_avg_impact,
+    sum(pit_count) AS race_pit_total FROM pdd GROUP BY season, race_name)""", fin(
+    "SELECT * FROM pdd LEFT JOIN pr USING (season, race_name)",
+    doubles=("avg_impact", "race_avg_impact"), ints=("season", "pit_count", "race_pit_total")))
+
+ORACLE["pit_driver_means"] = _q("events", PIT_WINDOWS, fin("""
+  SELECT season, race_name, driver, avg(before_avg) AS before_mean, avg(after_avg) AS after_mean,
+    avg(impact) AS impact_mean FROM pd GROUP BY season, race_name, driver""",
+    doubles=("before_mean", "after_mean", "impact_mean"), ints=("season",)))
+
+ORACLE["driver_features"] = _q("events", DRIVER_FEATURES, fin("SELECT * FROM df", doubles=DF_DOUBLES, ints=("season",)))
+ORACLE["driver_features_bulk"] = _q("lineitem", DRIVER_FEATURES, fin(
+    "SELECT * FROM df", doubles=DF_DOUBLES, ints=("season",)))
+
+ORACLE["degradation_rates"] = _q("lineitem", DEGRADATION, fin(
+    "SELECT * FROM deg", doubles=("tire_degradation_rate",), ints=("season",)))
+
+ORACLE["tire_efficiency"] = _q("events", """
+cp AS (SELECT season, race_name, compound, sum(lap_time) AS _s, count(lap_time) AS _n FROM clean
+  WHERE NOT is_pit_lap GROUP BY season, race_name, compound),
+ov AS (SELECT season, race_name, sum(_s) / sum(_n) AS _overall FROM cp GROUP BY season, race_name),
+used AS (SELECT DISTINCT season, race_name, compound FROM clean)""", fin("""
+  SELECT season, race_name, compound,
+    CASE WHEN _overall > 0 AND _n IS NOT NULL THEN (_overall - _s / _n) / _overall ELSE 0.0 END AS tire_efficiency_score
+  FROM used LEFT JOIN cp USING (season, race_name, compound) LEFT JOIN ov USING (season, race_name)""",
+    doubles=("tire_efficiency_score",), ints=("season",)))
+
+ORACLE["driver_matrix"] = _q("events", MATRIX, fin("SELECT * FROM matrix", doubles=MATRIX_NUM, ints=("season",)))
+ORACLE["driver_matrix_bulk"] = _q("lineitem", MATRIX, fin(
+    "SELECT * FROM matrix", doubles=MATRIX_NUM, ints=("season",)))
+ORACLE["strong_performance"] = _q("events", TARGET, fin(
+    "SELECT season, race_name, driver, average_lap_time, consistency_score, strong_performance FROM target",
+    doubles=("average_lap_time", "consistency_score"), ints=("season", "strong_performance")))
+
+ORACLE["compound_stats"] = _q("events", """
+cs AS (SELECT season, race_name, compound, avg(lap_time) AS avg_lap_time, min(lap_time) AS best_lap_time,
+    stddev_samp(lap_time) AS std, count(*) AS count FROM ca GROUP BY season, race_name, compound),
+cb AS (SELECT season, race_name, first(compound ORDER BY avg_lap_time, compound) AS _best FROM cs
+  GROUP BY season, race_name)""", fin("""
+  SELECT cs.*, compound = _best AS is_best FROM cs JOIN cb USING (season, race_name)""",
+    doubles=("avg_lap_time", "best_lap_time", "std"), ints=("season", "count")))
+
+ORACLE["tyre_age_curve"] = _q("events", """
+big AS (SELECT season, race_name, compound FROM ca GROUP BY season, race_name, compound HAVING count(*) > 5)""", fin("""
+  SELECT season, race_name, compound, tyre_life, avg(lap_time) AS avg_lap_time FROM ca
+  WHERE tyre_life IS NOT NULL AND (season, race_name, compound) IN (SELECT (season, race_name, compound) FROM big)
+  GROUP BY season, race_name, compound, tyre_life""",
+    doubles=("avg_lap_time",), ints=("season", "tyre_life")))
+
+ORACLE["strategy_map"] = _q("events", "", fin("""
+  SELECT season, race_name, driver, stint, first(compound ORDER BY lap_number, lap_time) AS compound,
+    count(lap_number) AS laps, avg(lap_time) AS avg_time
+  FROM clean WHERE stint IS NOT NULL GROUP BY season, race_name, driver, stint""",
+    doubles=("avg_time",), ints=("season", "stint", "laps")))
+
+ORACLE["degradation_curve"] = _q("lineitem", """
+cnt AS (SELECT season, race_name, compound FROM ca GROUP BY season, race_name, compound HAVING count(*) >= 5),
+pa AS (SELECT season, race_name, compound, tyre_life, avg(lap_time) AS _m FROM ca
+  WHERE tyre_life IS NOT NULL AND (season, race_name, compound) IN (SELECT (season, race_name, compound) FROM cnt)
+  GROUP BY season, race_name, compound, tyre_life),
+fit0 AS (SELECT season, race_name, compound, count(*) AS n_ages, """ + nn("regr_slope(_m, tyre_life)") + """ AS _slope,
+    """ + nn("regr_r2(_m, tyre_life)") + """ AS _r2 FROM pa GROUP BY season, race_name, compound),
+fit AS (SELECT cnt.season, cnt.race_name, cnt.compound, n_ages,
+    CASE WHEN n_ages >= 3 THEN _slope END AS degradation_rate, CASE WHEN n_ages >= 3 THEN _r2 END AS r_squared
+  FROM cnt LEFT JOIN fit0 USING (season, race_name, compound)),
+wst AS (SELECT season, race_name, first(compound ORDER BY degradation_rate DESC, compound DESC)
+    FILTER (WHERE degradation_rate IS NOT NULL) AS _worst FROM fit GROUP BY season, race_name)""", fin("""
+  SELECT fit.*, coalesce(compound = _worst, false) AS is_worst FROM fit LEFT JOIN wst USING (season, race_name)""",
+    doubles=("degradation_rate", "r_squared"), ints=("season", "n_ages")))
+
+ORACLE["race_overview"] = _q("events", """
+st AS (SELECT season, race_name, driver, coalesce(stddev_samp(lap_time), 0.0) AS _sd FROM ca
+  GROUP BY season, race_name, driver),
+ms AS (SELECT season, race_name, first(driver ORDER BY 1.0 / (1.0 + _sd) DESC, driver) AS most_stable_driver
+  FROM st GROUP BY season, race_name),
+fl AS (SELECT season, race_name, min(lap_time) AS fastest_lap,
+    first(driver ORDER BY lap_time, lap_number, driver) AS fastest_driver FROM ca GROUP BY season, race_name),
+base AS (SELECT season, race_name, count(*) AS total_laps, count(DISTINCT driver) AS total_drivers,
+    avg(air_temp) AS avg_air_temp, avg(track_temp) AS avg_track_temp FROM clean GROUP BY season, race_name)""", fin("""
+  SELECT * FROM base LEFT JOIN fl USING (season, race_name) LEFT JOIN ms USING (season, race_name)""",
+    doubles=("avg_air_temp", "avg_track_temp", "fastest_lap"), ints=("season", "total_laps", "total_drivers")))
+
+ORACLE["compound_usage"] = _q("events", "", fin(
+    "SELECT season, race_name, compound, count(*) AS laps FROM clean GROUP BY season, race_name, compound",
+    ints=("season", "laps")))
+
+PROFILES = DRIVER_FEATURES + "," + DEGRADATION + """,
+lf AS (SELECT clean.*, deg.tire_degradation_rate, df.pit_stop_impact FROM clean
+  LEFT JOIN deg USING (season, race_name, driver, compound) LEFT JOIN df USING (season, race_name, driver)),
+pc AS (SELECT season, race_name, driver, round(avg(lap_time), 3) AS avg_lap_time, round(min(lap_time), 3) AS best_lap_time,
+    round(stddev_samp(lap_time), 3) AS lap_time_std, count(*) AS lap_count,
+    round(avg(sector1_time), 3) AS sector1_mean, round(avg(sector2_time), 3) AS sector2_mean,
+    round(avg(sector3_time), 3) AS sector3_mean
+  FROM lf WHERE NOT is_pit_lap AND NOT is_sc_lap AND NOT is_outlier GROUP BY season, race_name, driver),
+fc AS (SELECT season, race_name, driver, compound, min(lap_number) AS _first FROM lf
+  GROUP BY season, race_name, driver, compound),
+cu AS (SELECT season, race_name, driver, string_agg(compound, ',' ORDER BY _first, compound) AS compounds_used
+  FROM fc GROUP BY season, race_name, driver),
+al AS (SELECT season, race_name, driver, round(avg(tire_degradation_rate), 4) AS tire_degradation,
+    round(avg(pit_stop_impact), 3) AS pit_impact FROM lf GROUP BY season, race_name, driver),
+prof AS (SELECT al.*, pc.* EXCLUDE (season, race_name, driver), round(1.0 / (1.0 + pc.lap_time_std), 4) AS consistency,
+    cu.compounds_used
+  FROM al LEFT JOIN pc USING (season, race_name, driver) LEFT JOIN cu USING (season, race_name, driver))"""
+PROF_DOUBLES = ("avg_lap_time", "best_lap_time", "lap_time_std", "sector1_mean", "sector2_mean", "sector3_mean",
+                "tire_degradation", "pit_impact", "consistency")
+
+ORACLE["driver_profiles"] = _q("events", PROFILES, fin(
+    "SELECT * FROM prof", doubles=PROF_DOUBLES, ints=("season", "lap_count")))
+
+ORACLE["driver_vs_leader"] = _q("events", PROFILES + """,
+lst AS (SELECT season, race_name, driver, coalesce(stddev_samp(lap_time), 0.0) AS _sd FROM ca
+  GROUP BY season, race_name, driver),
+ldr AS (SELECT season, race_name, first(driver ORDER BY 1.0 / (1.0 + _sd) DESC, driver) AS _leader
+  FROM lst GROUP BY season, race_name)""", fin("""
+  SELECT a.season, a.race_name, a.driver AS driver1, b.driver AS driver2,
+    a.avg_lap_time - b.avg_lap_time AS avg_lap_delta, a.best_lap_time - b.best_lap_time AS best_lap_delta,
+    CASE WHEN coalesce(a.avg_lap_time, 999.0) < coalesce(b.avg_lap_time, 999.0) THEN a.driver ELSE b.driver END
+      AS faster_driver,
+    CASE WHEN coalesce(a.consistency, 0.0) > coalesce(b.consistency, 0.0) THEN a.driver ELSE b.driver END
+      AS more_stable_driver,
+    CASE WHEN a.tire_degradation <> 0 AND b.tire_degradation <> 0 THEN
+      CASE WHEN a.tire_degradation < b.tire_degradation THEN a.driver ELSE b.driver END END AS lower_degradation_driver
+  FROM prof a JOIN ldr ON a.season = ldr.season AND a.race_name = ldr.race_name AND a.driver <> ldr._leader
+  JOIN prof b ON b.season = a.season AND b.race_name = a.race_name AND b.driver = ldr._leader""",
+    doubles=("avg_lap_delta", "best_lap_delta"), ints=("season",)))
+
+ORACLE["fastest_sector_drivers"] = _q("events", """
+sl AS (SELECT season, race_name, driver, 'sector1' AS sector, sector1_time AS t FROM ca
+  UNION ALL SELECT season, race_name, driver, 'sector2', sector2_time FROM ca
+  UNION ALL SELECT season, race_name, driver, 'sector3', sector3_time FROM ca),
+sm AS (SELECT season, race_name, sector, driver, avg(t) AS mean_time FROM sl GROUP BY season, race_name, sector, driver)""",
+    fin("""
+  SELECT season, race_name, sector, first(driver ORDER BY mean_time, driver) AS driver, min(mean_time) AS mean_time
+  FROM sm WHERE mean_time IS NOT NULL GROUP BY season, race_name, sector""", doubles=("mean_time",), ints=("season",)))
+
+ORACLE["fastest_lap_per_driver"] = _q("events", "", fin("""
+  SELECT season, race_name, driver, first(lap_number ORDER BY lap_time, lap_number) AS lap_number,
+    min(lap_time) AS lap_time, first(compound ORDER BY lap_time, lap_number) AS compound
+  FROM clean GROUP BY season, race_name, driver""", doubles=("lap_time",), ints=("season", "lap_number")))
