@@ -8,7 +8,8 @@ exact quantiles below instead:
    mergeable sketch, partial-aggregated map side), widened by twice the
    sketch's rank-error bound so the true order statistics are inside it;
 2. count the rows below the bracket (plain partial aggregation);
-3. rank only the rows inside the bracket (about 4n/accuracy of a key) and
+3. rank only the rows inside the bracket (about 8n/accuracy of a key, or the
+   whole key when it has at most ``accuracy`` rows) and
    read the two order statistics the linear interpolation needs.
 
 If the sketch bound were ever violated the job fails loudly via
@@ -38,7 +39,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     vcol = F.col(value) if isinstance(value, str) else value
     x = df.select(*keys, vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
-    eps = 2.0 / accuracy
+    # Bracket half-width in rank fraction: the sketch's rank error (1/accuracy),
+    # the shift between p*n and p*(n-1) and the 1-based rank of the sketch each
+    # stay below 1/accuracy once n > accuracy; smaller keys use the whole key.
+    eps = 4.0 / accuracy
     sketch_ps = [max(0.0, p - eps) for p in ps] + [min(1.0, p + eps) for p in ps]
     br = (x.groupBy(*keys)
           .agg(F.count("*").alias("_n"),
@@ -47,7 +51,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
     cols = []
     for i, p in enumerate(ps):
         pos = F.lit(p) * (F.col("_n") - 1)
-        cols += [F.col("_q")[i].alias(f"_lo{i}"), F.col("_q")[k + i].alias(f"_hi{i}"),
+        small = F.col("_n") <= accuracy
+        cols += [F.when(small, F.lit(float("-inf"))).otherwise(F.col("_q")[i]).alias(f"_lo{i}"),
+                 F.when(small, F.lit(float("inf"))).otherwise(F.col("_q")[k + i]).alias(f"_hi{i}"),
                  F.floor(pos).cast("long").alias(f"_r1{i}"), F.ceil(pos).cast("long").alias(f"_r2{i}"),
                  (pos - F.floor(pos)).alias(f"_fr{i}")]
     br = br.select(*keys, "_n", *cols)

@@ -199,3 +199,96 @@ def q_fastest_lap_per_driver(spark, sf_dir):
 def q_weather_correlation(spark, sf_dir):
     """A16 + T5 (p-value needs a t CDF; no SQL twin)."""
     return A.weather_correlation(clean_events(spark, sf_dir))
+
+
+from lapstats.operators import profile as PR  # noqa: E402
+from lapstats.schema import LAPS  # noqa: E402
+
+RAW_COLUMNS = [c for c in LAPS.fieldNames() if c not in ("season", "race_name")]
+MATRIX_NUMERIC = ["average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
+                  "tire_degradation_rate", "pit_stop_impact", "sector_consistency", "air_temp", "track_temp",
+                  "degradation_soft", "degradation_medium", "degradation_hard", "degradation_intermediate",
+                  "degradation_wet", "degradation_unknown", "avg_air_temp"]
+
+
+@register("basic_summary")
+def q_basic_summary(spark, sf_dir):
+    """A19."""
+    return PR.basic_summary(clean_events(spark, sf_dir).select(*LAPS.fieldNames(), "is_sc_lap", "is_pit_lap",
+                                                               "is_outlier", "track_status_label"))
+
+
+@register("missing_values")
+def q_missing_values(spark, sf_dir):
+    """A20 over the raw lap columns of the (unfilled) adapter laps."""
+    return PR.missing_values(laps_from_events(spark, sf_dir), columns=RAW_COLUMNS)
+
+
+@register("laps_per_driver")
+def q_laps_per_driver(spark, sf_dir):
+    """A21."""
+    return PR.laps_per_driver(clean_events(spark, sf_dir))
+
+
+@register("lap_time_distribution")
+def q_lap_time_distribution(spark, sf_dir):
+    """A22."""
+    return PR.lap_time_distribution(clean_events(spark, sf_dir))
+
+
+@register("lap_time_histogram")
+def q_lap_time_histogram(spark, sf_dir):
+    """A23."""
+    return PR.lap_time_histogram(clean_events(spark, sf_dir))
+
+
+@register("temperature_summary")
+def q_temperature_summary(spark, sf_dir):
+    """A24."""
+    return PR.temperature_summary(clean_events(spark, sf_dir))
+
+
+def _lap_corr(spark, sf_dir):
+    feats = FE.lap_features(clean_events(spark, sf_dir))
+    return PR.correlation_matrix(feats, PR.LAP_CORR_COLUMNS)
+
+
+@register("lap_correlations")
+def q_lap_correlations(spark, sf_dir):
+    """A25 correlation matrix of the lap feature table (upper triangle, long form)."""
+    return _lap_corr(spark, sf_dir)
+
+
+@register("lap_time_correlations")
+def q_lap_time_correlations(spark, sf_dir):
+    """A25 ranking of |r| against lap time."""
+    return PR.lap_time_correlations(_lap_corr(spark, sf_dir))
+
+
+def _feat_corr(spark, sf_dir):
+    m = FE.driver_matrix(clean_lineitem(spark, sf_dir))
+    return PR.correlation_matrix(m, MATRIX_NUMERIC)
+
+
+@register("feature_correlations")
+def q_feature_correlations(spark, sf_dir):
+    """A26 over the median-imputed driver matrix (adapter B)."""
+    return _feat_corr(spark, sf_dir)
+
+
+@register("high_correlation_pairs")
+def q_high_correlation_pairs(spark, sf_dir):
+    """Pairs with |r| > 0.7."""
+    return PR.high_correlation_pairs(_feat_corr(spark, sf_dir))
+
+
+@register("preprocessing_summary")
+def q_preprocessing_summary(spark, sf_dir):
+    """A27."""
+    return PR.preprocessing_summary(clean_events(spark, sf_dir), columns=RAW_COLUMNS)
+
+
+@register("temperature_trend")
+def q_temperature_trend(spark, sf_dir):
+    """A28."""
+    return PR.temperature_trend(clean_events(spark, sf_dir))

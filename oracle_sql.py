@@ -427,3 +427,109 @@ ORACLE["fastest_lap_per_driver"] = _q("events", "", fin("""
   SELECT season, race_name, driver, first(lap_number ORDER BY lap_time, lap_number) AS lap_number,
     min(lap_time) AS lap_time, first(compound ORDER BY lap_time, lap_number) AS compound
   FROM clean GROUP BY season, race_name, driver""", doubles=("lap_time",), ints=("season", "lap_number")))
+
+RAW_COLUMNS = ("driver", "team", "lap_number", "lap_time", "sector1_time", "sector2_time", "sector3_time", "compound",
+               "tyre_life", "stint", "air_temp", "track_temp", "humidity", "pit_in_time", "pit_out_time",
+               "track_status", "is_personal_best", "is_simulated")
+LAP_CORR = ("lap_time", "tyre_life", "air_temp", "track_temp", "humidity", "consistency_score",
+            "tire_degradation_rate", "sector1_time", "sector2_time", "sector3_time")
+
+
+def safe_corr_sql(a: str, b: str) -> str:
+    f = f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    sa, sb = f"stddev_samp({a}) {f}", f"stddev_samp({b}) {f}"
+    return (f"CASE WHEN {sa} > abs(avg({a}) {f}) * 1e-9 AND {sb} > abs(avg({b}) {f}) * 1e-9 THEN "
+            f"least(1.0, greatest(-1.0, covar_samp({a}, {b}) {f} / ({sa} * {sb}))) END")
+
+
+def corr_long(table: str, cols: tuple[str, ...]) -> str:
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    parts = [f"SELECT season, race_name, '{a}' AS feature_1, '{b}' AS feature_2, {safe_corr_sql(a, b)} AS r "
+             f"FROM {table} GROUP BY season, race_name" for a, b in pairs]
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLE["basic_summary"] = _q("events", "", fin("""
+  SELECT season, race_name, count(*) AS total_rows, 24 AS total_cols, count(DISTINCT driver) AS drivers,
+    avg(lap_time) AS avg_lap_time, min(lap_time) AS min_lap_time, max(lap_time) AS max_lap_time,
+    stddev_samp(lap_time) AS std_lap_time, avg(air_temp) AS avg_air_temp, avg(track_temp) AS avg_track_temp,
+    count(*) FILTER (WHERE is_pit_lap) AS pit_laps, count(*) FILTER (WHERE is_sc_lap) AS sc_laps,
+    count(*) FILTER (WHERE is_outlier) AS outliers
+  FROM clean GROUP BY season, race_name""",
+    doubles=("avg_lap_time", "min_lap_time", "max_lap_time", "std_lap_time", "avg_air_temp", "avg_track_temp"),
+    ints=("season", "total_rows", "total_cols", "drivers", "pit_laps", "sc_laps", "outliers")))
+
+ORACLE["missing_values"] = _q("events", """
+mv AS (""" + "\nUNION ALL ".join(
+    f"SELECT season, race_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS missing, count(*) AS _n "
+    f"FROM laps GROUP BY season, race_name" for c in RAW_COLUMNS) + ")", fin("""
+  SELECT season, race_name, column_name, missing, round(100.0 * missing / _n, 2) AS percent FROM mv WHERE missing > 0""",
+    doubles=("percent",), ints=("season", "missing")))
+
+ORACLE["laps_per_driver"] = _q("events", "", fin(
+    "SELECT season, race_name, driver, count(*) AS laps FROM clean GROUP BY season, race_name, driver",
+    ints=("season", "laps")))
+
+ORACLE["lap_time_distribution"] = _q("events", "", fin("""
+  SELECT season, race_name, avg(lap_time) AS mean, stddev_samp(lap_time) AS std, min(lap_time) AS min,
+    max(lap_time) AS max, quantile_cont(lap_time, 0.25) AS q25, median(lap_time) AS median,
+    quantile_cont(lap_time, 0.75) AS q75
+  FROM clean WHERE NOT is_pit_lap AND NOT is_outlier AND lap_time IS NOT NULL GROUP BY season, race_name""",
+    doubles=("mean", "std", "min", "max", "q25", "median", "q75"), ints=("season",)))
+
+ORACLE["lap_time_histogram"] = _q("events", """
+cb AS (SELECT * FROM clean WHERE NOT is_pit_lap AND NOT is_outlier AND lap_time IS NOT NULL),
+rg AS (SELECT season, race_name, min(lap_time) AS _mn, max(lap_time) AS _mx FROM cb GROUP BY season, race_name),
+hb AS (SELECT season, race_name, _mn, _mx,
+    CAST(CASE WHEN _mx > _mn THEN least(floor((lap_time - _mn) / (_mx - _mn) * 40), 39) ELSE 0 END AS INTEGER) AS bin
+  FROM cb JOIN rg USING (season, race_name))""", fin("""
+  SELECT season, race_name, bin, min(_mn) + (min(_mx) - min(_mn)) * bin / 40 AS bin_start, count(*) AS count
+  FROM hb GROUP BY season, race_name, bin""", doubles=("bin_start",), ints=("season", "bin", "count")))
+
+ORACLE["temperature_summary"] = _q("events", """
+tl AS (SELECT season, race_name, 'air_temp' AS variable, air_temp AS v FROM clean
+  UNION ALL SELECT season, race_name, 'track_temp', track_temp FROM clean)""", fin("""
+  SELECT season, race_name, variable, avg(v) AS mean, min(v) AS min, max(v) AS max, stddev_samp(v) AS std
+  FROM tl GROUP BY season, race_name, variable""", doubles=("mean", "min", "max", "std"), ints=("season",)))
+
+LAP_CORR_CTE = DRIVER_FEATURES + "," + DEGRADATION + """,
+lfc AS (SELECT clean.*, deg.tire_degradation_rate, df.consistency_score FROM clean
+  LEFT JOIN deg USING (season, race_name, driver, compound) LEFT JOIN df USING (season, race_name, driver)),
+lc AS (""" + corr_long("lfc", LAP_CORR) + ")"
+
+ORACLE["lap_correlations"] = _q("events", LAP_CORR_CTE, fin("SELECT * FROM lc", doubles=("r",), ints=("season",)))
+
+ORACLE["lap_time_correlations"] = _q("events", LAP_CORR_CTE + """,
+lr AS (SELECT season, race_name, CASE WHEN feature_1 = 'lap_time' THEN feature_2 ELSE feature_1 END AS feature,
+    abs(r) AS abs_r FROM lc WHERE (feature_1 = 'lap_time' OR feature_2 = 'lap_time') AND r IS NOT NULL)""", fin("""
+  SELECT *, row_number() OVER (PARTITION BY season, race_name ORDER BY abs_r DESC, feature) AS rank FROM lr""",
+    doubles=("abs_r",), ints=("season", "rank")))
+
+FEAT_CORR_CTE = MATRIX + """,
+fcx AS (""" + corr_long("matrix", MATRIX_NUM) + ")"
+
+ORACLE["feature_correlations"] = _q("lineitem", FEAT_CORR_CTE, fin(
+    "SELECT * FROM fcx", doubles=("r",), ints=("season",)))
+
+ORACLE["high_correlation_pairs"] = _q("lineitem", FEAT_CORR_CTE, fin(
+    "SELECT season, race_name, feature_1, feature_2, round(abs(r), 4) AS correlation FROM fcx WHERE abs(r) > 0.7",
+    doubles=("correlation",), ints=("season",)))
+
+ORACLE["preprocessing_summary"] = _q("events", "", fin("""
+  SELECT season, race_name, count(*) AS rows, count(DISTINCT driver) AS drivers,
+    sum(""" + " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in RAW_COLUMNS) + """) AS missing_cells,
+    count(*) FILTER (WHERE is_pit_lap) AS pit_laps, count(*) FILTER (WHERE is_sc_lap) AS sc_laps,
+    count(*) FILTER (WHERE is_outlier) AS outliers, avg(lap_time) AS avg_lap_time, min(lap_time) AS min_lap_time,
+    max(lap_time) AS max_lap_time
+  FROM clean GROUP BY season, race_name""",
+    doubles=("avg_lap_time", "min_lap_time", "max_lap_time"),
+    ints=("season", "rows", "drivers", "missing_cells", "pit_laps", "sc_laps", "outliers")))
+
+ORACLE["temperature_trend"] = _q("events", """
+cbt AS (SELECT * FROM clean WHERE NOT is_pit_lap AND NOT is_outlier),
+tt AS (SELECT season, race_name, 'air_temp' AS variable, air_temp AS x, lap_time FROM cbt
+  UNION ALL SELECT season, race_name, 'track_temp', track_temp, lap_time FROM cbt)""", fin("""
+  SELECT * FROM (SELECT season, race_name, variable, regr_count(lap_time, x) AS n, """ + nn("regr_slope(lap_time, x)") +
+    """ AS slope, """ + nn("regr_intercept(lap_time, x)") + """ AS intercept
+  FROM tt GROUP BY season, race_name, variable) WHERE n > 5""",
+    doubles=("slope", "intercept"), ints=("season", "n")))
