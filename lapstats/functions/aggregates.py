@@ -56,9 +56,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                  F.when(small, F.lit(float("inf"))).otherwise(F.col("_q")[k + i]).alias(f"_hi{i}"),
                  F.floor(pos).cast("long").alias(f"_r1{i}"), F.ceil(pos).cast("long").alias(f"_r2{i}"),
                  (pos - F.floor(pos)).alias(f"_fr{i}")]
-    br = br.select(*keys, "_n", *cols)
+    br = checked_broadcast(br.select(*keys, "_n", *cols))
 
-    # One row per key: AQE turns this into a broadcast join when it is small. The
+    # One row per key, broadcast after a size check. The
     # order-statistic positions travel with each row, so only the below-bracket
     # counts need joining back.
     tagged = x.join(br, keys)
@@ -120,3 +120,19 @@ def medians_by_key(df: DataFrame, keys: Sequence[str], values: Mapping[str, str
     wide = med.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_col") == n, F.col("_m"))).alias(n) for n in names])
     return allkeys.join(wide, keys, "left")
+
+
+BROADCAST_MAX_ROWS = 200_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a per-key table only after counting it.
+
+    The table is cached and counted (one small job); if it has at most
+    ``max_rows`` rows it is hinted for broadcast, otherwise it stays a normal
+    shuffle-join side. Lost cache blocks are recomputed from lineage.
+    """
+    small = small.cache()
+    if small.count() <= max_rows:
+        return F.broadcast(small)
+    return small

@@ -292,3 +292,126 @@ def q_preprocessing_summary(spark, sf_dir):
 def q_temperature_trend(spark, sf_dir):
     """A28."""
     return PR.temperature_trend(clean_events(spark, sf_dir))
+
+
+from lapstats.operators import evaluate as EV  # noqa: E402
+from lapstats.operators import ml as ML  # noqa: E402
+from lapstats.schema import KEY, MODEL_FEATURES  # noqa: E402
+
+
+def _target_matrix(spark, sf_dir):
+    """Driver matrix with the strong_performance label, checkpointed."""
+    return materialize(FE.strong_performance(materialize(FE.driver_matrix(clean_events(spark, sf_dir)), "matrix")),
+                       "target")
+
+
+def _folds(spark, sf_dir):
+    return ML.assign_folds(ML.model_input(_target_matrix(spark, sf_dir), KEY), KEY)
+
+
+@register("cv_folds")
+def q_cv_folds(spark, sf_dir):
+    """Standardised model input with stratified fold numbers."""
+    return _folds(spark, sf_dir)
+
+
+@register("knn_oof")
+def q_knn_oof(spark, sf_dir):
+    """M9 + M14: exact 5-NN out-of-fold predictions (uniform vote)."""
+    data = materialize(_folds(spark, sf_dir), "folds")
+    train, test = ML.fold_sets(data, KEY)
+    kf = list(KEY) + ["cv_fold"]
+    neigh = ML.knn_neighbors(train, test, kf, MODEL_FEATURES, k=5)
+    kv = ML.knn_vote(neigh, kf, 5).select(*kf, F.col("_qid").alias("driver"), F.col("pred").alias("pred_knn"),
+                                          F.col("proba").alias("proba_knn"))
+    return (test.select(*kf, "driver", "label", "fold", "n_folds").join(kv, kf + ["driver"], "left")
+            .drop("cv_fold"))
+
+
+def _oof(spark, sf_dir):
+    return EV.cross_validate(_target_matrix(spark, sf_dir), KEY)
+
+
+@register("cv_oof")
+def q_cv_oof(spark, sf_dir):
+    """M12 + M14: out-of-fold predictions of the tree and kNN."""
+    return _oof(spark, sf_dir)
+
+
+@register("cv_fold_scores")
+def q_cv_fold_scores(spark, sf_dir):
+    """Per-fold accuracy and macro precision / recall / F1 of both models."""
+    return EV.fold_scores(_oof(spark, sf_dir), KEY)
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """CV mean / std, macro metrics, AUC, best model per race."""
+    oof = _oof(spark, sf_dir)
+    return EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY)
+
+
+@register("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    """ROC points of both models."""
+    oof = _oof(spark, sf_dir)
+    return EV.roc_curve(oof, KEY, "dt").unionByName(EV.roc_curve(oof, KEY, "knn"))
+
+
+@register("error_analysis")
+def q_error_analysis(spark, sf_dir):
+    """Confusion counts and error rates."""
+    return EV.error_analysis(_oof(spark, sf_dir), KEY)
+
+
+@register("entity_errors")
+def q_entity_errors(spark, sf_dir):
+    """Per-driver correctness and common errors."""
+    return EV.entity_errors(_oof(spark, sf_dir), KEY)
+
+
+@register("model_tests")
+def q_model_tests(spark, sf_dir):
+    """McNemar, paired t, Wilcoxon and the vote."""
+    oof = _oof(spark, sf_dir)
+    return EV.model_tests(oof, materialize(EV.fold_scores(oof, KEY), "scores"), KEY)
+
+
+@register("tree_importance")
+def q_tree_importance(spark, sf_dir):
+    """M8 + M23: per-race tree on all drivers, impurity importances."""
+    data = ML.model_input(_target_matrix(spark, sf_dir), KEY)
+    tree = ML.tree_fit(data, KEY, MODEL_FEATURES)
+    return ML.tree_importance(tree, KEY, MODEL_FEATURES)
+
+
+KMEANS_FEATURES = ["average_lap_time", "consistency_score", "tire_degradation_rate", "pit_stop_impact",
+                   "sector_consistency"]
+
+
+def _kmeans_points(spark, sf_dir):
+    m = FE.driver_matrix(clean_lineitem(spark, sf_dir))
+    return materialize(ML.model_input(m.withColumn("strong_performance", F.lit(0)), KEY, KMEANS_FEATURES), "km_pts")
+
+
+@register("kmeans_clusters")
+def q_kmeans_clusters(spark, sf_dir):
+    """M1 + M3: K-Means (k=3) per race on the scaled features, labelled clusters."""
+    pts = _kmeans_points(spark, sf_dir)
+    assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=3)
+    labels = ML.cluster_labels(assign, pts, KEY)
+    return assign.join(labels.select(*KEY, "cluster", "label"), list(KEY) + ["cluster"], "left")
+
+
+@register("kmeans_elbow")
+def q_kmeans_elbow(spark, sf_dir):
+    """M2 + M4: inertia and squared-Euclidean silhouette for k = 2..7."""
+    pts = _kmeans_points(spark, sf_dir)
+    out = None
+    for k in range(2, 8):
+        assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=k, max_iter=50)
+        assign = materialize(assign, "km_assign")
+        r = (ML.inertia(assign, KEY).join(ML.silhouette_sq(pts, assign, KEY, KMEANS_FEATURES), list(KEY))
+             .withColumn("k", F.lit(k)))
+        out = r if out is None else out.unionByName(r)
+    return out

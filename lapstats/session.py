@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,12 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage at a stage boundary with a reliable checkpoint.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage at a stage boundary by writing a Parquet table to the shared
+    folder named by ``spark.checkpoint.dir`` and reading it back.
 
-    The data goes to the shared folder named by ``spark.checkpoint.dir`` (so a
-    lost executor does not lose it) and later plans start from a leaf, which
-    keeps Catalyst's plan trees small when one table feeds many operators.
+    Compared with ``DataFrame.checkpoint`` this computes the input once (the
+    RDD checkpoint re-runs an unpersisted plan to write it), and downstream
+    scans of the written table still get column pruning and filter pushdown.
+    A lost executor loses nothing: the table lives on shared storage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -533,3 +533,35 @@ tt AS (SELECT season, race_name, 'air_temp' AS variable, air_temp AS x, lap_time
     """ AS slope, """ + nn("regr_intercept(lap_time, x)") + """ AS intercept
   FROM tt GROUP BY season, race_name, variable) WHERE n > 5""",
     doubles=("slope", "intercept"), ints=("season", "n")))
+
+MODEL_FEATURES = ("average_lap_time", "consistency_score", "tire_degradation_rate", "pit_stop_impact",
+                  "sector_consistency")
+
+FOLDS = TARGET + """,
+mi AS (
+  SELECT season, race_name, driver, strong_performance AS label, """ + ",\n    ".join(
+    f"coalesce(CASE WHEN stddev_pop({f}) OVER w > 0 THEN ({f} - avg({f}) OVER w) / stddev_pop({f}) OVER w END, 0.0)"
+    f" AS {f}" for f in MODEL_FEATURES) + """
+  FROM target WINDOW w AS (PARTITION BY season, race_name)),
+cls AS (SELECT season, race_name, label, count(*) AS c FROM mi GROUP BY season, race_name, label),
+nf AS (SELECT season, race_name, greatest(2, least(5, min(c))) AS n_folds FROM cls GROUP BY season, race_name),
+fo AS (
+  SELECT mi.*, n_folds, CAST((row_number() OVER (PARTITION BY season, race_name, label
+      ORDER BY md5(concat_ws('|', '42', CAST(season AS VARCHAR), race_name, driver)), driver) - 1) % n_folds AS INTEGER) AS fold
+  FROM mi JOIN nf USING (season, race_name))"""
+
+ORACLE["cv_folds"] = _q("events", FOLDS, fin(
+    "SELECT * FROM fo", doubles=MODEL_FEATURES, ints=("season", "label", "n_folds", "fold")))
+
+ORACLE["knn_oof"] = _q("events", FOLDS + """,
+pr AS (
+  SELECT q.season, q.race_name, q.driver AS qid, t.driver AS tid, t.label AS y,
+    sqrt(""" + " + ".join(f"pow(q.{f} - t.{f}, 2)" for f in MODEL_FEATURES) + """) AS d
+  FROM fo q JOIN fo t ON q.season = t.season AND q.race_name = t.race_name AND t.fold <> q.fold),
+rk AS (SELECT *, row_number() OVER (PARTITION BY season, race_name, qid ORDER BY d, tid) AS r FROM pr),
+vt AS (SELECT season, race_name, qid, y, count(*) * 1.0 AS s FROM rk WHERE r <= 5 GROUP BY season, race_name, qid, y),
+kv AS (SELECT season, race_name, qid AS driver, first(y ORDER BY s DESC, y) AS pred_knn,
+    sum(CASE WHEN y = 1 THEN s ELSE 0.0 END) / sum(s) AS proba_knn FROM vt GROUP BY season, race_name, qid)""", fin("""
+  SELECT fo.season, fo.race_name, fo.driver, label, fold, n_folds, pred_knn, proba_knn
+  FROM fo LEFT JOIN kv USING (season, race_name, driver)""",
+    doubles=("proba_knn",), ints=("season", "label", "fold", "n_folds", "pred_knn")))
