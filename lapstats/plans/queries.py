@@ -415,3 +415,23 @@ def q_kmeans_elbow(spark, sf_dir):
              .withColumn("k", F.lit(k)))
         out = r if out is None else out.unionByName(r)
     return out
+
+
+from lapstats.operators import joins as J  # noqa: E402
+from lapstats.sources.adapters import weather_from_events  # noqa: E402
+
+_WEATHERLESS = ["season", "race_name", "driver", "lap_number", "time_s"]
+
+
+@register("weather_mean_attach")
+def q_weather_mean_attach(spark, sf_dir):
+    """Race-mean weather attached to laps that carry none."""
+    laps = laps_from_events(spark, sf_dir).select(*_WEATHERLESS)
+    return J.attach_weather_mean(laps, weather_from_events(spark, sf_dir))
+
+
+@register("weather_asof")
+def q_weather_asof(spark, sf_dir):
+    """Nearest-in-time weather sample attached to each lap."""
+    laps = laps_from_events(spark, sf_dir).select(*_WEATHERLESS)
+    return J.attach_weather_asof(laps, weather_from_events(spark, sf_dir))

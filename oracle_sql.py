@@ -565,3 +565,31 @@ kv AS (SELECT season, race_name, qid AS driver, first(y ORDER BY s DESC, y) AS p
   SELECT fo.season, fo.race_name, fo.driver, label, fold, n_folds, pred_knn, proba_knn
   FROM fo LEFT JOIN kv USING (season, race_name, driver)""",
     doubles=("proba_knn",), ints=("season", "label", "fold", "n_folds", "pred_knn")))
+
+WEATHER = """
+wx AS (
+  SELECT CAST(year(ts) AS INTEGER) AS season,
+    'W' || CAST(CAST(floor((day(ts) - 1) / 6) AS INTEGER) AS VARCHAR) AS race_name,
+    epoch_us(date_trunc('hour', ts)) / 1e6 AS time_s,
+    20.0 + avg(value) / 10.0 AS air_temp, 30.0 + avg(value) / 5.0 AS track_temp,
+    CAST(40 + count(*) AS DOUBLE) AS humidity
+  FROM events WHERE event_type = 'view' GROUP BY ALL),
+lw AS (SELECT season, race_name, driver, lap_number, time_s FROM laps)"""
+
+ORACLE["weather_mean_attach"] = _q("events", WEATHER + """,
+wm AS (SELECT season, race_name, avg(air_temp) AS air_temp, avg(track_temp) AS track_temp,
+  avg(humidity) AS humidity FROM wx GROUP BY season, race_name)""", fin(
+    "SELECT lw.*, wm.air_temp, wm.track_temp, wm.humidity FROM lw LEFT JOIN wm USING (season, race_name)",
+    doubles=("time_s", "air_temp", "track_temp", "humidity"), ints=("season", "lap_number")))
+
+ORACLE["weather_asof"] = _q("events", WEATHER + """,
+pv AS (SELECT lw.*, wx.time_s AS pt, wx.air_temp AS pa, wx.track_temp AS ptt, wx.humidity AS ph
+  FROM lw ASOF LEFT JOIN wx ON lw.season = wx.season AND lw.race_name = wx.race_name AND lw.time_s >= wx.time_s),
+nx AS (SELECT pv.*, wx.time_s AS nt, wx.air_temp AS na, wx.track_temp AS ntt, wx.humidity AS nh
+  FROM pv ASOF LEFT JOIN wx ON pv.season = wx.season AND pv.race_name = wx.race_name AND pv.time_s <= wx.time_s),
+ch AS (SELECT *, CASE WHEN pt IS NULL THEN true WHEN nt IS NOT NULL AND (nt - time_s) < (time_s - pt) THEN true
+  ELSE false END AS use_next FROM nx)""", fin("""
+  SELECT season, race_name, driver, lap_number, time_s,
+    CASE WHEN use_next THEN nt ELSE pt END AS weather_time, CASE WHEN use_next THEN na ELSE pa END AS air_temp,
+    CASE WHEN use_next THEN ntt ELSE ptt END AS track_temp, CASE WHEN use_next THEN nh ELSE ph END AS humidity
+  FROM ch""", doubles=("time_s", "weather_time", "air_temp", "track_temp", "humidity"), ints=("season", "lap_number")))
