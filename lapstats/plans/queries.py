@@ -435,3 +435,50 @@ def q_weather_asof(spark, sf_dir):
     """Nearest-in-time weather sample attached to each lap."""
     laps = laps_from_events(spark, sf_dir).select(*_WEATHERLESS)
     return J.attach_weather_asof(laps, weather_from_events(spark, sf_dir))
+
+
+from lapstats.operators import insights as INS  # noqa: E402
+
+
+def _analysis_tables(spark, sf_dir, with_ml: bool = False):
+    laps = clean_events(spark, sf_dir)
+    t = {
+        "stability": A.driver_stability(laps),
+        "compound_stats": A.compound_stats(laps),
+        "degradation_curve": A.degradation_curve(laps),
+        "pit": A.pit_stop_analysis(laps),
+        "overview": A.race_overview(laps),
+        "weather": A.weather_correlation(laps),
+        "sectors": A.fastest_sector_drivers(laps),
+    }
+    if with_ml:
+        target = _target_matrix(spark, sf_dir)
+        data = ML.model_input(target, KEY)
+        t["importance"] = ML.tree_importance(ML.tree_fit(data, KEY, MODEL_FEATURES), KEY, MODEL_FEATURES)
+        oof = EV.cross_validate(target, KEY)
+        t["comparison"] = EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY)
+    return t
+
+
+@register("race_findings")
+def q_race_findings(spark, sf_dir):
+    """Findings table from the per-race analyses."""
+    return INS.race_findings(spark, _analysis_tables(spark, sf_dir))
+
+
+@register("race_top5")
+def q_race_top5(spark, sf_dir):
+    """I8: top findings per race."""
+    return INS.top5(INS.race_findings(spark, _analysis_tables(spark, sf_dir)))
+
+
+@register("race_conclusions")
+def q_race_conclusions(spark, sf_dir):
+    """I5 + I10: findings including the ML ones, one conclusion row per race."""
+    return INS.conclusions(INS.race_findings(spark, _analysis_tables(spark, sf_dir, with_ml=True)))
+
+
+@register("pit_rating")
+def q_pit_rating(spark, sf_dir):
+    """Pit rating per driver."""
+    return INS.pit_rating(A.pit_stop_analysis(clean_events(spark, sf_dir)))

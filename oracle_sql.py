@@ -593,3 +593,12 @@ ch AS (SELECT *, CASE WHEN pt IS NULL THEN true WHEN nt IS NOT NULL AND (nt - ti
     CASE WHEN use_next THEN nt ELSE pt END AS weather_time, CASE WHEN use_next THEN na ELSE pa END AS air_temp,
     CASE WHEN use_next THEN ntt ELSE ptt END AS track_temp, CASE WHEN use_next THEN nh ELSE ph END AS humidity
   FROM ch""", doubles=("time_s", "weather_time", "air_temp", "track_temp", "humidity"), ints=("season", "lap_number")))
+
+ORACLE["pit_rating"] = _q("events", PIT_WINDOWS + """,
+pdd AS (SELECT season, race_name, driver, count(*) AS pit_count, round(avg(impact), 3) AS avg_impact
+  FROM pd GROUP BY season, race_name, driver),
+pr AS (SELECT season, race_name, round(avg(avg_impact) FILTER (WHERE avg_impact <> 0), 3) AS race_avg_impact,
+    sum(pit_count) AS race_pit_total FROM pdd GROUP BY season, race_name)""", fin("""
+  SELECT *, CASE WHEN avg_impact > 0.5 THEN 'advantage' WHEN avg_impact > 0 THEN 'normal' ELSE 'limited' END AS pit_rating
+  FROM pdd LEFT JOIN pr USING (season, race_name)""",
+    doubles=("avg_impact", "race_avg_impact"), ints=("season", "pit_count", "race_pit_total")))
