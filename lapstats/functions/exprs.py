@@ -14,8 +14,10 @@ _TD_RE = r"^\s*(?:(-?\d+)\s+days?\s*,?\s*)?(\d+):(\d{1,2}):(\d{1,2}(?:\.\d+)?)\s
 def duration_text_to_seconds(c: Column | str) -> Column:
     """Duration text -> float seconds; unparseable text -> NULL.
 
-    Plain numbers in a *text* column are not durations and give NULL, as
-    the reference does; numeric columns are never passed through here.
+    The reference converts per race file: a file whose column is numeric is
+    left alone, a text column is parsed as durations. One scan over many race
+    files merges their column types, so a plain number arriving as text is
+    taken as seconds (what its own file's numeric column would have been).
     """
     s = F.col(c) if isinstance(c, str) else c
     m = F.regexp_like(s, F.lit(_TD_RE))
@@ -23,7 +25,7 @@ def duration_text_to_seconds(c: Column | str) -> Column:
     hours = F.regexp_extract(s, _TD_RE, 2).try_cast("double")
     mins = F.regexp_extract(s, _TD_RE, 3).try_cast("double")
     secs = F.regexp_extract(s, _TD_RE, 4).try_cast("double")
-    return F.when(m, days * 86400.0 + hours * 3600.0 + mins * 60.0 + secs)
+    return F.when(m, days * 86400.0 + hours * 3600.0 + mins * 60.0 + secs).otherwise(s.try_cast("double"))
 
 
 def format_laptime(c: Column | str) -> Column:
