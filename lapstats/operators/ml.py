@@ -166,32 +166,47 @@ def _gini(counts: Sequence[Column], total: Column) -> Column:
 
 def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_depth: int = 5,
              min_samples_split: int = 2, min_samples_leaf: int = 1, criterion: str = "gini",
-             classes: Sequence[int] = (0, 1)) -> DataFrame:
+             classes: Sequence[int] = (0, 1), params: DataFrame | None = None,
+             depth_cap: int = 30) -> DataFrame:
     """Fit one CART tree per key. Returns the node table:
     key, node, depth, feature, threshold, is_leaf, pred, proba, n.
+
+    ``params`` (optional, one row per key) overrides the hyper-parameters per
+    key with columns max_depth (NULL = unlimited), min_samples_split,
+    min_samples_leaf and criterion, so a whole grid trains in one job.
     """
     key = list(key)
     feats = list(features)
+    if params is None:
+        params = train.select(*key).distinct().select(
+            *key, F.lit(max_depth).alias("max_depth"), F.lit(min_samples_split).alias("min_samples_split"),
+            F.lit(min_samples_leaf).alias("min_samples_leaf"), F.lit(criterion).alias("criterion"))
+        levels = max_depth
+    else:
+        levels = depth_cap
+    prm = checked_broadcast(params.select(
+        *key, F.coalesce(F.col("max_depth"), F.lit(depth_cap)).alias("_md"),
+        F.col("min_samples_split").alias("_mss"), F.col("min_samples_leaf").alias("_msl"),
+        F.col("criterion").alias("_crit")))
     rows = train.select(*key, "label", *feats).withColumn("_node", F.lit(1).cast("long"))
     nodes = []
 
     def impurity(counts, total):
-        if criterion == "entropy":
-            return -sum((F.coalesce(F.when(c > 0, (c / total) * F.log2(c / total)), F.lit(0.0)) for c in counts),
-                        F.lit(0.0))
-        return _gini(counts, total)
+        ent = -sum((F.coalesce(F.when(c > 0, (c / total) * F.log2(c / total)), F.lit(0.0)) for c in counts),
+                   F.lit(0.0))
+        return F.when(F.col("_crit") == "entropy", ent).otherwise(_gini(counts, total))
 
-    for depth in range(max_depth + 1):
+    for depth in range(levels + 1):
         stats = rows.groupBy(*key, "_node").agg(
             F.count("*").alias("n"), *[F.count_if(F.col("label") == c).alias(f"_n{c}") for c in classes])
         pred = F.lit(None).cast("int")
         for c in reversed(classes):  # lowest class wins ties
             best = F.greatest(*[F.col(f"_n{x}") for x in classes]) if len(classes) > 1 else F.col(f"_n{c}")
             pred = F.when(F.col(f"_n{c}") == best, F.lit(c)).otherwise(pred)
-        stats = stats.withColumn("pred", pred).withColumn(
-            "proba", F.col(f"_n{classes[-1]}") / F.col("n")).withColumn(
-            "_pure", F.greatest(*[F.col(f"_n{c}") for c in classes]) == F.col("n"))
-        can_split = (~F.col("_pure")) & (F.col("n") >= min_samples_split) & F.lit(depth < max_depth)
+        stats = (stats.join(prm, key).withColumn("pred", pred)
+                 .withColumn("proba", F.col(f"_n{classes[-1]}") / F.col("n"))
+                 .withColumn("_pure", F.greatest(*[F.col(f"_n{c}") for c in classes]) == F.col("n")))
+        can_split = (~F.col("_pure")) & (F.col("n") >= F.col("_mss")) & (F.lit(depth) < F.col("_md"))
         long = rows.join(stats.where(can_split).select(*key, "_node"), key + ["_node"], "left_semi").select(
             *key, "_node", "label",
             F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).alias("_v")) for i, f in enumerate(feats)]))
@@ -203,13 +218,13 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
         cum = per_v.select(
             *key, "_node", "_f", "_v", F.lead("_v").over(wv).alias("_next"),
             *[F.sum(f"_c{c}").over(wv.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{c}") for c in classes],
-            *[F.sum(f"_c{c}").over(wall).alias(f"_t{c}") for c in classes])
+            *[F.sum(f"_c{c}").over(wall).alias(f"_t{c}") for c in classes]).join(prm, key)
         nl = sum((F.col(f"_l{c}") for c in classes), F.lit(0))
         nt = sum((F.col(f"_t{c}") for c in classes), F.lit(0))
         nr = nt - nl
         imp = (nl * impurity([F.col(f"_l{c}") for c in classes], nl)
                + nr * impurity([F.col(f"_t{c}") - F.col(f"_l{c}") for c in classes], nr)) / nt
-        cands = cum.where(F.col("_next").isNotNull() & (nl >= min_samples_leaf) & (nr >= min_samples_leaf)).select(
+        cands = cum.where(F.col("_next").isNotNull() & (nl >= F.col("_msl")) & (nr >= F.col("_msl"))).select(
             *key, "_node", "_f", ((F.col("_v") + F.col("_next")) / 2.0).alias("_thr"), imp.alias("_imp"))
         best = cands.groupBy(*key, "_node").agg(
             F.min_by(F.struct("_f", "_thr"), F.struct("_imp", "_f", "_thr")).alias("_b"))

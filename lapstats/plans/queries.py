@@ -482,3 +482,42 @@ def q_race_conclusions(spark, sf_dir):
 def q_pit_rating(spark, sf_dir):
     """Pit rating per driver."""
     return INS.pit_rating(A.pit_stop_analysis(clean_events(spark, sf_dir)))
+
+
+from lapstats.operators import tuning as TU  # noqa: E402
+
+
+@register("grid_search")
+def q_grid_search(spark, sf_dir):
+    """M13 + W5: inner-CV score of every tree and kNN configuration, ranked."""
+    return TU.grid_search(_target_matrix(spark, sf_dir), KEY)
+
+
+@register("complexity_sweep")
+def q_complexity_sweep(spark, sf_dir):
+    """Depth and k sweeps with train / validation gap."""
+    return TU.complexity_sweep(_target_matrix(spark, sf_dir), KEY)
+
+
+@register("ablation_study")
+def q_ablation_study(spark, sf_dir):
+    """Drop-one-feature accuracy deltas."""
+    return TU.ablation(_target_matrix(spark, sf_dir), KEY)
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """Learning curves of the depth-3 tree and 3-NN."""
+    return TU.learning_curve(_target_matrix(spark, sf_dir), KEY)
+
+
+@register("holdout_split")
+def q_holdout_split(spark, sf_dir):
+    """M7: stratified hold-out assignment."""
+    return TU.holdout_split(ML.model_input(_target_matrix(spark, sf_dir), KEY), KEY)
+
+
+@register("kmeans_grid")
+def q_kmeans_grid(spark, sf_dir):
+    """M5: K-Means grid ranked by silhouette."""
+    return TU.kmeans_grid(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)

@@ -602,3 +602,14 @@ pr AS (SELECT season, race_name, round(avg(avg_impact) FILTER (WHERE avg_impact
   SELECT *, CASE WHEN avg_impact > 0.5 THEN 'advantage' WHEN avg_impact > 0 THEN 'normal' ELSE 'limited' END AS pit_rating
   FROM pdd LEFT JOIN pr USING (season, race_name)""",
     doubles=("avg_impact", "race_avg_impact"), ints=("season", "pit_count", "race_pit_total")))
+
+ORACLE["holdout_split"] = _q("events", FOLDS.replace("fo AS (", "fo_unused AS (") + """,
+hn AS (SELECT season, race_name, count(*) AS _n FROM mi GROUP BY season, race_name),
+hs AS (SELECT mi.*, _n,
+    row_number() OVER (PARTITION BY season, race_name, label
+      ORDER BY md5(concat_ws('|', '42', CAST(season AS VARCHAR), race_name, driver)), driver) AS _rn,
+    count(*) OVER (PARTITION BY season, race_name, label) AS _c
+  FROM mi JOIN hn USING (season, race_name))""", fin("""
+  SELECT season, race_name, driver, label, """ + ", ".join(MODEL_FEATURES) + """,
+    (_c >= 2 AND _rn <= round(_c * CASE WHEN _n < 6 THEN 0.2 ELSE 0.3 END)) AS is_test FROM hs""",
+    doubles=MODEL_FEATURES, ints=("season", "label")))
