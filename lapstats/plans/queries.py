@@ -521,3 +521,46 @@ def q_holdout_split(spark, sf_dir):
 def q_kmeans_grid(spark, sf_dir):
     """M5: K-Means grid ranked by silhouette."""
     return TU.kmeans_grid(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)
+
+
+from lapstats.operators import explain as XP  # noqa: E402
+
+
+def _fitted(spark, sf_dir):
+    data = materialize(ML.model_input(_target_matrix(spark, sf_dir), KEY), "model_input")
+    return data, ML.tree_fit(data, KEY, MODEL_FEATURES)
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Accuracy drop per shuffled feature (30 repeats)."""
+    data, tree = _fitted(spark, sf_dir)
+    return XP.permutation_importance(tree, data, KEY, MODEL_FEATURES)
+
+
+@register("shap_importance")
+def q_shap_importance(spark, sf_dir):
+    """Mean |Shapley value| per feature (baseline Shapley, exact over coalitions)."""
+    data, tree = _fitted(spark, sf_dir)
+    return XP.mean_abs_shap(XP.shapley_values(tree, data, KEY, MODEL_FEATURES), KEY)
+
+
+@register("local_explanations")
+def q_local_explanations(spark, sf_dir):
+    """Per-driver prediction record."""
+    data, tree = _fitted(spark, sf_dir)
+    return XP.local_explanations(tree, data, KEY, MODEL_FEATURES)
+
+
+@register("pca_projection")
+def q_pca_projection(spark, sf_dir):
+    """M6: 2-D PCA coordinates of every driver."""
+    pts, _ = XP.pca_2d(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)
+    return pts
+
+
+@register("model_winner")
+def q_model_winner(spark, sf_dir):
+    """Winning model per race."""
+    oof = _oof(spark, sf_dir)
+    return TU.model_winner(EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY), KEY)
