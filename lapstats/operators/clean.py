@@ -1,8 +1,9 @@
 """Lap cleaning (P1-P12) and generic column transforms.
 
 All race-level scalars (median lap time, normal-lap mean/std, weather
-medians) are computed once per key as tiny aggregate tables and joined back;
-AQE turns those joins into broadcasts after measuring the real size.
+medians) are computed once per key as tiny aggregate tables and joined back
+as broadcasts after a row-count check (``checked_broadcast``), so the lap
+table itself is never shuffled to attach them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapstats.functions.aggregates import exact_quantiles, medians_by_key
+from lapstats.functions.aggregates import checked_broadcast, exact_quantiles, medians_by_key
 from lapstats.functions.exprs import (decode_status, duration_text_to_seconds, is_sc_status,
                                       standard_compound)
 from lapstats.schema import (COLUMN_ALIASES, KEY, LAPS, OUTLIER_MIN_LAPS, OUTLIER_SIGMA,
@@ -64,7 +65,7 @@ def clean_laps(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     # Race medians of lap time (P5) and of the weather columns (P8), one quantile job.
     med = medians_by_key(kept, key, {"_med_lap": "lap_time", "_med_air": "air_temp",
                                      "_med_track": "track_temp", "_med_hum": "humidity"})
-    tagged = kept.join(med, key, "left").withColumn(
+    tagged = kept.join(checked_broadcast(med), key, "left").withColumn(
         "is_pit_lap",
         (F.col("lap_time") > F.col("_med_lap") * PIT_LAP_FACTOR)
         | F.col("pit_in_time").isNotNull() | F.col("pit_out_time").isNotNull())      # P5
@@ -73,7 +74,7 @@ def clean_laps(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     normal = tagged.where(~F.col("is_pit_lap") & ~F.col("is_sc_lap"))
     band = normal.groupBy(*key).agg(F.count("*").alias("_n_norm"), F.avg("lap_time").alias("_mu"),
                                     F.stddev_samp("lap_time").alias("_sd"))
-    tagged = tagged.join(band, key, "left").withColumn(
+    tagged = tagged.join(checked_broadcast(band), key, "left").withColumn(
         "is_outlier",
         F.coalesce((F.col("_n_norm") >= OUTLIER_MIN_LAPS)
                    & ((F.col("lap_time") < F.col("_mu") - OUTLIER_SIGMA * F.col("_sd"))
@@ -107,7 +108,7 @@ def iqr_filter(df: DataFrame, column: str, key: Sequence[str] = KEY) -> DataFram
     key = list(key)
     q = exact_quantiles(df, key, column, {"_q1": 0.25, "_q3": 0.75})
     iqr = F.col("_q3") - F.col("_q1")
-    return (df.join(q, key)
+    return (df.join(checked_broadcast(q), key)
             .where(F.col(column).between(F.col("_q1") - 1.5 * iqr, F.col("_q3") + 1.5 * iqr))
             .drop("_q1", "_q3"))
 
@@ -116,7 +117,7 @@ def minmax_normalize(df: DataFrame, column: str, out: str, key: Sequence[str] =
     """(x - min) / (max - min) per key; constant column -> 0.5."""
     key = list(key)
     mm = df.groupBy(*key).agg(F.min(column).alias("_mn"), F.max(column).alias("_mx"))
-    return (df.join(mm, key, "left")
+    return (df.join(checked_broadcast(mm), key, "left")
             .withColumn(out, F.when(F.col("_mx") > F.col("_mn"),
                                     (F.col(column) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")))
                         .otherwise(F.lit(0.5)))
@@ -127,7 +128,7 @@ def median_impute(df: DataFrame, columns: Sequence[str], key: Sequence[str] = KE
     """NULL -> median of the column within the key (exact median)."""
     key = list(key)
     med = medians_by_key(df, key, {f"_med_{c}": c for c in columns})
-    return (df.join(med, key, "left")
+    return (df.join(checked_broadcast(med), key, "left")
             .withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in columns})
             .drop(*[f"_med_{c}" for c in columns]))
 
@@ -138,7 +139,7 @@ def standardize(df: DataFrame, columns: Sequence[str], key: Sequence[str] = KEY,
     key = list(key)
     st = df.groupBy(*key).agg(*[F.avg(c).alias(f"_mu_{c}") for c in columns],
                               *[F.stddev_pop(c).alias(f"_sd_{c}") for c in columns])
-    return (df.join(st, key, "left")
+    return (df.join(checked_broadcast(st), key, "left")
             .withColumns({f"{c}{suffix}": F.coalesce(
                 F.when(F.col(f"_sd_{c}") > 0, (F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}")),
                 F.lit(0.0)) for c in columns})

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstats.functions.aggregates import medians_by_key
+from lapstats.functions.aggregates import checked_broadcast, medians_by_key
 from lapstats.functions.exprs import std0
 from lapstats.operators.clean import clean_view, median_impute, minmax_normalize
 from lapstats.schema import COMPOUNDS_ALL, KEY, MATRIX_FEATURES, MIN_STINT_LAPS, PIT_WINDOW
@@ -118,7 +118,7 @@ def relative_pace(stats: DataFrame, laps: DataFrame, key: Sequence[str] = KEY) -
     """Driver mean (clean a) minus the mean of all race laps; race mean <= 0 -> 0."""
     key = list(key)
     race = laps.groupBy(*key).agg(F.avg("lap_time").alias("_race_mean"))
-    return (stats.join(race, key, "left")
+    return (stats.join(checked_broadcast(race), key, "left")
             .withColumn("relative_pace", F.when(F.col("_race_mean") > 0,
                                                 F.col("average_lap_time") - F.col("_race_mean"))
                         .otherwise(F.lit(0.0)))
