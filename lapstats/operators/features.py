@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lapstats.functions.aggregates import checked_broadcast, medians_by_key
 from lapstats.functions.exprs import std0
 from lapstats.operators.clean import clean_view, median_impute, minmax_normalize
+from lapstats.session import materialize
 from lapstats.schema import COMPOUNDS_ALL, KEY, MATRIX_FEATURES, MIN_STINT_LAPS, PIT_WINDOW
 
 
@@ -139,7 +140,7 @@ def lap_features(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Lap-grain feature table: cleaned laps + W1, P15, P16 and the joined
     driver / compound features (J1-J3)."""
     key = list(key)
-    df = minmax_normalize(sector_sum(stint_lap(laps, key)), "track_temp", "norm_track_temp", key)
+    df = stint_lap(sector_sum(minmax_normalize(laps, "track_temp", "norm_track_temp", key)), key)
     return (df.join(driver_features(laps, key), key + ["driver"], "left")
             .join(degradation_rates(laps, key), key + ["driver", "compound"], "left")
             .join(tire_efficiency(laps, key), key + ["compound"], "left"))
@@ -174,7 +175,8 @@ def driver_matrix(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     m = (driver_features(laps, key).drop("relative_pace")
          .join(first_deg, kd, "left").join(temps, kd, "left"))
     numeric = list(MATRIX_FEATURES) + [f"degradation_{c.lower()}" for c in COMPOUNDS_ALL] + ["avg_air_temp"]
-    m = m.select(*kd, *numeric)
+    # Driver grain: written once so the race medians and the fill read one leaf.
+    m = materialize(m.select(*kd, *numeric), "matrix_raw")
     return median_impute(m, numeric, key)
 
 

@@ -318,17 +318,15 @@ def kmeans(points: DataFrame, key: Sequence[str], features: Sequence[str], k: in
         return j.groupBy(*key, "driver").agg(
             F.min_by("cluster", F.struct("_d2", "cluster")).alias("cluster"), F.min("_d2").alias("sqdist"))
 
-    check_every = 5
-    for it in range(1, max_iter + 1):
+    for _ in range(max_iter):
         a = assign(cent)
         new = (a.join(pts, key + ["driver"]).groupBy(*key, "cluster")
                .agg(*[F.avg(f).alias(f) for f in feats]))
         # keep centres that lost all points where they were
         new = cent.alias("o").join(new.alias("n"), key + ["cluster"], "left").select(
             *key, "cluster", *[F.coalesce(F.col(f"n.{f}"), F.col(f"o.{f}")).alias(f) for f in feats])
-        if it % check_every and it != max_iter:
-            cent = new  # a few Lloyd steps per job; the plan stays small
-            continue
+        # Each step starts from written centres: the plan never chains steps
+        # (a cached DataFrame would still carry the whole chain in its plan).
         new = materialize(new, "kmeans_centres")
         shift = (new.alias("a").join(cent.alias("b"), key + ["cluster"])
                  .agg(F.max(sum((F.pow(F.col(f"a.{f}") - F.col(f"b.{f}"), 2) for f in feats), F.lit(0.0))))
