@@ -21,18 +21,24 @@ from lapstats.schema import KEY
 
 
 def driver_stability(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """A9 + W2: per-driver clean (a) stats, team, rank by consistency (desc, then driver)."""
+    """A9 + W2: per-driver clean (a) stats, team, rank by consistency (desc, then driver).
+
+    One pass over the laps: the clean-lap statistics are conditional
+    aggregates next to the team lookup (first team in lap order, all laps),
+    so no second scan or join is needed.
+    """
     key = list(key)
-    c = clean_view(laps)
-    stats = (c.groupBy(*key, "driver")
-             .agg(F.avg("lap_time").alias("avg_lap_time"), F.min("lap_time").alias("best_lap_time"),
-                  std0("lap_time").alias("lap_time_std"), F.count("*").alias("lap_count"))
+    ok = ~F.col("is_pit_lap") & ~F.col("is_sc_lap") & ~F.col("is_outlier")
+    x = F.when(ok, F.col("lap_time"))
+    stats = (laps.groupBy(*key, "driver")
+             .agg(F.avg(x).alias("avg_lap_time"), F.min(x).alias("best_lap_time"),
+                  std0(x).alias("lap_time_std"), F.count(x).alias("lap_count"),
+                  F.min_by("team", F.when(F.col("team").isNotNull(), F.struct("lap_number", "lap_time")))
+                  .alias("team"))
+             .where(F.col("lap_count") > 0)
              .withColumn("consistency_score", 1.0 / (1.0 + F.col("lap_time_std"))))
-    team = laps.groupBy(*key, "driver").agg(
-        F.min_by("team", F.when(F.col("team").isNotNull(), F.struct("lap_number", "lap_time"))).alias("team"))
     w = Window.partitionBy(*key).orderBy(F.desc("consistency_score"), "driver")
-    return (stats.join(team, key + ["driver"], "left")
-            .withColumn("stability_rank", F.row_number().over(w)))
+    return stats.withColumn("stability_rank", F.row_number().over(w))
 
 
 def stability_summary(stability: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

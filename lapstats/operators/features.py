@@ -127,13 +127,29 @@ def relative_pace(stats: DataFrame, laps: DataFrame, key: Sequence[str] = KEY) -
 
 
 def driver_features(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """All per-driver scalars: A1, A2, A5, A6, A14 (one row per race x driver)."""
+    """All per-driver scalars: A1, A2, A5, A6, A14 (one row per race x driver).
+
+    A1/A2 (clean variant a) and A5 (all laps) come from one conditional
+    aggregation over the laps; only the pit impact (its own lap-number join)
+    and the race mean (broadcast after a size check) are joined on.
+    """
     key = list(key)
-    drivers = laps.select(*key, "driver").distinct()
-    stats = relative_pace(driver_lap_stats(laps, key), laps, key)
-    return (drivers.join(stats, key + ["driver"], "left")
-            .join(pit_stop_impact(laps, key), key + ["driver"], "left")
-            .join(sector_consistency(laps, key), key + ["driver"], "left"))
+    ok = ~F.col("is_pit_lap") & ~F.col("is_sc_lap") & ~F.col("is_outlier")
+    x = F.when(ok, F.col("lap_time"))
+    agg = laps.groupBy(*key, "driver").agg(
+        F.avg(x).alias("average_lap_time"), F.min(x).alias("best_lap_time"),
+        F.stddev_samp(x).alias("_sd"), F.count(x).alias("_n"),
+        *[F.stddev_samp(f"sector{i}_time").alias(f"_sd{i}") for i in (1, 2, 3)])
+    present = [F.col(f"_sd{i}") for i in (1, 2, 3)]
+    n_sd = sum((p.isNotNull().cast("int") for p in present), F.lit(0))
+    total = sum((F.coalesce(p, F.lit(0.0)) for p in present), F.lit(0.0))
+    std = F.when(F.col("_n") > 0, F.coalesce(F.col("_sd"), F.lit(0.0)))
+    stats = agg.select(
+        *key, "driver", "average_lap_time", "best_lap_time", std.alias("lap_time_std"),
+        (1.0 / (1.0 + std)).alias("consistency_score"), F.col("average_lap_time").alias("average_race_pace"),
+        F.when(n_sd > 0, total / n_sd).alias("sector_consistency"))
+    stats = relative_pace(stats, laps, key)
+    return stats.join(pit_stop_impact(laps, key), key + ["driver"], "left")
 
 
 def lap_features(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
