@@ -5,12 +5,13 @@ when cross-validating) is a grouping column, never a driver-side loop.
 
 * Folds (M7/M11/M12): stratified by label in a deterministic md5 order.
 * kNN (M9): exact, without an all-pairs join. Points are projected on the unit
-  diagonal (|p(x)-p(y)| <= ||x-y|| for L2 and L1), bucketed into cells of
-  about ``CELL_ROWS`` training rows, and each query is joined only to the
-  cells within radius r. A query is final once its k-th candidate distance is
-  no larger than the distance from its projection to the edge of the covered
-  band (no point outside can be closer); the rest retry with a wider band,
-  and a band that covers the whole key is exact by definition.
+  diagonal (|p(x)-p(y)| <= ||x-y|| for L2 and L1) and split, in projection
+  order, into cells of ``CELL_ROWS`` training rows; each query is joined only
+  to the cells within radius r of its place in that order. A query is final
+  once its k-th candidate distance is smaller than the projection gap to the
+  nearest training row outside the band (no point outside can be closer);
+  the rest retry with a wider band, and a band covering the whole key is
+  exact by definition.
 * Decision tree (M8): level-wise CART. Per (key, node, feature) the distinct
   values are ordered and cumulative class counts give every split's Gini in
   one window pass; the best split per node is an arg-min aggregate.
@@ -84,43 +85,56 @@ def knn_neighbors(train: DataFrame, query: DataFrame, key: Sequence[str], featur
                   k: int = 5, metric: str = "euclidean", ident: str = "driver") -> DataFrame:
     """Exact k nearest training rows of every query row within its key.
 
-    Returns key, query id (``_qid``), neighbour id (``_tid``), its label
-    (``_y``), distance ``_d`` and rank ``_r`` (1..k, ties by neighbour id).
+    Cells hold ``CELL_ROWS`` consecutive training rows in projection order
+    (equal-count, so skewed or clustered features cannot pack a cell), and
+    every query is placed among them by the same ordering. Returns key, query
+    id (``_qid``), neighbour id (``_tid``), its label (``_y``), distance ``_d``
+    and rank ``_r`` (1..k, ties by neighbour id).
     """
     key = list(key)
     feats = list(features)
-    proj = sum((F.col(f) for f in feats), F.lit(0.0)) / math.sqrt(len(feats))
-    t = train.select(*key, F.col(ident).alias("_tid"), F.col("label").alias("_y"), *feats).withColumn("_p", proj)
-    st = t.groupBy(*key).agg(F.min("_p").alias("_pmin"), F.max("_p").alias("_pmax"), F.count("*").alias("_nt"))
-    st = st.withColumn("_ncell", F.greatest(F.lit(1), F.ceil(F.col("_nt") / CELL_ROWS)).cast("long"))
-    st = st.withColumn("_w", F.when(F.col("_pmax") > F.col("_pmin"),
-                                    (F.col("_pmax") - F.col("_pmin")) / F.col("_ncell")).otherwise(F.lit(1.0)))
-    st = checked_broadcast(st)
-    cell = F.least(F.greatest(F.floor((F.col("_p") - F.col("_pmin")) / F.col("_w")), F.lit(0)),
-                   F.col("_ncell") - 1).cast("long")
-    t = materialize(t.join(st, key).withColumn("_cell", cell).select(*key, "_cell", "_tid", "_y", *feats), "knn_train")
+    inv = 1.0 / math.sqrt(len(feats))
+    t = (train.select(*key, F.col(ident).alias("_tid"), F.col("label").alias("_y"), *feats)
+         .withColumn("_p", sum((F.col(f) for f in feats), F.lit(0.0)) * inv))
     q = (query.select(*key, F.col(ident).alias("_qid"), *[F.col(f).alias(f"_q_{f}") for f in feats])
-         .withColumn("_p", sum((F.col(f"_q_{f}") for f in feats), F.lit(0.0)) / math.sqrt(len(feats)))
-         .join(st, key))
-    q = materialize(q.withColumn("_qcell", cell.alias("_qcell")), "knn_query")
+         .withColumn("_p", sum((F.col(f"_q_{f}") for f in feats), F.lit(0.0)) * inv))
+    # One ordering per key of training and query projections: a training row's
+    # running count is its rank, a query's is the number of training rows before it.
+    u = (t.select(*key, "_p", F.lit(1).alias("_is_t"), F.col("_tid").alias("_id"))
+         .unionByName(q.select(*key, "_p", F.lit(0).alias("_is_t"), F.col("_qid").alias("_id"))))
+    w = Window.partitionBy(*key).orderBy("_p", F.desc("_is_t"), "_id").rowsBetween(Window.unboundedPreceding, 0)
+    u = u.withColumn("_tr", F.sum("_is_t").over(w))
+    cell = (F.greatest(F.col("_tr") - 1, F.lit(0)) / CELL_ROWS).cast("long")
+    placed = materialize(u.select(*key, "_is_t", "_id", cell.alias("_cell")), "knn_cells")
+    nt = t.groupBy(*key).agg(F.count("*").alias("_nt"))
+    nt = checked_broadcast(nt.withColumn("_ncell", F.ceil(F.col("_nt") / CELL_ROWS).cast("long")))
+    t = materialize(t.join(placed.where(F.col("_is_t") == 1).select(*key, F.col("_id").alias("_tid"), "_cell"),
+                           key + ["_tid"]), "knn_train")
+    bounds = checked_broadcast(t.groupBy(*key, "_cell").agg(F.min("_p").alias("_cmin"), F.max("_p").alias("_cmax")))
+    q = materialize(q.join(placed.where(F.col("_is_t") == 0).select(*key, F.col("_id").alias("_qid"),
+                                                                     F.col("_cell").alias("_qcell")),
+                           key + ["_qid"]).join(nt, key), "knn_query")
+    left_b = bounds.select(*key, (F.col("_cell") + 1).alias("_lo"), F.col("_cmax").alias("_left_p"))
+    right_b = bounds.select(*key, (F.col("_cell") - 1).alias("_hi"), F.col("_cmin").alias("_right_p"))
 
     done = []
     radius = 1
     remaining = q
     while True:
-        lo = F.greatest(F.col("_qcell") - radius, F.lit(0))
+        lo = F.greatest(F.least(F.col("_qcell"), F.col("_ncell") - 1) - radius, F.lit(0))
         hi = F.least(F.col("_qcell") + radius, F.col("_ncell") - 1)
-        qx = remaining.withColumn("_lo", lo).withColumn("_hi", hi).withColumn(
-            "_cell", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
-        cand = qx.join(t, key + ["_cell"]).withColumn("_d", _dist(feats, metric))
-        w = Window.partitionBy(*key, "_qid").orderBy("_d", "_tid")
-        top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
-        left_edge = F.when(F.col("_lo") > 0, F.col("_p") - (F.col("_pmin") + F.col("_lo") * F.col("_w")))
-        right_edge = F.when(F.col("_hi") < F.col("_ncell") - 1,
-                            F.col("_pmin") + (F.col("_hi") + 1) * F.col("_w") - F.col("_p"))
-        margin = F.coalesce(F.least(left_edge, right_edge), F.lit(float("inf")))
+        qb = (remaining.withColumn("_lo", lo).withColumn("_hi", hi)
+              .join(left_b, key + ["_lo"], "left").join(right_b, key + ["_hi"], "left"))
+        # training rows outside the band lie at projection <= _left_p or >= _right_p
+        margin = F.coalesce(F.least(F.col("_p") - F.col("_left_p"), F.col("_right_p") - F.col("_p")),
+                            F.col("_p") - F.col("_left_p"), F.col("_right_p") - F.col("_p"), F.lit(float("inf")))
+        qb = qb.withColumn("_margin", margin)
+        qx = qb.withColumn("_cell", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
+        cand = qx.join(t.drop("_p"), key + ["_cell"]).withColumn("_d", _dist(feats, metric))
+        wq = Window.partitionBy(*key, "_qid").orderBy("_d", "_tid")
+        top = cand.withColumn("_r", F.row_number().over(wq)).where(F.col("_r") <= k)
         summ = top.groupBy(*key, "_qid").agg(
-            F.count("*").alias("_n"), F.max("_d").alias("_dk"), F.first(margin).alias("_margin"),
+            F.count("*").alias("_n"), F.max("_d").alias("_dk"), F.first("_margin").alias("_margin"),
             F.first("_nt").alias("_nt"))
         ok = summ.where((F.col("_n") >= F.least(F.lit(k), F.col("_nt"))) & (F.col("_dk") < F.col("_margin")))
         got = materialize(top.join(ok.select(*key, "_qid"), key + ["_qid"], "left_semi")

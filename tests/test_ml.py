@@ -12,20 +12,23 @@ from lapstats.operators import ml as ML
 FEATS = ["a", "b", "c"]
 
 
-def _points(spark, n=120, seed=3):
+def _points(spark, n=120, seed=3, skew=False):
     rng = np.random.default_rng(seed)
     rows = []
     for race in ("r1", "r2"):
         x = rng.normal(size=(n, 3))
         x[:10] = x[0]  # duplicates -> distance ties
+        if skew:  # one far outlier and a tight cluster: skewed projections
+            x[10] = 60.0
+            x[11:60] = x[11:60] * 0.01
         y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(int)
         rows += [(race, f"d{i:03d}", int(y[i]), *map(float, x[i])) for i in range(n)]
     return spark.createDataFrame(rows, "race string, driver string, label int, a double, b double, c double")
 
 
-@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
-def test_knn_matches_brute_force(spark, metric):
-    df = _points(spark)
+@pytest.mark.parametrize("metric,skew", [("euclidean", False), ("manhattan", False), ("euclidean", True)])
+def test_knn_matches_brute_force(spark, metric, skew):
+    df = _points(spark, skew=skew)
     train = df.where(F.col("driver") >= "d030")
     query = df.where(F.col("driver") < "d030")
     got = ML.knn_neighbors(train, query, ["race"], FEATS, k=5, metric=metric).collect()
