@@ -95,15 +95,19 @@ def temperature_summary(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str] = KEY) -> DataFrame:
     """Pairwise-complete Pearson r for every pair f1 < f2 (column order).
 
-    Long form (key, feature_1, feature_2, r); constant columns give NULL.
+    Long form (key, feature_1, feature_2, r); constant columns give NULL. Each
+    row is unpivoted into its column pairs and one grouped aggregation with
+    five stable moments per pair follows: a wide aggregate with hundreds of
+    moment buffers falls out of code generation and is several times slower.
     """
     key = list(key)
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.groupBy(*key).agg(*[safe_corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    return agg.select(*key, F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"_r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)])).alias("_e")).select(*key, "_e.*")
+    long = df.select(*key, F.explode(F.array(*[
+        F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),
+                 F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"))
+        for a, b in pairs])).alias("_e")).select(*key, "_e.*")
+    return long.groupBy(*key, "feature_1", "feature_2").agg(safe_corr("_x", "_y").alias("r"))
 
 
 def lap_time_correlations(corr: DataFrame, target: str = "lap_time", key: Sequence[str] = KEY) -> DataFrame:
