@@ -16,7 +16,7 @@ from lapstats.functions.exprs import safe_corr, std0
 from lapstats.functions.output import round_half_away as rnd
 from lapstats.functions.pvalues import pearson_p
 from lapstats.operators.clean import clean_view
-from lapstats.operators.features import degradation_rates, pit_stop_impact, pit_windows
+from lapstats.operators.features import pit_windows
 from lapstats.schema import KEY
 
 
@@ -118,14 +118,25 @@ def pit_stop_details(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
                     rnd(F.col("before_avg") - F.col("after_avg"), 3).alias("impact")))
 
 
+def _mean_of_milli(c) -> F.Column:
+    """Mean of values already rounded to 3 dp, rounded to 3 dp again.
+
+    The values are whole milli-units, so their mean often lands exactly on a
+    half; summing them as integers makes that half exact in every engine and
+    summation order, and the half is then rounded away from zero.
+    """
+    milli = F.round(c * 1000.0, 0).cast("long")
+    return F.round(F.sum(milli) / F.count(milli), 0) / 1000.0
+
+
 def pit_stop_analysis(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """A15 (per driver) + A33: pit count and mean of the rounded impacts; the race
     average is over drivers with a non-zero average; pit_total sums the counts."""
     key = list(key)
     d = (pit_stop_details(laps, key).groupBy(*key, "driver")
-         .agg(F.count("*").alias("pit_count"), rnd(F.avg("impact"), 3).alias("avg_impact")))
+         .agg(F.count("*").alias("pit_count"), _mean_of_milli(F.col("impact")).alias("avg_impact")))
     race = d.groupBy(*key).agg(
-        rnd(F.avg(F.when(F.col("avg_impact") != 0, F.col("avg_impact"))), 3).alias("race_avg_impact"),
+        _mean_of_milli(F.when(F.col("avg_impact") != 0, F.col("avg_impact"))).alias("race_avg_impact"),
         F.sum("pit_count").alias("race_pit_total"))
     return d.join(race, key, "left")
 
@@ -272,5 +283,3 @@ def fastest_lap_per_driver(laps: DataFrame, key: Sequence[str] = KEY) -> DataFra
         F.min_by(F.struct("lap_number", "lap_time", "compound"), F.struct("lap_time", "lap_number")).alias("_b"))
     return best.select(*key, "driver", "_b.lap_number", "_b.lap_time", "_b.compound")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["degradation_rates", "pit_stop_impact"]

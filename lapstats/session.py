@@ -1,7 +1,8 @@
 """Spark session helpers.
 
-Cluster deployments configure the session themselves; ``get_session`` only
-fills in settings that are unset, so a cluster's own values always win.
+``get_session`` is for local runs and tests: it builds a session with the
+defaults below. On a cluster the deployment builds the session; every
+operator only reads settings from it (``spark.checkpoint.dir`` above all).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings we want on every session unless the deployment already chose a value.
+# Defaults for sessions built by ``get_session``.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -286,9 +286,12 @@ ORACLE["pit_stop_details"] = _q("events", PIT_WINDOWS, fin(
     "SELECT * FROM pd", doubles=("before_avg", "after_avg", "impact"), ints=("season", "pit_lap")))
 
 ORACLE["pit_stop_analysis"] = _q("events", PIT_WINDOWS + """,
-pdd AS (SELECT season, race_name, driver, count(*) AS pit_count, round(avg(impact), 3) AS avg_impact
+pdd AS (SELECT season, race_name, driver, count(*) AS pit_count,
+    round(sum(CAST(round(impact * 1000) AS BIGINT)) / count(*)) / 1000 AS avg_impact
   FROM pd GROUP BY season, race_name, driver),
-pr AS (SELECT season, race_name, round(avg(avg_impact) FILTER (WHERE avg_impact <> 0), 3) AS race_avg_impact,
+pr AS (SELECT season, race_name,
+    round(sum(CAST(round(avg_impact * 1000) AS BIGINT)) FILTER (WHERE avg_impact <> 0)
+      / count(*) FILTER (WHERE avg_impact <> 0)) / 1000 AS race_avg_impact,
     sum(pit_count) AS race_pit_total FROM pdd GROUP BY season, race_name)""", fin(
     "SELECT * FROM pdd LEFT JOIN pr USING (season, race_name)",
     doubles=("avg_impact", "race_avg_impact"), ints=("season", "pit_count", "race_pit_total")))
@@ -595,9 +598,12 @@ ch AS (SELECT *, CASE WHEN pt IS NULL THEN true WHEN nt IS NOT NULL AND (nt - ti
   FROM ch""", doubles=("time_s", "weather_time", "air_temp", "track_temp", "humidity"), ints=("season", "lap_number")))
 
 ORACLE["pit_rating"] = _q("events", PIT_WINDOWS + """,
-pdd AS (SELECT season, race_name, driver, count(*) AS pit_count, round(avg(impact), 3) AS avg_impact
+pdd AS (SELECT season, race_name, driver, count(*) AS pit_count,
+    round(sum(CAST(round(impact * 1000) AS BIGINT)) / count(*)) / 1000 AS avg_impact
   FROM pd GROUP BY season, race_name, driver),
-pr AS (SELECT season, race_name, round(avg(avg_impact) FILTER (WHERE avg_impact <> 0), 3) AS race_avg_impact,
+pr AS (SELECT season, race_name,
+    round(sum(CAST(round(avg_impact * 1000) AS BIGINT)) FILTER (WHERE avg_impact <> 0)
+      / count(*) FILTER (WHERE avg_impact <> 0)) / 1000 AS race_avg_impact,
     sum(pit_count) AS race_pit_total FROM pdd GROUP BY season, race_name)""", fin("""
   SELECT *, CASE WHEN avg_impact > 0.5 THEN 'advantage' WHEN avg_impact > 0 THEN 'normal' ELSE 'limited' END AS pit_rating
   FROM pdd LEFT JOIN pr USING (season, race_name)""",

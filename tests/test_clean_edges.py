@@ -59,7 +59,7 @@ def test_constant_column_correlation_is_null(spark):
 def test_single_class_target_falls_back_to_fastest(spark):
     m = spark.createDataFrame([("k", "A", 90.0, 0.5), ("k", "B", 91.0, 0.5), ("k", "C", 91.0, 0.5)],
                               "race string, driver string, average_lap_time double, consistency_score double")
-    # all three satisfy <= median lap? no: only A and B,C tie at the median -> all 1 except none... force one class:
+    # identical lap times and consistency: every driver is "strong", i.e. one class only
     same = m.withColumn("average_lap_time", F.lit(90.0))
     got = {r.driver: r.strong_performance for r in strong_performance(same, ["race"]).collect()}
     assert got == {"A": 1, "B": 0, "C": 0}
