@@ -8,9 +8,10 @@ exact quantiles below instead:
    mergeable sketch, partial-aggregated map side), widened by twice the
    sketch's rank-error bound so the true order statistics are inside it;
 2. count the rows below the bracket (plain partial aggregation);
-3. rank only the rows inside the bracket (about 8n/accuracy of a key, or the
-   whole key when it has at most ``accuracy`` rows) and
-   read the two order statistics the linear interpolation needs.
+3. rank only the rows strictly inside the bracket (fewer than 8n/accuracy of
+   a key, or the whole key when it has at most ``accuracy`` rows); copies of
+   the bracket ends are counted instead, so heavy ties stay cheap. The two
+   order statistics of the linear interpolation are read from those runs.
 
 If the sketch bound were ever violated the job fails loudly via
 ``raise_error`` rather than returning a wrong number.
@@ -58,42 +59,55 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column,
                  (pos - F.floor(pos)).alias(f"_fr{i}")]
     br = checked_broadcast(br.select(*keys, "_n", *cols))
 
-    # One row per key, broadcast after a size check. The
-    # order-statistic positions travel with each row, so only the below-bracket
-    # counts need joining back.
+    # One row per key, broadcast after a size check. Sorted values of a key
+    # fall into five runs: below lo | == lo | strictly inside | == hi | above.
+    # Only the strictly-inside run is ranked. A value with more copies than
+    # the bracket is wide can only sit at lo or hi, where it is counted, not
+    # ranked, so a hot run of ties never lands in one window partition.
     tagged = x.join(br, keys)
-    below = tagged.groupBy(*keys).agg(
-        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(k)])
+    lo = lambda i: F.col(f"_lo{i}")
+    hi = lambda i: F.col(f"_hi{i}")
+    v = F.col("_v")
+    cnt = tagged.groupBy(*keys).agg(*[c for i in range(k) for c in (
+        F.count_if(v < lo(i)).alias(f"_below{i}"),
+        F.count_if(v == lo(i)).alias(f"_eqlo{i}"),
+        F.count_if((v > lo(i)) & (v < hi(i))).alias(f"_mid{i}"),
+        F.count_if((v == hi(i)) & (lo(i) < hi(i))).alias(f"_eqhi{i}"))])
 
     member = F.filter(
-        F.array(*[F.when((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")),
-                         F.struct(F.lit(i).alias("_pid"), F.col(f"_r1{i}").alias("_r1"),
-                                  F.col(f"_r2{i}").alias("_r2"), F.col(f"_fr{i}").alias("_fr")))
-                  for i in range(k)]),
+        F.array(*[F.when((v > lo(i)) & (v < hi(i)), F.lit(i)) for i in range(k)]),
         lambda e: e.isNotNull())
-    inside = (tagged.select(*keys, "_v", F.explode(member).alias("_m")).select(*keys, "_v", "_m.*")
-              .withColumn("_rn", F.row_number().over(
-                  Window.partitionBy(*keys, "_pid").orderBy("_v")) - 1))
-    below_long = below.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_pid"), F.col(f"_below{i}").alias("_below")) for i in range(k)])).alias("_b")
-    ).select(*keys, "_b.*")
-
-    picked = (inside.join(below_long, keys + ["_pid"])
-              .withColumn("_rank", F.col("_rn") + F.col("_below"))
+    inside = (tagged.select(*keys, "_v", F.explode(member).alias("_pid"))
+              .withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_pid").orderBy("_v")) - 1))
+    stats = br.join(cnt, keys)
+    offsets = stats.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_pid"), (F.col(f"_below{i}") + F.col(f"_eqlo{i}")).alias("_off"),
+                 F.col(f"_r1{i}").alias("_r1"), F.col(f"_r2{i}").alias("_r2")) for i in range(k)])).alias("_o")
+    ).select(*keys, "_o.*")
+    picked = (inside.join(offsets, keys + ["_pid"])
+              .withColumn("_rank", F.col("_rn") + F.col("_off"))
               .where((F.col("_rank") == F.col("_r1")) | (F.col("_rank") == F.col("_r2")))
-              .groupBy(*keys, "_pid")
-              .agg(F.max(F.when(F.col("_rank") == F.col("_r1"), F.col("_v"))).alias("_v1"),
-                   F.max(F.when(F.col("_rank") == F.col("_r2"), F.col("_v"))).alias("_v2"),
-                   F.first("_fr").alias("_fr")))
-    checked = picked.select(
-        *keys, "_pid",
-        F.when(F.col("_v1").isNull() | F.col("_v2").isNull(),
-               F.raise_error(F.lit("quantile bracket missed the order statistic")).cast("double"))
-        .otherwise(F.col("_v1") + F.col("_fr") * (F.col("_v2") - F.col("_v1"))).alias("_q"))
-    wide = checked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_pid") == i, F.col("_q"))).alias(names[i]) for i in range(k)])
-    # Keys whose values are all inside no bracket cannot exist (n >= 1 => bracket non-empty).
-    return wide
+              .groupBy(*keys)
+              .agg(*[c for i in range(k) for c in (
+                  F.max(F.when((F.col("_pid") == i) & (F.col("_rank") == F.col("_r1")), F.col("_v"))).alias(f"_p1{i}"),
+                  F.max(F.when((F.col("_pid") == i) & (F.col("_rank") == F.col("_r2")), F.col("_v"))).alias(f"_p2{i}"))]))
+    full = stats.join(picked, keys, "left")
+
+    def value_at(i: int, r: str, p: str) -> Column:
+        below, eqlo, mid, eqhi = (F.col(f"_{n}{i}") for n in ("below", "eqlo", "mid", "eqhi"))
+        rank = F.col(f"_{r}{i}")
+        miss = F.raise_error(F.lit("quantile bracket missed the order statistic")).cast("double")
+        return (F.when(rank < below, miss)
+                .when(rank < below + eqlo, lo(i))
+                .when(rank < below + eqlo + mid, F.coalesce(F.col(f"_{p}{i}"), miss))
+                .when(rank < below + eqlo + mid + eqhi, hi(i))
+                .otherwise(miss))
+
+    out = []
+    for i in range(k):
+        v1, v2 = value_at(i, "r1", "p1"), value_at(i, "r2", "p2")
+        out.append((v1 + F.col(f"_fr{i}") * (v2 - v1)).alias(names[i]))
+    return full.select(*keys, *out)
 
 
 def median_by_key(df: DataFrame, keys: Sequence[str], value: str | Column,

@@ -22,3 +22,12 @@ def test_medians_by_key_all_null_column(spark):
     out = {r.k: r for r in medians_by_key(df, ["k"], {"mx": "x", "my": "y"}).collect()}
     assert out["a"].mx == 2.0 and out["a"].my is None
     assert out["b"].mx == 5.0 and out["b"].my == 2.0
+
+
+def test_exact_quantiles_hot_ties(spark):
+    # one key where most rows share a value: the bracket collapses to it
+    vals = [5.0] * 30000 + [float(i) for i in range(100)]
+    df = spark.createDataFrame([("k", v) for v in vals], "k string, v double")
+    r = exact_quantiles(df, ["k"], "v", {"q50": .5, "q01": .001}, accuracy=500).collect()[0]
+    assert r.q50 == pytest.approx(np.percentile(vals, 50))
+    assert r.q01 == pytest.approx(np.percentile(vals, 0.1))
