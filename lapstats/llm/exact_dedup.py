@@ -31,8 +31,12 @@ from pyspark.sql import functions as F
 from lapstats.llm.common import from_files, small_or_shuffled, text_or_empty
 from lapstats.session import ensure_checkpoint_dir, materialize
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk. Without preallocation, as a store per shuffle partition is many small stores.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -58,17 +62,19 @@ def stream_state(spark: SparkSession, narrow_path: str, schema, files_per_batch:
     def append(changed: DataFrame, batch: int) -> None:
         changed.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").parquet(f"{base}/out/{batch:09d}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.outputMode("update").trigger(availableNow=True)
                  .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(append).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     batches = len(query.recentProgress)
     if not any(p.numInputRows for p in query.recentProgress):
         empty = state.schema
