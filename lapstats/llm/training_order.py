@@ -14,7 +14,9 @@ the texts are not shuffled for it. One narrow job counts the sequences of each
 split (a row per split reaches the driver); the jobs after it shift by these
 counts. File splits are pinned meanwhile, so that they do not follow the number
 of executors, and the shards are counted after writing: a sequence too many or
-too few is an error, not a silent gap. The payload is shuffled once, by shard.
+too few is an error, not a silent gap. The payload is shuffled once, by shard;
+each task first packs the records it has for a shard into compressed blocks, as
+records alone compress badly and the payload is nearly all that is moved.
 Shards are written by Spark's text writer on any file system it knows, with its
 commit protocol, so lost executors and retried tasks leave no partial shard.
 
@@ -26,9 +28,12 @@ empty table writes no shard; columns other than id and ids are ignored.
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +46,8 @@ END = b"\xff"
 SEPARATOR = "\n"
 _SPLITS = "spark.sql.files.minPartitionNum"
 _IN_PART = (1 << 33) - 1
+#: Bytes of records that a task packs at a time.
+_HELD = 32 << 20
 
 
 def byte_ids(text: Column) -> Column:
@@ -59,6 +66,51 @@ def _pinned_splits(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(_SPLITS)
 
 
+def _pack(size: int):
+    """Records of a task to compressed blocks by shard, ``_HELD`` bytes at a time."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: defaultdict[int, tuple[list[int], list[bytes]]] = defaultdict(lambda: ([], []))
+        records = 0
+
+        def blocks() -> pa.RecordBatch:
+            codec, shards = pa.Codec("zstd"), sorted(held)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(shards, pa.int64()), pa.array([np.array(held[k][0], "<i8").tobytes() for k in shards], pa.binary()),
+                 pa.array([codec.compress(b"".join(held[k][1]), asbytes=True) for k in shards], pa.binary())],
+                names=["shard", "slots", "records"])
+            held.clear()
+            return out
+
+        for b in batches:
+            for shard, slot, record in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                slots, payload = held[shard]
+                slots.append(slot)
+                payload.append(record)
+            records += b.num_rows
+            if records * size >= _HELD:
+                yield blocks()
+                records = 0
+        if held:
+            yield blocks()
+
+    return pack
+
+
+def _unpack(size: int):
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for b in batches:
+            for shard, slots, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                slot = np.frombuffer(slots, "<i8")
+                raw = codec.decompress(block, decompressed_size=len(slot) * size)
+                ends = pa.py_buffer(np.arange(0, (len(slot) + 1) * size, size, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(slot), shard)), pa.array(slot),
+                     pa.Array.from_buffers(pa.binary(), len(slot), [None, ends, raw])], names=["shard", "slot", "record"])
+
+    return unpack
+
+
 def _sequences(rows: DataFrame, length: int, width: int, pad: bytes) -> DataFrame:
     """doc_id, part, n_tokens, record of each sequence; ``rows`` has doc_id and __ids."""
     size = length * width
@@ -75,7 +127,7 @@ def materialise(docs: DataFrame, ids: Column, path: str, length: int = 1024, wid
                 per_shard: int = 16384, key: int = 987654321, id_col: str = "doc_id") -> DataFrame:
     """Write the shards under ``path``; returns one row per sequence, with its place.
 
-    Returned: doc_id, part, n_tokens, seq_no, slot, shard, byte_offset, record_sha256.
+    Returned: doc_id, part, n_tokens, seq_no, slot, shard, byte_offset, record_crc32.
     ``docs`` must be read from files (a scan has the same splits each time).
     """
     spark = docs.sparkSession
@@ -101,12 +153,13 @@ def materialise(docs: DataFrame, ids: Column, path: str, length: int = 1024, wid
                        F.raise_error(F.lit("cycle walking took too many steps: choose another key")).cast("long")))
                    .withColumn("shard", F.expr(f"slot div {per_shard}L")))
         shards = -(-total // per_shard)
-        (slotted.select("shard", "slot", F.col("record").cast("string").alias("value"))
-         .repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "slot").drop("slot")
+        packed = slotted.select("shard", "slot", "record").mapInArrow(_pack(size), "shard long, slots binary, records binary")
+        (packed.repartition(shards, "shard").mapInArrow(_unpack(size), "shard long, slot long, record binary")
+         .sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
          .write.mode("overwrite").partitionBy("shard").option("lineSep", SEPARATOR).text(path))
         placed = slotted.select("doc_id", "part", "n_tokens", "seq_no", "slot", "shard",
                                 F.expr(f"(slot % {per_shard}L) * {size + 1}L").alias("byte_offset"),
-                                F.sha2("record", 256).alias("record_sha256"))
+                                F.crc32("record").alias("record_crc32"))
         out = f"{path.rstrip('/')}-places"
         placed.write.mode("overwrite").parquet(out)
     placed = spark.read.parquet(out)
@@ -123,7 +176,7 @@ def materialise(docs: DataFrame, ids: Column, path: str, length: int = 1024, wid
 def _nothing(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return rows.limit(0).select("doc_id", F.lit(0).alias("part"), F.lit(0).alias("n_tokens"), F.lit(0).cast("long").alias("seq_no"),
                                 F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("shard"),
-                                F.lit(0).cast("long").alias("byte_offset"), F.lit("").alias("record_sha256"))
+                                F.lit(0).cast("long").alias("byte_offset"), F.lit(0).cast("long").alias("record_crc32"))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
