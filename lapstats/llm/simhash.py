@@ -107,7 +107,11 @@ def link_components(prints: DataFrame, distance: int = 4) -> DataFrame:
     hubs = entries.groupBy("entry").agg(
         F.count(F.lit(1)).alias("members"), F.max("fp").alias("h1"), F.min("fp").alias("h2"),
         F.max(F.col("fp").bitwiseXOR(F.lit(_FLIP))).alias("h3")).filter("members > 1")
-    shared = materialize(entries.join(hubs, "entry").withColumn("h3", F.col("h3").bitwiseXOR(F.lit(_FLIP))),
+    hubs = hubs.withColumn("h3", F.col("h3").bitwiseXOR(F.lit(_FLIP))).withColumnRenamed("entry", "__entry")
+    # The distance is checked in the join: of small entries only members that link to a hub come out.
+    links = [(F.col("fp") != F.col(h)) & (_differ("fp", h) <= distance) for h in ("h1", "h2", "h3")]
+    shared = materialize(entries.join(hubs, (F.col("entry") == F.col("__entry"))
+                                      & ((F.col("members") > 3) | links[0] | links[1] | links[2])).drop("__entry"),
                          "simhash-entries")
     star = (shared.select("fp", F.explode(F.array("h1", "h2", "h3")).alias("hub"))
             .filter((F.col("fp") != F.col("hub")) & (_differ("fp", "hub") <= distance)).distinct())
