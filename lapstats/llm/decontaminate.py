@@ -12,11 +12,12 @@ single rarest shingle, and only documents with that shingle can contain it.
    gives the only start the window can have there; the positional bound
    (start at least 0) and the length bound (start plus length within the
    document) drop the others.
-4. Verify: the document's words from that start on equal the window's words.
+4. Verify: read the documents with candidates again; the words from that start
+   on must equal the window's words.
 5. Verified starts are merged per document into covered words.
 
-The corpus is read twice, its shingles exist as hashes inside tasks, and only
-verified hits and partial counts are shuffled. Shingles and windows of the
+Shingles of documents exist as hashes inside tasks; only partial counts,
+candidates and the texts that have candidates are shuffled. Shingles and windows of the
 benchmark are broadcast when a count bounds them, and shuffled otherwise.
 
 Defined cases: null texts and texts without words have no words; items without
@@ -33,24 +34,33 @@ from pyspark.sql import functions as F
 from lapstats.llm.common import ascii_lower, row_key, small_or_shuffled
 from lapstats.session import materialize
 
-#: What separates words: ASCII other than digits and lower-case letters (A-Z are lower-cased before).
-_NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: What separates words: ASCII other than digits and letters.
+_NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def cased_words(text: Column) -> Column:
+    """The words of a text in order, in their own case; an empty array for null."""
+    return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), _NOT_WORD), "")
 
 
 def word_list(text: Column) -> Column:
-    """The words of a text in order; an empty array for null."""
-    split = F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), _NOT_WORD)
-    return F.filter(split, lambda w: w != "")
+    """The words of a text in order, A-Z in lower case."""
+    return cased_words(ascii_lower(text))
 
 
-def _hash(words: list[Column]) -> Column:
-    return F.xxhash64(*words)
+def loose_hashes(words: Column) -> Column:
+    """A hash per word that equal words share; words that differ in case beyond A-Z may share it too.
 
+    It only finds candidates: lower-casing a word is much cheaper than mapping
+    A-Z alone, and the words themselves are compared afterwards.
+    """
+    return F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
-def shingle_hashes(words: Column, size: int) -> Column:
+
+def shingle_hashes(hashes: Column, size: int) -> Column:
     """Hashes of all shingles of ``size`` words, in order."""
-    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(0)))
-    return F.transform(starts, lambda w, i: _hash([w, *(F.get(words, i + k) for k in range(1, size))]))
+    starts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - size + 1, F.lit(0)))
+    return F.transform(starts, lambda h, i: F.xxhash64(h, *(F.get(hashes, i + k) for k in range(1, size))))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, shingle: int,
@@ -67,45 +77,52 @@ def benchmark_windows(benchmark: DataFrame, window: int, shingle: int,
     return materialize(windows, "bench-distinct"), cut.select("window_id", "item").distinct()
 
 
-def _document_shingles(docs: DataFrame, widths: list[int], keep: list[str]) -> DataFrame:
-    """One row per shingle of a document: its hash, width and place, and the columns ``keep``."""
-    parts = []
+def _shingles(rows: DataFrame, widths: list[int], at: str) -> DataFrame:
+    """One row per shingle: its hash ``token``, ``width`` and place, and the columns of ``rows`` but ``hashes``."""
+    keep = [c for c in rows.columns if c != "hashes"]
+    out = None
     for width in widths:
-        h = F.posexplode(shingle_hashes(F.col("words"), width)).alias("at", "token")
-        parts.append(docs.select(*keep, F.lit(width).alias("width"), h))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = rows.select(*keep, F.lit(width).alias("width"),
+                           F.posexplode(shingle_hashes(F.col("hashes"), width)).alias(at, "token"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """Verified occurrences (__key, start, size, window_id) of windows; ``docs`` has __key and words."""
+    """Verified occurrences (__key, start, size, window_id) of windows in ``docs`` (__key, __text)."""
+    none = windows.filter(F.lit(False)).select(F.lit(0).cast("long").alias("__key"), F.lit(0).alias("start"), "size", "window_id")
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # at most the shingle size
     if not widths:
-        return docs.select("__key").join(windows.select("window_id", "size"), F.lit(False)).select(
-            "__key", F.lit(0).alias("start"), "size", "window_id")
+        return none
     # Shingles of each window with their places.
-    tokens = None
-    for width in widths:
-        part = windows.filter(F.col("width") == width).select(
-            "window_id", "words", "size", "width", F.posexplode(shingle_hashes(F.col("words"), width)).alias("place", "token"))
-        tokens = part if tokens is None else tokens.unionByName(part)
+    parts = [_shingles(windows.filter(F.col("width") == w).select(
+        "window_id", "size", loose_hashes(F.col("words")).alias("hashes")), [w], "place") for w in widths]
+    tokens = parts[0]
+    for part in parts[1:]:
+        tokens = tokens.unionByName(part)
     tokens = materialize(tokens, "bench-tokens")
     wanted = small_or_shuffled(materialize(tokens.select("width", "token").distinct(), "bench-shingles"))
-    seen = (_document_shingles(docs, widths, []).join(wanted, ["width", "token"])
+    hashed = docs.select("__key", cased_words(F.col("__text")).alias("words")).select(
+        "__key", F.size("words").alias("n"), loose_hashes(F.col("words")).alias("hashes"))
+    seen = (_shingles(hashed.select("hashes"), widths, "at").join(wanted, ["width", "token"])
             .groupBy("width", "token").agg(F.count(F.lit(1)).alias("seen")))
     counted = tokens.join(seen, ["width", "token"], "left").fillna(0, "seen")
     rarest = Window.partitionBy("window_id").orderBy("seen", "token", "place")
     # A window with a shingle that no document has needs no search.
     prefix = counted.withColumn("__rank", F.row_number().over(rarest)).filter("__rank = 1 AND seen > 0")
-    prefix = prefix.select("token", "width", "window_id", F.col("words").alias("window_words"), "size", "place")
-    prefix = small_or_shuffled(materialize(prefix, "bench-prefix"), 20_000)
-    found = _document_shingles(docs, widths, ["__key", "words"]).join(prefix, ["width", "token"])
+    prefix = small_or_shuffled(materialize(prefix.select("token", "width", "window_id", "size", "place"), "bench-prefix"))
     start = F.col("at") - F.col("place")
-    return (found.filter((start >= 0) & (start + F.col("size") <= F.size("words"))
-                         & (F.slice("words", F.greatest(start + 1, F.lit(1)), F.col("size")) == F.col("window_words")))
-            .select("__key", start.alias("start"), "size", "window_id"))
+    found = (_shingles(hashed, widths, "at").join(prefix, ["width", "token"])
+             .filter((start >= 0) & (start + F.col("size") <= F.col("n")))
+             .select("__key", start.alias("start"), "size", "window_id"))
+    found = materialize(found, "bench-candidates")
+    # Only documents with a candidate are read again, for their words.
+    keys = small_or_shuffled(materialize(found.select("__key").distinct(), "bench-keys"))
+    texts = docs.join(keys, "__key").dropDuplicates(["__key"]).select("__key", word_list(F.col("__text")).alias("words"))
+    exact = F.slice("words", F.col("start") + 1, F.col("size")) == F.col("window_words")
+    return (found.distinct().join(texts, "__key")
+            .join(small_or_shuffled(windows.select("window_id", F.col("words").alias("window_words"))), "window_id")
+            .filter(exact).select("__key", "start", "size", "window_id"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3,
@@ -113,8 +130,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
                   item_text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and __key for every row of ``docs``."""
     windows, items = benchmark_windows(benchmark, window, shingle, item_col, item_text_col)
-    with_words = docs.select(row_key(id_col, text_col).alias("__key"), word_list(F.col(text_col)).alias("words"))
-    hits = materialize(window_hits(with_words, windows), "bench-hits")
+    hits = materialize(window_hits(docs.select(row_key(id_col, text_col).alias("__key"), F.col(text_col).alias("__text")),
+                                   windows), "bench-hits")
     # Covered words: of each start, what reaches beyond all earlier windows of the document.
     spans = hits.groupBy("__key", "start").agg(F.max("size").alias("size"))
     before = Window.partitionBy("__key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -125,7 +142,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
              .groupBy("__key").agg(F.array_sort(F.collect_set("item")).alias("items")))
     result = materialize(covered.join(named, "__key").withColumnRenamed("__key", "__hit_key"), "bench-result")
     counted = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("__key"),
-                          F.size(word_list(F.col(text_col))).cast("long").alias("n_words"))
+                          F.size(cased_words(F.col(text_col))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return (counted.join(small_or_shuffled(result), F.col("__key") == F.col("__hit_key"), "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -138,6 +155,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle:
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns."""
     windows, _ = benchmark_windows(benchmark, window, shingle)
-    with_words = docs.select(row_key(id_col, text_col).alias("__key"), word_list(F.col(text_col)).alias("words"))
-    hit = materialize(window_hits(with_words, windows).select(F.col("__key").alias("__hit_key")).distinct(), "bench-hit")
+    texts = docs.select(row_key(id_col, text_col).alias("__key"), F.col(text_col).alias("__text"))
+    hit = materialize(window_hits(texts, windows).select(F.col("__key").alias("__hit_key")).distinct(), "bench-hit")
     return docs.join(small_or_shuffled(hit), row_key(id_col, text_col) == F.col("__hit_key"), "left_anti")
