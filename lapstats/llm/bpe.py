@@ -39,9 +39,9 @@ from pyspark.sql import types as T
 from lapstats.llm.common import text_or_empty
 
 #: Characters of the texts that are replayed together.
-BLOCK = 16_000_000
+BLOCK = 5_000_000
 #: Pieces that a worker remembers between blocks.
-_REMEMBER = 600_000
+_REMEMBER = 300_000
 
 
 class Vocabulary:
