@@ -25,12 +25,13 @@ from __future__ import annotations
 
 import base64
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +39,10 @@ from pyspark.sql import types as T
 
 from lapstats.llm.common import text_or_empty
 
-#: Characters of the texts that are replayed together.
-BLOCK = 5_000_000
+#: UTF-8 bytes of the texts that are replayed together.
+BLOCK = 10_000_000
 #: Pieces that a worker remembers between blocks.
-_REMEMBER = 300_000
+_REMEMBER = 450_000
 
 
 class Vocabulary:
@@ -53,7 +54,7 @@ class Vocabulary:
         self.token = [b""] * self.width
         for t, r in rank.items():
             self.token[r] = t
-        self.byte = np.array([rank[bytes([i])] for i in range(256)], np.int64)
+        self.byte = np.array([rank[bytes([i])] for i in range(256)], np.int32)
         # A pair merges when its joined bytes are a token, however that token first came about.
         merged = sorted((rank[t[:i]] * self.width + rank[t[i:]], r) for t, r in rank.items()
                         for i in range(1, len(t)) if t[:i] in rank and t[i:] in rank)
@@ -61,7 +62,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id that each pair merges to, -1 for none; negative ids are no tokens."""
-        key = left * self.width + right
+        key = left.astype(np.int64) * self.width + right
         at = np.searchsorted(self.pair, key)
         return np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), self.to[at], -1)
 
@@ -74,14 +75,14 @@ class Vocabulary:
         block is replayed again ``one_by_one``, lowest rank and leftmost place first.
         """
         size = np.fromiter(map(len, words), np.int64, len(words))
-        ids = np.full(int(size.sum()) + len(words) + 1, -1, np.int64)
+        ids = np.full(int(size.sum()) + len(words) + 1, -1, np.int32)
         first = np.cumsum(size + 1) - size  # -1 stands before each word and at the end
         inside = np.ones(len(ids), bool)
         inside[first - 1] = inside[-1] = False
         ids[inside] = self.byte[np.frombuffer(b"".join(words), np.uint8)]
-        after, before = np.arange(1, len(ids) + 1), np.arange(-1, len(ids) - 1)
+        after, before = np.arange(1, len(ids) + 1, dtype=np.int32), np.arange(-1, len(ids) - 1, dtype=np.int32)
         after[-1] = len(ids) - 1
-        to = np.full(len(ids), -1, np.int64)
+        to = np.full(len(ids), -1, np.int32)
         to[:-1] = self.ranks(ids[:-1], ids[1:])
         index: defaultdict[int, list[np.ndarray]] = defaultdict(list)
 
@@ -98,14 +99,16 @@ class Vocabulary:
                 index[r].append(places[s:e])
 
         heap: list[int] = []
-        enter(np.arange(len(ids)))
+        enter(np.flatnonzero(to >= 0).astype(np.int32))
         while heap:
             rank = heappop(heap)
             if rank not in index:
                 continue
             lists = index.pop(rank)
-            p = np.unique(np.concatenate(lists)) if len(lists) > 1 else np.sort(lists[0])
-            p = p[to[p] == rank]
+            p = np.concatenate(lists) if len(lists) > 1 else lists[0]
+            p = np.sort(p[to[p] == rank])
+            if len(p) > 1:
+                p = p[np.concatenate(([True], p[1:] != p[:-1]))]
             if not len(p):
                 continue
             if one_by_one and len(p) > 1:
@@ -123,14 +126,14 @@ class Vocabulary:
             follow = after[q]
             after[p] = follow
             before[follow] = p
-            touched = np.concatenate((p, before[p]))
-            touched = np.unique(touched[touched >= 0])
+            left = before[p]
+            touched = np.concatenate((p, left[ids[left] >= 0]))  # a place may be there twice, which the index allows
             to[touched] = new = self.ranks(ids[touched], ids[after[touched]])
             if not one_by_one and ((new >= 0) & (new < rank)).any():
                 return self.replay(words, one_by_one=True)
             enter(touched)
         stays = ids >= 0
-        flat, ends = ids[stays].astype("<i4").tobytes(), (np.cumsum(stays) * 4).tolist()
+        flat, ends = ids[stays].astype("<i4").tobytes(), (np.cumsum(stays, dtype=np.int64) * 4).tolist()
         return [flat[ends[s - 1]:ends[s + n - 1]] for s, n in zip(first.tolist(), size.tolist())]
 
 
@@ -163,6 +166,7 @@ class Encoder:
         distinct = list({w for x in parts.values() for w in x}.union(*odd.values()))
         ids = dict(zip(distinct, self.vocab.replay([w.encode("utf-8", "surrogatepass") for w in distinct]), strict=True))
         known.update((p, ids[x[0]] if len(x) == 1 else b"".join([ids[w] for w in x])) for p, x in parts.items())
+        del seen, new, parts, distinct
         return [b"".join([ids[w] for w in odd[k]]) if k in odd else b"".join(map(known.__getitem__, self._pieces(t)))
                 if t else b"" for k, t in enumerate(texts)]
 
@@ -178,36 +182,43 @@ def _encoder(rank_file: bytes, pattern: str) -> Encoder:
     return Encoder(vocabulary(rank_file), pattern)
 
 
-def _blocks(texts: list[str]) -> Iterable[list[str]]:
-    at, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= BLOCK:
-            yield texts[at:k + 1]
-            at, size = k + 1, 0
-    if at < len(texts):
-        yield texts[at:]
+def decode_ids(token: list[bytes], flat: np.ndarray) -> bytes:
+    return b"".join(map(token.__getitem__, flat.tolist()))
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every row."""
+def _coded(batches: Iterator[pa.RecordBatch], encoder: Encoder, with_bytes: bool) -> Iterator[pa.RecordBatch]:
+    """(id, text) batches to (id, ids), and the bytes that the ids decode to."""
+    token = encoder.vocab.token
+    for b in batches:
+        size = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
+        ends = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // BLOCK)) + 1
+        for at, end in zip([0, *ends.tolist()], [*ends.tolist(), b.num_rows]):
+            rows = encoder.block(b.column(1).slice(at, end - at).to_pylist())
+            flat = np.frombuffer(b"".join(rows), "<i4")
+            cuts = np.cumsum([0, *(len(r) // 4 for r in rows)])
+            columns = [b.column(0).slice(at, end - at),
+                       pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat))]
+            if with_bytes:
+                columns.append(pa.array([decode_ids(token, flat[s:e]) for s, e in zip(cuts, cuts[1:])], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
+
+
+def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           with_bytes: bool = False) -> DataFrame:
+    """doc_id and ids (array of int) of every row; ``with_bytes``: also what the ids decode to, in column ``decoded``.
+
+    Decoding in the same pass saves a second Python process per task, and the ids' way there.
+    """
     with open(rank_file, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value, pattern)
-        for b in batches:
-            texts, at = b.column(1).to_pylist(), 0
-            for block in _blocks(texts):
-                rows = encoder.block(block)
-                ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(block)), ids], names=["doc_id", "ids"])
-                at += len(block)
+        yield from _coded(batches, _encoder(shared.value, pattern), with_bytes)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("__text"))
-    return narrow.mapInArrow(encoded, T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
-                                                    T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    fields = [T.StructField("doc_id", narrow.schema["doc_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
+              T.StructField("decoded", T.BinaryType())]
+    return narrow.mapInArrow(encoded, T.StructType(fields[:2 + with_bytes]))
 
 
 def decode(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFrame:
@@ -221,8 +232,7 @@ def decode(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFram
         for b in batches:
             ids = b.column(at)
             flat, ends, missing = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist(), ids.is_null().to_pylist()
-            out = [None if no else b"".join([token[i] for i in flat[s:e].tolist()])
-                   for s, e, no in zip(ends, ends[1:], missing)]
+            out = [None if no else decode_ids(token, flat[s:e]) for s, e, no in zip(ends, ends[1:], missing)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(decoded, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))

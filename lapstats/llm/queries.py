@@ -54,7 +54,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and digests of the ids of each text and of what they decode to."""
     path = public_tokenizers.path(RANK_FILE)
-    both = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    both = bpe.encode(docs, path, public_tokenizers.PATTERN, with_bytes=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
