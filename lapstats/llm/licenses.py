@@ -114,19 +114,21 @@ class Index:
         found = []
         for name, diagonals in starts.items():
             taken: list[tuple[float, int, int, int]] = []
-            for low, high in _groups(sorted(diagonals)):
-                got = align(self.words[name], h, low - BAND, high + BAND)
+            # Narrower for short templates, so that one match does not reach into the next.
+            band = min(BAND, max(len(self.words[name]) // 3, 1))
+            for low, high in _groups(sorted(diagonals), band):
+                got = align(self.words[name], h, low - band, high + band)
                 if got and got[0] / len(self.words[name]) >= least:
                     taken.append((got[0] / len(self.words[name]), *got))
             found += [(name, cover, matched, places[a][0], places[b][1]) for cover, matched, a, b in _disjoint(taken)]
         return sorted(found, key=lambda x: (x[3], -x[1], x[0]))
 
 
-def _groups(diagonals: list[int]) -> Iterator[tuple[int, int]]:
+def _groups(diagonals: list[int], band: int) -> Iterator[tuple[int, int]]:
     """Runs of diagonals that lie within a band of one another."""
     low = last = diagonals[0]
     for d in diagonals[1:]:
-        if d - low > BAND:
+        if d - low > band:
             yield low, last
             low = d
         last = d

@@ -72,6 +72,10 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * (margin + self.bias) + self.shift, -60, 60))))
 
 
+def _length(ratio: np.ndarray, found: np.ndarray) -> float:
+    return float(np.sqrt(ratio[found] @ ratio[found]))
+
+
 def log_count_ratios(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     count = {True: np.ones(1 << BITS), False: np.ones(1 << BITS)}
     for found, label in zip(docs, y, strict=True):
@@ -79,19 +83,24 @@ def log_count_ratios(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.log(count[True] / count[True].sum()) - np.log(count[False] / count[False].sum())
 
 
-def dual_coordinate_descent(docs: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = 4.0,
+def dual_coordinate_descent(docs: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: float = 4.0,
                             epochs: int = 15, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias of the L1-loss linear SVM; the bias is a constant feature."""
+    """Weights and bias of the L1-loss linear SVM; the bias is a constant feature.
+
+    A document's values, its ratios at unit length, are looked up at each visit,
+    so that only bucket numbers are held.
+    """
     w, bias, alpha = np.zeros(1 << BITS, np.float32), 0.0, np.zeros(len(docs))
-    diagonal = np.array([float(v @ v) + 1 for v in values])
+    scale = np.array([1 / max(_length(ratio, d), 1e-12) for d in docs], np.float32)
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         most = 0.0
         for i in order.permutation(len(docs)):
-            gradient = y[i] * (float(w[docs[i]] @ values[i]) + bias) - 1
-            new = min(max(alpha[i] - gradient / diagonal[i], 0.0), cost)
+            value = ratio[docs[i]] * scale[i]
+            gradient = y[i] * (float(w[docs[i]] @ value) + bias) - 1
+            new = min(max(alpha[i] - gradient / (float(value @ value) + 1), 0.0), cost)
             if step := new - alpha[i]:
-                w[docs[i]] += np.float32(step * y[i]) * values[i]
+                w[docs[i]] += np.float32(step * y[i]) * value
                 bias, alpha[i], most = bias + step * y[i], new, max(most, abs(step))
         if most < 1e-3:
             break
@@ -118,12 +127,11 @@ def train(docs: list[np.ndarray], y: np.ndarray) -> Model:
         zero = np.zeros(1 << BITS, np.float32)
         return Model(zero, zero, 0.0, 0.0, float(np.log(share / (1 - share))))
     ratio = log_count_ratios(docs, y).astype(np.float32)
-    values = [ratio[d] / max(float(np.sqrt(ratio[d] @ ratio[d])), 1e-12) for d in docs]
     aside = np.arange(n) % 5 == 4 if n >= 50 else np.zeros(n, bool)
     fit = np.flatnonzero(~aside)
-    w, bias = dual_coordinate_descent([docs[i] for i in fit], [values[i] for i in fit], y[fit])
+    w, bias = dual_coordinate_descent([docs[i] for i in fit], ratio, y[fit])
     held = np.flatnonzero(aside) if 0 < (y[aside] > 0).sum() < aside.sum() else np.arange(n)
-    margin = np.array([float(w[docs[i]] @ values[i]) + bias for i in held])
+    margin = np.array([float(w[docs[i]] @ ratio[docs[i]]) / max(_length(ratio, docs[i]), 1e-12) + bias for i in held])
     return Model(w * ratio, ratio * ratio, bias, *logistic_curve(margin, y[held]))
 
 
@@ -137,9 +145,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, sample_row
                 names=["id", "y", "found"])
 
     sample = labelled_sample(docs, labels, label, keep, sample_rows).withColumn("__id", F.xxhash64("__id"))
-    rows = sample.mapInArrow(buckets, "id long, y int, found binary").toArrow().sort_by("id")
-    y = np.where(np.array(rows["y"].to_pylist(), dtype=int) > 0, 1, -1)
-    return train([np.frombuffer(x, np.int32) for x in rows["found"].to_pylist()], y)
+    rows = sample.mapInArrow(buckets, "id long, y int, found binary").toArrow()
+    # Views of the table's buffers, in an order that does not depend on the tasks.
+    views = [np.frombuffer(x.as_buffer(), np.int32) for x in rows["found"]]
+    order = np.argsort(rows["id"].to_numpy(), kind="stable")
+    return train([views[i] for i in order], np.where(rows["y"].to_numpy()[order] > 0, 1, -1))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
