@@ -19,7 +19,7 @@ from lapstats.functions.exprs import (decode_status, duration_text_to_seconds, i
 from lapstats.schema import (COLUMN_ALIASES, KEY, LAPS, OUTLIER_MIN_LAPS, OUTLIER_SIGMA,
                              PIT_LAP_FACTOR)
 
-TIME_COLUMNS = ("lap_time", "sector1_time", "sector2_time", "sector3_time")
+TIME_COLUMNS = ("lap_time", "sector1_time", "sector2_time", "sector3_time", "pit_in_time", "pit_out_time")
 WEATHER_COLUMNS = ("air_temp", "track_temp", "humidity")
 
 

@@ -119,7 +119,7 @@ def cv_summary(scores: DataFrame, oof: DataFrame, key: Sequence[str]) -> DataFra
             F.avg(f"f1_{m}").alias("cv_f1"), F.count("*").alias("n_folds"))
         rows.append(s.join(auc(oof, key, f"proba_{m}"), key, "left").withColumn("model", F.lit(MODEL_NAMES[m])))
     t = rows[0].unionByName(rows[1])
-    best = t.groupBy(*key).agg(F.max_by("model", F.struct("cv_mean_acc", F.negative(F.length("model")))).alias("_b"))
+    best = t.groupBy(*key).agg(F.max_by("model", F.struct("cv_mean_acc", F.col("model") == MODEL_NAMES["dt"])).alias("_b"))
     return t.join(best, key).withColumn("is_best", F.col("model") == F.col("_b")).drop("_b")
 
 

@@ -234,7 +234,7 @@ def kmeans_grid(points: DataFrame, key: Sequence[str], features: Sequence[str])
     out = None
     for k in KMEANS_GRID["n_clusters"]:
         for init in KMEANS_GRID["init"]:
-            assign, _ = ml.kmeans(points, key, features, k=k, max_iter=50,
+            assign, _ = ml.kmeans(points, key, features, k=k,
                                   seed=SEED if init == "hash" else SEED + 7)
             assign = materialize(assign, "km_grid")
             r = (ml.silhouette_sq(points, assign, key, features).join(ml.inertia(assign, key), key)

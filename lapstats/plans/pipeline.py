@@ -48,7 +48,8 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
         p = f"{out}/{name}"
         store.write_partitioned(df, p, key)
         paths[name] = p
-        return spark.read.parquet(p).join(raw_laps.select(*key).distinct(), key, "left_semi")
+        # The table's own schema: a result without any row has no file to take one from.
+        return spark.read.schema(df.schema).parquet(p).join(raw_laps.select(*key).distinct(), key, "left_semi")
 
     laps = write("laps_clean", clean_laps(raw_laps, key))
     store.save_laps(laps, f"{out}/laps_store", key)

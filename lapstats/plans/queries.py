@@ -411,7 +411,7 @@ def q_kmeans_elbow(spark, sf_dir):
     pts = _kmeans_points(spark, sf_dir)
     out = None
     for k in range(2, 8):
-        assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=k, max_iter=50)
+        assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=k)
         assign = materialize(assign, "km_assign")
         r = (ML.inertia(assign, KEY).join(ML.silhouette_sq(pts, assign, KEY, KMEANS_FEATURES), list(KEY))
              .withColumn("k", F.lit(k)))

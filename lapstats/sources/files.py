@@ -24,6 +24,19 @@ def race_from_path(kind: str) -> F.Column:
     return slug_to_title(slug)
 
 
+def typed_laps() -> list[F.Column]:
+    """The lap columns in their types; integers may be written as "1.0"."""
+    def typed(f: T.StructField) -> F.Column:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            return c.cast("string")
+        if isinstance(f.dataType, T.IntegerType):
+            return c.try_cast("double").try_cast(f.dataType).alias(f.name)
+        return c.try_cast(f.dataType)
+
+    return [typed(f).alias(f.name) for f in LAPS.fields]
+
+
 def read_raw_laps_csv(spark: SparkSession, path: str | Sequence[str], season: int | None = None,
                       schema: T.StructType | None = None, infer_sample: float = 1.0) -> DataFrame:
     """S1 + P1 + P2: raw lap CSVs of any number of races -> canonical lap schema.
@@ -33,7 +46,8 @@ def read_raw_laps_csv(spark: SparkSession, path: str | Sequence[str], season: in
     dtype-driven conversion; pass ``schema`` on large inputs to skip the
     inference pass.
     """
-    reader = spark.read.option("header", True)
+    # Each file's header is held against the schema: files whose columns differ in name or order fail, not shift.
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -46,8 +60,7 @@ def read_raw_laps_csv(spark: SparkSession, path: str | Sequence[str], season: in
     if season is not None:
         df = df.withColumn("season", F.lit(season))
     extra = [c for c in df.columns if c not in LAPS.fieldNames()]
-    return df.select(*[F.col(f.name).try_cast(f.dataType) if f.dataType != T.StringType()
-                       else F.col(f.name).cast("string") for f in LAPS.fields], *extra)
+    return df.select(*typed_laps(), *extra)
 
 
 def read_weather_csv(spark: SparkSession, path: str | Sequence[str], season: int | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +53,10 @@ def mark_processed(spark: SparkSession, ledger_path: str, races: DataFrame, stat
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     try:
         return spark.read.parquet(ledger_path)
-    except Exception:  # noqa: BLE001 - no ledger yet means nothing processed
-        return spark.createDataFrame([], LEDGER)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)  # no ledger yet: nothing processed
 
 
 def is_processed(spark: SparkSession, ledger_path: str, season: int, race_name: str) -> bool:

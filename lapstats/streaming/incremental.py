@@ -17,20 +17,25 @@ from pyspark.sql import types as T
 
 from lapstats.operators.clean import standardize_columns, times_to_seconds
 from lapstats.plans.pipeline import run_pipeline
-from lapstats.schema import LAPS
-from lapstats.sources.files import race_from_path
+from lapstats.sources.files import race_from_path, typed_laps
 
 
 def start_incremental(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str, season: int,
-                      with_models: bool = False, files_per_batch: int = 50):
-    """Start the stream; returns the StreamingQuery (call ``awaitTermination``)."""
+                      with_models: bool = False, files_per_batch: int | None = None):
+    """Start the stream; returns the StreamingQuery (call ``awaitTermination``).
+
+    All new files make one batch, so the files of a race are processed together.
+    Set ``files_per_batch`` only where each race is a single file.
+    """
     pattern = raw_dir.rstrip("/") + "/*_laps_raw.csv"
     # A file stream needs a fixed schema: take the header layout of the files
     # already present (all text; typing happens per batch, as in the batch scan).
     header = spark.read.option("header", True).csv(pattern).schema
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
-    raw = (spark.readStream.option("header", True).option("maxFilesPerTrigger", files_per_batch)
-           .schema(text).csv(pattern))
+    reader = spark.readStream.option("header", True).option("enforceSchema", False)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    raw = reader.schema(text).csv(pattern)
     names = {c.strip().lower().replace(" ", "").replace("_", "") for c in raw.columns}
     raw = raw.withColumn("race_name", F.coalesce(F.col("race_name"), race_from_path("laps"))
                          if "racename" in names else race_from_path("laps"))
@@ -39,7 +44,7 @@ def start_incremental(spark: SparkSession, raw_dir: str, out_dir: str, checkpoin
 
     def process(batch: DataFrame, batch_id: int) -> None:
         laps = times_to_seconds(standardize_columns(batch))
-        laps = laps.select(*[F.col(f.name).try_cast(f.dataType) for f in LAPS.fields])
+        laps = laps.select(*typed_laps())
         run_pipeline(batch.sparkSession, laps, out_dir, with_models=with_models, incremental=True)
 
     return (raw.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
