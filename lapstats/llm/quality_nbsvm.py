@@ -8,8 +8,9 @@ hinge-loss linear model is fitted by dual coordinate descent, and a logistic
 curve fitted on rows the descent has not seen turns its margin into a score.
 
 The fit uses a bounded sample of labelled rows (``sample_rows``, 8000 by
-default: at most about 100 MB of bucket numbers reach the driver). Scoring reads
-every whole text; a task holds one Arrow batch and a flag per bucket.
+default: about 100 MB of bucket numbers) inside one task, and sends the model,
+2 MB, to the driver. Scoring reads every whole text; a task holds one Arrow batch
+and a flag per bucket.
 
 Defined cases: null and empty texts have no features and get the score of the
 bias alone; without labels of both classes all rows get the smoothed share of
@@ -136,20 +137,31 @@ def train(docs: list[np.ndarray], y: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, sample_rows: int = 8000) -> Model:
-    """Train on at most ``sample_rows`` labelled documents of which ``keep`` (over labels) holds."""
-    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Indicators()
+    """Train on at most ``sample_rows`` labelled documents of which ``keep`` (over labels) holds.
+
+    The bounded sample ends in one task as it is; that task also trains, so that
+    only the model reaches the driver.
+    """
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, ids, y, seen = Indicators(), [], [], []
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([found(t).tobytes() for t in b.column(2).to_pylist()], pa.binary())],
-                names=["id", "y", "found"])
+            ids += b.column(0).to_pylist()
+            y += b.column(1).to_pylist()
+            seen += [found(t) for t in b.column(2).to_pylist()]
+        # An order that does not depend on how the rows arrive.
+        order = np.argsort(np.array(ids, np.int64), kind="stable")
+        m = train([seen[i] for i in order], np.where(np.array(y, np.int64)[order] > 0, 1, -1))
+        yield pa.RecordBatch.from_pydict({"weight": [m.weight.tobytes()], "square": [m.square.tobytes()],
+                                          "bias": [float(m.bias)], "slope": [m.slope], "shift": [m.shift]})
 
     sample = labelled_sample(docs, labels, label, keep, sample_rows).withColumn("__id", F.xxhash64("__id"))
-    rows = sample.mapInArrow(buckets, "id long, y int, found binary").toArrow()
-    # Views of the table's buffers, in an order that does not depend on the tasks.
-    views = [np.frombuffer(x.as_buffer(), np.int32) for x in rows["found"]]
-    order = np.argsort(rows["id"].to_numpy(), kind="stable")
-    return train([views[i] for i in order], np.where(rows["y"].to_numpy()[order] > 0, 1, -1))
+    rows = sample.coalesce(1).mapInArrow(
+        trained, "weight binary, square binary, bias double, slope double, shift double").collect()
+    if not rows:  # an empty sample may have no task at all
+        return train([], np.zeros(0, np.int64))
+    m = rows[0]
+    return Model(np.frombuffer(m["weight"], np.float32), np.frombuffer(m["square"], np.float32),
+                 m["bias"], m["slope"], m["shift"])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
