@@ -84,12 +84,18 @@ def auc(oof: DataFrame, key: Sequence[str], score: str) -> DataFrame:
 
 
 def roc_curve(oof: DataFrame, key: Sequence[str], model: str) -> DataFrame:
-    """ROC points at every distinct threshold (desc) with TPR, FPR and Youden J."""
+    """ROC points at every distinct threshold (desc) with TPR, FPR and Youden J.
+
+    The curve starts at (0, 0), whose threshold is infinite.
+    """
     key = list(key)
     s = f"proba_{model}"
     per = oof.where(F.col(s).isNotNull()).groupBy(*key, F.col(s).alias("threshold")).agg(
         F.count_if(F.col("label") == 1).alias("_tp"), F.count_if(F.col("label") == 0).alias("_fp"))
-    w = Window.partitionBy(*key).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    start = per.select(*key).distinct().select(*key, F.lit(float("inf")).alias("threshold"),
+                                               F.lit(0).cast("long").alias("_tp"), F.lit(0).cast("long").alias("_fp"))
+    per = per.unionByName(start)
+    w =Window.partitionBy(*key).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
     tot = Window.partitionBy(*key)
     c = per.select(*key, "threshold", F.sum("_tp").over(w).alias("_ctp"), F.sum("_fp").over(w).alias("_cfp"),
                    F.sum("_tp").over(tot).alias("_p"), F.sum("_fp").over(tot).alias("_n"))

@@ -189,7 +189,8 @@ def conclusions(findings: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return findings.groupBy(*key).agg(
         pick("fastest_driver").alias("fastest_driver"), pick("most_stable_driver").alias("most_stable_driver"),
         pick("best_compound").alias("best_compound"), pick("top_feature").alias("top_feature"),
-        pick("best_model").alias("best_model"))
+        pick("best_model").alias("best_model"),
+        F.max(F.when(F.col("code") == "elite_cluster", F.col("value"))).alias("elite_cluster_size"))
 
 
 def race_findings(spark: SparkSession, tables: Mapping[str, DataFrame], key: Sequence[str] = KEY) -> DataFrame:

@@ -15,13 +15,14 @@ when cross-validating) is a grouping column, never a driver-side loop.
 * Decision tree (M8): level-wise CART. Per (key, node, feature) the distinct
   values are ordered and cumulative class counts give every split's Gini in
   one window pass; the best split per node is an arg-min aggregate.
-* K-Means (M1/M2): Lloyd iterations; each point joins only the k centres of
-  its own key. Silhouette (M4) uses the squared-Euclidean decomposition of
+* K-Means (M1/M2): Lloyd iterations of all starts together; each point meets
+  the centres of its own key as one array, so a step shuffles partial means only. Silhouette (M4) uses the squared-Euclidean decomposition of
   Spark's ClusteringEvaluator (per-cluster sums), so it is O(n k), not O(n^2).
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
@@ -34,6 +35,8 @@ from lapstats.schema import MODEL_FEATURES, SEED
 from lapstats.session import materialize
 
 CELL_ROWS = 32
+#: Levels of a deep tree that rows descend in one plan; then they are written.
+STEPS_PER_PLAN = 10
 
 
 def model_input(matrix: DataFrame, key: Sequence[str], features: Sequence[str] = MODEL_FEATURES,
@@ -180,11 +183,14 @@ def _gini(counts: Sequence[Column], total: Column) -> Column:
 
 def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_depth: int = 5,
              min_samples_split: int = 2, min_samples_leaf: int = 1, criterion: str = "gini",
-             classes: Sequence[int] = (0, 1), params: DataFrame | None = None,
-             depth_cap: int = 30) -> DataFrame:
+             classes: Sequence[int] = (0, 1), params: DataFrame | None = None) -> DataFrame:
     """Fit one CART tree per key. Returns the node table:
     key, node, depth, feature, threshold, is_leaf, pred, proba, n.
 
+    ``max_depth`` None is unlimited: levels are added until no node splits. A
+    node is named by its path, ``1`` for the root, then 0 (left) or 1 (right)
+    for each level, so that names never run out.
+
     ``params`` (optional, one row per key) overrides the hyper-parameters per
     key with columns max_depth (NULL = unlimited), min_samples_split,
     min_samples_leaf and criterion, so a whole grid trains in one job.
@@ -193,16 +199,13 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
     feats = list(features)
     if params is None:
         params = train.select(*key).distinct().select(
-            *key, F.lit(max_depth).alias("max_depth"), F.lit(min_samples_split).alias("min_samples_split"),
+            *key, F.lit(max_depth).cast("int").alias("max_depth"), F.lit(min_samples_split).alias("min_samples_split"),
             F.lit(min_samples_leaf).alias("min_samples_leaf"), F.lit(criterion).alias("criterion"))
-        levels = max_depth
-    else:
-        levels = depth_cap
     prm = checked_broadcast(params.select(
-        *key, F.coalesce(F.col("max_depth"), F.lit(depth_cap)).alias("_md"),
+        *key, F.col("max_depth").alias("_md"),
         F.col("min_samples_split").alias("_mss"), F.col("min_samples_leaf").alias("_msl"),
         F.col("criterion").alias("_crit")))
-    rows = train.select(*key, "label", *feats).withColumn("_node", F.lit(1).cast("long"))
+    rows = train.select(*key, "label", *feats).withColumn("_node", F.lit("1"))
     nodes = []
 
     def impurity(counts, total):
@@ -210,7 +213,7 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
                    F.lit(0.0))
         return F.when(F.col("_crit") == "entropy", ent).otherwise(_gini(counts, total))
 
-    for depth in range(levels + 1):
+    for depth in itertools.count():
         stats = rows.groupBy(*key, "_node").agg(
             F.count("*").alias("n"), *[F.count_if(F.col("label") == c).alias(f"_n{c}") for c in classes])
         pred = F.lit(None).cast("int")
@@ -220,7 +223,8 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
         stats = (stats.join(prm, key).withColumn("pred", pred)
                  .withColumn("proba", F.col(f"_n{classes[-1]}") / F.col("n"))
                  .withColumn("_pure", F.greatest(*[F.col(f"_n{c}") for c in classes]) == F.col("n")))
-        can_split = (~F.col("_pure")) & (F.col("n") >= F.col("_mss")) & (F.lit(depth) < F.col("_md"))
+        can_split = ((~F.col("_pure")) & (F.col("n") >= F.col("_mss"))
+                     & (F.col("_md").isNull() | (F.lit(depth) < F.col("_md"))))
         long = rows.join(stats.where(can_split).select(*key, "_node"), key + ["_node"], "left_semi").select(
             *key, "_node", "label",
             F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).alias("_v")) for i, f in enumerate(feats)]))
@@ -238,8 +242,11 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
         nr = nt - nl
         imp = (nl * impurity([F.col(f"_l{c}") for c in classes], nl)
                + nr * impurity([F.col(f"_t{c}") - F.col(f"_l{c}") for c in classes], nr)) / nt
+        # Between neighbouring floats the midpoint rounds to one of them; the lower one still splits.
+        mid = (F.col("_v") + F.col("_next")) / 2.0
         cands = cum.where(F.col("_next").isNotNull() & (nl >= F.col("_msl")) & (nr >= F.col("_msl"))).select(
-            *key, "_node", "_f", ((F.col("_v") + F.col("_next")) / 2.0).alias("_thr"), imp.alias("_imp"))
+            *key, "_node", "_f", F.when(mid < F.col("_next"), mid).otherwise(F.col("_v")).alias("_thr"),
+            imp.alias("_imp"))
         best = cands.groupBy(*key, "_node").agg(
             F.min_by(F.struct("_f", "_thr"), F.struct("_imp", "_f", "_thr")).alias("_b"))
         level = (stats.join(best, key + ["_node"], "left")
@@ -253,12 +260,12 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
             break
         fv = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("feature") + 1)
         rows = materialize(rows.join(splits, key + ["_node"]).withColumn(
-            "_node", F.when(fv <= F.col("threshold"), F.col("_node") * 2).otherwise(F.col("_node") * 2 + 1))
+            "_node", F.concat("_node", F.when(fv <= F.col("threshold"), "0").otherwise("1")))
             .drop("feature", "threshold"), "tree_rows")
     out = nodes[0]
     for n in nodes[1:]:
         out = out.unionByName(n)
-    return out
+    return materialize(out, "tree") if len(nodes) > 1 else out
 
 
 def tree_predict(tree: DataFrame, rows: DataFrame, key: Sequence[str], features: Sequence[str],
@@ -267,13 +274,15 @@ def tree_predict(tree: DataFrame, rows: DataFrame, key: Sequence[str], features:
     key = list(key)
     feats = list(features)
     max_depth = tree.agg(F.max("depth")).first()[0] or 0
-    cur = rows.select(*key, ident, *feats).withColumn("_node", F.lit(1).cast("long"))
+    cur = rows.select(*key, ident, *feats).withColumn("_node", F.lit("1"))
     fv = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("feature") + 1)
-    for _ in range(int(max_depth)):
+    for depth in range(int(max_depth)):
+        if depth and depth % STEPS_PER_PLAN == 0:
+            cur = materialize(cur, "tree_routed")
         cur = (cur.join(tree.select(*key, F.col("node").alias("_node"), "feature", "threshold", "is_leaf"),
                         key + ["_node"], "left")
                .withColumn("_node", F.when(F.col("is_leaf") | F.col("feature").isNull(), F.col("_node"))
-                           .when(fv <= F.col("threshold"), F.col("_node") * 2).otherwise(F.col("_node") * 2 + 1))
+                           .otherwise(F.concat("_node", F.when(fv <= F.col("threshold"), "0").otherwise("1"))))
                .drop("feature", "threshold", "is_leaf"))
     return (cur.join(tree.select(*key, F.col("node").alias("_node"), "pred", "proba"), key + ["_node"], "left")
             .select(*key, ident, "pred", "proba"))
@@ -291,9 +300,9 @@ def tree_importance(tree: DataFrame, key: Sequence[str], features: Sequence[str]
                                                                          F.lit(0.0)))
     t = tree.withColumn("_imp", imp)
     par = t.where(~F.col("is_leaf")).alias("p")
-    ch = t.alias("c")
-    j = par.join(ch, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in key]
-                 + [(F.col("c.node") == F.col("p.node") * 2) | (F.col("c.node") == F.col("p.node") * 2 + 1)])
+    # A node's name without its last step is its parent's: an equality join.
+    ch = t.withColumn("_parent", F.expr("left(node, length(node) - 1)")).alias("c")
+    j = par.join(ch, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in key] + [F.col("c._parent") == F.col("p.node")])
     gain = j.groupBy(*[F.col(f"p.{k}").alias(k) for k in key], F.col("p.node"), F.col("p.feature").alias("feature"),
                      F.col("p.n").alias("_n"), F.col("p._imp").alias("_pi")).agg(
         F.sum(F.col("c.n") * F.col("c._imp")).alias("_child"))
@@ -307,48 +316,65 @@ def tree_importance(tree: DataFrame, key: Sequence[str], features: Sequence[str]
 
 # ------------------------------------------------------------- K-Means (M1)
 
-def kmeans(points: DataFrame, key: Sequence[str], features: Sequence[str], k: int = 3, max_iter: int = 300,
-           tol: float = 1e-4, seed: int = SEED, init: str = "hash") -> tuple[DataFrame, DataFrame]:
-    """Lloyd's K-Means per key with k' = min(k, n-1) centres.
+def _to_nearest(pts: DataFrame, cent: DataFrame, key: list[str], by: list[str], feats: list[str]) -> DataFrame:
+    """Every point with its nearest centre (lowest number on ties), once per set of centres ``by``.
+
+    A set of centres is one array, so the arg-min is an expression on the row:
+    no row per (point, centre) is made, let alone shuffled.
+    """
+    sets = cent.groupBy(*by).agg(F.collect_list(F.struct("cluster", *feats)).alias("_cent"))
+    near = F.array_min(F.transform("_cent", lambda c: F.struct(
+        sum((F.pow(F.col(f) - c[f], 2) for f in feats), F.lit(0.0)).alias("d2"), c["cluster"].alias("cluster"))))
+    return (pts.join(sets, key).withColumn("_near", near)
+            .select(*by, "driver", *feats, F.col("_near.cluster").alias("cluster"), F.col("_near.d2").alias("sqdist")))
 
-    Initial centres: the first k' rows of the key in md5 order (``init='hash'``)
-    or farthest-first from the first of them (``init='spread'``). Returns
-    (assignments: key, driver, cluster, sqdist; centres: key, cluster, f...).
+
+def kmeans(points: DataFrame, key: Sequence[str], features: Sequence[str], k: int = 3, max_iter: int = 300,
+           tol: float = 1e-4, seed: int = SEED, init: str = "hash", starts: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Lloyd's K-Means per key with k' = min(k, n-1) centres: the best of ``starts`` runs by inertia.
+
+    Initial centres of a start: the first k' rows of the key in an md5 order of
+    its own (``init='hash'``), or farthest-first from the first of them
+    (``init='spread'``). All starts of all keys step together; those whose
+    centres no longer move rest. Returns (assignments: key, driver, cluster,
+    sqdist; centres: key, cluster, f...).
     """
     key = list(key)
     feats = list(features)
+    by = key + ["_start"]
     n = points.groupBy(*key).agg(F.count("*").alias("_n"))
     kk = n.select(*key, F.least(F.lit(k), F.col("_n") - 1).alias("_k")).where(F.col("_k") >= 1)
-    w = Window.partitionBy(*key).orderBy(hash_order(key, seed=seed), "driver")
-    ranked = points.join(kk, key).withColumn("_i", F.row_number().over(w) - 1)
-    cent = ranked.where(F.col("_i") < F.col("_k")).select(*key, F.col("_i").alias("cluster"), *feats)
-    cent = materialize(cent, "kmeans_centres")
-    pts = materialize(points.join(kk, key, "left_semi").select(*key, "driver", *feats), "kmeans_points")
-
-    def assign(c: DataFrame) -> DataFrame:
-        cc = c.select(*key, "cluster", *[F.col(f).alias(f"_c_{f}") for f in feats])
-        d2 = sum((F.pow(F.col(f) - F.col(f"_c_{f}"), 2) for f in feats), F.lit(0.0))
-        j = pts.join(cc, key).withColumn("_d2", d2)
-        return j.groupBy(*key, "driver").agg(
-            F.min_by("cluster", F.struct("_d2", "cluster")).alias("cluster"), F.min("_d2").alias("sqdist"))
-
+    pts = materialize(points.join(kk, key).select(*key, "driver", *feats, "_k"), "kmeans_points")
+    w = Window.partitionBy(*by).orderBy(hash_order(by, seed=seed), "driver")
+    # The literal bound lets each task keep only its first k rows before the shuffle.
+    ranked = (pts.withColumn("_start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
+              .withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= (1 if init == "spread" else k))
+              .where(F.col("_i") <= F.col("_k")))
+    cent = materialize(ranked.select(*by, (F.col("_i") - 1).alias("cluster"), *feats), "kmeans_centres")
+    for i in range(1, k if init == "spread" else 1):
+        far = _to_nearest(pts.where(F.col("_k") > i), cent, key, by, feats).groupBy(*by).agg(
+            F.max_by(F.struct(*feats), F.struct("sqdist", "driver")).alias("_f"))
+        cent = materialize(cent.unionByName(far.select(*by, F.lit(i).alias("cluster"), "_f.*")), "kmeans_centres")
+
+    moved = sum((F.pow(F.col(f"n.{f}") - F.col(f"o.{f}"), 2) for f in feats), F.lit(0.0))
+    cent = cent.withColumn("_live", F.lit(True))
     for _ in range(max_iter):
-        a = assign(cent)
-        new = (a.join(pts, key + ["driver"]).groupBy(*key, "cluster")
-               .agg(*[F.avg(f).alias(f) for f in feats]))
-        # keep centres that lost all points where they were
-        new = cent.alias("o").join(new.alias("n"), key + ["cluster"], "left").select(
-            *key, "cluster", *[F.coalesce(F.col(f"n.{f}"), F.col(f"o.{f}")).alias(f) for f in feats])
+        live = cent.where("_live")
+        mean = _to_nearest(pts, live, key, by, feats).groupBy(*by, "cluster").agg(*[F.avg(f).alias(f) for f in feats])
+        # A centre that lost all its points stays where it was.
+        new = live.alias("o").join(mean.alias("n"), by + ["cluster"], "left").select(
+            *by, "cluster", *[F.coalesce(F.col(f"n.{f}"), F.col(f"o.{f}")).alias(f) for f in feats],
+            (F.coalesce(moved, F.lit(0.0)) > tol * tol).alias("_moved"))
+        new = new.withColumn("_live", F.max("_moved").over(Window.partitionBy(*by))).drop("_moved")
         # Each step starts from written centres: the plan never chains steps
         # (a cached DataFrame would still carry the whole chain in its plan).
-        new = materialize(new, "kmeans_centres")
-        shift = (new.alias("a").join(cent.alias("b"), key + ["cluster"])
-                 .agg(F.max(sum((F.pow(F.col(f"a.{f}") - F.col(f"b.{f}"), 2) for f in feats), F.lit(0.0))))
-                 .first()[0])
-        cent = new
-        if shift is None or shift <= tol * tol:
+        cent = materialize(new.unionByName(cent.where("NOT _live")), "kmeans_centres")
+        if cent.where("_live").limit(1).count() == 0:
             break
-    return assign(cent), cent
+    best = (_to_nearest(pts, cent, key, by, feats).groupBy(*by).agg(F.sum("sqdist").alias("_sum"))
+            .groupBy(*key).agg(F.min_by("_start", F.struct("_sum", "_start")).alias("_start")))
+    cent = materialize(cent.join(best, by, "left_semi").select(*key, "cluster", *feats), "kmeans_centres")
+    return _to_nearest(pts, cent, key, key, feats).select(*key, "driver", "cluster", "sqdist"), cent
 
 
 def inertia(assign: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -383,6 +409,14 @@ def silhouette_sq(points: DataFrame, assign: DataFrame, key: Sequence[str], feat
     return per.groupBy(*key).agg(F.avg(s).alias("silhouette"))
 
 
+def labelled_clusters(points: DataFrame, key: Sequence[str], features: Sequence[str], k: int = 3) -> DataFrame:
+    """M1 + M3: the assignments of ``kmeans`` with each cluster's label."""
+    key = list(key)
+    assign, _ = kmeans(points, key, features, k=k)
+    labels = cluster_labels(assign, points, key)
+    return assign.join(labels.select(*key, "cluster", "label"), key + ["cluster"], "left")
+
+
 def cluster_labels(assign: DataFrame, points: DataFrame, key: Sequence[str], by: str = "average_lap_time",
                    k: int = 3) -> DataFrame:
     """M3: order clusters by mean (scaled) lap time; fastest 'stable_fast', slowest

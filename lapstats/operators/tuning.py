@@ -21,7 +21,7 @@ from lapstats.session import materialize
 DT_GRID = {"max_depth": [3, 4, 5, 7, None], "min_samples_split": [2, 4, 6], "min_samples_leaf": [1, 2, 3],
            "criterion": ["gini", "entropy"]}
 KNN_GRID = {"n_neighbors": [3, 5, 7, 9], "metric": ["euclidean", "manhattan"], "weights": ["uniform", "distance"]}
-KMEANS_GRID = {"n_clusters": [2, 3, 4, 5], "init": ["hash", "hash_alt"]}
+KMEANS_GRID = {"n_clusters": [2, 3, 4, 5], "init": ["hash", "spread"]}
 TOP_K = 5
 
 
@@ -234,8 +234,7 @@ def kmeans_grid(points: DataFrame, key: Sequence[str], features: Sequence[str])
     out = None
     for k in KMEANS_GRID["n_clusters"]:
         for init in KMEANS_GRID["init"]:
-            assign, _ = ml.kmeans(points, key, features, k=k,
-                                  seed=SEED if init == "hash" else SEED + 7)
+            assign, _ = ml.kmeans(points, key, features, k=k, init=init)
             assign = materialize(assign, "km_grid")
             r = (ml.silhouette_sq(points, assign, key, features).join(ml.inertia(assign, key), key)
                  .withColumn("k", F.lit(k)).withColumn("init", F.lit(init)))

@@ -83,6 +83,7 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
         data = ML.model_input(matrix, key)
         tree = write("decision_tree", ML.tree_fit(data, key, MODEL_FEATURES))
         tables["importance"] = write("feature_importance", ML.tree_importance(tree, key, MODEL_FEATURES))
+        tables["clusters"] = write("driver_clusters", ML.labelled_clusters(data, key, MODEL_FEATURES))
     findings = write("findings", INS.race_findings(spark, tables, key))
     write("race_summary", INS.conclusions(findings, key))
     store.mark_processed(spark, ledger, raw_laps, "complete", key)

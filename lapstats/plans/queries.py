@@ -399,21 +399,21 @@ def _kmeans_points(spark, sf_dir):
 @register("kmeans_clusters")
 def q_kmeans_clusters(spark, sf_dir):
     """M1 + M3: K-Means (k=3) per race on the scaled features, labelled clusters."""
-    pts = _kmeans_points(spark, sf_dir)
-    assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=3)
-    labels = ML.cluster_labels(assign, pts, KEY)
-    return assign.join(labels.select(*KEY, "cluster", "label"), list(KEY) + ["cluster"], "left")
+    return ML.labelled_clusters(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)
 
 
 @register("kmeans_elbow")
 def q_kmeans_elbow(spark, sf_dir):
     """M2 + M4: inertia and squared-Euclidean silhouette for k = 2..7."""
     pts = _kmeans_points(spark, sf_dir)
+    rows = materialize(pts.groupBy(*KEY).agg(F.count("*").alias("_n")), "km_rows")
     out = None
     for k in range(2, 8):
-        assign, _ = ML.kmeans(pts, KEY, KMEANS_FEATURES, k=k)
+        # A race needs more rows than clusters.
+        enough = pts.join(rows.where(F.col("_n") > k), list(KEY), "left_semi")
+        assign, _ = ML.kmeans(enough, KEY, KMEANS_FEATURES, k=k)
         assign = materialize(assign, "km_assign")
-        r = (ML.inertia(assign, KEY).join(ML.silhouette_sq(pts, assign, KEY, KMEANS_FEATURES), list(KEY))
+        r = (ML.inertia(assign, KEY).join(ML.silhouette_sq(enough, assign, KEY, KMEANS_FEATURES), list(KEY))
              .withColumn("k", F.lit(k)))
         out = r if out is None else out.unionByName(r)
     return out
@@ -459,6 +459,8 @@ def _analysis_tables(spark, sf_dir, with_ml: bool = False):
         t["importance"] = ML.tree_importance(ML.tree_fit(data, KEY, MODEL_FEATURES), KEY, MODEL_FEATURES)
         oof = EV.cross_validate(target, KEY)
         t["comparison"] = EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY)
+        t["clusters"] = ML.labelled_clusters(materialize(ML.model_input(target, KEY, KMEANS_FEATURES), "km_pts"),
+                                             KEY, KMEANS_FEATURES)
     return t
 
 
@@ -470,8 +472,8 @@ def q_race_findings(spark, sf_dir):
 
 @register("race_top5")
 def q_race_top5(spark, sf_dir):
-    """I8: top findings per race."""
-    return INS.top5(INS.race_findings(spark, _analysis_tables(spark, sf_dir)))
+    """I8: top findings per race, the ML one among them."""
+    return INS.top5(INS.race_findings(spark, _analysis_tables(spark, sf_dir, with_ml=True)))
 
 
 @register("race_conclusions")
@@ -556,9 +558,11 @@ def q_local_explanations(spark, sf_dir):
 
 @register("pca_projection")
 def q_pca_projection(spark, sf_dir):
-    """M6: 2-D PCA coordinates of every driver."""
-    pts, _ = XP.pca_2d(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)
-    return pts
+    """M6: 2-D PCA coordinates of every driver, with the explained variance ratios of the race."""
+    pts, comps = XP.pca_2d(_kmeans_points(spark, sf_dir), KEY, KMEANS_FEATURES)
+    ratio = lambda c: F.max(F.when(F.col("component") == c, F.col("explained_variance_ratio")))
+    explained = comps.groupBy(*KEY).agg(ratio(1).alias("explained_1"), ratio(2).alias("explained_2"))
+    return pts.join(explained, list(KEY), "left")
 
 
 @register("model_winner")

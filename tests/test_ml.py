@@ -84,3 +84,38 @@ def test_silhouette_squared_matches_numpy(spark):
             bi = min(d2[i, lab == c].mean() for c in set(lab) if c != lab[i])
             s.append((bi - ai) / max(ai, bi))
         assert got[race] == pytest.approx(float(np.mean(s)), abs=1e-9)
+
+
+def test_kmeans_best_start_is_never_worse_and_spread_starts_apart(spark):
+    df = _points(spark, n=40)
+    total = {(s, i): {r.race: r.inertia for r in ML.inertia(ML.kmeans(df, ["race"], FEATS, k=4, starts=s, init=i)[0],
+                                                           ["race"]).collect()}
+             for s, i in ((1, "hash"), (10, "hash"), (3, "spread"))}
+    for race in ("r1", "r2"):
+        assert total[10, "hash"][race] <= total[1, "hash"][race] + 1e-9
+        assert total[3, "spread"][race] > 0
+    # Three far groups: farthest-first meets each of them once, whatever the first row is.
+    far = spark.createDataFrame([("r", f"d{i}", 100.0 * (i % 3) + 0.1 * i, 0.0, 0.0) for i in range(12)],
+                                "race string, driver string, a double, b double, c double")
+    a = ML.kmeans(far, ["race"], FEATS, k=3, starts=1, init="spread")[0].collect()
+    assert len({(r.cluster, int(r.driver[1:]) % 3) for r in a}) == 3
+
+
+def test_unlimited_tree_follows_a_deep_chain(spark):
+    n = 38
+    df = spark.createDataFrame([("r", f"d{i:02d}", i % 2, float(i)) for i in range(n)],
+                               "race string, driver string, label int, a double")
+    tree = ML.tree_fit(df, ["race"], ["a"], max_depth=None)
+    assert tree.agg(F.max("depth")).first()[0] > 30
+    assert tree.where("is_leaf AND proba NOT IN (0.0, 1.0)").count() == 0
+    wrong = ML.tree_predict(tree, df, ["race"], ["a"]).join(df, ["race", "driver"]).where("pred != label")
+    assert wrong.count() == 0
+
+
+def test_tree_splits_neighbouring_floats(spark):
+    low = 1.0
+    high = math.nextafter(low, 2.0)
+    top = math.nextafter(high, 2.0)
+    df = spark.createDataFrame([("r", "x", 0, high), ("r", "y", 1, top)], "race string, driver string, label int, a double")
+    got = ML.tree_predict(ML.tree_fit(df, ["race"], ["a"]), df, ["race"], ["a"]).collect()
+    assert {(r.driver, r.pred) for r in got} == {("x", 0), ("y", 1)}
