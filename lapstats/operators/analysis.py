@@ -83,8 +83,8 @@ def strategy_map(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 def degradation_curve(laps: DataFrame, key: Sequence[str] = KEY, min_laps: int = 5) -> DataFrame:
     """Per compound with >= 5 clean laps, OLS of the per-age means on age (>= 3 ages).
 
-    Returns one row per (race, compound): degradation_rate, r_squared, n_ages,
-    is_worst (largest slope in the race).
+    Returns one row per (race, compound): degradation_rate, intercept, r_squared,
+    n_ages, is_worst (largest slope in the race).
     """
     key = list(key)
     c = clean_view(laps)
@@ -94,10 +94,11 @@ def degradation_curve(laps: DataFrame, key: Sequence[str] = KEY, min_laps: int =
                .groupBy(*key, "compound", "tyre_life").agg(F.avg("lap_time").alias("_m")))
     fit = per_age.groupBy(*key, "compound").agg(
         F.count("*").alias("n_ages"),
-        F.regr_slope("_m", "tyre_life").alias("_slope"),
+        F.regr_slope("_m", "tyre_life").alias("_slope"), F.regr_intercept("_m", "tyre_life").alias("_icpt"),
         F.regr_r2("_m", "tyre_life").alias("_r2"))
     fit = fit.select(*key, "compound", "n_ages",
                      F.when(F.col("n_ages") >= 3, F.col("_slope")).alias("degradation_rate"),
+                     F.when(F.col("n_ages") >= 3, F.col("_icpt")).alias("intercept"),
                      F.when(F.col("n_ages") >= 3, F.col("_r2")).alias("r_squared"))
     fit = counts.select(*key, "compound").join(fit, key + ["compound"], "left")
     worst = fit.groupBy(*key).agg(F.max_by("compound", F.when(
@@ -107,6 +108,16 @@ def degradation_curve(laps: DataFrame, key: Sequence[str] = KEY, min_laps: int =
             .drop("_worst"))
 
 
+def degradation_ages(laps: DataFrame, key: Sequence[str] = KEY, min_laps: int = 5) -> DataFrame:
+    """A13 points: mean, sample std and count per (compound, tyre life), compounds with >= 5 clean laps."""
+    key = list(key)
+    c = clean_view(laps)
+    enough = c.groupBy(*key, "compound").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_laps)
+    ages = (c.where(F.col("tyre_life").isNotNull()).groupBy(*key, "compound", "tyre_life")
+            .agg(F.avg("lap_time").alias("mean"), F.stddev_samp("lap_time").alias("std"), F.count("*").alias("count")))
+    return ages.join(enough, key + ["compound"], "left_semi")
+
+
 def pit_stop_details(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """A15 (per pit lap): before / after means and impact, rounded to 3 dp like the reference."""
     key = list(key)

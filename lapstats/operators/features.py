@@ -196,6 +196,14 @@ def driver_matrix(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return median_impute(m, numeric, key)
 
 
+def fast_only(matrix: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """P20: the target without consistency: 1 if the average lap is at most the race median."""
+    med = medians_by_key(matrix, list(key), {"_m_avg": "average_lap_time"})
+    return (matrix.join(med, list(key), "left")
+            .withColumn("fast_only", F.coalesce((F.col("average_lap_time") <= F.col("_m_avg")).cast("int"), F.lit(0)))
+            .drop("_m_avg"))
+
+
 def strong_performance(matrix: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """1 if average lap <= race median and consistency >= race median.
 

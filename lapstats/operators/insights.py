@@ -27,6 +27,11 @@ WEATHER_R = 0.3
 TRACK_TEMP_BANDS = (30.0, 40.0, 45.0)
 HIGH_CONFIDENCE = 0.7
 
+def _decimal(c: str | Column, digits: int) -> Column:
+    """A rounded number that prints without an exponent."""
+    return F.round(c, digits).cast(f"decimal(18,{digits})")
+
+
 FINDING_COLS = ["category", "seq", "code", "subject", "value", "level"]
 CATEGORY_ORDER = ["performance", "tire", "pit", "ml", "track"]
 
@@ -51,7 +56,7 @@ def performance_insights(stability: DataFrame, key: Sequence[str] = KEY) -> Data
         F.min_by(F.struct("driver", "consistency_score"), "stability_rank").alias("_ms"),
         F.min_by(F.struct("driver", "best_lap_time"), F.struct("best_lap_time", "stability_rank")).alias("_f"))
     return (_finding(s, key, "performance", 1, "most_stable_driver", F.col("_ms.driver"),
-                     F.round("_ms.consistency_score", 3), "positive")
+                     _decimal("_ms.consistency_score", 3), "positive")
             .unionByName(_finding(s, key, "performance", 2, "fastest_driver", F.col("_f.driver"),
                                   format_laptime(F.col("_f.best_lap_time")), "positive"))
             .unionByName(_finding(s.where(F.col("_f.driver") != F.col("_ms.driver")), key, "performance", 3,
@@ -66,14 +71,14 @@ def tire_insights(compounds: DataFrame, degradation: DataFrame, key: Sequence[st
         F.min_by(F.struct("compound", "avg_lap_time"), F.struct("avg_lap_time", "compound")).alias("_b"),
         (F.max("avg_lap_time") - F.min("avg_lap_time")).alias("_gap"), F.count("*").alias("_n"))
     worst = degradation.where(F.col("is_worst"))
-    return (_finding(c, key, "tire", 1, "best_compound", F.col("_b.compound"), F.round("_b.avg_lap_time", 3),
+    return (_finding(c, key, "tire", 1, "best_compound", F.col("_b.compound"), _decimal("_b.avg_lap_time", 3),
                      "positive")
             .unionByName(_finding(worst, key, "tire", 2, "worst_degradation", F.col("compound"),
-                                  F.round("degradation_rate", 4),
+                                  _decimal("degradation_rate", 4),
                                   F.when(F.col("degradation_rate") > DEGRADATION_WARNING, "warning")
                                   .otherwise("neutral")))
             .unionByName(_finding(c.where((F.col("_n") >= 2) & (F.col("_gap") > COMPOUND_GAP)), key, "tire", 3,
-                                  "compound_gap", F.lit(None), F.round("_gap", 3), "info")))
+                                  "compound_gap", F.lit(None), _decimal("_gap", 3), "info")))
 
 
 def pit_insights(pit: DataFrame, races: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -85,12 +90,12 @@ def pit_insights(pit: DataFrame, races: DataFrame, key: Sequence[str] = KEY) ->
     r = races.select(*key).distinct().join(r, key, "left")
     impact = _finding(r.where(F.col("_avg").isNotNull()), key, "pit", 1,
                       F.when(F.col("_avg") > PIT_CLEAR_BENEFIT, "pit_clear_benefit").otherwise("pit_impact"),
-                      F.lit("all_drivers"), F.round("_avg", 3),
+                      F.lit("all_drivers"), _decimal("_avg", 3),
                       F.when(F.col("_avg") > 0, "positive").otherwise("warning"))
     nodata = _finding(r.where(F.col("_avg").isNull()), key, "pit", 1, "pit_no_data", F.lit("N/A"), F.lit(None),
                       "neutral")
     best = _finding(r.where(F.col("_best.avg_impact") > 0), key, "pit", 2, "best_pit_driver",
-                    F.col("_best.driver"), F.round("_best.avg_impact", 3), "positive")
+                    F.col("_best.driver"), _decimal("_best.avg_impact", 3), "positive")
     return impact.unionByName(nodata).unionByName(best)
 
 
@@ -101,13 +106,13 @@ def weather_insights(weather: DataFrame, overview: DataFrame, key: Sequence[str]
     corr = _finding(
         weather.where(((F.abs("pearson_r") > WEATHER_R) & F.col("significant")) | ~F.col("significant")),
         key, "weather", 1, F.when(F.col("significant"), F.concat(F.lit("temp_effect_"), F.col("direction")))
-        .otherwise("temp_effect_not_significant"), F.col("variable"), F.round("pearson_r", 3),
+        .otherwise("temp_effect_not_significant"), F.col("variable"), _decimal("pearson_r", 3),
         F.when(F.col("significant"), "info").otherwise("neutral"))
     lo, mid, hi = TRACK_TEMP_BANDS
     t = F.col("avg_track_temp")
     band = _finding(overview, key, "weather", 2,
                     F.when(t > mid, "track_temp_high").when(t > lo, "track_temp_medium").otherwise("track_temp_low"),
-                    F.lit("track_temp"), F.round(t, 1), F.when(t > hi, "warning").otherwise("neutral"))
+                    F.lit("track_temp"), _decimal(t, 1), F.when(t > hi, "warning").otherwise("neutral"))
     return corr.unionByName(band)
 
 
@@ -123,7 +128,7 @@ def ml_insights(importance: DataFrame | None, comparison: DataFrame | None, clus
                               "positive"))
     if comparison is not None:
         parts.append(_finding(comparison.where("is_best"), key, "ml", 2, "best_model", F.col("model"),
-                              F.round("cv_mean_acc", 4), "positive"))
+                              _decimal("cv_mean_acc", 4), "positive"))
     if clusters is not None:
         elite = clusters.where(F.col("label") == "stable_fast").groupBy(*key).agg(F.count("*").alias("_m"))
         parts.append(_finding(elite, key, "ml", 3, "elite_cluster", F.lit("stable_fast"), F.col("_m"), "positive"))
@@ -141,9 +146,9 @@ def driver_insights(stability: DataFrame, sectors: DataFrame, key: Sequence[str]
     worst = stability.groupBy(*key).agg(F.count("*").alias("_n"),
                                         F.max_by(F.struct("driver", "lap_time_std"), "stability_rank").alias("_w"))
     return (_finding(worst.where(F.col("_n") >= 3), key, "driver", 1, "least_consistent_driver", F.col("_w.driver"),
-                     F.round("_w.lap_time_std", 3), "warning")
+                     _decimal("_w.lap_time_std", 3), "warning")
             .unionByName(_finding(sectors, key, "driver", 2, F.concat(F.lit("fastest_"), F.col("sector")),
-                                  F.col("driver"), F.round("mean_time", 3), "positive")))
+                                  F.col("driver"), _decimal("mean_time", 3), "positive")))
 
 
 def track_insights(spark: SparkSession, races: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

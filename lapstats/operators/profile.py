@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapstats.functions.aggregates import exact_quantiles
+from lapstats.functions.aggregates import checked_broadcast, exact_quantiles
 from lapstats.functions.exprs import safe_corr
 from lapstats.functions.output import round_half_away as rnd
 from lapstats.operators.clean import clean_view
-from lapstats.schema import KEY
+from lapstats.schema import COMPOUNDS_ALL, KEY
 
 LAP_CORR_COLUMNS = ("lap_time", "tyre_life", "air_temp", "track_temp", "humidity", "consistency_score",
                     "tire_degradation_rate", "sector1_time", "sector2_time", "sector3_time")
@@ -67,18 +67,20 @@ def lap_time_distribution(laps: DataFrame, key: Sequence[str] = KEY) -> DataFram
 
 
 def lap_time_histogram(laps: DataFrame, key: Sequence[str] = KEY, bins: int = HIST_BINS) -> DataFrame:
-    """Equal-width histogram min..max on clean (b); the last bin is closed."""
+    """Equal-width histogram min..max on clean (b), empty bins too; the last bin is closed."""
     key = list(key)
     c = clean_view(laps, pit=True, sc=False, outlier=True).where(F.col("lap_time").isNotNull())
     rng = c.groupBy(*key).agg(F.min("lap_time").alias("_mn"), F.max("lap_time").alias("_mx"))
     b = F.when(F.col("_mx") > F.col("_mn"), F.least(
         F.floor((F.col("lap_time") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * bins),
         F.lit(bins - 1))).otherwise(F.lit(0))
-    return (c.join(rng, key).groupBy(*key, b.cast("int").alias("bin"))
-            .agg(F.count("*").alias("count"), F.first("_mn").alias("_mn"), F.first("_mx").alias("_mx"))
+    rng = checked_broadcast(rng)
+    counts = c.join(rng, key).groupBy(*key, b.cast("int").alias("bin")).agg(F.count("*").alias("count"))
+    last = F.when(F.col("_mx") > F.col("_mn"), F.lit(bins - 1)).otherwise(F.lit(0))
+    return (rng.withColumn("bin", F.explode(F.sequence(F.lit(0), last))).join(counts, key + ["bin"], "left")
             .select(*key, "bin",
                     (F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("bin") / bins).alias("bin_start"),
-                    "count"))
+                    F.coalesce("count", F.lit(0).cast("long")).alias("count")))
 
 
 def temperature_summary(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -130,13 +132,14 @@ def high_correlation_pairs(corr: DataFrame, threshold: float = 0.7, key: Sequenc
 
 def preprocessing_summary(laps: DataFrame, key: Sequence[str] = KEY,
                           columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows, drivers, NULL cells, flagged laps, lap-time mean/min/max."""
+    """Rows, drivers, NULL cells, flagged laps, laps per compound, lap-time mean/min/max."""
     key = list(key)
     cols = [c for c in (columns or laps.columns) if c not in key]
     nulls = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0).cast("long"))
     return laps.groupBy(*key).agg(
         F.count("*").alias("rows"), F.count_distinct("driver").alias("drivers"),
         F.sum(nulls).alias("missing_cells"),
+        *[F.count_if(F.col("compound") == c).alias(f"{c.lower()}_laps") for c in COMPOUNDS_ALL],
         F.count_if("is_pit_lap").alias("pit_laps"), F.count_if("is_sc_lap").alias("sc_laps"),
         F.count_if("is_outlier").alias("outliers"),
         F.avg("lap_time").alias("avg_lap_time"), F.min("lap_time").alias("min_lap_time"),

@@ -32,7 +32,8 @@ def _explode_configs(df: DataFrame, configs: list[dict], name: str = "config") -
     return df.withColumn("_cfg", F.explode(F.array(*structs))).select("*", "_cfg.*").drop("_cfg")
 
 
-def _accuracy(pred: DataFrame, truth: DataFrame, keys: list[str], ident: str = "driver") -> DataFrame:
+def accuracy(pred: DataFrame, truth: DataFrame, keys: list[str], ident: str = "driver") -> DataFrame:
+    """Share of the rows of ``truth`` whose ``pred`` equals the label, per ``keys``, as ``acc``."""
     return (pred.join(truth.select(*keys, ident, "label"), keys + [ident])
             .groupBy(*keys).agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("acc")))
 
@@ -41,27 +42,28 @@ def tree_cv_scores(train: DataFrame, test: DataFrame, keys: list[str], features:
                    params: DataFrame, with_train: bool = False) -> DataFrame:
     """Validation (and optionally training) accuracy per ``keys`` (which include the fold)."""
     tree = ml.tree_fit(train, keys, features, params=params)
-    out = _accuracy(ml.tree_predict(tree, test, keys, features), test, keys).withColumnRenamed("acc", "val_acc")
+    out = accuracy(ml.tree_predict(tree, test, keys, features), test, keys).withColumnRenamed("acc", "val_acc")
     if with_train:
-        tr = _accuracy(ml.tree_predict(tree, train, keys, features), train, keys).withColumnRenamed("acc", "train_acc")
+        tr = accuracy(ml.tree_predict(tree, train, keys, features), train, keys).withColumnRenamed("acc", "train_acc")
         out = out.join(tr, keys)
     return out
 
 
 def knn_cv_scores(train: DataFrame, test: DataFrame, keys: list[str], features: Sequence[str],
-                  ks: Sequence[int], metric: str = "euclidean", weights: str = "uniform",
+                  ks: Sequence[int], metric: str = "euclidean", weights: Sequence[str] = ("uniform",),
                   with_train: bool = False) -> DataFrame:
-    """Accuracy for every k in ``ks`` from one neighbour search with max(ks)."""
+    """Accuracy for every k in ``ks`` and vote in ``weights`` from one neighbour search with max(ks)."""
     kmax = max(ks)
     neigh = ml.knn_neighbors(train, test, keys, features, k=kmax, metric=metric)
     neigh_tr = ml.knn_neighbors(train, train, keys, features, k=kmax, metric=metric) if with_train else None
     parts = []
-    for k in ks:
-        v = ml.knn_vote(neigh, keys, k, weights).withColumnRenamed("_qid", "driver")
-        s = _accuracy(v, test, keys).withColumnRenamed("acc", "val_acc").withColumn("k", F.lit(k))
+    for k, vote in itertools.product(ks, weights):
+        v = ml.knn_vote(neigh, keys, k, vote).withColumnRenamed("_qid", "driver")
+        s = (accuracy(v, test, keys).withColumnRenamed("acc", "val_acc").withColumn("k", F.lit(k))
+             .withColumn("weights", F.lit(vote)))
         if neigh_tr is not None:
-            vt = ml.knn_vote(neigh_tr, keys, k, weights).withColumnRenamed("_qid", "driver")
-            s = s.join(_accuracy(vt, train, keys).withColumnRenamed("acc", "train_acc"), keys)
+            vt = ml.knn_vote(neigh_tr, keys, k, vote).withColumnRenamed("_qid", "driver")
+            s = s.join(accuracy(vt, train, keys).withColumnRenamed("acc", "train_acc"), keys)
         parts.append(s)
     out = parts[0]
     for p in parts[1:]:
@@ -69,8 +71,12 @@ def knn_cv_scores(train: DataFrame, test: DataFrame, keys: list[str], features:
     return out
 
 
-def _cv_data(matrix: DataFrame, key: list[str], features: Sequence[str], n_splits: int, seed: int = SEED):
-    data = materialize(ml.assign_folds(ml.model_input(matrix, key, features), key, n_splits, seed=seed), "tune_data")
+def _cv_data(matrix: DataFrame, key: list[str], features: Sequence[str], n_splits: int, seed: int = SEED,
+             scaled: bool = True):
+    rows = ml.model_input(matrix, key, features) if scaled else matrix.select(
+        *key, "driver", F.col("strong_performance").alias("label"),
+        *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
+    data = materialize(ml.assign_folds(rows, key, n_splits, seed=seed), "tune_data")
     train, test = ml.fold_sets(data, key)
     return data, train, test
 
@@ -84,7 +90,9 @@ def grid_search(matrix: DataFrame, key: Sequence[str], features: Sequence[str] =
     """
     key = list(key)
     data, train, test = _cv_data(matrix, key, features, inner_folds, seed=SEED + 1)
-    dt_cfgs = [dict(zip(DT_GRID, v)) for v in itertools.product(*DT_GRID.values())]
+    # Configurations are numbered by sorted parameter name, the last one fastest; ties go to the lowest number.
+    names = sorted(DT_GRID)
+    dt_cfgs = [dict(zip(names, v)) for v in itertools.product(*(DT_GRID[n] for n in names))]
     kf = key + ["cv_fold", "config"]
     tr = _explode_configs(train, dt_cfgs)
     te = _explode_configs(test, dt_cfgs)
@@ -96,18 +104,17 @@ def grid_search(matrix: DataFrame, key: Sequence[str], features: Sequence[str] =
 
     n_rows = data.groupBy(*key).agg(F.count("*").alias("_n"))
     knn_parts = []
-    cfg_id = 0
-    for metric in KNN_GRID["metric"]:
-        for weights in KNN_GRID["weights"]:
-            s = knn_cv_scores(train, test, key + ["cv_fold"], features, KNN_GRID["n_neighbors"], metric, weights)
-            s = s.groupBy(*key, "k").agg(F.avg("val_acc").alias("mean_score")).join(n_rows, key).where(
-                F.col("k") < F.col("_n"))
-            knn_parts.append(s.select(
-                *key, F.lit("kNN").alias("model"),
-                (F.lit(cfg_id) + F.col("k")).alias("config"),
-                F.format_string("{'n_neighbors': %d, 'metric': '%s', 'weights': '%s'}", F.col("k"),
-                                F.lit(metric), F.lit(weights)).alias("params"), "mean_score"))
-            cfg_id += 100
+    ks, votes = KNN_GRID["n_neighbors"], KNN_GRID["weights"]
+    place = lambda values, c: F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c)) - 1
+    for i, metric in enumerate(KNN_GRID["metric"]):
+        s = knn_cv_scores(train, test, key + ["cv_fold"], features, ks, metric, votes)
+        s = s.groupBy(*key, "k", "weights").agg(F.avg("val_acc").alias("mean_score")).join(n_rows, key).where(
+            F.col("k") < F.col("_n"))
+        number = F.lit(i * len(ks) * len(votes)) + place(ks, "k") * len(votes) + place(votes, "weights")
+        knn_parts.append(s.select(
+            *key, F.lit("kNN").alias("model"), number.cast("int").alias("config"),
+            F.format_string("{'metric': '%s', 'n_neighbors': %d, 'weights': '%s'}", F.lit(metric), F.col("k"),
+                            F.col("weights")).alias("params"), "mean_score"))
     out = dt
     for p in knn_parts:
         out = out.unionByName(p)
@@ -181,9 +188,9 @@ def ablation(matrix: DataFrame, key: Sequence[str], features: Sequence[str] = MO
 def learning_curve(matrix: DataFrame, key: Sequence[str], features: Sequence[str] = MODEL_FEATURES,
                    folds: int = 3, points: int = 6) -> DataFrame:
     """Train / validation accuracy (mean, population std over folds) at up to 6
-    training sizes between max(2k, 30% of n) and the fold training size - 1."""
+    training sizes between max(2k, 30% of n) and the fold training size - 1; features as they are, not scaled."""
     key = list(key)
-    data, train, test = _cv_data(matrix, key, features, folds)
+    data, train, test = _cv_data(matrix, key, features, folds, scaled=False)
     n = data.groupBy(*key).agg(F.count("*").alias("_n"), F.first("n_folds").alias("_k"))
     mx = F.floor(F.col("_n") * (F.col("_k") - 1) / F.col("_k")) - 1
     mn = F.least(F.greatest(2 * F.col("_k"), F.floor(F.col("_n") * 0.3)), mx - 1)
@@ -198,7 +205,7 @@ def learning_curve(matrix: DataFrame, key: Sequence[str], features: Sequence[str
     params = sub.select(*kf).distinct().select(*kf, F.lit(3).alias("max_depth"), F.lit(2).alias("min_samples_split"),
                                                F.lit(1).alias("min_samples_leaf"), F.lit("gini").alias("criterion"))
     dt = tree_cv_scores(sub, te, kf, features, params, with_train=True).withColumn("model", F.lit("Decision Tree"))
-    kn = knn_cv_scores(sub, te, kf, features, [3], with_train=True).drop("k").withColumn("model", F.lit("kNN"))
+    kn = knn_cv_scores(sub, te, kf, features, [3], with_train=True).drop("k", "weights").withColumn("model", F.lit("kNN"))
     s = dt.unionByName(kn)
     return s.groupBy(*key, "model", "size").agg(
         F.avg("train_acc").alias("train_mean"), F.stddev_pop("train_acc").alias("train_std"),
@@ -218,12 +225,12 @@ def holdout_split(data: DataFrame, key: Sequence[str], seed: int = SEED) -> Data
             .drop("_rn", "_c", "_n"))
 
 
-def model_winner(comparison: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The tree wins when its accuracy is at least the kNN accuracy."""
+def model_winner(scores: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The tree wins when its hold-out accuracy is at least the kNN accuracy."""
     key = list(key)
-    p = comparison.groupBy(*key).agg(
-        F.max(F.when(F.col("model") == "Decision Tree", F.col("cv_mean_acc"))).alias("dt_acc"),
-        F.max(F.when(F.col("model") == "kNN", F.col("cv_mean_acc"))).alias("knn_acc"))
+    p = scores.groupBy(*key).agg(
+        F.max(F.when(F.col("model") == "Decision Tree", F.col("accuracy"))).alias("dt_acc"),
+        F.max(F.when(F.col("model") == "kNN", F.col("accuracy"))).alias("knn_acc"))
     return p.withColumn("winner", F.when(F.col("dt_acc") >= F.col("knn_acc"), F.lit("Decision Tree"))
                         .otherwise(F.lit("kNN")))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lapstats.operators import analysis as A
 from lapstats.operators import evaluate as EV
@@ -43,15 +44,20 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
     raw_laps = materialize(raw_laps, "raw_laps")
     if raw_laps.limit(1).count() == 0:
         return paths
+    races = materialize(raw_laps.select(*key).distinct(), "races")
 
     def write(name: str, df: DataFrame) -> DataFrame:
         p = f"{out}/{name}"
+        store.drop_races(spark, p, races, key)
         store.write_partitioned(df, p, key)
         paths[name] = p
         # The table's own schema: a result without any row has no file to take one from.
-        return spark.read.schema(df.schema).parquet(p).join(raw_laps.select(*key).distinct(), key, "left_semi")
+        return spark.read.schema(df.schema).parquet(p).join(races, key, "left_semi")
 
+    write("laps_raw", raw_laps)
+    write("pits_raw", raw_laps.where(F.col("pit_in_time").isNotNull() | F.col("pit_out_time").isNotNull()))
     laps = write("laps_clean", clean_laps(raw_laps, key))
+    store.drop_races(spark, f"{out}/laps_store", races, key)
     store.save_laps(laps, f"{out}/laps_store", key)
     feats = write("laps_features", FE.lap_features(laps, key))
     stability = write("driver_stability", A.driver_stability(laps, key))
@@ -85,8 +91,10 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
         tables["importance"] = write("feature_importance", ML.tree_importance(tree, key, MODEL_FEATURES))
         tables["clusters"] = write("driver_clusters", ML.labelled_clusters(data, key, MODEL_FEATURES))
     findings = write("findings", INS.race_findings(spark, tables, key))
-    write("race_summary", INS.conclusions(findings, key))
-    store.mark_processed(spark, ledger, raw_laps, "complete", key)
+    write("race_conclusions", INS.conclusions(findings, key))
+    write("driver_stats", store.driver_stats(matrix, stability, tables.get("clusters"), key))
+    write("race_summary", store.race_summary(tables["overview"], key))
+    store.mark_processed(spark, ledger, races, "complete", key)
     paths["processed_races"] = ledger
     return paths
 

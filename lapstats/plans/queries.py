@@ -136,6 +136,13 @@ def q_strong_performance(spark, sf_dir):
     return m.select("season", "race_name", "driver", "average_lap_time", "consistency_score", "strong_performance")
 
 
+@register("fast_only")
+def q_fast_only(spark, sf_dir):
+    """P20 target over the matrix."""
+    return FE.fast_only(materialize(FE.driver_matrix(clean_events(spark, sf_dir)), "matrix")).select(
+        "season", "race_name", "driver", "average_lap_time", "fast_only")
+
+
 @register("compound_stats")
 def q_compound_stats(spark, sf_dir):
     """A10."""
@@ -160,6 +167,12 @@ def q_degradation_curve(spark, sf_dir):
     return A.degradation_curve(clean_lineitem(spark, sf_dir))
 
 
+@register("degradation_ages")
+def q_degradation_ages(spark, sf_dir):
+    """A13 points on adapter B."""
+    return A.degradation_ages(clean_lineitem(spark, sf_dir))
+
+
 @register("race_overview")
 def q_race_overview(spark, sf_dir):
     """A17."""
@@ -199,7 +212,7 @@ def q_fastest_lap_per_driver(spark, sf_dir):
 
 @register("weather_correlation")
 def q_weather_correlation(spark, sf_dir):
-    """A16 + T5 (p-value needs a t CDF; no SQL twin)."""
+    """A16 + T5."""
     return A.weather_correlation(clean_events(spark, sf_dir))
 
 
@@ -317,9 +330,7 @@ def q_cv_folds(spark, sf_dir):
     return _folds(spark, sf_dir)
 
 
-@register("knn_oof")
-def q_knn_oof(spark, sf_dir):
-    """M9 + M14: exact 5-NN out-of-fold predictions (uniform vote)."""
+def _knn_oof(spark, sf_dir):
     data = materialize(_folds(spark, sf_dir), "folds")
     train, test = ML.fold_sets(data, KEY)
     kf = list(KEY) + ["cv_fold"]
@@ -330,6 +341,46 @@ def q_knn_oof(spark, sf_dir):
             .drop("cv_fold"))
 
 
+@register("knn_oof")
+def q_knn_oof(spark, sf_dir):
+    """M9 + M14: exact 5-NN out-of-fold predictions (uniform vote)."""
+    return _knn_oof(spark, sf_dir)
+
+
+@register("knn_fold_scores")
+def q_knn_fold_scores(spark, sf_dir):
+    """M12, kNN alone: per-fold accuracy and macro precision / recall / F1."""
+    return EV.fold_scores(materialize(_knn_oof(spark, sf_dir), "knn_oof"), KEY, models=("knn",))
+
+
+@register("knn_errors")
+def q_knn_errors(spark, sf_dir):
+    """M15 + M20, kNN alone: confusion counts, error rates and AUC."""
+    oof = materialize(_knn_oof(spark, sf_dir), "knn_oof")
+    return EV.error_analysis(oof, KEY, models=("knn",)).join(EV.auc(oof, KEY, "proba_knn"), list(KEY), "left")
+
+
+@register("knn_roc")
+def q_knn_roc(spark, sf_dir):
+    """M15, kNN alone: ROC points from the first threshold on, and whether a point is Youden's best."""
+    roc = materialize(EV.roc_curve(materialize(_knn_oof(spark, sf_dir), "knn_oof"), KEY, "knn"), "roc")
+    best = EV.best_threshold(roc, KEY).select(*KEY, "best_threshold")
+    return (roc.where(F.col("threshold") < float("inf")).join(best, list(KEY))
+            .withColumn("is_best", F.col("threshold") == F.col("best_threshold")).drop("best_threshold"))
+
+
+@register("knn_holdout")
+def q_knn_holdout(spark, sf_dir):
+    """M9 on the hold-out split: accuracy, confusion and class report of kNN."""
+    return EV.holdout_scores(_target_matrix(spark, sf_dir), KEY, models=("knn",))
+
+
+@register("holdout_scores")
+def q_holdout_scores(spark, sf_dir):
+    """M8 + M9: hold-out accuracy, confusion and class report of both models."""
+    return EV.holdout_scores(_target_matrix(spark, sf_dir), KEY)
+
+
 def _oof(spark, sf_dir):
     return EV.cross_validate(_target_matrix(spark, sf_dir), KEY)
 
@@ -348,9 +399,11 @@ def q_cv_fold_scores(spark, sf_dir):
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    """CV mean / std, macro metrics, AUC, best model per race."""
-    oof = _oof(spark, sf_dir)
-    return EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY)
+    """CV mean / std, macro metrics, training accuracy and gap, AUC, grid search's best, rules, best model."""
+    target = _target_matrix(spark, sf_dir)
+    oof, on_training_rows = EV.cross_validate_fitted(target, KEY)
+    summary = EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY, on_training_rows())
+    return EV.comparison_table(summary, materialize(TU.grid_search(target, KEY), "grid"), KEY)
 
 
 @register("roc_curve")
@@ -499,20 +552,20 @@ def q_grid_search(spark, sf_dir):
 
 @register("complexity_sweep")
 def q_complexity_sweep(spark, sf_dir):
-    """Depth and k sweeps with train / validation gap."""
-    return TU.complexity_sweep(_target_matrix(spark, sf_dir), KEY)
+    """M19 over every numeric matrix column: depth and k sweeps with train / validation gap."""
+    return TU.complexity_sweep(_target_matrix(spark, sf_dir), KEY, MATRIX_NUMERIC)
 
 
 @register("ablation_study")
 def q_ablation_study(spark, sf_dir):
-    """Drop-one-feature accuracy deltas."""
-    return TU.ablation(_target_matrix(spark, sf_dir), KEY)
+    """M18 over every numeric matrix column: drop-one-feature accuracy deltas."""
+    return TU.ablation(_target_matrix(spark, sf_dir), KEY, MATRIX_NUMERIC)
 
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    """Learning curves of the depth-3 tree and 3-NN."""
-    return TU.learning_curve(_target_matrix(spark, sf_dir), KEY)
+    """M17 over every numeric matrix column: learning curves of the depth-3 tree and 3-NN."""
+    return TU.learning_curve(_target_matrix(spark, sf_dir), KEY, MATRIX_NUMERIC)
 
 
 @register("holdout_split")
@@ -567,6 +620,5 @@ def q_pca_projection(spark, sf_dir):
 
 @register("model_winner")
 def q_model_winner(spark, sf_dir):
-    """Winning model per race."""
-    oof = _oof(spark, sf_dir)
-    return TU.model_winner(EV.cv_summary(materialize(EV.fold_scores(oof, KEY), "scores"), oof, KEY), KEY)
+    """Winning model per race, by hold-out accuracy."""
+    return TU.model_winner(EV.holdout_scores(_target_matrix(spark, sf_dir), KEY), KEY)

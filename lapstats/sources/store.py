@@ -31,11 +31,49 @@ def write_partitioned(df: DataFrame, path: str, key: Sequence[str] = KEY, fmt: s
      .partitionBy(*key).format(fmt).save(path))
 
 
+def drop_races(spark: SparkSession, path: str, races: DataFrame, key: Sequence[str] = KEY) -> None:
+    """Delete the partitions of ``races`` before they are written again, so that a race whose new result
+    has no row keeps none. Only folders that exist already, of the races given, are listed and deleted."""
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return  # no table yet, or one without any row
+        raise
+    folders = (old.select(*key, F.regexp_extract("_metadata.file_path", "(.*)/", 1).alias("folder")).distinct()
+               .join(races.select(*key).distinct(), list(key), "left_semi").select("folder"))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for row in folders.toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.folder))
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def save_laps(laps: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
     """Stored lap table (the reference's 17 columns plus flags) with a load timestamp."""
     write_partitioned(laps.select(*STORED_LAP_COLUMNS).withColumn("created_at", F.current_timestamp()), path, key)
 
 
+def driver_stats(matrix: DataFrame, stability: DataFrame, clusters: DataFrame | None,
+                 key: Sequence[str] = KEY) -> DataFrame:
+    """S7 rows: one per race and driver, with team, cluster number (NULL without models) and strong flag."""
+    kd = [*key, "driver"]
+    out = matrix.join(stability.select(*kd, "team"), kd, "left")
+    if clusters is not None:
+        out = out.join(clusters.select(*kd, F.col("cluster").cast("int").alias("cluster_label")), kd, "left")
+    else:
+        out = out.withColumn("cluster_label", F.lit(None).cast("int"))
+    return out.select(
+        *kd, "team", F.col("average_lap_time").alias("avg_lap_time"), "best_lap_time", "lap_time_std",
+        "consistency_score", F.col("average_race_pace").alias("avg_race_pace"),
+        F.col("tire_degradation_rate").alias("tire_degradation"), "pit_stop_impact", "cluster_label", "strong_performance")
+
+
+def race_summary(overview: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """S8 rows: one per race with its totals, fastest lap and the time of processing."""
+    return overview.select(*key, "total_laps", "total_drivers", "fastest_lap", "fastest_driver", "most_stable_driver",
+                           F.current_timestamp().alias("processed_at"))
+
+
 def upsert(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str] = KEY) -> None:
     """Insert-or-replace rows by key (the key is the partition, so a
     dynamic partition overwrite of the updated keys is exactly the upsert)."""

@@ -325,6 +325,11 @@ ORACLE["strong_performance"] = _q("events", TARGET, fin(
     "SELECT season, race_name, driver, average_lap_time, consistency_score, strong_performance FROM target",
     doubles=("average_lap_time", "consistency_score"), ints=("season", "strong_performance")))
 
+ORACLE["fast_only"] = _q("events", MATRIX + """,
+fm AS (SELECT season, race_name, median(average_lap_time) AS _ma FROM matrix GROUP BY season, race_name)""", fin("""
+  SELECT season, race_name, driver, average_lap_time, coalesce(CAST(average_lap_time <= _ma AS INTEGER), 0) AS fast_only
+  FROM matrix JOIN fm USING (season, race_name)""", doubles=("average_lap_time",), ints=("season", "fast_only")))
+
 ORACLE["compound_stats"] = _q("events", """
 cs AS (SELECT season, race_name, compound, avg(lap_time) AS avg_lap_time, min(lap_time) AS best_lap_time,
     stddev_samp(lap_time) AS std, count(*) AS count FROM ca GROUP BY season, race_name, compound),
@@ -346,20 +351,30 @@ ORACLE["strategy_map"] = _q("events", "", fin("""
   FROM clean WHERE stint IS NOT NULL GROUP BY season, race_name, driver, stint""",
     doubles=("avg_time",), ints=("season", "stint", "laps")))
 
-ORACLE["degradation_curve"] = _q("lineitem", """
+CURVE = """
 cnt AS (SELECT season, race_name, compound FROM ca GROUP BY season, race_name, compound HAVING count(*) >= 5),
 pa AS (SELECT season, race_name, compound, tyre_life, avg(lap_time) AS _m FROM ca
   WHERE tyre_life IS NOT NULL AND (season, race_name, compound) IN (SELECT (season, race_name, compound) FROM cnt)
   GROUP BY season, race_name, compound, tyre_life),
 fit0 AS (SELECT season, race_name, compound, count(*) AS n_ages, """ + nn("regr_slope(_m, tyre_life)") + """ AS _slope,
-    """ + nn("regr_r2(_m, tyre_life)") + """ AS _r2 FROM pa GROUP BY season, race_name, compound),
+    """ + nn("regr_r2(_m, tyre_life)") + """ AS _r2, """ + nn("regr_intercept(_m, tyre_life)") + """ AS _icpt
+  FROM pa GROUP BY season, race_name, compound),
 fit AS (SELECT cnt.season, cnt.race_name, cnt.compound, n_ages,
-    CASE WHEN n_ages >= 3 THEN _slope END AS degradation_rate, CASE WHEN n_ages >= 3 THEN _r2 END AS r_squared
+    CASE WHEN n_ages >= 3 THEN _slope END AS degradation_rate, CASE WHEN n_ages >= 3 THEN _icpt END AS intercept,
+    CASE WHEN n_ages >= 3 THEN _r2 END AS r_squared
   FROM cnt LEFT JOIN fit0 USING (season, race_name, compound)),
 wst AS (SELECT season, race_name, first(compound ORDER BY degradation_rate DESC, compound DESC)
-    FILTER (WHERE degradation_rate IS NOT NULL) AS _worst FROM fit GROUP BY season, race_name)""", fin("""
+    FILTER (WHERE degradation_rate IS NOT NULL) AS _worst FROM fit GROUP BY season, race_name)"""
+
+ORACLE["degradation_curve"] = _q("lineitem", CURVE, fin("""
   SELECT fit.*, coalesce(compound = _worst, false) AS is_worst FROM fit LEFT JOIN wst USING (season, race_name)""",
-    doubles=("degradation_rate", "r_squared"), ints=("season", "n_ages")))
+    doubles=("degradation_rate", "intercept", "r_squared"), ints=("season", "n_ages")))
+
+ORACLE["degradation_ages"] = _q("lineitem", """
+enough AS (SELECT season, race_name, compound FROM ca GROUP BY season, race_name, compound HAVING count(*) >= 5)""", fin("""
+  SELECT season, race_name, compound, tyre_life, avg(lap_time) AS mean, stddev_samp(lap_time) AS std, count(*) AS count
+  FROM ca SEMI JOIN enough USING (season, race_name, compound) WHERE tyre_life IS NOT NULL
+  GROUP BY season, race_name, compound, tyre_life""", doubles=("mean", "std"), ints=("season", "tyre_life", "count")))
 
 ORACLE["race_overview"] = _q("events", """
 st AS (SELECT season, race_name, driver, coalesce(stddev_samp(lap_time), 0.0) AS _sd FROM ca
@@ -485,9 +500,11 @@ cb AS (SELECT * FROM clean WHERE NOT is_pit_lap AND NOT is_outlier AND lap_time
 rg AS (SELECT season, race_name, min(lap_time) AS _mn, max(lap_time) AS _mx FROM cb GROUP BY season, race_name),
 hb AS (SELECT season, race_name, _mn, _mx,
     CAST(CASE WHEN _mx > _mn THEN least(floor((lap_time - _mn) / (_mx - _mn) * 40), 39) ELSE 0 END AS INTEGER) AS bin
-  FROM cb JOIN rg USING (season, race_name))""", fin("""
-  SELECT season, race_name, bin, min(_mn) + (min(_mx) - min(_mn)) * bin / 40 AS bin_start, count(*) AS count
-  FROM hb GROUP BY season, race_name, bin""", doubles=("bin_start",), ints=("season", "bin", "count")))
+  FROM cb JOIN rg USING (season, race_name)),
+hc AS (SELECT season, race_name, bin, count(*) AS c FROM hb GROUP BY season, race_name, bin),
+bn AS (SELECT *, unnest(range(0, CASE WHEN _mx > _mn THEN 40 ELSE 1 END)) AS bin FROM rg)""", fin("""
+  SELECT season, race_name, bin, _mn + (_mx - _mn) * bin / 40 AS bin_start, coalesce(c, 0) AS count
+  FROM bn LEFT JOIN hc USING (season, race_name, bin)""", doubles=("bin_start",), ints=("season", "bin", "count")))
 
 ORACLE["temperature_summary"] = _q("events", """
 tl AS (SELECT season, race_name, 'air_temp' AS variable, air_temp AS v FROM clean
@@ -521,12 +538,14 @@ ORACLE["high_correlation_pairs"] = _q("lineitem", FEAT_CORR_CTE, fin(
 ORACLE["preprocessing_summary"] = _q("events", "", fin("""
   SELECT season, race_name, count(*) AS rows, count(DISTINCT driver) AS drivers,
     sum(""" + " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in RAW_COLUMNS) + """) AS missing_cells,
+    """ + ", ".join(f"count(*) FILTER (WHERE compound = '{c}') AS {c.lower()}_laps" for c in COMPOUNDS_ALL) + """,
     count(*) FILTER (WHERE is_pit_lap) AS pit_laps, count(*) FILTER (WHERE is_sc_lap) AS sc_laps,
     count(*) FILTER (WHERE is_outlier) AS outliers, avg(lap_time) AS avg_lap_time, min(lap_time) AS min_lap_time,
     max(lap_time) AS max_lap_time
   FROM clean GROUP BY season, race_name""",
     doubles=("avg_lap_time", "min_lap_time", "max_lap_time"),
-    ints=("season", "rows", "drivers", "missing_cells", "pit_laps", "sc_laps", "outliers")))
+    ints=("season", "rows", "drivers", "missing_cells", "pit_laps", "sc_laps", "outliers",
+          *[f"{c.lower()}_laps" for c in COMPOUNDS_ALL])))
 
 ORACLE["temperature_trend"] = _q("events", """
 cbt AS (SELECT * FROM clean WHERE NOT is_pit_lap AND NOT is_outlier),
@@ -540,12 +559,18 @@ tt AS (SELECT season, race_name, 'air_temp' AS variable, air_temp AS x, lap_time
 MODEL_FEATURES = ("average_lap_time", "consistency_score", "tire_degradation_rate", "pit_stop_impact",
                   "sector_consistency")
 
-FOLDS = TARGET + """,
+
+
+def _model_input(features: tuple[str, ...]) -> str:
+    return TARGET + """,
 mi AS (
   SELECT season, race_name, driver, strong_performance AS label, """ + ",\n    ".join(
-    f"coalesce(CASE WHEN stddev_pop({f}) OVER w > 0 THEN ({f} - avg({f}) OVER w) / stddev_pop({f}) OVER w END, 0.0)"
-    f" AS {f}" for f in MODEL_FEATURES) + """
-  FROM target WINDOW w AS (PARTITION BY season, race_name)),
+        f"coalesce(CASE WHEN stddev_pop({f}) OVER w > 0 THEN ({f} - avg({f}) OVER w) / stddev_pop({f}) OVER w END, 0.0)"
+        f" AS {f}" for f in features) + """
+  FROM target WINDOW w AS (PARTITION BY season, race_name))"""
+
+
+FOLDS = _model_input(MODEL_FEATURES) + """,
 cls AS (SELECT season, race_name, label, count(*) AS c FROM mi GROUP BY season, race_name, label),
 nf AS (SELECT season, race_name, greatest(2, least(5, min(c))) AS n_folds FROM cls GROUP BY season, race_name),
 fo AS (
@@ -556,7 +581,7 @@ fo AS (
 ORACLE["cv_folds"] = _q("events", FOLDS, fin(
     "SELECT * FROM fo", doubles=MODEL_FEATURES, ints=("season", "label", "n_folds", "fold")))
 
-ORACLE["knn_oof"] = _q("events", FOLDS + """,
+KNN_OOF = FOLDS + """,
 pr AS (
   SELECT q.season, q.race_name, q.driver AS qid, t.driver AS tid, t.label AS y,
     sqrt(""" + " + ".join(f"pow(q.{f} - t.{f}, 2)" for f in MODEL_FEATURES) + """) AS d
@@ -564,7 +589,11 @@ pr AS (
 rk AS (SELECT *, row_number() OVER (PARTITION BY season, race_name, qid ORDER BY d, tid) AS r FROM pr),
 vt AS (SELECT season, race_name, qid, y, count(*) * 1.0 AS s FROM rk WHERE r <= 5 GROUP BY season, race_name, qid, y),
 kv AS (SELECT season, race_name, qid AS driver, first(y ORDER BY s DESC, y) AS pred_knn,
-    sum(CASE WHEN y = 1 THEN s ELSE 0.0 END) / sum(s) AS proba_knn FROM vt GROUP BY season, race_name, qid)""", fin("""
+    sum(CASE WHEN y = 1 THEN s ELSE 0.0 END) / sum(s) AS proba_knn FROM vt GROUP BY season, race_name, qid),
+oof AS (SELECT fo.season, fo.race_name, fo.driver, label, fold, n_folds, pred_knn, proba_knn
+  FROM fo LEFT JOIN kv USING (season, race_name, driver))"""
+
+ORACLE["knn_oof"] = _q("events", KNN_OOF, fin("""
   SELECT fo.season, fo.race_name, fo.driver, label, fold, n_folds, pred_knn, proba_knn
   FROM fo LEFT JOIN kv USING (season, race_name, driver)""",
     doubles=("proba_knn",), ints=("season", "label", "fold", "n_folds", "pred_knn")))
@@ -619,3 +648,143 @@ hs AS (SELECT mi.*, _n,
   SELECT season, race_name, driver, label, """ + ", ".join(MODEL_FEATURES) + """,
     (_c >= 2 AND _rn <= round(_c * CASE WHEN _n < 6 THEN 0.2 ELSE 0.3 END)) AS is_test FROM hs""",
     doubles=MODEL_FEATURES, ints=("season", "label")))
+
+# Two-sided p of a Pearson r over n pairs: 1 - I_y(1/2, a) with y = r^2, a = (n - 2) / 2, as the incomplete beta's series.
+WEATHER_R = """
+wr AS (SELECT season, race_name, 'air_temp' AS variable,
+    count(*) FILTER (WHERE air_temp IS NOT NULL AND lap_time IS NOT NULL) AS n_pairs, """ + safe_corr_sql(
+    "air_temp", "lap_time") + """ AS r FROM ca GROUP BY season, race_name
+  UNION ALL SELECT season, race_name, 'track_temp',
+    count(*) FILTER (WHERE track_temp IS NOT NULL AND lap_time IS NOT NULL), """ + safe_corr_sql(
+    "track_temp", "lap_time") + """ FROM ca GROUP BY season, race_name),
+wy AS (SELECT *, r * r AS y, (n_pairs - 2) / 2.0 AS a FROM wr WHERE n_pairs >= 5),
+wp AS (SELECT *, CASE WHEN r IS NULL THEN NULL WHEN abs(r) >= 1 THEN 0.0 WHEN r = 0 THEN 1.0 ELSE greatest(0.0, 1 - exp(
+      0.5 * ln(y) + a * ln(1 - y) - ln(0.5) - lgamma(0.5) - lgamma(a) + lgamma(a + 0.5)) * list_sum(list_transform(
+      range(0, 4000), lambda n: exp(lgamma(a + 0.5 + n) - lgamma(a + 0.5) - lgamma(1.5 + n) + lgamma(1.5) + n * ln(y))))) END
+    AS p_value FROM wy),
+weather AS (SELECT season, race_name, variable, n_pairs, r AS pearson_r, p_value, p_value < 0.05 AS significant,
+    CASE WHEN abs(r) < 0.1 THEN 'negligible' WHEN abs(r) < 0.3 THEN 'weak' WHEN abs(r) < 0.5 THEN 'moderate'
+      WHEN abs(r) < 0.7 THEN 'strong' WHEN r IS NOT NULL THEN 'very_strong' END AS strength,
+    CASE WHEN r > 0 THEN 'increasing' WHEN r IS NOT NULL THEN 'decreasing' END AS direction FROM wp)"""
+
+ORACLE["weather_correlation"] = _q("events", WEATHER_R, fin(
+    "SELECT * FROM weather", doubles=("pearson_r", "p_value"), ints=("season", "n_pairs")))
+
+
+def _dec(expr: str, digits: int) -> str:
+    return f"CAST(CAST(round({expr}, {digits}) AS DECIMAL(18, {digits})) AS VARCHAR)"
+
+
+def _row(table: str, category: str, seq: int, code: str, subject: str, value: str, level: str, where: str = "true") -> str:
+    return (f"SELECT season, race_name, '{category}' AS category, {seq} AS seq, {code} AS code, "
+            f"CAST({subject} AS VARCHAR) AS subject, {value} AS value, {level} AS level FROM {table} WHERE {where}")
+
+
+# No race of the fixtures is a known track, so every track row is N/A.
+ORACLE["race_findings"] = _q("events", """
+st AS (SELECT season, race_name, driver, min(lap_time) AS best, coalesce(stddev_samp(lap_time), 0.0) AS sd
+  FROM ca GROUP BY season, race_name, driver),
+sr AS (SELECT *, 1.0 / (1.0 + sd) AS cons,
+    row_number() OVER (PARTITION BY season, race_name ORDER BY 1.0 / (1.0 + sd) DESC, driver) AS rk FROM st),
+pf AS (SELECT season, race_name, arg_min(driver, rk) AS stable, arg_min(cons, rk) AS stable_score,
+    first(driver ORDER BY best, rk) AS fastest, min(best) AS fastest_lap, count(*) AS n, arg_max(driver, rk) AS worst,
+    arg_max(sd, rk) AS worst_sd FROM sr GROUP BY season, race_name),
+cs AS (SELECT season, race_name, compound, avg(lap_time) AS m FROM ca GROUP BY season, race_name, compound),
+cg AS (SELECT season, race_name, first(compound ORDER BY m, compound) AS best, min(m) AS m, max(m) - min(m) AS gap,
+    count(*) AS n FROM cs GROUP BY season, race_name),""" + CURVE + """,
+wd AS (SELECT fit.* FROM fit JOIN wst USING (season, race_name) WHERE compound = _worst),""" + PIT_WINDOWS.strip() + """,
+pdd AS (SELECT season, race_name, driver, round(sum(CAST(round(impact * 1000) AS BIGINT)) / count(*)) / 1000 AS i
+  FROM pd GROUP BY season, race_name, driver),
+pr AS (SELECT season, race_name, round(sum(CAST(round(i * 1000) AS BIGINT)) FILTER (WHERE i <> 0)
+      / count(*) FILTER (WHERE i <> 0)) / 1000 AS avg_i,
+    first(driver ORDER BY i DESC, length(driver), driver DESC) AS best, max(i) AS best_i FROM pdd GROUP BY season, race_name),
+ra AS (SELECT season, race_name, avg(track_temp) AS tt FROM clean GROUP BY season, race_name),
+pa_ AS (SELECT * FROM ra LEFT JOIN pr USING (season, race_name)),
+sl AS (SELECT season, race_name, driver, unnest([1, 2, 3]) AS s, unnest([sector1_time, sector2_time, sector3_time]) AS t FROM ca),
+sm AS (SELECT season, race_name, s, driver, avg(t) AS m FROM sl GROUP BY season, race_name, s, driver),
+sb AS (SELECT season, race_name, s, first(driver ORDER BY m, driver) AS driver, min(m) AS m FROM sm
+  WHERE m IS NOT NULL GROUP BY season, race_name, s),""" + WEATHER_R, fin("\nUNION ALL ".join([
+    _row("pf", "performance", 1, "'most_stable_driver'", "stable", _dec("stable_score", 3), "'positive'"),
+    _row("pf", "performance", 2, "'fastest_driver'", "fastest",
+         "printf('%d:%06.3f', CAST(floor(fastest_lap / 60) AS BIGINT), fastest_lap - floor(fastest_lap / 60) * 60)", "'positive'"),
+    _row("pf", "performance", 3, "'speed_vs_stability'", "fastest || '/' || stable", "'opposite_profiles'", "'neutral'",
+         "fastest <> stable"),
+    _row("cg", "tire", 1, "'best_compound'", "best", _dec("m", 3), "'positive'"),
+    _row("wd", "tire", 2, "'worst_degradation'", "compound", _dec("degradation_rate", 4),
+         "CASE WHEN degradation_rate > 0.1 THEN 'warning' ELSE 'neutral' END"),
+    _row("cg", "tire", 3, "'compound_gap'", "NULL", _dec("gap", 3), "'info'", "n >= 2 AND gap > 0.3"),
+    _row("pa_", "pit", 1, "CASE WHEN avg_i > 0.5 THEN 'pit_clear_benefit' ELSE 'pit_impact' END", "'all_drivers'",
+         _dec("avg_i", 3), "CASE WHEN avg_i > 0 THEN 'positive' ELSE 'warning' END", "avg_i IS NOT NULL"),
+    _row("pa_", "pit", 1, "'pit_no_data'", "'N/A'", "NULL", "'neutral'", "avg_i IS NULL"),
+    _row("pa_", "pit", 2, "'best_pit_driver'", "best", _dec("best_i", 3), "'positive'", "best_i > 0"),
+    _row("weather", "weather", 1, "CASE WHEN significant THEN 'temp_effect_' || direction ELSE 'temp_effect_not_significant' END",
+         "variable", _dec("pearson_r", 3), "CASE WHEN significant THEN 'info' ELSE 'neutral' END",
+         "(abs(pearson_r) > 0.3 AND significant) OR NOT significant"),
+    _row("ra", "weather", 2, "CASE WHEN tt > 40 THEN 'track_temp_high' WHEN tt > 30 THEN 'track_temp_medium' "
+         "ELSE 'track_temp_low' END", "'track_temp'", _dec("tt", 1), "CASE WHEN tt > 45 THEN 'warning' ELSE 'neutral' END"),
+    _row("pf", "driver", 1, "'least_consistent_driver'", "worst", _dec("worst_sd", 3), "'warning'", "n >= 3"),
+    _row("sb", "driver", 2, "'fastest_sector' || s", "driver", _dec("m", 3), "'positive'"),
+    _row("ra", "track", 1, "'track_profile'", "race_name", "'drs=N/A pit_window=N/A'", "'neutral'")]), ints=("season", "seq")))
+
+ORACLE["knn_fold_scores"] = _q("events", KNN_OOF + """,
+kc AS (SELECT season, race_name, fold, label AS c FROM oof UNION SELECT season, race_name, fold, pred_knn FROM oof),
+pc AS (SELECT season, race_name, fold, c, count(*) FILTER (WHERE pred_knn = c AND label = c) AS tp,
+    count(*) FILTER (WHERE pred_knn = c) AS pp, count(*) FILTER (WHERE label = c) AS ap
+  FROM oof JOIN kc USING (season, race_name, fold) GROUP BY season, race_name, fold, c),
+pm AS (SELECT season, race_name, fold, avg(CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END) AS precision_knn,
+    avg(CASE WHEN ap > 0 THEN tp / ap ELSE 0.0 END) AS recall_knn,
+    avg(CASE WHEN tp > 0 THEN 2.0 * tp / (pp + ap) ELSE 0.0 END) AS f1_knn FROM pc GROUP BY season, race_name, fold),
+ac AS (SELECT season, race_name, fold, avg(CAST(pred_knn = label AS DOUBLE)) AS acc_knn FROM oof
+  GROUP BY season, race_name, fold)""", fin("SELECT * FROM ac JOIN pm USING (season, race_name, fold)",
+    doubles=("acc_knn", "precision_knn", "recall_knn", "f1_knn"), ints=("season", "fold")))
+
+# AUC as its definition: the share of (1, 0) pairs in the right order, ties a half.
+ORACLE["knn_errors"] = _q("events", KNN_OOF + """,
+er AS (SELECT season, race_name, 'kNN' AS model, count(*) FILTER (WHERE pred_knn = 1 AND label = 1) AS tp,
+    count(*) FILTER (WHERE pred_knn = 1 AND label = 0) AS fp, count(*) FILTER (WHERE pred_knn = 0 AND label = 0) AS tn,
+    count(*) FILTER (WHERE pred_knn = 0 AND label = 1) AS fn, avg(CAST(pred_knn <> label AS DOUBLE)) AS error_rate,
+    count(*) FILTER (WHERE pred_knn <> label AND greatest(proba_knn, 1 - proba_knn) >= 0.7) AS high_conf_errors
+  FROM oof GROUP BY season, race_name),
+au AS (SELECT a.season, a.race_name, avg(CASE WHEN a.proba_knn > b.proba_knn THEN 1.0
+      WHEN a.proba_knn = b.proba_knn THEN 0.5 ELSE 0.0 END) AS auc
+  FROM oof a JOIN oof b ON a.season = b.season AND a.race_name = b.race_name AND a.label = 1 AND b.label = 0
+  GROUP BY a.season, a.race_name)""", fin("SELECT * FROM er LEFT JOIN au USING (season, race_name)",
+    doubles=("error_rate", "auc"), ints=("season", "tp", "fp", "tn", "fn", "high_conf_errors")))
+
+ORACLE["knn_roc"] = _q("events", KNN_OOF + """,
+th AS (SELECT DISTINCT season, race_name, proba_knn AS threshold FROM oof),
+rc AS (SELECT season, race_name, threshold,
+    count(*) FILTER (WHERE label = 1 AND proba_knn >= threshold) / nullif(count(*) FILTER (WHERE label = 1), 0) AS tpr,
+    count(*) FILTER (WHERE label = 0 AND proba_knn >= threshold) / nullif(count(*) FILTER (WHERE label = 0), 0) AS fpr
+  FROM th JOIN oof USING (season, race_name) GROUP BY season, race_name, threshold),
+rj AS (SELECT *, coalesce(tpr, 0.0) - coalesce(fpr, 0.0) AS youden_j FROM rc),
+rb AS (SELECT season, race_name, first(threshold ORDER BY youden_j DESC, threshold DESC) AS best, max(youden_j) AS j
+  FROM rj GROUP BY season, race_name)""", fin("""
+  SELECT rj.*, 'knn' AS model, threshold = best AND j > 0 AS is_best FROM rj JOIN rb USING (season, race_name)""",
+    doubles=("threshold", "tpr", "fpr", "youden_j"), ints=("season",)))
+
+HOLDOUT_FEATURES = MODEL_FEATURES + ("air_temp", "track_temp")
+ORACLE["knn_holdout"] = _q("events", _model_input(HOLDOUT_FEATURES) + """,
+hn AS (SELECT season, race_name, count(*) AS _n FROM mi GROUP BY season, race_name),
+hs AS (SELECT mi.*, row_number() OVER (PARTITION BY season, race_name, label
+      ORDER BY md5(concat_ws('|', '42', CAST(season AS VARCHAR), race_name, driver)), driver) <= round(
+      count(*) OVER (PARTITION BY season, race_name, label) * CASE WHEN _n < 6 THEN 0.2 ELSE 0.3 END)
+    AND count(*) OVER (PARTITION BY season, race_name, label) >= 2 AS is_test FROM mi JOIN hn USING (season, race_name)),
+pr AS (SELECT q.season, q.race_name, q.driver AS qid, q.label, t.driver AS tid, t.label AS y,
+    sqrt(""" + " + ".join(f"pow(q.{f} - t.{f}, 2)" for f in HOLDOUT_FEATURES) + """) AS d
+  FROM hs q JOIN hs t ON q.season = t.season AND q.race_name = t.race_name AND q.is_test AND NOT t.is_test),
+rk AS (SELECT *, row_number() OVER (PARTITION BY season, race_name, qid ORDER BY d, tid) AS r FROM pr),
+vt AS (SELECT season, race_name, qid, label, y, count(*) AS s FROM rk WHERE r <= 5 GROUP BY ALL),
+pd_ AS (SELECT season, race_name, qid, label, first(y ORDER BY s DESC, y) AS p FROM vt GROUP BY ALL),
+cm AS (SELECT season, race_name, count(*) AS n_test, count(*) FILTER (WHERE label = 0 AND p = 0) AS tn,
+    count(*) FILTER (WHERE label = 0 AND p = 1) AS fp, count(*) FILTER (WHERE label = 1 AND p = 0) AS fn,
+    count(*) FILTER (WHERE label = 1 AND p = 1) AS tp FROM pd_ GROUP BY season, race_name),
+nt AS (SELECT season, race_name, count(*) AS n_train FROM hs WHERE NOT is_test GROUP BY season, race_name)""", fin("""
+  SELECT season, race_name, n_train, 'kNN' AS model, n_test, tn, fp, fn, tp, (tn + tp) / n_test AS accuracy,
+    CASE WHEN tn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS precision_0, CASE WHEN tn > 0 THEN tn / (tn + fp) ELSE 0.0 END AS recall_0,
+    CASE WHEN tn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0.0 END AS f1_0,
+    CASE WHEN tp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision_1, CASE WHEN tp > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall_1,
+    CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_1
+  FROM nt JOIN cm USING (season, race_name)""",
+    doubles=("accuracy", "precision_0", "recall_0", "f1_0", "precision_1", "recall_1", "f1_1"),
+    ints=("season", "n_train", "n_test", "tn", "fp", "fn", "tp")))

@@ -40,7 +40,22 @@ def test_pipeline_and_incremental(spark):
     # second run: everything already complete -> nothing to do
     assert run_pipeline(spark, raw, out, with_models=False) == {}
     summary = spark.read.parquet(f"{out}/race_summary").collect()
-    assert len(summary) == 2 and all(r.fastest_driver for r in summary)
+    assert len(summary) == 2 and all(r.fastest_driver and r.total_laps and r.processed_at for r in summary)
+    stats = spark.read.parquet(f"{out}/driver_stats")
+    assert stats.count() == spark.read.parquet(paths["driver_matrix"]).count()
+    assert stats.where("cluster_label IS NULL OR strong_performance IS NULL").count() == 0
+
+
+def test_reprocessed_race_without_rows_keeps_none(spark):
+    path = tempfile.mkdtemp(prefix="lapstats-drop-") + "/t"
+    races = spark.createDataFrame([(2024, "São Paulo"), (2024, "B")], "season int, race_name string")
+    store.drop_races(spark, path, races)  # no table yet
+    store.write_partitioned(races.withColumn("x", F.lit(1)), path)
+    store.drop_races(spark, path, races.where("race_name <> 'B'"))
+    assert [r.race_name for r in spark.read.parquet(path).collect()] == ["B"]
+    store.drop_races(spark, path, races)
+    store.write_partitioned(races.withColumn("x", F.lit(2)).limit(1), path)
+    assert spark.read.parquet(path).count() == 1
 
 
 def test_streaming_incremental(spark):
