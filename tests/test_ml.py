@@ -119,3 +119,25 @@ def test_tree_splits_neighbouring_floats(spark):
     df = spark.createDataFrame([("r", "x", 0, high), ("r", "y", 1, top)], "race string, driver string, label int, a double")
     got = ML.tree_predict(ML.tree_fit(df, ["race"], ["a"]), df, ["race"], ["a"]).collect()
     assert {(r.driver, r.pred) for r in got} == {("x", 0), ("y", 1)}
+
+
+def test_comparison_rules_and_winner(spark):
+    from lapstats.operators import evaluate as EV
+    from lapstats.operators import tuning as TU
+
+    key = ["race"]
+    summary = spark.createDataFrame(
+        [("a", "Decision Tree", 0.8, 0.9, 0.2), ("a", "kNN", 0.8, 0.8, 0.1),
+         ("b", "Decision Tree", 0.5, None, 0.1), ("b", "kNN", 0.6, 0.54, 0.16)],
+        "race string, model string, cv_mean_acc double, auc double, overfit_gap double")
+    grid = spark.createDataFrame(
+        [("a", "kNN", 3, "p3", 0.7), ("a", "kNN", 1, "p1", 0.7), ("a", "Decision Tree", 0, "t0", 0.6)],
+        "race string, model string, config int, params string, mean_score double")
+    got = {(r.race, r.model): r for r in EV.comparison_table(summary, grid, key).collect()}
+    assert got["a", "kNN"].best_params == "p1" and got["a", "kNN"].gs_best_score == 0.7
+    assert got["a", "kNN"].auc_rule == "tree_higher" and got["b", "kNN"].auc_rule == "similar"
+    assert [got["a", m].overfit_risk for m in ("Decision Tree", "kNN")] == [True, False]
+    assert got["b", "kNN"].overfit_risk and got["b", "kNN"].best_params is None
+    scores = summary.withColumnRenamed("cv_mean_acc", "accuracy")
+    won = {r.race: r.winner for r in TU.model_winner(scores, key).collect()}
+    assert won == {"a": "Decision Tree", "b": "kNN"}  # a tie goes to the tree
