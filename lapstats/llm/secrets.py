@@ -94,11 +94,41 @@ def is_der_key(data: bytes) -> bool:
     """A SEQUENCE to the end with an object identifier, or with the integers of a key."""
     if len(data) < 30 or data[0] != _SEQUENCE:
         return False
-    tags = der_tags(data)
+    return _is_key_tags(der_tags(data))
+
+
+def _is_key_tags(tags: list[int] | None) -> bool:
     return bool(tags) and tags.count(_SEQUENCE) >= 1 and (
         _OBJECT in tags and bool({_OCTETS, 3} & set(tags)) or tags.count(_INTEGER) >= 2)
 
 
+def _der_end(data: bytes, at: int) -> int | None:
+    """Where the key whose SEQUENCE begins at ``at`` ends, by its own length; None if there is no key."""
+    if at + 2 > len(data) or data[at] != _SEQUENCE:
+        return None
+    size, body = data[at + 1], at + 2
+    if size >= 0x80:
+        body += size & 0x7F
+        size = int.from_bytes(data[at + 2:body], "big")
+    end = body + size
+    return end if 30 <= end - at <= len(data) - at and _is_key_tags(der_tags(data, at, end)) else None
+
+
+def _hex_keys(run: str) -> list[tuple[int, int]]:
+    """Spans of DER keys in a run of hexadecimal digits: the whole run, or else keys that begin inside it."""
+    if len(run) % 2 == 0 and is_der_key(bytes.fromhex(run)):
+        return [(0, len(run))]
+    out: list[tuple[int, int]] = []
+    data = [bytes.fromhex(run[odd:len(run) - (len(run) - odd) % 2]) for odd in (0, 1)]
+    at = run.find("30")
+    while at >= 0:
+        end = _der_end(data[at % 2], at // 2)
+        if end is not None:
+            out.append((at, 2 * end + at % 2))
+        at = run.find("30", at + 1 if end is None else out[-1][1])
+    return out
+
+
 def _strings(data: bytes, at: int) -> list[bytes] | None:
     """Fields with a 32-bit length before them, up to the end of ``data``."""
     out = []
@@ -162,9 +192,8 @@ def find(text: str) -> list[tuple[str, int, int]]:
         data = decode_base64(m[0])
         if data and (is_der_key(data) or is_ssh_key(data)):
             out.append(("der" if data[0] == _SEQUENCE else "ssh", m.start(), m.end()))
-        if _ANY_HEX.match(m[0]):
-            out += [("hexder", m.start() + h.start(), m.start() + h.end()) for h in _ANY_HEX.finditer(m[0])
-                    if len(h[0]) % 2 == 0 and is_der_key(bytes.fromhex(h[0]))]
+    for m in _ANY_HEX.finditer(text):
+        out += [("hexder", m.start() + s, m.start() + e) for s, e in _hex_keys(m[0])]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

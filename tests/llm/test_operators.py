@@ -312,6 +312,15 @@ def test_secrets_are_confirmed_by_structure():
     assert [s[0] for s in secrets.find(base64.b64encode(blob).decode())] == ["ssh"]
 
 
+def test_hex_keys_behind_a_prefix():
+    key = _der(0x30, _der(2, b"\0") + _der(2, bytes(range(1, 129))) + _der(2, b"\1\0\1"))
+    for digits in (key.hex(), key.hex().upper()):
+        for before in ("0x", "key_", "id-", "path/", "Key=", "\\x", "abc", "0030"):
+            spans = [s for s in secrets.find(before + digits + " end") if s[0] == "hexder"]
+            assert spans == [("hexder", len(before), len(before) + len(digits))], before
+    assert not [s for s in secrets.find("0x" + key.hex()[:-2]) if s[0] == "hexder"]
+
+
 # --- licenses ---
 
 def test_licenses_on_documents(spark, texts):
