@@ -4,7 +4,8 @@ Three base kinds are reported by their pattern alone: ``assign``, ``access``,
 ``hex``. The other kinds are reported only after their content was decoded and
 parsed to its end:
 
-* ``pem``: armoured block whose base64 is a DER structure or an OpenSSH container;
+* ``pem``: armoured block whose base64 is a DER structure or an OpenSSH container; its line
+  breaks may be escaped, and its lines quoted, joined by operators or marked as in a diff;
 * ``jwt``: signed token whose header is a JSON object with a known ``alg``, whose
   payload is a JSON object and whose signature has the length that ``alg`` needs;
 * ``der``: base64 of a DER SEQUENCE whose nested lengths add up to the end and
@@ -13,6 +14,10 @@ parsed to its end:
   fields add up to the end;
 * ``hexder``: the same DER check on hexadecimal digits of either case.
 
+The last three may begin and end inside a longer run of their alphabet: such keys are cut out by
+their own lengths. Base64 may go on over consecutive lines, broken in the ways named for ``pem``;
+inside an armoured block that is reported, only single lines are looked at.
+
 Spans are in code points, end exclusive. Defined cases: a null text is empty and
 has no spans; repeated rows are scanned alike; an empty table gives an empty
 result; columns other than id and text are ignored.
@@ -24,7 +29,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,10 +49,20 @@ _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]{24,}")  # the run is taken whole, so shorter runs never hide part of a longer one
 
 _WORDS = ("passw", "secret", "token", "api")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:(?!-----).)+)-?-----END \1-----", re.S)
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{40,}={0,2}")
 _ANY_HEX = re.compile("[0-9A-Fa-f]{64,}")
+_BREAK = r"(?:\\+[rn]|\r?\n|\r)"
+#: Between two lines of base64: ends of lines, escaped or not, with quotes, operators and marks of comments or quoted mail.
+_QUOTE = r"""["'`][ \t]*+[+.,;]?[ \t]*+\\?"""
+_BETWEEN = re.compile(rf"""(?:{_BREAK}++(?:(?:{_QUOTE}|[ \t]*+\\){_BREAK}++)?|(?:{_QUOTE}|[ \t]*+\\?){_BREAK}++)"""
+                      r"""[ \t]*+(?:[#>*|]++[ \t]*+|//[ \t]++)?(?:[+.][ \t]++)?["'`]?""")
+_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{40,}}(?:{_BETWEEN.pattern}[A-Za-z0-9+/_-]+)*")
+#: How the base64 of a SEQUENCE, of an OpenSSH container and of a key blob begins.
+_HEAD = re.compile("M[A-P]|b3BlbnNzaC1rZXktdjEA|AAAA[A-Z]")
+#: Fields of a key blob by what its type begins with.
+_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed": 2, b"ecdsa-sha2": 3}
 #: Bytes of a signature by algorithm; RSA signatures have the length of the key.
 _SIGNATURE = {"HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES384": {96}, "ES512": {132}, "EdDSA": {64, 114},
               **{a + n: {128, 256, 384, 512, 1024} for a in ("RS", "PS") for n in ("256", "384", "512")}}
@@ -157,6 +174,97 @@ def is_ssh_key(data: bytes) -> bool:
     return bool(fields) and len(fields) >= 2 and bool(re.fullmatch(rb"(ssh|ecdsa-sha2)-[a-z0-9-]+(@openssh\.com)?", fields[0]))
 
 
+def _ssh_end(data: bytes, at: int) -> int | None:
+    """Where the OpenSSH container or key blob that begins at ``at`` ends, by its own lengths; None if there is none."""
+    magic = b"openssh-key-v1\0"
+    start, left, kind = at, 0, b""
+    if boxed := data.startswith(magic, at):
+        at, left = at + len(magic), 3
+    else:
+        size = int.from_bytes(data[at:at + 4], "big")
+        kind = data[at + 4:at + 4 + size] if 7 <= size <= 64 else b""
+        left = next((n for k, n in _FIELDS.items() if kind.startswith(k)), 0)
+    while left:
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+        left -= 1
+        if boxed and not left:  # after cipher, key derivation and its options: the public keys and the private part
+            left, at, boxed = int.from_bytes(data[at:at + 4], "big") + 1, at + 4, False
+    return at if start < at <= len(data) and is_ssh_key(data[start:at]) else None
+
+
+def _inner_keys(run: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of keys that begin anywhere in a run of base64, cut out by their own lengths."""
+    out: list[tuple[str, int, int]] = []
+    decoded: dict[int, bytes] = {}
+    found = _HEAD.search(run)
+    while found:
+        at = found.start()
+        next_at = at + 1
+        phase = at % 4
+        if phase not in decoded:
+            body = run[phase:].translate(str.maketrans("-_", "+/"))
+            body = body[:len(body) - (len(body) % 4 == 1)]
+            decoded[phase] = base64.b64decode(body + "=" * (-len(body) % 4))
+        data, start = decoded[phase], (at - phase) // 4 * 3
+        end = _der_end(data, start) if run[at] == "M" else _ssh_end(data, start)
+        if end is not None:
+            stop = at + -(-(end - start) * 4 // 3)
+            if decode_base64(run[at:stop]) is not None:  # one alphabet
+                out.append(("der" if run[at] == "M" else "ssh", at, stop))
+                next_at = stop
+        found = _HEAD.search(run, next_at)
+    return out
+
+
+def _wrapped_keys(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """Keys in the lines of base64 at ``start`` to ``end``, read as one run; with and without the marks of a diff."""
+    lines, at = [], start
+    for gap in _BETWEEN.finditer(text, start, end):
+        lines.append((at, gap.start()))
+        at = gap.end()
+    lines.append((at, end))
+    ways = [lines]
+    if len(lines) > 1 and text[lines[1][0]] in "+-":
+        mark = text[lines[1][0]]
+        added = list(takewhile(lambda x: text[x[0]] == mark, lines[1:]))
+        first = lines[0][0] + (text[lines[0][0]] == mark)
+        ways.append([(first, lines[0][1]), *((a + 1, b) for a, b in added)])
+        if len(added) > 1 or first > lines[0][0]:
+            ways.reverse()  # one line may begin with such a letter by chance
+    out: list[tuple[str, int, int]] = []
+    for way in ways:
+        run = "".join(text[a:b] for a, b in way)
+        if not _HEAD.search(run):
+            continue
+        firsts = list(accumulate((b - a for a, b in way), initial=0))[:-1]
+        place = lambda k: way[i := bisect_right(firsts, k) - 1][0] + k - firsts[i]  # noqa: B023, E731
+        spans = []
+        for kind, s, e in _inner_keys(run):
+            stop = place(e - 1) + 1
+            spans.append((kind, place(s), stop + len(re.match("={0,2}", text[stop:stop + 2])[0])))
+        before = sorted(out, key=lambda x: x[1])
+        for found in spans:  # those of one way are disjoint
+            at = bisect_right(before, found[2] - 1, key=lambda x: x[1])
+            if not at or before[at - 1][2] <= found[1]:
+                out.append(found)
+    return out
+
+
+_MARK = re.compile(r"""^\s*(?:[#>*|;+-]|//(?=\s))?\s*(?:[+.]\s+)?["'`]?""")
+_TAIL = re.compile(r"""(?:["'`]\s*[+.,;)]*|\\)?\s*$""")
+
+
+def is_pem_body(body: str) -> bool:
+    """Whether the lines of an armoured block hold a key, as they are or without escapes, quotes and marks."""
+    plain = re.sub(r"\\+(?:[rnt]|u000[aAdD])", "\n", body)
+    for escape, letter in ((r"\\+/", "/"), (r"\\+u002[bB]", "+"), (r"\\+u002[fF]", "/"), (r"\\+u003[dD]", "=")):
+        plain = re.sub(escape, letter, plain)
+    bare = "".join(_MARK.sub("", _TAIL.sub("", line, count=1), count=1) for line in plain.splitlines())
+    return any(data and (is_der_key(data) or is_ssh_key(data)) for data in (decode_base64(plain), decode_base64(bare)))
+
+
 def is_signed_token(text: str) -> bool:
     head, payload, signature = text.split(".")
     parts = [decode_base64(x) for x in (head, payload)]
@@ -182,16 +290,24 @@ def find(text: str) -> list[tuple[str, int, int]]:
         out += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = decode_base64(m[2])
-            if data and (is_der_key(data) or is_ssh_key(data)):
-                out.append(("pem", m.start(), m.end()))
+        out += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if is_pem_body(m[2])]
+    armoured = [(s, e) for k, s, e in out if k == "pem"]
     if "eyJ" in text:
         out += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
+    whole = []
     for m in _BASE64.finditer(text):
         data = decode_base64(m[0])
         if data and (is_der_key(data) or is_ssh_key(data)):
-            out.append(("der" if data[0] == _SEQUENCE else "ssh", m.start(), m.end()))
+            whole.append(("der" if data[0] == _SEQUENCE else "ssh", m.start(), m.end()))
+    known = sorted([*armoured, *((s, e) for _, s, e in whole)])
+    tops = list(accumulate((e for _, e in known), max))
+    for m in _LINES.finditer(text):
+        for found in _wrapped_keys(text, m.start(), m.end()):
+            # Those that lie in a block or run already reported are the same key.
+            at = bisect_right(known, (found[1], len(text)))
+            if not at or tops[at - 1] <= found[1]:
+                whole.append(found)
+    out += whole
     for m in _ANY_HEX.finditer(text):
         out += [("hexder", m.start() + s, m.start() + e) for s, e in _hex_keys(m[0])]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

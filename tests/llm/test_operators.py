@@ -321,6 +321,32 @@ def test_hex_keys_behind_a_prefix():
     assert not [s for s in secrets.find("0x" + key.hex()[:-2]) if s[0] == "hexder"]
 
 
+def _wrapped(text, width, between="\n"):
+    return between.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def test_base64_keys_that_are_not_one_clean_run():
+    rsa = _der(0x30, _der(2, b"\0") + _der(2, bytes(range(1, 200)) + bytes(57)) + _der(2, b"\1\0\1") + _der(2, bytes(range(90, 190))))
+    field = lambda *xs: b"".join(len(x).to_bytes(4, "big") + x for x in xs)
+    blob = field(b"ssh-rsa", b"\1\0\1", bytes(range(1, 250)) + bytes(8))
+    box = b"openssh-key-v1\0" + field(b"none", b"none", b"") + b"\0\0\0\1" + field(blob, bytes(range(200)))
+    for kind, data in (("der", rsa), ("ssh", blob), ("ssh", box)):
+        key = base64.b64encode(data).decode()
+        forms = [(b, key, a) for b in ("key-", "path/", "+", "a", "ab", "abc", "id_") for a in ("", " end", "\nend")]
+        forms += [("x: ", _wrapped(key, w, s), a) for w in (64, 76) for s in ("\n", "\r\n", "\n  ", "\\n", "\\r\\n", '" +\n  "', "\n> ")
+                  for a in (" end", "\nend", "\n")]
+        forms += [('"\\n', _wrapped(key, 64, "\\n"), '\\n"'), ("+", _wrapped(key, 64, "\n+"), "\n }"), ("-", _wrapped(key, 64, "\n-"), "\n+x")]
+        for before, body, after in forms:
+            spans = [s for s in secrets.find(before + body + after) if s[0] in ("der", "ssh")]
+            assert spans == [(kind, len(before), len(before) + len(body))], (kind, before, body[60:90], after)
+        if data is blob:
+            continue
+        for s in ("\n", "\\n", "\\\\n", "\\r\\n", '\\n" +\n    "', "\n+", "\n-", "\n> ", "\n# ", "\\n\\\n"):
+            pem = s.join(["-----BEGIN PRIVATE KEY-----", *_wrapped(key, 64).split("\n"), "-----END PRIVATE KEY-----"])
+            assert [x for x in secrets.find('k = "' + pem + '"') if x[0] == "pem"] == [("pem", 5, 5 + len(pem))], s
+        assert not [s for s in secrets.find("key-" + _wrapped(key[:-8], 64)) if s[0] in ("der", "ssh", "pem")]
+
+
 # --- licenses ---
 
 def test_licenses_on_documents(spark, texts):
