@@ -9,7 +9,12 @@ a band around its diagonals, and matches that cover enough of the template are
 reported with their coverage and span.
 
 The index is built from the templates given, is small, and travels with the
-task; texts are scanned whole and nothing is shuffled.
+task; texts are scanned whole and nothing is shuffled. A group is aligned only
+if enough of the template's words occur within its band, whatever their order.
+
+The templates are notices, headers and the whole texts in ``license_texts``.
+Texts that differ little, as headers of the GNU licenses do, match each other's
+templates; coverage and then matched words tell which is nearest.
 
 Defined cases: null and empty texts have no match; templates of fewer than 3
 words are rejected; overlapping matches of one template are reported once, the
@@ -23,6 +28,7 @@ import re
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +41,11 @@ from lapstats.llm.hashing import mix, words
 
 SHINGLE, WINDOW, BAND = 3, 3, 6
 
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {} as published by the "
+    "Free Software Foundation, either version {} of the License, or (at your option) any later version.")
 # Notices as their licenses or stewards word them.
-TEMPLATES = {
+NOTICES = {
     "MIT-notice": "Released under the MIT License.",
     "MIT-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -57,8 +66,47 @@ TEMPLATES = {
     "ISC-text": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "All-rights-reserved-notice": "All rights reserved.",
+    "Apache-2.0-header": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License."),
+    "GPL-2.0-header": _GNU.format("GNU General Public License", 2),
+    "LGPL-2.1-header": _GNU.replace("This program", "This library").format("GNU Lesser General Public License", 2.1),
+    "LGPL-3.0-header": _GNU.format("GNU Lesser General Public License", 3),
+    "AGPL-3.0-header": _GNU.format("GNU Affero General Public License", 3),
+    "AGPL-3.0-network-use": (
+        "Notwithstanding any other provision of this License, if you modify the Program, your modified version must "
+        "prominently offer all users interacting with it remotely through a computer network (if your version supports such "
+        "interaction) an opportunity to receive the Corresponding Source of your version by providing access to the "
+        "Corresponding Source from a network server at no charge, through some standard or customary means of facilitating "
+        "copying of software."),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "BSD-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC-BY-SA-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC-BY-NC-4.0-text": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty."),
 }
 
+
+def license_texts() -> dict[str, str]:
+    """The whole texts that lie beside this module, by SPDX name, without copyright lines and appendices."""
+    folder = resources.files(__package__) / "license_texts"
+    return {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8")
+            for f in sorted(folder.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")}
+
+
+TEMPLATES = NOTICES | license_texts()
+
 #: The same words as hashing.words takes, with their places.
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
 
@@ -82,12 +130,14 @@ class Index:
 
     def __init__(self, templates: dict[str, str]) -> None:
         self.words: dict[str, list[int]] = {}
+        self.arrays: dict[str, np.ndarray] = {}
         self.places: defaultdict[int, list[tuple[str, int]]] = defaultdict(list)
         for name, text in templates.items():
             h = _hashes(text)
             if len(h) < SHINGLE:
                 raise ValueError(f"template {name} has fewer than {SHINGLE} words")
             self.words[name] = h.tolist()
+            self.arrays[name] = h
             code = _shingles(h)
             # Of equal values in a window the last one.
             picked = {min(range(i, min(i + WINDOW, len(code))), key=lambda j: (int(code[j]), -j))
@@ -96,6 +146,19 @@ class Index:
                 self.places[int(code[j])].append((name, j))
         self.prints = np.array(sorted(self.places), np.uint64)
 
+    def may_cover(self, name: str, h: np.ndarray, low: int, high: int, least: float) -> bool:
+        """Whether enough of the template's words occur in the text within the diagonals, each by itself."""
+        template = self.arrays[name]
+        need = least * len(template)
+        if min(high + len(template), len(h)) - max(low, 0) < need:
+            return False
+        found = np.zeros(len(template), bool)
+        for d in range(low, high + 1):
+            a, b = max(-d, 0), min(len(template), len(h) - d)
+            if a < b:
+                found[a:b] |= template[a:b] == h[a + d:b + d]
+        return int(found.sum()) >= need
+
     def match(self, text: str, least: float) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, start, end) of a text's matches by start."""
         h = _hashes(text)
@@ -117,6 +180,8 @@ class Index:
             # Narrower for short templates, so that one match does not reach into the next.
             band = min(BAND, max(len(self.words[name]) // 3, 1))
             for low, high in _groups(sorted(diagonals), band):
+                if not self.may_cover(name, h, low - band, high + band, least):
+                    continue
                 got = align(self.words[name], h, low - band, high + band)
                 if got and got[0] / len(self.words[name]) >= least:
                     taken.append((got[0] / len(self.words[name]), *got))

@@ -6,6 +6,7 @@ import json
 import re
 import zlib
 from collections import Counter
+from importlib import metadata
 
 import numpy as np
 import public_tokenizers
@@ -368,6 +369,39 @@ def test_license_alignment_survives_edits():
         licenses.Index({"x": "two words"})
 
 
+def test_licenses_of_installed_packages():
+    """An independent list: packages name their license in their metadata and carry its text."""
+    family = {"MIT": "MIT", "MIT License": "MIT", "BSD-3-Clause": "BSD-3-Clause", "BSD-2-Clause": "BSD-2-Clause",
+              "Apache-2.0": "Apache-2.0", "Apache Software License": "Apache-2.0", "MPL-2.0": "MPL-2.0",
+              "Mozilla Public License 2.0 (MPL 2.0)": "MPL-2.0"}
+    index = licenses.Index(licenses.TEMPLATES)
+    seen = Counter()
+    for d in metadata.distributions():
+        named = [x.split(" :: ")[-1] for x in d.metadata.get_all("Classifier") or [] if x.startswith("License")]
+        want = {family[x] for x in [*named, d.metadata.get("License-Expression") or ""] if x in family}
+        files = [f for f in d.files or [] if re.fullmatch(r"LICENSE(\.txt|\.md)?", f.name) and ".dist-info" in str(f) and f.locate().exists()]
+        if len(want) != 1 or not files:
+            continue
+        found = {m[0] for f in files for m in index.match(f.read_text(encoding="utf-8"), 0.8)}
+        assert any(f.startswith(w) for f in found for w in want), (d.metadata["Name"], want, found)
+        seen.update(want)
+    assert not seen or sum(seen.values()) > 5
+
+
+def test_whole_licenses_and_headers():
+    index = licenses.Index(licenses.TEMPLATES)
+    assert {"MPL-2.0", "LGPL-2.1", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense", "BSL-1.0", "Apache-2.0", "GPL-3.0"} <= set(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        (best, *_), *_ = sorted(index.match("Head. " + text + " Tail.", 0.8), key=lambda m: (-m[2], -m[1], m[0]))
+        assert best == name
+    best = lambda t: max(index.match(t, 0.8), key=lambda m: m[1:3])[0]
+    assert best("(c) 2020 A. All rights reserved.") == "All-rights-reserved-notice"
+    header = licenses.TEMPLATES["GPL-text"].replace("General", "{} General")
+    assert best(header.format("Lesser")) == "LGPL-3.0-header" and best(header.format("Affero")) == "AGPL-3.0-header"
+    # The words of a text in another order are no match.
+    assert not index.match(" ".join(sorted(licenses.TEMPLATES["MPL-2.0"].split())), 0.8)
+
+
 def test_scans_awkward(spark):
     for op in (secrets, licenses):
         assert op.scan(awkward(spark)).count() == len(ROWS) and op.scan(awkward(spark).filter("doc_id > 99")).count() == 0
