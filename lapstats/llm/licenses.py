@@ -1,12 +1,19 @@
-"""License scan: winnowed template fingerprints pick candidates, banded alignment confirms them.
+"""License scan: template fingerprints pick candidates, banded alignment confirms them.
 
-Templates are cut into words; the hashes of their 3-word shingles are winnowed
-(the smallest of each 3 in a row) into an inverted index fingerprint -> (template,
-place). A run of 5 words that a text shares with a template holds an indexed
-shingle, so every text with such a run is a candidate. The text's hits of one
-template are grouped by diagonal; each group is aligned with the template inside
-a band around its diagonals, and matches that cover enough of the template are
-reported with their coverage and span.
+Templates are cut into words; an inverted index holds fingerprint -> (template,
+place). What is indexed depends on the least coverage, so that no match is
+missed:
+
+* of templates of up to 32 words, single words: one more, the rarer ones, than a
+  match may leave out, so every match holds one;
+* of longer ones the hashes of their 3-word shingles: all of them, or, where a match
+  must hold a run of 5 template words, the winnowed ones (the smallest of each 3 in
+  a row). Runs are those that words replaced or left out allow; words put in may
+  break them up further. Where a match need not hold a run of 3, words again.
+
+A text's hits of one template are grouped by diagonal; each group is aligned with
+the template inside a band around its diagonals, and matches that cover enough of
+the template are reported with their coverage and span.
 
 The index is built from the templates given, is small, and travels with the
 task; texts are scanned whole and nothing is shuffled. A group is aligned only
@@ -40,6 +47,11 @@ from lapstats.llm.common import text_or_empty
 from lapstats.llm.hashing import mix, words
 
 SHINGLE, WINDOW, BAND = 3, 3, 6
+#: Templates of up to so many words are found by single words.
+SHORT = 32
+#: Words that are indexed last, as most texts hold them.
+_COMMON = frozenset("a all an and any are as at be but by can for from have if in is it its no not of on or that the this to "
+                    "under use used was which will with work you your".split())
 
 _GNU = (
     "This program is free software: you can redistribute it and/or modify it under the terms of the {} as published by the "
@@ -109,6 +121,7 @@ TEMPLATES = NOTICES | license_texts()
 
 #: The same words as hashing.words takes, with their places.
 _WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def _shingles(h: np.ndarray) -> np.ndarray:
@@ -126,25 +139,38 @@ def _hashes(text: str) -> np.ndarray:
 
 
 class Index:
-    """Winnowed fingerprints of templates: fingerprint -> (template, place)."""
+    """Words and shingles of templates, fingerprint -> (template, place), for matches of ``least`` coverage or more."""
 
-    def __init__(self, templates: dict[str, str]) -> None:
+    def __init__(self, templates: dict[str, str], least: float = 0.8) -> None:
+        self.least = least
         self.words: dict[str, list[int]] = {}
         self.arrays: dict[str, np.ndarray] = {}
         self.places: defaultdict[int, list[tuple[str, int]]] = defaultdict(list)
+        self.word_places: defaultdict[int, list[tuple[str, int]]] = defaultdict(list)
         for name, text in templates.items():
             h = _hashes(text)
             if len(h) < SHINGLE:
                 raise ValueError(f"template {name} has fewer than {SHINGLE} words")
             self.words[name] = h.tolist()
             self.arrays[name] = h
+            need = next((k for k in range(1, len(h)) if k / len(h) >= least), len(h))
+            gaps = len(h) - need
+            run = -(-need // (gaps + 1))  # the words next to each other that a match holds at least
+            if len(h) <= SHORT or run < SHINGLE:
+                own = [m[0].translate(_LOWER) for m in _WORD.finditer(text)]
+                rare = sorted(range(len(h)), key=lambda j: (own[j] in _COMMON, -len(own[j]), j))
+                for j in sorted(rare[:gaps + 1]):
+                    self.word_places[int(h[j])].append((name, j))
+                continue
             code = _shingles(h)
+            window = WINDOW if run >= SHINGLE + WINDOW - 1 else 1
             # Of equal values in a window the last one.
-            picked = {min(range(i, min(i + WINDOW, len(code))), key=lambda j: (int(code[j]), -j))
-                      for i in range(max(len(code) - WINDOW + 1, 1))}
+            picked = {min(range(i, min(i + window, len(code))), key=lambda j: (int(code[j]), -j))
+                      for i in range(max(len(code) - window + 1, 1))}
             for j in sorted(picked):
                 self.places[int(code[j])].append((name, j))
         self.prints = np.array(sorted(self.places), np.uint64)
+        self.word_prints = np.array(sorted(self.word_places), np.uint64)
 
     def may_cover(self, name: str, h: np.ndarray, low: int, high: int, least: float) -> bool:
         """Whether enough of the template's words occur in the text within the diagonals, each by itself."""
@@ -161,19 +187,20 @@ class Index:
 
     def match(self, text: str, least: float) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, start, end) of a text's matches by start."""
+        if least < self.least:
+            raise ValueError(f"the index is for a coverage of {self.least} or more")
         h = _hashes(text)
-        code = _shingles(h)
-        if not len(code) or not len(self.prints):
-            return []
-        at = np.minimum(np.searchsorted(self.prints, code), len(self.prints) - 1)
-        hits = np.flatnonzero(self.prints[at] == code)
-        if not len(hits):
-            return []
         starts: defaultdict[str, list[int]] = defaultdict(list)
-        for i in hits.tolist():
-            for name, j in self.places[int(code[i])]:
-                starts[name].append(i - j)
-        places = [m.span() for m in _WORD.finditer(text)]
+        for code, prints, indexed in ((_shingles(h), self.prints, self.places), (h, self.word_prints, self.word_places)):
+            if not len(code) or not len(prints):
+                continue
+            at = np.minimum(np.searchsorted(prints, code), len(prints) - 1)
+            for i in np.flatnonzero(prints[at] == code).tolist():
+                for name, j in indexed[int(code[i])]:
+                    starts[name].append(i - j)
+        if not starts:
+            return []
+        places: list[tuple[int, int]] = []
         found = []
         for name, diagonals in starts.items():
             taken: list[tuple[float, int, int, int]] = []
@@ -185,6 +212,8 @@ class Index:
                 got = align(self.words[name], h, low - band, high + band)
                 if got and got[0] / len(self.words[name]) >= least:
                     taken.append((got[0] / len(self.words[name]), *got))
+            if taken and not places:
+                places = [m.span() for m in _WORD.finditer(text)]
             found += [(name, cover, matched, places[a][0], places[b][1]) for cover, matched, a, b in _disjoint(taken)]
         return sorted(found, key=lambda x: (x[3], -x[1], x[0]))
 
@@ -260,7 +289,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     arrow = pa.list_(pa.struct(list(zip(names, (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True))))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(given)
+        index = Index(given, least)
         for b in batches:
             found = [[dict(zip(names, m, strict=True)) for m in index.match(t, least)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, arrow)], names=["doc_id", "matches"])

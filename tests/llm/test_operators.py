@@ -402,6 +402,31 @@ def test_whole_licenses_and_headers():
     assert not index.match(" ".join(sorted(licenses.TEMPLATES["MPL-2.0"].split())), 0.8)
 
 
+def test_short_licenses_with_a_word_replaced_or_put_in():
+    index = licenses.Index(licenses.TEMPLATES)
+    for name in ("MIT-notice", "CC-BY-NC-4.0-notice", "Apache-2.0-notice", "GPL-3.0-notice", "CC-BY-4.0-text", "BSD-text"):
+        own = WORD.findall(licenses.TEMPLATES[name].translate(LOWER))
+        for i in range(len(own)):
+            for changed in (own[:i] + ["other"] + own[i + 1:], own[:i] + ["other"] + own[i:], own[:i] + own[i + 1:]):
+                assert name in [m[0] for m in index.match("Note: " + " ".join(changed) + " Then more.", 0.8)], (name, changed)
+    assert [m[0] for m in index.match("Released under an MIT License", 0.8)] == ["MIT-notice"]
+    with pytest.raises(ValueError):
+        index.match("Released under an MIT License", 0.5)
+
+
+def test_license_candidates_miss_nothing_that_alignment_finds():
+    pick = np.random.default_rng(7)
+    for n in (5, 9, 20, 32, 33, 60):
+        own = [f"w{k}" for k in range(n)]
+        index = licenses.Index({"t": " ".join(own)})
+        for _ in range(60):
+            text = list(own)
+            for k in pick.choice(n, n // 5, replace=False):
+                text[k] = "other"
+            (name, cover, *_), = index.match("before " * 9 + " ".join(text) + " after" * 9, 0.8)
+            assert cover == (n - n // 5) / n
+
+
 def test_scans_awkward(spark):
     for op in (secrets, licenses):
         assert op.scan(awkward(spark)).count() == len(ROWS) and op.scan(awkward(spark).filter("doc_id > 99")).count() == 0
