@@ -21,8 +21,8 @@ candidates and the texts that have candidates are shuffled. Shingles and windows
 benchmark are broadcast when a count bounds them, and shuffled otherwise.
 
 Defined cases: null texts and texts without words have no words; items without
-words have no window; items that share a window are all counted; null item ids
-never count as items; rows that repeat an id are told apart by their text; an
+words have no window; items that share a window are all counted; rows with a
+null item id are searched like others, but the null is no item to count; rows that repeat an id are told apart by their text; an
 empty document or benchmark table gives no hits; other columns are ignored.
 """
 
@@ -66,7 +66,7 @@ def shingle_hashes(hashes: Column, size: int) -> Column:
 def benchmark_windows(benchmark: DataFrame, window: int, shingle: int,
                       id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Distinct windows (window_id, words, size, shingle size) and the items that hold them."""
-    items = benchmark.filter(F.col(id_col).isNotNull()).select(
+    items = benchmark.select(
         F.col(id_col).cast("string").alias("item"), word_list(F.col(text_col)).alias("words"))
     items = items.filter(F.size("words") > 0).withColumn("start", F.explode(
         F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1)))))
@@ -74,7 +74,7 @@ def benchmark_windows(benchmark: DataFrame, window: int, shingle: int,
     cut = materialize(cut.withColumn("window_id", F.sha2(F.array_join("words", " "), 256)).distinct(), "bench-windows")
     windows = cut.groupBy("window_id").agg(F.first("words").alias("words")).select(
         "window_id", "words", F.size("words").alias("size"), F.least(F.size("words"), F.lit(shingle)).alias("width"))
-    return materialize(windows, "bench-distinct"), cut.select("window_id", "item").distinct()
+    return materialize(windows, "bench-distinct"), cut.filter("item IS NOT NULL").select("window_id", "item").distinct()
 
 
 def _shingles(rows: DataFrame, widths: list[int], at: str) -> DataFrame:
@@ -140,7 +140,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     covered = spans.groupBy("__key").agg(F.sum(F.greatest(end - F.col("__from"), F.lit(0))).alias("n_hit"))
     named = (hits.select("__key", "window_id").distinct().join(small_or_shuffled(items), "window_id")
              .groupBy("__key").agg(F.array_sort(F.collect_set("item")).alias("items")))
-    result = materialize(covered.join(named, "__key").withColumnRenamed("__key", "__hit_key"), "bench-result")
+    result = materialize(covered.join(named, "__key", "left").withColumnRenamed("__key", "__hit_key"), "bench-result")
     counted = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("__key"),
                           F.size(cased_words(F.col(text_col))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")

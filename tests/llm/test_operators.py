@@ -139,6 +139,15 @@ def test_decontamination_short_items_case_and_awkward_rows(spark):
     assert none.count() == len(ROWS) and none.filter("contaminated").count() == 0
 
 
+def test_decontamination_searches_items_without_id(spark):
+    bench = spark.createDataFrame([(None, "kappa lambda"), (1, "alpha beta"), (None, "no id here")], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.contamination(awkward(spark), bench).collect()}
+    assert (rows[1].n_hit, rows[1].n_items, rows[1].contaminated) == (4, 1, True)
+    assert (rows[None].n_hit, rows[None].n_items, rows[None].contaminated) == (3, 0, True)
+    assert rows[None].items_sha256 == hashlib.sha256(b"").hexdigest() and not rows[8].contaminated
+    assert {r.doc_id for r in decontaminate.keep_clean(awkward(spark), bench).collect()} == {r[0] for r in ROWS} - {1, 2, None}
+
+
 # --- SimHash ---
 
 def _fingerprint(text):
