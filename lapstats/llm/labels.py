@@ -20,13 +20,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     The sample is the ids with the smallest hash among those that ``keep``
     allows, so it does not depend on file order. A null label or id is no label;
     ids with labels that disagree are left out. Only the sampled ids, at most
-    ``rows`` of them, are broadcast; the texts are not shuffled.
+    ``rows`` of them, are broadcast; of the texts only the sampled ones are shuffled.
     """
     one = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & keep)
            .groupBy("doc_id").agg(F.min(label).alias("__y"), F.max(label).alias("__top"))
            .filter("__y = __top").select(F.col("doc_id").alias("__id"), F.col("__y").cast("int").alias("__y"))
            .orderBy(F.xxhash64("__id"), "__id").limit(rows))
-    # Rows may repeat an id: the first by text hash stands for it, so the bound holds.
     found = docs.join(F.broadcast(one), docs["doc_id"] == one["__id"]).select(
         "__id", "__y", text_or_empty(docs["text"]).alias("__text"), *columns)
-    return found.orderBy(F.xxhash64("__id"), F.xxhash64("__text")).limit(rows)
+    # Rows may repeat an id: the first by text hash stands for it, and the others go before the bound.
+    rest = [c for c in found.columns if c not in ("__id", "__y")]
+    first = found.groupBy("__id", "__y").agg(F.min(F.struct(F.xxhash64("__text").alias("__hash"), *rest)).alias("__first"))
+    return first.select("__id", "__y", *(F.col("__first")[c].alias(c) for c in rest)).orderBy(F.xxhash64("__id")).limit(rows)

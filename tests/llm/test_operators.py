@@ -20,7 +20,7 @@ from lapstats.llm import (bpe, decontaminate, exact_dedup, licenses, quality_nbs
 from lapstats.llm.common import table
 from lapstats.llm.feistel import invert_int, permute, permute_int
 from lapstats.llm.graph import components
-from lapstats.llm.labels import fold
+from lapstats.llm.labels import fold, labelled_sample
 from tests.llm.helpers import ROWS, awkward, on_disk
 
 SF = "/root/testdata/sf0.001"
@@ -271,6 +271,17 @@ def test_classifiers_awkward(spark, op, label):
     assert op.score(docs.filter("doc_id > 99"), model).count() == 0
 
 
+def test_sample_holds_each_id_once(spark):
+    docs = spark.createDataFrame([(i, f"text {k % 7} of {i}", "en") for i in range(6) for k in range(20)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    for rows in (3, 6, 50):
+        got = labelled_sample(docs, labels, "quality", F.lit(True), rows, docs["lang"].alias("__lang")).collect()
+        assert len({r["__id"] for r in got}) == len(got) == min(rows, 6)
+        for r in got:
+            texts = [f"text {k} of {r['__id']}" for k in range(7)]
+            assert r["__text"] == min(texts, key=lambda t: np.array(xxhash.xxh64_intdigest(t.encode(), 42), np.uint64).astype(np.int64))
+
+
 def test_quality_keeps_columns(spark):
     docs = awkward(spark)
     model = quality_nbsvm.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), "quality", F.lit(True))
