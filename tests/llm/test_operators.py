@@ -271,6 +271,19 @@ def test_classifiers_awkward(spark, op, label):
     assert op.score(docs.filter("doc_id > 99"), model).count() == 0
 
 
+def test_toxicity_trains_away_from_the_driver(spark, monkeypatch):
+    """The texts' words stay in the task: nothing but the model may come to the driver."""
+    def no_arrow(*_):
+        raise AssertionError("rows collected")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.toArrow", no_arrow)
+    docs = spark.createDataFrame([(i, ("bad" if i % 2 else "good") + f" words {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity_cnn.fit(docs, labels, "toxic", F.lit(True))
+    scores = {r.doc_id: r.score for r in toxicity_cnn.score(docs, model).collect()}
+    assert min(scores[i] for i in range(1, 60, 2)) > max(scores[i] for i in range(0, 60, 2))
+
+
 def test_sample_holds_each_id_once(spark):
     docs = spark.createDataFrame([(i, f"text {k % 7} of {i}", "en") for i in range(6) for k in range(20)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
