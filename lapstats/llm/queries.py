@@ -15,8 +15,11 @@ from lapstats.llm import (
     secrets,
     sharding,
     simhash,
+    spelling,
+    topk,
     toxicity_cnn,
     training_order,
+    vector_codes,
 )
 from lapstats.llm.common import table
 from lapstats.llm.labels import fold
@@ -105,6 +108,20 @@ def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       training_order.shared_path(spark, "training-order"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), scale=4096, parts=8, entries=16, rounds=6)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), least=7, count=2, ratio=10, slip_every=31).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,7 +130,21 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_nbsvm, op2_decontaminate, op3_simhash, op4_bpe, op5_toxicity_cnn, op6_secrets, op7_exact_dedup,
-    op8_feistel_shards, op9_licenses, op10_training_order, pipeline)}
+    op8_feistel_shards, op9_licenses, op10_training_order, op11_vector_codes, op12_spelling, op13_topk, pipeline)}
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _pq_round(i: int) -> str:
+    """CTEs of one round: parts with their nearest entry of codebook i, and the codebook i + 1."""
+    return f"""
+d{i} AS (SELECT v.vec_id, v.part, c.entry, sum((v.x - c.x) * (v.x - c.x)) AS d2
+         FROM v JOIN c{i} c USING (part, dim) GROUP BY ALL),
+a{i} AS MATERIALIZED (SELECT vec_id, part, min(d2) AS d2, arg_min(entry, d2 * 16 + entry) AS entry FROM d{i} GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, c.dim, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT part, entry, dim, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM v JOIN a{i} USING (vec_id, part)
+    GROUP BY ALL) m USING (part, entry, dim))"""
+
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
           r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -142,5 +173,27 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+""",
+    "op11_vector_codes": f"""
+WITH kept AS (SELECT vec_id, label, embedding FROM embeddings WHERE {_FINITE}),
+v AS MATERIALIZED (SELECT vec_id, (pos - 1) // 8 AS part, (pos - 1) % 8 AS dim, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+      FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM kept)),
+c0 AS MATERIALIZED (SELECT part, entry, dim, x FROM v JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16))
+    USING (vec_id)),{",".join(_pq_round(i) for i in range(7))},
+coded AS (SELECT vec_id, string_agg(printf('%02x', CAST(entry AS INT)), '' ORDER BY part) AS code, CAST(sum(d2) AS BIGINT) AS error
+          FROM a6 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, dim)) FROM c6) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+""",
+    "op13_topk": f"""
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+                        WHERE vec_id IS NOT NULL AND {_FINITE}),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
 """,
 }
