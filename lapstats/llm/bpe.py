@@ -31,18 +31,17 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import text_or_empty
+from lapstats.llm.common import gives_back, parts_of, text_or_empty
 
 #: UTF-8 bytes of the texts that are replayed together.
-BLOCK = 10_000_000
-#: Pieces that a worker remembers between blocks.
-_REMEMBER = 450_000
+BLOCK = 4_000_000
+#: Pieces that a task remembers between blocks; they go when it ends.
+_REMEMBER = 200_000
 
 
 class Vocabulary:
@@ -137,7 +136,7 @@ class Vocabulary:
         return [flat[ends[s - 1]:ends[s + n - 1]] for s, n in zip(first.tolist(), size.tolist())]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def vocabulary(rank_file: bytes) -> Vocabulary:
     return Vocabulary(rank_file)
 
@@ -177,11 +176,6 @@ class Encoder:
         return row
 
 
-@lru_cache(maxsize=2)
-def _encoder(rank_file: bytes, pattern: str) -> Encoder:
-    return Encoder(vocabulary(rank_file), pattern)
-
-
 def decode_ids(token: list[bytes], flat: np.ndarray) -> bytes:
     return b"".join(map(token.__getitem__, flat.tolist()))
 
@@ -190,13 +184,11 @@ def _coded(batches: Iterator[pa.RecordBatch], encoder: Encoder, with_bytes: bool
     """(id, text) batches to (id, ids), and the bytes that the ids decode to."""
     token = encoder.vocab.token
     for b in batches:
-        size = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
-        ends = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // BLOCK)) + 1
-        for at, end in zip([0, *ends.tolist()], [*ends.tolist(), b.num_rows]):
-            rows = encoder.block(b.column(1).slice(at, end - at).to_pylist())
+        for part in parts_of(b, 1, BLOCK):
+            rows = encoder.block(part.column(1).to_pylist())
             flat = np.frombuffer(b"".join(rows), "<i4")
             cuts = np.cumsum([0, *(len(r) // 4 for r in rows)])
-            columns = [b.column(0).slice(at, end - at),
+            columns = [part.column(0),
                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat))]
             if with_bytes:
                 columns.append(pa.array([decode_ids(token, flat[s:e]) for s, e in zip(cuts, cuts[1:])], pa.binary()))
@@ -213,12 +205,12 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _coded(batches, _encoder(shared.value, pattern), with_bytes)
+        yield from _coded(batches, Encoder(vocabulary(shared.value), pattern), with_bytes)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("__text"))
     fields = [T.StructField("doc_id", narrow.schema["doc_id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType())),
               T.StructField("decoded", T.BinaryType())]
-    return narrow.mapInArrow(encoded, T.StructType(fields[:2 + with_bytes]))
+    return narrow.mapInArrow(gives_back(encoded), T.StructType(fields[:2 + with_bytes]))
 
 
 def decode(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFrame:
@@ -235,4 +227,4 @@ def decode(encoded: DataFrame, rank_file: str, ids_col: str = "ids") -> DataFram
             out = [None if no else decode_ids(token, flat[s:e]) for s, e, no in zip(ends, ends[1:], missing)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
 
-    return encoded.mapInArrow(decoded, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return encoded.mapInArrow(gives_back(decoded), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +18,8 @@ from lapstats.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Bytes of texts that a task turns into Python strings at a time.
+SLICE = 2_000_000
 #: Rows that may be broadcast after they were counted; times the row width this stays in the low MB.
 BROADCAST_ROWS = 50_000
 
@@ -23,6 +33,38 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their task and serve the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not a GNU C library
+        pass
+
+
+def gives_back(task: Callable[[Iterator], Iterator], *forget: Callable[[], None]) -> Callable[[Iterator], Iterator]:
+    """``task`` over batches; at its end it calls ``forget`` and returns the worker's freed memory."""
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            for f in forget:
+                f()
+            give_back()
+
+    return run
+
+
+def parts_of(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of which the texts or bytes in ``column`` take about ``most`` bytes, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = (np.flatnonzero(np.diff(ends // most)) + 1).tolist()
+    for at, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+        yield batch.slice(at, end - at)
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

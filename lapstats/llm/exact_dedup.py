@@ -36,6 +36,10 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # One bound for the memory of all stores of an executor, and stores that are closed soon after the stream has ended.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
 }
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import text_or_empty
+from lapstats.llm.common import gives_back, text_or_empty
 from lapstats.llm.hashing import mix, words
 
 SHINGLE, WINDOW, BAND = 3, 3, 6
@@ -295,5 +295,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, arrow)], names=["doc_id", "matches"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("__text"))
-    return narrow.mapInArrow(scanned, T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
+    return narrow.mapInArrow(gives_back(scanned), T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
                                                     T.StructField("matches", kind)]))

@@ -23,12 +23,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import text_or_empty
+from lapstats.llm.common import SLICE, gives_back, parts_of, text_or_empty
 from lapstats.llm.hashing import mark_byte_ngrams, mix, words
 from lapstats.llm.labels import labelled_sample
 
@@ -127,9 +128,10 @@ def train(docs: list[np.ndarray], y: np.ndarray) -> Model:
         share = (pos + 1) / (n + 2)
         zero = np.zeros(1 << BITS, np.float32)
         return Model(zero, zero, 0.0, 0.0, float(np.log(share / (1 - share))))
-    ratio = log_count_ratios(docs, y).astype(np.float32)
     aside = np.arange(n) % 5 == 4 if n >= 50 else np.zeros(n, bool)
     fit = np.flatnonzero(~aside)
+    # The rows set aside are new to the ratios too, else their margins would be too sure.
+    ratio = log_count_ratios([docs[i] for i in fit], y[fit]).astype(np.float32)
     w, bias = dual_coordinate_descent([docs[i] for i in fit], ratio, y[fit])
     held = np.flatnonzero(aside) if 0 < (y[aside] > 0).sum() < aside.sum() else np.arange(n)
     margin = np.array([float(w[docs[i]] @ ratio[docs[i]]) / max(_length(ratio, docs[i]), 1e-12) + bias for i in held])
@@ -156,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, sample_row
 
     sample = labelled_sample(docs, labels, label, keep, sample_rows).withColumn("__id", F.xxhash64("__id"))
     rows = sample.coalesce(1).mapInArrow(
-        trained, "weight binary, square binary, bias double, slope double, shift double").collect()
+        gives_back(trained), "weight binary, square binary, bias double, slope double, shift double").collect()
     if not rows:  # an empty sample may have no task at all
         return train([], np.zeros(0, np.int64))
     m = rows[0]
@@ -171,22 +173,27 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, m = Indicators(), shared.value
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([m.score(found(t)) for t in b.column(1).to_pylist()], pa.float64())],
-                names=["doc_id", "score"])
+            of = [m.score(found(t)) for p in parts_of(b, 1, SLICE) for t in p.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.float64())], names=["doc_id", "score"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("__text"))
     out = T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType), T.StructField("score", T.DoubleType())])
-    return narrow.mapInArrow(scores, out)
+    return narrow.mapInArrow(gives_back(scores), out)
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns.
 
-    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only texts go to Python, and only a flag comes back; the rows stay where they are.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def flags(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         found, m = Indicators(), shared.value
-        for b in batches:
-            yield b.filter(pa.array([m.score(found(t or "")) >= threshold for t in b.column(at).to_pylist()], pa.bool_()))
+        for texts in series:
+            yield pd.Series([m.score(found(t)) >= threshold for t in texts], dtype=bool)
+
+    def good(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from gives_back(flags)(series)
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.filter(F.pandas_udf(good, "boolean")(text_or_empty(F.col(text_col))))

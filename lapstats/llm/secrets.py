@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import text_or_empty
+from lapstats.llm.common import gives_back, text_or_empty
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "pem", "jwt", "der", "ssh", "hexder")
@@ -325,5 +325,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, arrow)], names=["doc_id", "spans"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(F.col(text_col)).alias("__text"))
-    return narrow.mapInArrow(scanned, T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
+    return narrow.mapInArrow(gives_back(scanned), T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
                                                     T.StructField("spans", kind)]))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import small_or_shuffled, text_or_empty
+from lapstats.llm.common import SLICE, gives_back, parts_of, small_or_shuffled, text_or_empty
 from lapstats.llm.graph import components
 from lapstats.session import materialize
 
@@ -68,14 +68,15 @@ def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_c
     """doc_id, fp (signed long) and a hash of the text for every row."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, width) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)], names=["doc_id", "text_hash", "fp"])
+            fp = np.array([fingerprint(t, width) for p in parts_of(b, 2, SLICE) for t in p.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))],
+                                             names=["doc_id", "text_hash", "fp"])
 
     text = text_or_empty(F.col(text_col))
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("__text"))
     out = T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
                         T.StructField("text_hash", T.LongType()), T.StructField("fp", T.LongType())])
-    return narrow.mapInArrow(hashed, out)
+    return narrow.mapInArrow(gives_back(hashed), out)
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
