@@ -2,10 +2,9 @@
 
 * Permutation importance: each (feature, repeat) permutes one column within
   the race by pairing two md5 orders of the rows (a join on rank, no pairs).
-* Shapley values: exact over the 2^5 feature coalitions with the race mean as
-  the single baseline (interventional "baseline Shapley"); per row that is 32
-  model calls, so cost is linear in rows. Efficiency holds exactly:
-  sum(phi) = f(x) - f(baseline).
+* Shapley values: path-dependent, from the leaves' intervals and the shares of
+  training rows (``treevalue.path_shapley``); cost is linear in rows and leaves.
+  sum(phi) = f(x) - mean prediction over the training rows.
 * PCA: per race the 5x5 covariance is an aggregate; only that tiny matrix
   (one row per race) goes through a grouped pandas function for the eigen
   decomposition, then points are projected with column arithmetic.
@@ -13,7 +12,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -21,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstats.operators import ml
+from lapstats.operators import ml, treevalue
 from lapstats.schema import SEED
 from lapstats.session import materialize
 
@@ -61,43 +59,7 @@ def permutation_importance(tree: DataFrame, data: DataFrame, key: Sequence[str],
                  F.stddev_pop(F.col("_base") - F.col("acc")).alias("importance_std")))
 
 
-def shapley_values(tree: DataFrame, data: DataFrame, key: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """Exact baseline Shapley values of P(class 1) for every row and feature.
-
-    Returns key, driver, feature, phi, plus f_x and f_base for the efficiency check.
-    """
-    key = list(key)
-    feats = list(features)
-    d = len(feats)
-    means = data.groupBy(*key).agg(*[F.avg(f).alias(f"_m_{f}") for f in feats])
-    masks = data.join(means, key).withColumn("_mask", F.explode(F.sequence(F.lit(0), F.lit(2 ** d - 1))))
-    mixed = masks.select(
-        *key, "driver", "_mask", F.concat_ws("|", "driver", F.col("_mask").cast("string")).alias("_rid"),
-        *[F.when(F.shiftright(F.col("_mask"), i) % 2 == 1, F.col(f)).otherwise(F.col(f"_m_{f}")).alias(f)
-          for i, f in enumerate(feats)])
-    mixed = materialize(mixed, "shap_rows")
-    v = (ml.tree_predict(tree, mixed, key, feats, ident="_rid")
-         .join(mixed.select(*key, "_rid", "driver", "_mask"), key + ["_rid"])
-         .select(*key, "driver", "_mask", F.col("proba").alias("_v")))
-    v = materialize(v, "shap_values")
-    weights = F.array(*[F.lit(math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d)) for s in range(d)])
-    rows = []
-    for i, f in enumerate(feats):
-        bit = 1 << i
-        without = v.where(F.col("_mask").bitwiseAND(bit) == 0).alias("a")
-        with_i = v.alias("b")
-        j = without.join(with_i, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]
-                         + [F.col("a.driver") == F.col("b.driver"), F.col("b._mask") == F.col("a._mask") + bit])
-        size = F.bit_count(F.col("a._mask"))
-        rows.append(j.groupBy(*[F.col(f"a.{k}").alias(k) for k in key], F.col("a.driver").alias("driver"))
-                    .agg(F.sum(F.element_at(weights, size + 1) * (F.col("b._v") - F.col("a._v"))).alias("phi"))
-                    .withColumn("feature", F.lit(f)))
-    phi = rows[0]
-    for r in rows[1:]:
-        phi = phi.unionByName(r)
-    ends = v.groupBy(*key, "driver").agg(F.max(F.when(F.col("_mask") == 2 ** d - 1, F.col("_v"))).alias("f_x"),
-                                         F.max(F.when(F.col("_mask") == 0, F.col("_v"))).alias("f_base"))
-    return phi.join(ends, key + ["driver"])
+shapley_values = treevalue.path_shapley
 
 
 def mean_abs_shap(phi: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -4,14 +4,8 @@ Every model is trained for all races at once: the race key (plus the CV fold
 when cross-validating) is a grouping column, never a driver-side loop.
 
 * Folds (M7/M11/M12): stratified by label in a deterministic md5 order.
-* kNN (M9): exact, without an all-pairs join. Points are projected on the unit
-  diagonal (|p(x)-p(y)| <= ||x-y|| for L2 and L1) and split, in projection
-  order, into cells of ``CELL_ROWS`` training rows; each query is joined only
-  to the cells within radius r of its place in that order. A query is final
-  once its k-th candidate distance is smaller than the projection gap to the
-  nearest training row outside the band (no point outside can be closer);
-  the rest retry with a wider band, and a band covering the whole key is
-  exact by definition.
+* kNN (M9): exact, without an all-pairs join, by k-d cells and box bounds
+  (``neighbours``).
 * Decision tree (M8): level-wise CART. Per (key, node, feature) the distinct
   values are ordered and cumulative class counts give every split's Gini in
   one window pass; the best split per node is an arg-min aggregate.
@@ -23,18 +17,17 @@ when cross-validating) is a grouping column, never a driver-side loop.
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapstats.functions.aggregates import checked_broadcast
+from lapstats.operators import neighbours, treevalue
 from lapstats.operators.clean import standardize
 from lapstats.schema import MODEL_FEATURES, SEED
 from lapstats.session import materialize
 
-CELL_ROWS = 32
 #: Levels of a deep tree that rows descend in one plan; then they are written.
 STEPS_PER_PLAN = 10
 
@@ -78,80 +71,7 @@ def fold_sets(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
 
 # ---------------------------------------------------------------- kNN (M9)
 
-def _dist(feats: Sequence[str], metric: str) -> Column:
-    if metric == "manhattan":
-        return sum((F.abs(F.col(f"_q_{f}") - F.col(f)) for f in feats), F.lit(0.0))
-    return F.sqrt(sum((F.pow(F.col(f"_q_{f}") - F.col(f), 2) for f in feats), F.lit(0.0)))
-
-
-def knn_neighbors(train: DataFrame, query: DataFrame, key: Sequence[str], features: Sequence[str],
-                  k: int = 5, metric: str = "euclidean", ident: str = "driver") -> DataFrame:
-    """Exact k nearest training rows of every query row within its key.
-
-    Cells hold ``CELL_ROWS`` consecutive training rows in projection order
-    (equal-count, so skewed or clustered features cannot pack a cell), and
-    every query is placed among them by the same ordering. Returns key, query
-    id (``_qid``), neighbour id (``_tid``), its label (``_y``), distance ``_d``
-    and rank ``_r`` (1..k, ties by neighbour id).
-    """
-    key = list(key)
-    feats = list(features)
-    inv = 1.0 / math.sqrt(len(feats))
-    t = (train.select(*key, F.col(ident).alias("_tid"), F.col("label").alias("_y"), *feats)
-         .withColumn("_p", sum((F.col(f) for f in feats), F.lit(0.0)) * inv))
-    q = (query.select(*key, F.col(ident).alias("_qid"), *[F.col(f).alias(f"_q_{f}") for f in feats])
-         .withColumn("_p", sum((F.col(f"_q_{f}") for f in feats), F.lit(0.0)) * inv))
-    # One ordering per key of training and query projections: a training row's
-    # running count is its rank, a query's is the number of training rows before it.
-    u = (t.select(*key, "_p", F.lit(1).alias("_is_t"), F.col("_tid").alias("_id"))
-         .unionByName(q.select(*key, "_p", F.lit(0).alias("_is_t"), F.col("_qid").alias("_id"))))
-    w = Window.partitionBy(*key).orderBy("_p", F.desc("_is_t"), "_id").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_tr", F.sum("_is_t").over(w))
-    cell = (F.greatest(F.col("_tr") - 1, F.lit(0)) / CELL_ROWS).cast("long")
-    placed = materialize(u.select(*key, "_is_t", "_id", cell.alias("_cell")), "knn_cells")
-    nt = t.groupBy(*key).agg(F.count("*").alias("_nt"))
-    nt = checked_broadcast(nt.withColumn("_ncell", F.ceil(F.col("_nt") / CELL_ROWS).cast("long")))
-    t = materialize(t.join(placed.where(F.col("_is_t") == 1).select(*key, F.col("_id").alias("_tid"), "_cell"),
-                           key + ["_tid"]), "knn_train")
-    bounds = checked_broadcast(t.groupBy(*key, "_cell").agg(F.min("_p").alias("_cmin"), F.max("_p").alias("_cmax")))
-    q = materialize(q.join(placed.where(F.col("_is_t") == 0).select(*key, F.col("_id").alias("_qid"),
-                                                                     F.col("_cell").alias("_qcell")),
-                           key + ["_qid"]).join(nt, key), "knn_query")
-    left_b = bounds.select(*key, (F.col("_cell") + 1).alias("_lo"), F.col("_cmax").alias("_left_p"))
-    right_b = bounds.select(*key, (F.col("_cell") - 1).alias("_hi"), F.col("_cmin").alias("_right_p"))
-
-    done = []
-    radius = 1
-    remaining = q
-    while True:
-        lo = F.greatest(F.least(F.col("_qcell"), F.col("_ncell") - 1) - radius, F.lit(0))
-        hi = F.least(F.col("_qcell") + radius, F.col("_ncell") - 1)
-        qb = (remaining.withColumn("_lo", lo).withColumn("_hi", hi)
-              .join(left_b, key + ["_lo"], "left").join(right_b, key + ["_hi"], "left"))
-        # training rows outside the band lie at projection <= _left_p or >= _right_p
-        margin = F.coalesce(F.least(F.col("_p") - F.col("_left_p"), F.col("_right_p") - F.col("_p")),
-                            F.col("_p") - F.col("_left_p"), F.col("_right_p") - F.col("_p"), F.lit(float("inf")))
-        qb = qb.withColumn("_margin", margin)
-        qx = qb.withColumn("_cell", F.explode(F.sequence(F.col("_lo"), F.col("_hi"))))
-        cand = qx.join(t.drop("_p"), key + ["_cell"]).withColumn("_d", _dist(feats, metric))
-        wq = Window.partitionBy(*key, "_qid").orderBy("_d", "_tid")
-        top = cand.withColumn("_r", F.row_number().over(wq)).where(F.col("_r") <= k)
-        summ = top.groupBy(*key, "_qid").agg(
-            F.count("*").alias("_n"), F.max("_d").alias("_dk"), F.first("_margin").alias("_margin"),
-            F.first("_nt").alias("_nt"))
-        ok = summ.where((F.col("_n") >= F.least(F.lit(k), F.col("_nt"))) & (F.col("_dk") < F.col("_margin")))
-        got = materialize(top.join(ok.select(*key, "_qid"), key + ["_qid"], "left_semi")
-                          .select(*key, "_qid", "_tid", "_y", "_d", "_r"), "knn_round")
-        done.append(got)
-        remaining = materialize(remaining.join(got.select(*key, "_qid").distinct(), key + ["_qid"], "left_anti"),
-                                "knn_remaining")
-        if remaining.limit(1).count() == 0:
-            break
-        radius *= 4
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+knn_neighbors = neighbours.knn
 
 
 def knn_vote(neigh: DataFrame, key: Sequence[str], k: int, weights: str = "uniform") -> DataFrame:
@@ -270,10 +190,18 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
 
 def tree_predict(tree: DataFrame, rows: DataFrame, key: Sequence[str], features: Sequence[str],
                  ident: str = "driver") -> DataFrame:
-    """Route rows down their key's tree; returns key, ident, pred, proba."""
+    """Route rows down their key's tree; returns key, ident, pred, proba.
+
+    A tree is one value per key that the row descends by itself; only trees too
+    large for that are routed with a join per level.
+    """
     key = list(key)
     feats = list(features)
-    max_depth = tree.agg(F.max("depth")).first()[0] or 0
+    size = tree.groupBy(*key).agg(F.count("*").alias("_n"), F.max("depth").alias("_d")).agg(
+        F.max("_n"), F.max("_d"), F.sum("_n")).first()
+    max_depth = size[1] or 0
+    if (size[0] or 0) <= treevalue.MOST_NODES:
+        return treevalue.predict(tree, rows, key, feats, ident, max_depth, size[2] or 0)
     cur = rows.select(*key, ident, *feats).withColumn("_node", F.lit("1"))
     fv = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("feature") + 1)
     for depth in range(int(max_depth)):

@@ -597,7 +597,7 @@ def q_permutation_importance(spark, sf_dir):
 
 @register("shap_importance")
 def q_shap_importance(spark, sf_dir):
-    """Mean |Shapley value| per feature (baseline Shapley, exact over coalitions)."""
+    """Mean |Shapley value| per feature, path-dependent."""
     data, tree = _fitted(spark, sf_dir)
     return XP.mean_abs_shap(XP.shapley_values(tree, data, KEY, MODEL_FEATURES), KEY)
 

@@ -1,13 +1,16 @@
 """Property checks for the ML operators (exactness against brute force, invariants)."""
 
+import itertools
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lapstats.operators import explain as XP
 from lapstats.operators import ml as ML
+from lapstats.operators import neighbours, treevalue
 
 FEATS = ["a", "b", "c"]
 
@@ -65,6 +68,72 @@ def test_tree_fits_separable_data_and_shapley_efficiency(spark):
     assert np.allclose(s.phi_sum, s.f_x - s.f_b, atol=1e-9)
 
 
+def _expected(nodes, row, coalition, at="1"):
+    """Prediction that follows the row at splits on features of the coalition, and both ways by their rows elsewhere."""
+    n = nodes[at]
+    if n.is_leaf:
+        return n.proba
+    if FEATS[n.feature] in coalition:
+        return _expected(nodes, row, coalition, at + ("0" if row[FEATS[n.feature]] <= n.threshold else "1"))
+    return sum(nodes[at + b].n / n.n * _expected(nodes, row, coalition, at + b) for b in "01")
+
+
+def test_path_shapley_equals_enumeration(spark):
+    df = _points(spark, n=50).withColumn("label", (F.xxhash64("driver") % 3 == 0).cast("int"))
+    tree = ML.tree_fit(df, ["race"], FEATS, max_depth=4)
+    nodes = {}
+    for n in tree.collect():
+        nodes.setdefault(n.race, {})[n.node] = n
+    got = {(r.race, r.driver, r.feature): r for r in XP.shapley_values(tree, df, ["race"], FEATS).collect()}
+    for row in df.where("driver < 'd020'").collect():
+        for i, f in enumerate(FEATS):
+            others = [g for g in FEATS if g != f]
+            want = sum(math.factorial(len(c)) * math.factorial(2 - len(c)) / 6
+                       * (_expected(nodes[row.race], row, {*c, f}) - _expected(nodes[row.race], row, set(c)))
+                       for size in range(3) for c in itertools.combinations(others, size))
+            r = got[row.race, row.driver, f]
+            assert r.phi == pytest.approx(want, abs=1e-9)
+            assert r.f_base == pytest.approx(_expected(nodes[row.race], row, set()))
+            assert r.f_x == pytest.approx(_expected(nodes[row.race], row, set(FEATS)))
+
+
+def test_trees_as_values_and_routing_by_joins_agree(spark, monkeypatch):
+    df = _points(spark, n=80).withColumn("label", (F.xxhash64("driver") % 2 == 0).cast("int"))
+    tree = ML.tree_fit(df, ["race"], FEATS, max_depth=None)
+    by_value = ML.tree_predict(tree, df, ["race"], FEATS)
+    plan = by_value._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+    monkeypatch.setattr(treevalue, "MOST_NODES", 0)
+    key = lambda r: (r.race, r.driver)
+    assert sorted(by_value.collect(), key=key) == sorted(ML.tree_predict(tree, df, ["race"], FEATS).collect(), key=key)
+
+
+@pytest.mark.parametrize("dims,share", [(5, 0.1), (24, 1.0)])
+def test_knn_measures_few_rows_in_few_dimensions(spark, dims, share):
+    n = 20_000 if dims == 5 else 1_500
+    x = np.random.default_rng(dims).normal(size=(n, dims))
+    names = [f"f{i}" for i in range(dims)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(race="r", driver=np.arange(n), label=0)).cache()
+    query = df.where("driver % 50 = 0")
+    found = neighbours.candidates(df, query, ["race"], names, k=5)
+    counts = found.groupBy("_qid").count().agg(F.avg("count"), F.count("*")).first()
+    print(f"{dims} dimensions: {counts[0]:.0f} of {n} rows measured per query")
+    assert counts[1] == n // 50 and counts[0] < share * n + 1
+    got = {}
+    for r in ML.knn_neighbors(df, query, ["race"], names, k=5).collect():
+        got.setdefault(r._qid, {})[r._r] = r._tid
+    for q in list(got)[:100]:
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        assert [got[q][i] for i in range(1, 6)] == np.lexsort((np.arange(n), d))[:5].tolist()
+
+
+def test_knn_with_fewer_rows_than_k_and_constant_features(spark):
+    df = spark.createDataFrame([(r, f"d{i}", 0, 1.0, 2.0) for r, n in (("x", 3), ("y", 90)) for i in range(n)],
+                               "race string, driver string, label int, a double, b double")
+    got = ML.knn_neighbors(df, df, ["race"], ["a", "b"], k=5).groupBy("race", "_qid").count().collect()
+    assert {(r.race, r["count"]) for r in got} == {("x", 3), ("y", 5)} and len(got) == 93
+
+
 def test_silhouette_squared_matches_numpy(spark):
     df = _points(spark, n=40)
     assign, _ = ML.kmeans(df, ["race"], FEATS, k=3, max_iter=20)
