@@ -71,12 +71,23 @@ def driver_lap_stats(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 
 
 def degradation_rates(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """A3: OLS slope of lap time on tyre life per (driver, compound), clean variant (c)."""
+    """A3: OLS slope of lap time on tyre life per (driver, compound), clean variant (c).
+
+    Times count in whole microseconds, so all sums are integers and the slope does
+    not depend on the order in which rows are added.
+    """
     key = list(key)
     c = clean_view(laps, pit=True, sc=False, outlier=False)
-    return (c.groupBy(*key, "driver", "compound")
-            .agg(F.when((F.count("*") >= MIN_STINT_LAPS) & (F.regr_count("lap_time", "tyre_life") >= 2),
-                        F.regr_slope("lap_time", "tyre_life")).alias("tire_degradation_rate")))
+    both = F.col("lap_time").isNotNull() & F.col("tyre_life").isNotNull()
+    x, y = F.when(both, F.col("tyre_life").cast("long")), F.when(both, F.round(F.col("lap_time") * 1e6).cast("long"))
+    sums = c.groupBy(*key, "driver", "compound").agg(
+        F.count("*").alias("_rows"), F.count(x).alias("_n"), F.sum(x).alias("_sx"), F.sum(y).alias("_sy"),
+        F.sum(x * y).alias("_sxy"), F.sum(x * x).alias("_sxx"))
+    wide = lambda name, digits: F.col(name).cast(f"decimal({digits},0)")
+    over = (wide("_n", 18) * wide("_sxy", 19) - wide("_sx", 18) * wide("_sy", 19)).cast("double")
+    under = (wide("_n", 18) * wide("_sxx", 19) - wide("_sx", 18) * wide("_sx", 19)).cast("double")
+    return sums.select(*key, "driver", "compound", F.when(
+        (F.col("_rows") >= MIN_STINT_LAPS) & (F.col("_n") >= 2) & (under > 0), over / under / 1e6).alias("tire_degradation_rate"))
 
 
 def tire_efficiency(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
@@ -157,9 +168,9 @@ def lap_features(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     driver / compound features (J1-J3)."""
     key = list(key)
     df = stint_lap(sector_sum(minmax_normalize(laps, "track_temp", "norm_track_temp", key)), key)
-    return (df.join(driver_features(laps, key), key + ["driver"], "left")
-            .join(degradation_rates(laps, key), key + ["driver", "compound"], "left")
-            .join(tire_efficiency(laps, key), key + ["compound"], "left"))
+    return (df.join(checked_broadcast(driver_features(laps, key)), key + ["driver"], "left")
+            .join(checked_broadcast(degradation_rates(laps, key)), key + ["driver", "compound"], "left")
+            .join(checked_broadcast(tire_efficiency(laps, key)), key + ["compound"], "left"))
 
 
 def driver_matrix(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

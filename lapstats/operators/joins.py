@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapstats.functions.aggregates import checked_broadcast
 from lapstats.schema import KEY
 
 WEATHER_VALUES = ("air_temp", "track_temp", "humidity")
@@ -28,7 +29,7 @@ def attach_weather_mean(laps: DataFrame, weather: DataFrame, key: Sequence[str]
     if not missing:
         return laps
     means = weather.groupBy(*key).agg(*[F.avg(v).alias(v) for v in missing])
-    return laps.join(means, key, "left")
+    return laps.join(checked_broadcast(means), key, "left")
 
 
 def attach_weather_asof(laps: DataFrame, weather: DataFrame, key: Sequence[str] = KEY, time_col: str = "time_s",
@@ -71,6 +72,13 @@ def attach_weather_asof(laps: DataFrame, weather: DataFrame, key: Sequence[str]
 
 
 def pending_keys(requested: DataFrame, ledger: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """Requested races that are not yet complete in the ledger."""
-    done = ledger.where(F.col("status") == "complete").select(*key)
-    return requested.select(*key).distinct().join(done, list(key), "left_anti")
+    """Requested races that are not yet complete in the ledger.
+
+    With a column ``source_file``, a race is also pending when it has a file that its ledger entry doesn't name.
+    """
+    key = list(key)
+    done = ledger.where(F.col("status") == "complete")
+    if "source_file" not in requested.columns or "files" not in ledger.columns:
+        return requested.select(*key).distinct().join(done.select(*key), key, "left_anti")
+    known = done.select(*key, F.explode(F.coalesce("files", F.array().cast("array<string>"))).alias("source_file"))
+    return requested.select(*key, "source_file").distinct().join(known, key + ["source_file"], "left_anti").select(*key).distinct()

@@ -32,6 +32,10 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
     """Process every race in ``raw_laps`` (or, incrementally, only those not yet
     complete in the ledger) and write all result tables under ``out_dir``.
 
+    With a column ``source_file``, a race is complete for the files in its ledger
+    entry: a file that arrives later reruns the race from all its files. Tables
+    keep versions and switch together at the end (``store.read_table`` reads them).
+
     Returns the table name -> path map.
     """
     key = list(key)
@@ -39,26 +43,29 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
     paths: dict[str, str] = {}
     ledger = f"{out}/processed_races"
     if incremental:
-        todo = pending_keys(raw_laps, store.read_ledger(spark, ledger), key)
+        todo = pending_keys(raw_laps, store.read_ledger(spark, ledger, key), key)
         raw_laps = raw_laps.join(todo, key, "left_semi")
     raw_laps = materialize(raw_laps, "raw_laps")
     if raw_laps.limit(1).count() == 0:
         return paths
-    races = materialize(raw_laps.select(*key).distinct(), "races")
+    if "source_file" in raw_laps.columns:
+        raw_laps = _with_earlier_files(spark, raw_laps, f"{out}/laps_raw", ledger, key)
+        races = raw_laps.groupBy(*key).agg(F.array_sort(F.collect_set("source_file")).alias("files"))
+    else:
+        races = raw_laps.select(*key).distinct()
+    races, run = materialize(races, "races"), store.new_run()
 
     def write(name: str, df: DataFrame) -> DataFrame:
         p = f"{out}/{name}"
-        store.drop_races(spark, p, races, key)
-        store.write_partitioned(df, p, key)
+        store.write_version(df, p, run, key)
         paths[name] = p
         # The table's own schema: a result without any row has no file to take one from.
-        return spark.read.schema(df.schema).parquet(p).join(races, key, "left_semi")
+        return spark.read.schema(df.schema).parquet(f"{p}/run={run}")
 
     write("laps_raw", raw_laps)
     write("pits_raw", raw_laps.where(F.col("pit_in_time").isNotNull() | F.col("pit_out_time").isNotNull()))
     laps = write("laps_clean", clean_laps(raw_laps, key))
-    store.drop_races(spark, f"{out}/laps_store", races, key)
-    store.save_laps(laps, f"{out}/laps_store", key)
+    write("laps_store", store.stored_laps(laps))
     feats = write("laps_features", FE.lap_features(laps, key))
     stability = write("driver_stability", A.driver_stability(laps, key))
     tables = {
@@ -94,12 +101,28 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
     write("race_conclusions", INS.conclusions(findings, key))
     write("driver_stats", store.driver_stats(matrix, stability, tables.get("clusters"), key))
     write("race_summary", store.race_summary(tables["overview"], key))
-    store.mark_processed(spark, ledger, races, "complete", key)
+    # The switch: until this entry is there, readers see what they saw before.
+    store.mark_processed(spark, ledger, races, "complete", key, run)
+    for p in paths.values():
+        store.drop_superseded(spark, p, races, run, key)
     paths["processed_races"] = ledger
     return paths
 
 
+def _with_earlier_files(spark: SparkSession, raw_laps: DataFrame, stored: str, ledger: str, key: list[str]) -> DataFrame:
+    """``raw_laps`` and the stored rows of the same races from files that it does not hold: a late file joins its race."""
+    old = store.read_table(spark, stored, ledger, key)
+    if old is None or "source_file" not in old.columns:
+        return raw_laps
+    given = raw_laps.select(*key, "source_file").distinct()
+    kept = old.join(given.select(*key).distinct(), key, "left_semi").join(given, key + ["source_file"], "left_anti")
+    return materialize(raw_laps.unionByName(kept, allowMissingColumns=True), "raw_laps")
+
+
 def compare(spark: SparkSession, out_dir: str, driver1: str, driver2: str, key: Sequence[str] = KEY) -> DataFrame:
     """Entry 3: side-by-side comparison of two drivers from the stored profiles."""
-    profiles = spark.read.parquet(f"{out_dir.rstrip('/')}/driver_profiles")
+    out = out_dir.rstrip("/")
+    profiles = store.read_table(spark, f"{out}/driver_profiles", f"{out}/processed_races", key)
+    if profiles is None:
+        raise ValueError(f"no races have been processed in {out}")
     return A.compare_two(profiles, driver1, driver2, key)

@@ -31,13 +31,6 @@ LAPS = T.StructType([
     T.StructField("is_simulated", T.BooleanType()),
 ])
 
-# Raw CSV files carry time columns as text ("0 days 00:01:35.140000" or "95.14").
-RAW_LAPS_TEXT = T.StructType([
-    T.StructField(f.name, T.StringType() if f.name in (
-        "lap_time", "sector1_time", "sector2_time", "sector3_time") else f.dataType)
-    for f in LAPS.fields
-])
-
 WEATHER = T.StructType([
     T.StructField("time_s", T.DoubleType()),
     T.StructField("air_temp", T.DoubleType()),

@@ -37,30 +37,42 @@ def typed_laps() -> list[F.Column]:
     return [typed(f).alias(f.name) for f in LAPS.fields]
 
 
+def files_by_header(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """Header line -> the files that have it. Only file names and first lines reach the driver; empty files are left out."""
+    first = F.regexp_extract(F.substring("content", 1, 65536).cast("string"), r"^\uFEFF?([^\r\n]*)", 1)
+    found: dict[str, list[str]] = {}
+    for r in spark.read.format("binaryFile").load(path).select("path", first.alias("header")).where("header <> ''").toLocalIterator():
+        found.setdefault(r.header, []).append(r.path)
+    return {h: sorted(files) for h, files in sorted(found.items())}
+
+
+def _canonical(raw: DataFrame, season: int | None) -> DataFrame:
+    """Canonical lap columns of one scan; the race and season that rows don't name come from file and argument."""
+    df = times_to_seconds(standardize_columns(raw.toDF(*[c.strip().lstrip("\ufeff") for c in raw.columns])))
+    df = df.withColumn("source_file", F.input_file_name())
+    df = df.withColumn("race_name", F.coalesce(F.col("race_name").cast("string"), race_from_path("laps")))
+    if season is not None:
+        df = df.withColumn("season", F.coalesce(F.col("season").try_cast("int"), F.lit(season)))
+    return df.select(*typed_laps(), *[c for c in df.columns if c not in LAPS.fieldNames()])
+
+
 def read_raw_laps_csv(spark: SparkSession, path: str | Sequence[str], season: int | None = None,
-                      schema: T.StructType | None = None, infer_sample: float = 1.0) -> DataFrame:
-    """S1 + P1 + P2: raw lap CSVs of any number of races -> canonical lap schema.
+                      schema: T.StructType | None = None) -> DataFrame:
+    """S1 + P1 + P2: raw lap CSVs of any number of races -> canonical lap schema and ``source_file``.
 
-    Without an explicit ``schema`` the column types are inferred (numeric
-    columns stay numeric, duration text is parsed), mirroring the reference's
-    dtype-driven conversion; pass ``schema`` on large inputs to skip the
-    inference pass.
+    Files are grouped by their header line and each group is one scan, so files
+    may differ in the names and order of columns. All columns are read as text
+    and typed by what they are, so a column's type never depends on a sample.
+    With an explicit ``schema`` there is one scan, and files with another header fail.
     """
-    # Each file's header is held against the schema: files whose columns differ in name or order fail, not shift.
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = spark.read.option("header", True)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True).option("samplingRatio", infer_sample)
-    raw = reader.csv(path)
-    df = standardize_columns(raw.toDF(*[c.strip() for c in raw.columns]))
-    df = times_to_seconds(df)
-    if "race_name" not in raw.columns or df.where(F.col("race_name").isNotNull()).limit(1).count() == 0:
-        df = df.withColumn("race_name", race_from_path("laps"))
-    if season is not None:
-        df = df.withColumn("season", F.lit(season))
-    extra = [c for c in df.columns if c not in LAPS.fieldNames()]
-    return df.select(*typed_laps(), *extra)
+        return _canonical(reader.option("enforceSchema", False).schema(schema).csv(path), season)
+    out: DataFrame | None = None
+    for files in files_by_header(spark, path).values():
+        part = _canonical(reader.csv(files), season)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType([*LAPS.fields, T.StructField("source_file", T.StringType())])) if out is None else out
 
 
 def read_weather_csv(spark: SparkSession, path: str | Sequence[str], season: int | None = None) -> DataFrame:

@@ -1,28 +1,36 @@
 """Sinks and stores (S4-S19) on partitioned Parquet.
 
-Every table is partitioned by the race key and written with dynamic
-partition overwrite, so "delete the race, then append" (the reference's SQL
-store) is a single idempotent write that replaces exactly the races present
-in the output. A rerun after a lost executor or a failed job rewrites the
-same partitions, never duplicates rows.
+Result tables keep versions: a run writes its races to ``<table>/run=<run>`` and
+touches nothing else. The ledger of processed races is the manifest: it names the
+run whose rows are a race's current ones. It is an append-only table, and a run's
+entries are one file, so all its tables switch at once when that file appears; a
+run that dies before leaves every race as it was. ``read_table`` shows current
+rows only. Versions that are no longer current go after the switch.
+
+Single tables (caches, upserts) are written with dynamic partition overwrite: one
+idempotent write that replaces exactly the races present in the output.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapstats.functions.aggregates import checked_broadcast
 from lapstats.schema import KEY
 
 STORED_LAP_COLUMNS = ["season", "race_name", "driver", "team", "lap_number", "lap_time", "sector1_time",
                       "sector2_time", "sector3_time", "compound", "tyre_life", "stint", "air_temp", "track_temp",
                       "humidity", "track_status", "is_pit_lap", "is_sc_lap", "is_outlier"]
 LEDGER = T.StructType([T.StructField("season", T.IntegerType()), T.StructField("race_name", T.StringType()),
-                       T.StructField("status", T.StringType()), T.StructField("processed_at", T.TimestampType())])
+                       T.StructField("status", T.StringType()), T.StructField("processed_at", T.TimestampType()),
+                       T.StructField("run", T.StringType()), T.StructField("files", T.ArrayType(T.StringType()))])
 
 
 def write_partitioned(df: DataFrame, path: str, key: Sequence[str] = KEY, fmt: str = "parquet") -> None:
@@ -31,15 +39,15 @@ def write_partitioned(df: DataFrame, path: str, key: Sequence[str] = KEY, fmt: s
      .partitionBy(*key).format(fmt).save(path))
 
 
-def drop_races(spark: SparkSession, path: str, races: DataFrame, key: Sequence[str] = KEY) -> None:
-    """Delete the partitions of ``races`` before they are written again, so that a race whose new result
-    has no row keeps none. Only folders that exist already, of the races given, are listed and deleted."""
+def drop_races(spark: SparkSession, path: str, races: DataFrame, key: Sequence[str] = KEY, only: Column | None = None) -> None:
+    """Delete the partitions of ``races`` (of which ``only`` holds). Only folders that exist already are listed and deleted."""
     try:
         old = spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return  # no table yet, or one without any row
         raise
+    old = old if only is None else old.where(only)
     folders = (old.select(*key, F.regexp_extract("_metadata.file_path", "(.*)/", 1).alias("folder")).distinct()
                .join(races.select(*key).distinct(), list(key), "left_semi").select("folder"))
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -48,9 +56,9 @@ def drop_races(spark: SparkSession, path: str, races: DataFrame, key: Sequence[s
         folder.getFileSystem(conf).delete(folder, True)
 
 
-def save_laps(laps: DataFrame, path: str, key: Sequence[str] = KEY) -> None:
+def stored_laps(laps: DataFrame) -> DataFrame:
     """Stored lap table (the reference's 17 columns plus flags) with a load timestamp."""
-    write_partitioned(laps.select(*STORED_LAP_COLUMNS).withColumn("created_at", F.current_timestamp()), path, key)
+    return laps.select(*STORED_LAP_COLUMNS).withColumn("created_at", F.current_timestamp())
 
 
 def driver_stats(matrix: DataFrame, stability: DataFrame, clusters: DataFrame | None,
@@ -80,21 +88,52 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str
     write_partitioned(updates, path, key)
 
 
+def new_run() -> str:
+    """Name of a run; later runs sort later."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+
+
+def write_version(df: DataFrame, path: str, run: str, key: Sequence[str] = KEY) -> None:
+    """The rows of a run, beside those of other runs."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*key).parquet(f"{path}/run={run}")
+
+
+def read_table(spark: SparkSession, path: str, ledger_path: str, key: Sequence[str] = KEY) -> DataFrame | None:
+    """Current rows of a versioned table; None where no run has written it."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    current = read_ledger(spark, ledger_path).where(F.col("status") == "complete").select(*key, "run")
+    return df.join(checked_broadcast(current), [*key, "run"], "left_semi").drop("run")
+
+
+def drop_superseded(spark: SparkSession, path: str, races: DataFrame, run: str, key: Sequence[str] = KEY) -> None:
+    """Delete what other runs wrote for ``races``; call it after the switch to ``run``."""
+    drop_races(spark, path, races, key, F.col("run") != run)
+
+
 def mark_processed(spark: SparkSession, ledger_path: str, races: DataFrame, status: str = "complete",
-                   key: Sequence[str] = KEY) -> None:
-    """Record races in the processed-races ledger."""
-    rows = races.select(*key).distinct().withColumn("status", F.lit(status)).withColumn(
-        "processed_at", F.current_timestamp())
-    upsert(spark, ledger_path, rows, key)
+                   key: Sequence[str] = KEY, run: str | None = None) -> None:
+    """Record races in the processed-races ledger; ``races`` may name their ``files``. One file, so all or nothing."""
+    files = F.col("files") if "files" in races.columns else F.lit(None).cast("array<string>")
+    rows = races.select(*key, F.lit(status).alias("status"), F.current_timestamp().alias("processed_at"),
+                        F.lit(run or new_run()).alias("run"), files.alias("files"))
+    rows.dropDuplicates(list(key)).coalesce(1).write.mode("append").parquet(ledger_path)
 
 
-def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+def read_ledger(spark: SparkSession, ledger_path: str, key: Sequence[str] = KEY) -> DataFrame:
+    """The latest entry of every race."""
     try:
-        return spark.read.parquet(ledger_path)
+        rows = spark.read.schema(LEDGER).parquet(ledger_path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LEDGER)  # no ledger yet: nothing processed
+    last = F.max_by(F.struct("status", "processed_at", "run", "files"), F.struct("run", "processed_at"))
+    return rows.groupBy(*key).agg(last.alias("_l")).select(*key, "_l.*")
 
 
 def is_processed(spark: SparkSession, ledger_path: str, season: int, race_name: str) -> bool:

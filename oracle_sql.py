@@ -136,7 +136,7 @@ def _q(source: str, ctes: str, select: str) -> str:
 
 def fin(rel: str, doubles: tuple[str, ...] = (), ints: tuple[str, ...] = ()) -> str:
     """Output edge: round doubles to 6 dp and widen integers to BIGINT."""
-    reps = [f"round({c}, 6) AS {c}" for c in doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in ints]
+    reps = [f"round(round({c}, 10), 6) AS {c}" for c in doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in ints]
     rep = f" REPLACE ({', '.join(reps)})" if reps else ""
     return f"SELECT *{rep} FROM (\n{rel.strip()}\n) AS _r"
 
@@ -216,9 +216,12 @@ df AS (
 DEGRADATION = """
 deg AS (
   SELECT season, race_name, driver, compound,
-    CASE WHEN count(*) >= 3 AND regr_count(lap_time, tyre_life) >= 2
-      THEN """ + nn("regr_slope(lap_time, tyre_life)") + """ END AS tire_degradation_rate
-  FROM clean WHERE NOT is_pit_lap GROUP BY season, race_name, driver, compound)"""
+    CASE WHEN count(*) >= 3 AND count(us) >= 2 AND count(us) * sum(x * x) - sum(x) * sum(x) > 0
+      THEN CAST(count(us) * sum(x * us) - sum(x) * sum(us) AS DOUBLE)
+           / CAST(count(us) * sum(x * x) - sum(x) * sum(x) AS DOUBLE) / 1e6 END AS tire_degradation_rate
+  FROM (SELECT season, race_name, driver, compound, CASE WHEN lap_time IS NOT NULL THEN CAST(tyre_life AS BIGINT) END AS x,
+          CASE WHEN tyre_life IS NOT NULL THEN CAST(round(lap_time * 1e6) AS BIGINT) END AS us
+        FROM clean WHERE NOT is_pit_lap) GROUP BY season, race_name, driver, compound)"""
 
 COMPOUNDS_ALL = ("SOFT", "MEDIUM", "HARD", "INTERMEDIATE", "WET", "UNKNOWN")
 MATRIX_NUM = ("average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
