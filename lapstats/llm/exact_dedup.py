@@ -160,6 +160,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, one per distinct normalised text, with all their columns."""
     docs = from_files(docs, "dedup-docs")
     dropped = materialize(exact_dedup(docs, id_col, text_col).filter("NOT kept").select("locator"), "dedup-dropped")
-    at = docs.columns
-    return (docs.select("*", _locator().alias("__at"))
-            .join(small_or_shuffled(dropped.withColumnRenamed("locator", "__at")), "__at", "left_anti").select(*at))
+    at = "__at"
+    while at in docs.columns:  # a name that the table does not have
+        at += "_"
+    return (docs.select("*", _locator().alias(at))
+            .join(small_or_shuffled(dropped.withColumnRenamed("locator", at)), at, "left_anti").select(*docs.columns))

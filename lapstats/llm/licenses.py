@@ -13,7 +13,10 @@ missed:
 
 A text's hits of one template are grouped by diagonal; each group is aligned with
 the template inside a band around its diagonals, and matches that cover enough of
-the template are reported with their coverage and span.
+the template are reported with their coverage and span. Words put into a longer
+template break it into groups of different diagonals: those that cover too little
+alone are chained in the order of text and template, up to ``GAP`` words apart, and
+aligned one after the other, each with what the one before it left of the template.
 
 The index is built from the templates given, is small, and travels with the
 task; texts are scanned whole and nothing is shuffled. A group is aligned only
@@ -47,8 +50,10 @@ from lapstats.llm.common import gives_back, text_or_empty
 from lapstats.llm.hashing import mix, words
 
 SHINGLE, WINDOW, BAND = 3, 3, 6
-#: Templates of up to so many words are found by single words.
+#: Templates of up to so many words are found by single words, and not chained.
 SHORT = 32
+#: Words that may be put in between two parts of a template, and words without a hit inside a part.
+GAP, STRETCH = 400, 16
 #: Words that are indexed last, as most texts hold them.
 _COMMON = frozenset("a all an and any are as at be but by can for from have if in is it its no not of on or that the this to "
                     "under use used was which will with work you your".split())
@@ -185,48 +190,101 @@ class Index:
                 found[a:b] |= template[a:b] == h[a + d:b + d]
         return int(found.sum()) >= need
 
+    def chained(self, name: str, h: np.ndarray, groups: list[tuple[int, int, int, int, int, int]],
+                least: float) -> list[tuple[float, int, int, int]]:
+        """Matches made of groups (text start and end, diagonals, template start and end), by text start."""
+        template, out = self.words[name], []
+        need = least * len(template)
+        while len(groups) > 1:
+            # Heaviest chain that ends in each group; its weight is the template words between its groups' hits.
+            weight, before = [], []
+            for i, (start, _, _, _, first, last) in enumerate(groups):
+                best, come = 0, -1
+                for p in range(i - 1, -1, -1):
+                    if start - groups[p][0] > len(template) + GAP:
+                        break
+                    if groups[p][5] <= first + SHINGLE - 1 and groups[p][1] <= start + BAND and start - groups[p][1] <= GAP \
+                            and weight[p] > best:
+                        best, come = weight[p], p
+                weight.append(best + last - first)
+                before.append(come)
+            at = top = max(range(len(groups)), key=lambda i: weight[i])
+            chain = []
+            while at >= 0:
+                chain.append(at)
+                at = before[at]
+            # At each end of a group, winnowing and the shingles may hide a few words.
+            if weight[top] + 2 * (WINDOW + SHINGLE) * len(chain) < need:
+                break
+            chain.reverse()
+            matched, place, span = 0, 0, []
+            for n, g in enumerate(chain if len(chain) > 1 else ()):  # one alone has been aligned before
+                _, _, low, high, first, _ = groups[g]
+                end = groups[chain[n + 1]][4] if n + 1 < len(chain) else len(template)
+                # What the group before has left; the next one gets what this one leaves.
+                a = min(place, first) if n == 0 else place
+                got = align(template[a:max(end, a)], h, low - BAND + a, high + BAND + a)
+                if got and (not span or got[1] > span[-1]):
+                    matched += got[0]
+                    span += got[1:]
+                place = max(end, a)
+            if span and matched >= need:
+                out.append((matched / len(template), matched, span[0], span[-1]))
+            groups = [g for i, g in enumerate(groups) if i not in set(chain)]
+        return out
+
     def match(self, text: str, least: float) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, start, end) of a text's matches by start."""
         if least < self.least:
             raise ValueError(f"the index is for a coverage of {self.least} or more")
         h = _hashes(text)
-        starts: defaultdict[str, list[int]] = defaultdict(list)
-        for code, prints, indexed in ((_shingles(h), self.prints, self.places), (h, self.word_prints, self.word_places)):
+        starts: defaultdict[str, list[tuple[int, int, int]]] = defaultdict(list)
+        for code, prints, indexed, size in ((_shingles(h), self.prints, self.places, SHINGLE),
+                                            (h, self.word_prints, self.word_places, 1)):
             if not len(code) or not len(prints):
                 continue
             at = np.minimum(np.searchsorted(prints, code), len(prints) - 1)
             for i in np.flatnonzero(prints[at] == code).tolist():
                 for name, j in indexed[int(code[i])]:
-                    starts[name].append(i - j)
+                    starts[name].append((i - j, j, j + size))
         if not starts:
             return []
         places: list[tuple[int, int]] = []
         found = []
-        for name, diagonals in starts.items():
+        for name, hits in starts.items():
             taken: list[tuple[float, int, int, int]] = []
+            apart = []
             # Narrower for short templates, so that one match does not reach into the next.
             band = min(BAND, max(len(self.words[name]) // 3, 1))
-            for low, high in _groups(sorted(diagonals), band):
-                if not self.may_cover(name, h, low - band, high + band, least):
-                    continue
-                got = align(self.words[name], h, low - band, high + band)
+            for low, high, parts in _groups(sorted(hits), band):
+                got = (align(self.words[name], h, low - band, high + band)
+                       if self.may_cover(name, h, low - band, high + band, least) else None)
                 if got and got[0] / len(self.words[name]) >= least:
                     taken.append((got[0] / len(self.words[name]), *got))
+                else:
+                    apart += [(first + low, last + high, low, high, first, last) for first, last in parts]
+            if len(self.words[name]) > SHORT and len(apart) > 1:
+                free = [g for g in apart if all(g[1] <= s or g[0] > e for _, _, s, e in taken)]
+                taken += self.chained(name, h, sorted(free), least)
             if taken and not places:
                 places = [m.span() for m in _WORD.finditer(text)]
             found += [(name, cover, matched, places[a][0], places[b][1]) for cover, matched, a, b in _disjoint(taken)]
         return sorted(found, key=lambda x: (x[3], -x[1], x[0]))
 
 
-def _groups(diagonals: list[int], band: int) -> Iterator[tuple[int, int]]:
-    """Runs of diagonals that lie within a band of one another."""
-    low = last = diagonals[0]
-    for d in diagonals[1:]:
-        if d - low > band:
-            yield low, last
-            low = d
-        last = d
-    yield low, last
+def _groups(hits: list[tuple[int, int, int]], band: int) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Runs of diagonals that lie within a band of one another, and the stretches of the template that their hits cover."""
+    at = 0
+    while at < len(hits):
+        end = bisect_right(hits, hits[at][0] + band, lo=at, key=lambda x: x[0])
+        parts: list[tuple[int, int]] = []
+        for _, a, b in sorted(hits[at:end], key=lambda x: x[1]):
+            if parts and a - parts[-1][1] <= STRETCH:
+                parts[-1] = (parts[-1][0], max(parts[-1][1], b))
+            else:
+                parts.append((a, b))
+        yield hits[at][0], hits[end - 1][0], parts
+        at = end
 
 
 def _disjoint(taken: list[tuple[float, int, int, int]]) -> list[tuple[float, int, int, int]]:

@@ -50,7 +50,8 @@ _HEX = re.compile("[0-9a-f]{24,}")  # the run is taken whole, so shorter runs ne
 
 _WORDS = ("passw", "secret", "token", "api")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:(?!-----).)+)-?-----END \1-----", re.S)
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+_RUN = re.compile("[A-Za-z0-9_-]++")
+_JWT = re.compile(r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{40,}={0,2}")
 _ANY_HEX = re.compile("[0-9A-Fa-f]{64,}")
 _BREAK = r"(?:\\+[rn]|\r?\n|\r)"
@@ -279,6 +280,16 @@ def is_signed_token(text: str) -> bool:
             and sign is not None and len(sign) in _SIGNATURE.get(header["alg"], set()))
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of what has the form of a signed token, leftmost and not overlapping; each run of letters is read once."""
+    at = text.find("eyJ")
+    while at >= 0:
+        if m := _JWT.match(text, at):
+            yield m.span()
+        # No other place of this run can begin one: its end is not followed by a payload.
+        at = text.find("eyJ", m.end() if m else _RUN.match(text, at).end())
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all secrets of a text, by start and then kind as listed."""
     out: list[tuple[str, int, int]] = []
@@ -293,7 +304,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
         out += [("pem", m.start(), m.end()) for m in _PEM.finditer(text) if is_pem_body(m[2])]
     armoured = [(s, e) for k, s, e in out if k == "pem"]
     if "eyJ" in text:
-        out += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
+        out += [("jwt", s, e) for s, e in _tokens(text) if is_signed_token(text[s:e])]
     whole = []
     for m in _BASE64.finditer(text):
         data = decode_base64(m[0])

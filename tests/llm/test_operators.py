@@ -484,3 +484,42 @@ def test_training_order_round_trip(spark, tmp_path):
     assert sorted(map(bytes, parts.values())) == sorted((t or "").encode() + b"\xff" for _, t, _ in ROWS)
     none = training_order.materialise(docs.filter("doc_id > 99"), training_order.byte_ids(F.col("text")), str(tmp_path / "e"))
     assert none.count() == 0
+
+
+def test_signed_tokens_are_found_in_linear_time():
+    import time
+
+    rng = np.random.default_rng(2)
+    old = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+    for _ in range(2000):
+        t = "".join(rng.choice(["eyJ", "eyJ", "a", ".", ".", " ", "-", "x.y"], 30))
+        assert list(secrets._tokens(t)) == [m.span() for m in old.finditer(t)]
+    began = time.time()
+    assert secrets.find("eyJ" * 200_000) == [] and secrets.find("eyJa." * 100_000) == []
+    assert time.time() - began < 60
+
+
+@pytest.mark.parametrize("name", ["MIT", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-3.0"])
+def test_licenses_with_words_put_in_are_found(name):
+    index = licenses.Index(licenses.TEMPLATES)
+    words = licenses.TEMPLATES[name].split()
+    rng = np.random.default_rng(len(words))
+    few = len(words) > 1000  # the long ones take seconds each
+    for k in (8, 200) if few else (5, 8, 14, 20, 60, 200):
+        for share in (0.5,) if few else (0.2, 0.5, 0.9):
+            at = int(len(words) * share)
+            put_in = [f"zq{i}{k}" for i in rng.integers(0, 10**6, k)]
+            text = " ".join(["before"] * 7 + words[:at] + put_in + words[at:] + ["after"] * 7)
+            found = {m[0]: m for m in index.match(text, 0.8)}
+            assert name in found and found[name][1] >= 0.97, (k, share, found.get(name))
+            assert found[name][2] <= licenses._hashes(licenses.TEMPLATES[name]).size
+    # In several places at once.
+    parts = np.array_split(np.array(words, object), 4)
+    text = " ".join(" ".join([*p, *[f"yy{i}" for i in range(30)]]) for p in parts)
+    assert name in {m[0] for m in index.match(text, 0.8)}
+
+
+def test_keep_first_keeps_a_column_of_the_locators_name(spark):
+    df = awkward(spark).withColumn("__at", F.lit("mine"))
+    kept = exact_dedup.keep_first(df)
+    assert kept.columns == df.columns and {r["__at"] for r in kept.collect()} == {"mine"}
