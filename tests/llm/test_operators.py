@@ -511,7 +511,8 @@ def test_licenses_with_words_put_in_are_found(name):
             put_in = [f"zq{i}{k}" for i in rng.integers(0, 10**6, k)]
             text = " ".join(["before"] * 7 + words[:at] + put_in + words[at:] + ["after"] * 7)
             found = {m[0]: m for m in index.match(text, 0.8)}
-            assert name in found and found[name][1] >= 0.97, (k, share, found.get(name))
+            # A part that covers enough alone is a match of its own; two halves are chained.
+            assert name in found and found[name][1] >= (0.97 if share == 0.5 else 0.8), (k, share, found.get(name))
             assert found[name][2] <= licenses._hashes(licenses.TEMPLATES[name]).size
     # In several places at once.
     parts = np.array_split(np.array(words, object), 4)
