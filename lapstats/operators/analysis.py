@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapstats.functions.exprs import safe_corr, std0
 from lapstats.functions.output import round_half_away as rnd
 from lapstats.functions.pvalues import pearson_p
+from lapstats.functions.ranking import row_numbers
 from lapstats.operators.clean import clean_view
 from lapstats.operators.features import pit_windows
 from lapstats.schema import KEY
@@ -37,8 +38,8 @@ def driver_stability(laps: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
                   .alias("team"))
              .where(F.col("lap_count") > 0)
              .withColumn("consistency_score", 1.0 / (1.0 + F.col("lap_time_std"))))
-    w = Window.partitionBy(*key).orderBy(F.desc("consistency_score"), "driver")
-    return stats.withColumn("stability_rank", F.row_number().over(w))
+    return row_numbers(stats, key, [F.desc("consistency_score"), F.col("driver")], "stability_rank").withColumn(
+        "stability_rank", F.col("stability_rank").cast("int"))
 
 
 def stability_summary(stability: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapstats.functions.ranking import running_sums
 from lapstats.operators import ml
 from lapstats.operators import significance as S
 from lapstats.operators import tuning
@@ -95,12 +96,14 @@ def fold_scores(oof: DataFrame, key: Sequence[str], models: Sequence[str] = MODE
 def auc(oof: DataFrame, key: Sequence[str], score: str) -> DataFrame:
     """Area under ROC = Mann-Whitney statistic with average ranks (exact, tie-aware)."""
     key = list(key)
-    r = (oof.where(F.col(score).isNotNull())
-         .withColumn("_rk", F.rank().over(Window.partitionBy(*key).orderBy(score)))
-         .withColumn("_tc", F.count("*").over(Window.partitionBy(*key, score)))
-         .withColumn("_ar", F.col("_rk") + (F.col("_tc") - 1) / 2.0))
-    g = r.groupBy(*key).agg(F.count_if(F.col("label") == 1).alias("_n1"), F.count_if(F.col("label") == 0).alias("_n0"),
-                            F.sum(F.when(F.col("label") == 1, F.col("_ar"))).alias("_s1"))
+    per = oof.where(F.col(score).isNotNull()).groupBy(*key, score).agg(
+        F.count_if(F.col("label") == 1).alias("_c1"), F.count_if(F.col("label") == 0).alias("_c0"),
+        F.count("*").alias("_c"))
+    # Rows of one score share the mean of their ranks: the last rank less half the others.
+    r = running_sums(per, key, [F.col(score)], {"_last": "_c"})
+    g = r.groupBy(*key).agg(F.sum("_c1").alias("_n1"), F.sum("_c0").alias("_n0"),
+                            F.sum(F.when(F.col("_c1") > 0, F.col("_c1") * (F.col("_last") - (F.col("_c") - 1) / 2.0)))
+                            .alias("_s1"))
     return g.select(*key, F.try_divide(F.col("_s1") - F.col("_n1") * (F.col("_n1") + 1) / 2.0,
                                        F.col("_n1") * F.col("_n0")).alias("auc"))
 
@@ -117,10 +120,8 @@ def roc_curve(oof: DataFrame, key: Sequence[str], model: str) -> DataFrame:
     start = per.select(*key).distinct().select(*key, F.lit(float("inf")).alias("threshold"),
                                                F.lit(0).cast("long").alias("_tp"), F.lit(0).cast("long").alias("_fp"))
     per = per.unionByName(start)
-    w =Window.partitionBy(*key).orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*key)
-    c = per.select(*key, "threshold", F.sum("_tp").over(w).alias("_ctp"), F.sum("_fp").over(w).alias("_cfp"),
-                   F.sum("_tp").over(tot).alias("_p"), F.sum("_fp").over(tot).alias("_n"))
+    c = running_sums(per, key, [F.desc("threshold")], {"_ctp": "_tp", "_cfp": "_fp"},
+                     totals={"_p": "_tp", "_n": "_fp"})
     return c.select(*key, F.lit(model).alias("model"), "threshold",
                     F.try_divide(F.col("_ctp"), F.col("_p")).alias("tpr"),
                     F.try_divide(F.col("_cfp"), F.col("_n")).alias("fpr"),

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapstats.functions.ranking import hash_piece, row_numbers
 from lapstats.operators import ml, treevalue
 from lapstats.schema import SEED
 from lapstats.session import materialize
@@ -42,9 +43,9 @@ def permutation_importance(tree: DataFrame, data: DataFrame, key: Sequence[str],
     g = key + ["_f", "_rep"]
     shuffle_order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_rep").cast("string"),
                                       F.col("_f").cast("string"), F.col("driver")))
-    tgt = ex.withColumn("_rk", F.row_number().over(Window.partitionBy(*g).orderBy("driver")))
+    tgt = row_numbers(ex, g, [F.col("driver")], "_rk")
     fval = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("_f") + 1)
-    src = (ex.withColumn("_rk", F.row_number().over(Window.partitionBy(*g).orderBy(shuffle_order, "driver")))
+    src = (row_numbers(ex, g, [shuffle_order, F.col("driver")], "_rk", hash_piece(shuffle_order))
            .select(*g, "_rk", fval.alias("_pv")))
     perm = tgt.join(src, g + ["_rk"]).select(
         *key, "label", F.concat_ws("|", "driver", F.col("_f").cast("string"), F.col("_rep").cast("string")).alias("_rid"),

@@ -9,8 +9,9 @@ when cross-validating) is a grouping column, never a driver-side loop.
 * Decision tree (M8): level-wise CART. Per (key, node, feature) the distinct
   values are ordered and cumulative class counts give every split's Gini in
   one window pass; the best split per node is an arg-min aggregate.
-* K-Means (M1/M2): Lloyd iterations of all starts together; each point meets
-  the centres of its own key as one array, so a step shuffles partial means only. Silhouette (M4) uses the squared-Euclidean decomposition of
+* K-Means (M1/M2): distance-weighted starts in a few passes, then Lloyd
+  iterations of all starts together; each point meets the centres of its own
+  key as one array, so a step shuffles partial means only. Silhouette (M4) uses the squared-Euclidean decomposition of
   Spark's ClusteringEvaluator (per-cluster sums), so it is O(n k), not O(n^2).
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapstats.functions.aggregates import checked_broadcast
+from lapstats.functions.ranking import hash_piece, row_numbers
 from lapstats.operators import neighbours, treevalue
 from lapstats.operators.clean import standardize
 from lapstats.schema import MODEL_FEATURES, SEED
@@ -52,8 +54,9 @@ def assign_folds(df: DataFrame, key: Sequence[str], n_splits: int = 5, label: st
     key = list(key)
     cls = df.groupBy(*key, label).agg(F.count("*").alias("_c"))
     k = cls.groupBy(*key).agg(F.greatest(F.lit(2), F.least(F.lit(n_splits), F.min("_c"))).alias("n_folds"))
-    w = Window.partitionBy(*key, label).orderBy(hash_order(key, seed=seed), "driver")
-    return (df.join(k, key).withColumn("fold", ((F.row_number().over(w) - 1) % F.col("n_folds")).cast("int")))
+    order = hash_order(key, seed=seed)
+    ranked = row_numbers(df.join(k, key), key + [label], [order, F.col("driver")], "_rn", hash_piece(order))
+    return ranked.withColumn("fold", ((F.col("_rn") - 1) % F.col("n_folds")).cast("int")).drop("_rn")
 
 
 def fold_sets(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -244,26 +247,128 @@ def tree_importance(tree: DataFrame, key: Sequence[str], features: Sequence[str]
 
 # ------------------------------------------------------------- K-Means (M1)
 
-def _to_nearest(pts: DataFrame, cent: DataFrame, key: list[str], by: list[str], feats: list[str]) -> DataFrame:
+#: Sampling rounds of the distance-weighted start, and candidates expected from a round, times k.
+START_ROUNDS = 5
+OVERSAMPLING = 2
+#: Sets of centres times centres times features that may be sent to every task (8 bytes each).
+BROADCAST_MAX_COORDINATES = 2_000_000
+
+
+def _coin(*parts: Column) -> Column:
+    """A number between 0 and 1 that is fixed by ``parts``."""
+    head = F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 13)
+    return (F.conv(head, 16, 10).cast("double") + 0.5) / float(16 ** 13)
+
+
+def _sets(cent: DataFrame, by: list[str], feats: list[str]) -> DataFrame:
+    """Each set of centres as one array."""
+    return cent.groupBy(*by).agg(F.collect_list(F.struct("cluster", *feats)).alias("_cent"))
+
+
+def _sqdist(a, b, feats: list[str]) -> Column:
+    return sum((F.pow(a[f] - b[f], 2) for f in feats), F.lit(0.0))
+
+
+def _to_nearest(pts: DataFrame, sets: DataFrame, key: list[str], by: list[str], feats: list[str]) -> DataFrame:
     """Every point with its nearest centre (lowest number on ties), once per set of centres ``by``.
 
     A set of centres is one array, so the arg-min is an expression on the row:
     no row per (point, centre) is made, let alone shuffled.
     """
-    sets = cent.groupBy(*by).agg(F.collect_list(F.struct("cluster", *feats)).alias("_cent"))
+    here = {f: F.col(f) for f in feats}
     near = F.array_min(F.transform("_cent", lambda c: F.struct(
-        sum((F.pow(F.col(f) - c[f], 2) for f in feats), F.lit(0.0)).alias("d2"), c["cluster"].alias("cluster"))))
+        _sqdist(here, c, feats).alias("d2"), c["cluster"].alias("cluster"))))
     return (pts.join(sets, key).withColumn("_near", near)
             .select(*by, "driver", *feats, F.col("_near.cluster").alias("cluster"), F.col("_near.d2").alias("sqdist")))
 
 
+def _distance_starts(pts: DataFrame, key: list[str], by: list[str], feats: list[str], k: int, starts: int,
+                     seed: int) -> DataFrame:
+    """Distance-weighted starts in a few passes (k-means||), for all keys and starts at once.
+
+    A round takes each point with a chance of OVERSAMPLING * k times its share
+    of the squared distance to the candidates so far, and at least one point;
+    the coin is a hash of the row, so a repeated task picks the same rows.
+    Rounds go on past START_ROUNDS only where a set has too few distinct
+    candidates and points are left. Candidates, weighted by the points nearest
+    to them, are then reduced to k' by weighted draws (k-means++): their number
+    depends on k, not on the rows of a key.
+    """
+    first = (pts.withColumn("_start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1)))).groupBy(*by)
+             .agg(F.min_by(F.struct(F.col("driver").alias("cluster"), *feats),
+                           F.struct(hash_order(by, seed=seed), "driver")).alias("_f")))
+    cand = materialize(first.select(*by, "_f.*"), "kmeans_candidates")
+    wanted = checked_broadcast(pts.groupBy(*key).agg(F.max("_k").alias("_k")))
+    size = cand.count()
+    short = None  # after the common rounds: the sets that still have too few distinct candidates
+    for r in itertools.count(1):
+        coin = _coin(F.lit(seed), F.lit(r), *[F.col(c) for c in by], F.col("driver"))
+        sets = _sets(cand, by, feats)
+        far = _to_nearest(pts, sets if short is None else sets.join(short, by, "left_semi"), key, by, feats).where(F.col("sqdist") > 0).withColumn("_u", coin)
+        total = checked_broadcast(far.groupBy(*by).agg(
+            F.sum("sqdist").alias("_sum"),
+            F.min_by("driver", F.struct(-F.ln("_u") / F.col("sqdist"), "driver")).alias("_drawn")))
+        picked = far.join(total, by).where(
+            (F.col("driver") == F.col("_drawn")) | (F.col("_u") * F.col("_sum") < OVERSAMPLING * k * F.col("sqdist")))
+        cand = materialize(cand.unionByName(picked.select(*by, F.col("driver").alias("cluster"), *feats)),
+                           "kmeans_candidates")
+        before, size = size, cand.count()
+        if size == before:
+            break
+        if r >= START_ROUNDS:
+            short = checked_broadcast(
+                cand.groupBy(*by).agg(F.count_distinct(F.struct(*feats)).alias("_c")).join(wanted, key)
+                .where(F.col("_c") < F.col("_k")).select(*by))
+            if short.limit(1).count() == 0:
+                break
+
+    weight = _to_nearest(pts, _sets(cand, by, feats), key, by, feats).groupBy(*by, "cluster").agg(
+        F.count("*").alias("_w"))
+    lists = (cand.join(weight, by + ["cluster"]).groupBy(*by)
+             .agg(F.collect_list(F.struct("_w", "cluster", *feats)).alias("_c")).join(wanted, key))
+
+    def draw(i: Column, chosen: Column | None) -> Column:
+        def score(c):
+            luck = -F.ln(_coin(F.lit(seed), F.lit("draw"), i, *[F.col(x) for x in by], c["cluster"])) / c["_w"]
+            if chosen is None:
+                return luck
+            d2 = F.array_min(F.transform(chosen, lambda o: _sqdist(c, o, feats)))
+            return F.when(d2 > 0, luck / d2).otherwise(F.lit(float("inf")))
+        return F.array(F.array_min(F.transform("_c", lambda c: F.struct(
+            score(c).alias("score"), c["cluster"].alias("cluster"), *[c[f].alias(f) for f in feats]))))
+
+    more = F.when(F.col("_k") > 1, F.sequence(F.lit(1), F.col("_k").cast("int") - 1)).otherwise(
+        F.array().cast("array<int>"))
+    drawn = lists.withColumn("_first", draw(F.lit(0), None)).select(*by, F.posexplode(F.aggregate(
+        more, F.col("_first"), lambda acc, i: F.concat(acc, draw(i, acc)))).alias("_i", "_d"))
+    return drawn.select(*by, F.col("_i").alias("cluster"), *[F.col(f"_d.{f}").alias(f) for f in feats])
+
+
+def _lloyd_step(pts: DataFrame, state: DataFrame, key: list[str], by: list[str], feats: list[str], tol: float,
+                small: bool) -> DataFrame:
+    """One step of the sets that still move: partial means shuffled by centre, then one row per set."""
+    live = state.where("_live").select(*by, "_cent")
+    means = (_to_nearest(pts, F.broadcast(live) if small else live, key, by, feats)
+             .groupBy(*by, "cluster").agg(*[F.avg(f).alias(f) for f in feats])
+             .groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("cluster", F.struct(*feats)))).alias("_mean")))
+    # A centre that lost all its points stays where it was.
+    new = F.transform("_cent", lambda c: F.struct(c["cluster"].alias("cluster"), *[
+        F.coalesce(F.try_element_at(F.col("_mean"), c["cluster"])[f], c[f]).alias(f) for f in feats]))
+    moved = F.exists(F.zip_with("_cent", "_new", lambda o, n: _sqdist(o, n, feats) > tol * tol), lambda m: m)
+    return (state.join(means, by, "left").withColumn("_new", F.when(F.col("_mean").isNotNull(), new)
+                                                     .otherwise(F.col("_cent")))
+            .select(*by, F.col("_new").alias("_cent"), (F.col("_live") & moved).alias("_live")))
+
+
 def kmeans(points: DataFrame, key: Sequence[str], features: Sequence[str], k: int = 3, max_iter: int = 300,
-           tol: float = 1e-4, seed: int = SEED, init: str = "hash", starts: int = 10) -> tuple[DataFrame, DataFrame]:
+           tol: float = 1e-4, seed: int = SEED, init: str = "distance",
+           starts: int = 10) -> tuple[DataFrame, DataFrame]:
     """Lloyd's K-Means per key with k' = min(k, n-1) centres: the best of ``starts`` runs by inertia.
 
-    Initial centres of a start: the first k' rows of the key in an md5 order of
-    its own (``init='hash'``), or farthest-first from the first of them
-    (``init='spread'``). All starts of all keys step together; those whose
+    Initial centres of a start: drawn by squared distance (``init='distance'``,
+    see ``_distance_starts``), the first k' rows of the key in an md5 order of
+    its own (``'hash'``), or farthest-first from the first of them
+    (``'spread'``). All starts of all keys step together; those whose
     centres no longer move rest. Returns (assignments: key, driver, cluster,
     sqdist; centres: key, cluster, f...).
     """
@@ -273,36 +378,34 @@ def kmeans(points: DataFrame, key: Sequence[str], features: Sequence[str], k: in
     n = points.groupBy(*key).agg(F.count("*").alias("_n"))
     kk = n.select(*key, F.least(F.lit(k), F.col("_n") - 1).alias("_k")).where(F.col("_k") >= 1)
     pts = materialize(points.join(kk, key).select(*key, "driver", *feats, "_k"), "kmeans_points")
-    w = Window.partitionBy(*by).orderBy(hash_order(by, seed=seed), "driver")
-    # The literal bound lets each task keep only its first k rows before the shuffle.
-    ranked = (pts.withColumn("_start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
-              .withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= (1 if init == "spread" else k))
-              .where(F.col("_i") <= F.col("_k")))
-    cent = materialize(ranked.select(*by, (F.col("_i") - 1).alias("cluster"), *feats), "kmeans_centres")
-    for i in range(1, k if init == "spread" else 1):
-        far = _to_nearest(pts.where(F.col("_k") > i), cent, key, by, feats).groupBy(*by).agg(
-            F.max_by(F.struct(*feats), F.struct("sqdist", "driver")).alias("_f"))
-        cent = materialize(cent.unionByName(far.select(*by, F.lit(i).alias("cluster"), "_f.*")), "kmeans_centres")
-
-    moved = sum((F.pow(F.col(f"n.{f}") - F.col(f"o.{f}"), 2) for f in feats), F.lit(0.0))
-    cent = cent.withColumn("_live", F.lit(True))
+    if init == "distance":
+        cent = _distance_starts(pts, key, by, feats, k, starts, seed)
+    else:
+        w = Window.partitionBy(*by).orderBy(hash_order(by, seed=seed), "driver")
+        # The literal bound lets each task keep only its first k rows before the shuffle.
+        ranked = (pts.withColumn("_start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
+                  .withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= (1 if init == "spread" else k))
+                  .where(F.col("_i") <= F.col("_k")))
+        cent = ranked.select(*by, (F.col("_i") - 1).alias("cluster"), *feats)
+        for i in range(1, k if init == "spread" else 1):
+            cent = materialize(cent, "kmeans_centres")
+            far = _to_nearest(pts.where(F.col("_k") > i), _sets(cent, by, feats), key, by, feats).groupBy(*by).agg(
+                F.max_by(F.struct(*feats), F.struct("sqdist", "driver")).alias("_f"))
+            cent = cent.unionByName(far.select(*by, F.lit(i).alias("cluster"), "_f.*"))
+
+    state = materialize(_sets(cent, by, feats).withColumn("_live", F.lit(True)), "kmeans_centres")
+    small = state.count() * k * len(feats) <= BROADCAST_MAX_COORDINATES
     for _ in range(max_iter):
-        live = cent.where("_live")
-        mean = _to_nearest(pts, live, key, by, feats).groupBy(*by, "cluster").agg(*[F.avg(f).alias(f) for f in feats])
-        # A centre that lost all its points stays where it was.
-        new = live.alias("o").join(mean.alias("n"), by + ["cluster"], "left").select(
-            *by, "cluster", *[F.coalesce(F.col(f"n.{f}"), F.col(f"o.{f}")).alias(f) for f in feats],
-            (F.coalesce(moved, F.lit(0.0)) > tol * tol).alias("_moved"))
-        new = new.withColumn("_live", F.max("_moved").over(Window.partitionBy(*by))).drop("_moved")
-        # Each step starts from written centres: the plan never chains steps
-        # (a cached DataFrame would still carry the whole chain in its plan).
-        cent = materialize(new.unionByName(cent.where("NOT _live")), "kmeans_centres")
-        if cent.where("_live").limit(1).count() == 0:
+        # Each step starts from written centres: a step reads them twice, so chained plans would double each time.
+        state = materialize(_lloyd_step(pts, state, key, by, feats, tol, small), "kmeans_centres")
+        if state.where("_live").limit(1).count() == 0:
             break
-    best = (_to_nearest(pts, cent, key, by, feats).groupBy(*by).agg(F.sum("sqdist").alias("_sum"))
+    sets = state.select(*by, "_cent")
+    best = (_to_nearest(pts, sets, key, by, feats).groupBy(*by).agg(F.sum("sqdist").alias("_sum"))
             .groupBy(*key).agg(F.min_by("_start", F.struct("_sum", "_start")).alias("_start")))
-    cent = materialize(cent.join(best, by, "left_semi").select(*key, "cluster", *feats), "kmeans_centres")
-    return _to_nearest(pts, cent, key, key, feats).select(*key, "driver", "cluster", "sqdist"), cent
+    sets = materialize(sets.join(best, by, "left_semi").select(*key, "_cent"), "kmeans_centres")
+    return (_to_nearest(pts, sets, key, key, feats).select(*key, "driver", "cluster", "sqdist"),
+            sets.select(*key, F.explode("_cent").alias("_c")).select(*key, "_c.*"))
 
 
 def inertia(assign: DataFrame, key: Sequence[str]) -> DataFrame:

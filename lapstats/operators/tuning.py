@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapstats.functions.ranking import hash_piece, row_numbers
 from lapstats.operators import ml
 from lapstats.schema import MODEL_FEATURES, SEED
 from lapstats.session import materialize
@@ -21,7 +22,7 @@ from lapstats.session import materialize
 DT_GRID = {"max_depth": [3, 4, 5, 7, None], "min_samples_split": [2, 4, 6], "min_samples_leaf": [1, 2, 3],
            "criterion": ["gini", "entropy"]}
 KNN_GRID = {"n_neighbors": [3, 5, 7, 9], "metric": ["euclidean", "manhattan"], "weights": ["uniform", "distance"]}
-KMEANS_GRID = {"n_clusters": [2, 3, 4, 5], "init": ["hash", "spread"]}
+KMEANS_GRID = {"n_clusters": [2, 3, 4, 5], "init": ["distance", "hash"]}
 TOP_K = 5
 
 
@@ -197,8 +198,8 @@ def learning_curve(matrix: DataFrame, key: Sequence[str], features: Sequence[str
     sizes = n.select(*key, F.explode(F.array(*[
         F.least(F.greatest(F.floor(mn + (mx - mn) * i / (points - 1)), F.lit(2)), mx).cast("int")
         for i in range(points)])).alias("size")).distinct()
-    order = Window.partitionBy(*key, "cv_fold").orderBy(ml.hash_order(key, seed=SEED + 2), "driver")
-    sub = (train.withColumn("_rn", F.row_number().over(order)).join(sizes, key)
+    order = ml.hash_order(key, seed=SEED + 2)
+    sub = (row_numbers(train, key + ["cv_fold"], [order, F.col("driver")], "_rn", hash_piece(order)).join(sizes, key)
            .where(F.col("_rn") <= F.col("size")).drop("_rn"))
     te = test.join(sizes, key)
     kf = key + ["cv_fold", "size"]
@@ -218,9 +219,9 @@ def holdout_split(data: DataFrame, key: Sequence[str], seed: int = SEED) -> Data
     key = list(key)
     n = data.groupBy(*key).agg(F.count("*").alias("_n"))
     frac = F.when(F.col("_n") < 6, F.lit(0.2)).otherwise(F.lit(0.3))
-    w = Window.partitionBy(*key, "label").orderBy(ml.hash_order(key, seed=seed), "driver")
-    cnt = Window.partitionBy(*key, "label")
-    return (data.join(n, key).withColumn("_rn", F.row_number().over(w)).withColumn("_c", F.count("*").over(cnt))
+    order = ml.hash_order(key, seed=seed)
+    ranked = row_numbers(data.join(n, key), key + ["label"], [order, F.col("driver")], "_rn", hash_piece(order), "_c")
+    return (ranked
             .withColumn("is_test", (F.col("_c") >= 2) & (F.col("_rn") <= F.round(F.col("_c") * frac)))
             .drop("_rn", "_c", "_n"))
 

@@ -170,6 +170,28 @@ def test_kmeans_best_start_is_never_worse_and_spread_starts_apart(spark):
     assert len({(r.cluster, int(r.driver[1:]) % 3) for r in a}) == 3
 
 
+def test_distance_starts_meet_far_groups_and_small_races(spark):
+    far = [("far", f"d{i:03d}", 100.0 * (i % 5) + 0.01 * i, float(i % 3), 0.0) for i in range(200)]
+    same = [("same", f"d{i}", 1.0, 1.0, 1.0) for i in range(8)]
+    pair = [("pair", "d0", 0.0, 0.0, 0.0), ("pair", "d1", 5.0, 0.0, 0.0)]
+    alone = [("alone", "d0", 0.0, 0.0, 0.0)]
+    one_off = [("one_off", f"d{i:03d}", 1e6 if i == 7 else 0.001 * i, 0.0, 0.0) for i in range(100)]
+    df = spark.createDataFrame(far + same + pair + alone + one_off,
+                               "race string, driver string, a double, b double, c double")
+    assign, cent = ML.kmeans(df, ["race"], FEATS, k=5, starts=1, max_iter=3)
+    rows = assign.collect()
+    clusters = {}
+    for r in rows:
+        clusters.setdefault(r.race, {}).setdefault(r.cluster, set()).add(r.driver)
+    assert len({(r.cluster, int(r.driver[1:]) % 5) for r in rows if r.race == "far"}) == 5
+    assert len(rows) == 200 + 8 + 2 + 100 and "alone" not in clusters
+    assert len(clusters["same"]) == 1 and len(clusters["pair"]) == 1
+    assert len(clusters["one_off"]) == 5 and {"d007"} in clusters["one_off"].values()
+    assert cent.columns == ["race", "cluster", *FEATS]
+    again = ML.kmeans(df.repartition(7), ["race"], FEATS, k=5, starts=1, max_iter=3)[0].collect()
+    assert {(r.race, r.driver, r.cluster) for r in again} == {(r.race, r.driver, r.cluster) for r in rows}
+
+
 def test_unlimited_tree_follows_a_deep_chain(spark):
     n = 38
     df = spark.createDataFrame([("r", f"d{i:02d}", i % 2, float(i)) for i in range(n)],
