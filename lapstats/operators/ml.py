@@ -7,8 +7,10 @@ when cross-validating) is a grouping column, never a driver-side loop.
 * kNN (M9): exact, without an all-pairs join, by k-d cells and box bounds
   (``neighbours``).
 * Decision tree (M8): level-wise CART. Per (key, node, feature) the distinct
-  values are ordered and cumulative class counts give every split's Gini in
-  one window pass; the best split per node is an arg-min aggregate.
+  values are ordered and cumulative class counts give every split's Gini; the
+  best split per node is an arg-min aggregate. Nodes of many rows are summed by
+  ordered pieces, so no task sorts a whole race. Trees that differ in depth or in
+  the rows a split needs are one full tree, cut off per configuration.
 * K-Means (M1/M2): distance-weighted starts in a few passes, then Lloyd
   iterations of all starts together; each point meets the centres of its own
   key as one array, so a step shuffles partial means only. Silhouette (M4) uses the squared-Euclidean decomposition of
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapstats.functions.aggregates import checked_broadcast
-from lapstats.functions.ranking import hash_piece, row_numbers
+from lapstats.functions.ranking import hash_piece, row_numbers, running_sums
 from lapstats.operators import neighbours, treevalue
 from lapstats.operators.clean import standardize
 from lapstats.schema import MODEL_FEATURES, SEED
@@ -32,6 +34,8 @@ from lapstats.session import materialize
 
 #: Levels of a deep tree that rows descend in one plan; then they are written.
 STEPS_PER_PLAN = 10
+#: Rows of a tree node up to which its values of a feature are sorted by one window.
+WINDOW_MAX_ROWS = 1_000_000
 
 
 def model_input(matrix: DataFrame, key: Sequence[str], features: Sequence[str] = MODEL_FEATURES,
@@ -120,16 +124,17 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
     """
     key = list(key)
     feats = list(features)
+    rows = materialize(train.select(*key, "label", *feats).withColumn("_node", F.lit("1")), "tree_rows")
     if params is None:
-        params = train.select(*key).distinct().select(
+        params = rows.select(*key).distinct().select(
             *key, F.lit(max_depth).cast("int").alias("max_depth"), F.lit(min_samples_split).alias("min_samples_split"),
             F.lit(min_samples_leaf).alias("min_samples_leaf"), F.lit(criterion).alias("criterion"))
     prm = checked_broadcast(params.select(
         *key, F.col("max_depth").alias("_md"),
         F.col("min_samples_split").alias("_mss"), F.col("min_samples_leaf").alias("_msl"),
         F.col("criterion").alias("_crit")))
-    rows = train.select(*key, "label", *feats).withColumn("_node", F.lit("1"))
     nodes = []
+    most = rows.groupBy(*key).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
 
     def impurity(counts, total):
         ent = -sum((F.coalesce(F.when(c > 0, (c / total) * F.log2(c / total)), F.lit(0.0)) for c in counts),
@@ -154,24 +159,32 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
             .alias("_e")).select(*key, "_node", "label", "_e._f", "_e._v")
         per_v = long.groupBy(*key, "_node", "_f", "_v").agg(
             *[F.count_if(F.col("label") == c).alias(f"_c{c}") for c in classes])
-        wv = Window.partitionBy(*key, "_node", "_f").orderBy("_v")
-        wall = Window.partitionBy(*key, "_node", "_f")
-        cum = per_v.select(
-            *key, "_node", "_f", "_v", F.lead("_v").over(wv).alias("_next"),
-            *[F.sum(f"_c{c}").over(wv.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_l{c}") for c in classes],
-            *[F.sum(f"_c{c}").over(wall).alias(f"_t{c}") for c in classes]).join(prm, key)
+        by = key + ["_node", "_f"]
+        if most <= WINDOW_MAX_ROWS:
+            wv = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+            wall = Window.partitionBy(*by)
+            cum = per_v.select(*by, "_v", *[F.sum(f"_c{c}").over(wv).alias(f"_l{c}") for c in classes],
+                               *[F.sum(f"_c{c}").over(wall).alias(f"_t{c}") for c in classes])
+        else:  # a node may hold too many values to sort in one task: they are summed by ordered pieces
+            per_v = materialize(per_v, "tree_values")
+            cum = running_sums(per_v, by, [F.col("_v")], {f"_l{c}": f"_c{c}" for c in classes},
+                               totals={f"_t{c}": f"_c{c}" for c in classes})
+        cum = cum.join(prm, key)
         nl = sum((F.col(f"_l{c}") for c in classes), F.lit(0))
         nt = sum((F.col(f"_t{c}") for c in classes), F.lit(0))
         nr = nt - nl
         imp = (nl * impurity([F.col(f"_l{c}") for c in classes], nl)
                + nr * impurity([F.col(f"_t{c}") - F.col(f"_l{c}") for c in classes], nr)) / nt
+        cands = cum.where((nr > 0) & (nl >= F.col("_msl")) & (nr >= F.col("_msl"))).select(
+            *by, "_v", imp.alias("_imp"))
+        cut = cands.groupBy(*key, "_node").agg(F.min_by(F.struct("_f", "_v"), F.struct("_imp", "_f", "_v")).alias("_b"))
+        # The threshold lies halfway to the next value of the feature in the node.
+        cut = cut.select(*key, "_node", F.col("_b._f").alias("_f"), F.col("_b._v").alias("_at"))
+        after = per_v.join(cut, by).where(F.col("_v") > F.col("_at")).groupBy(*by, "_at").agg(F.min("_v").alias("_next"))
         # Between neighbouring floats the midpoint rounds to one of them; the lower one still splits.
-        mid = (F.col("_v") + F.col("_next")) / 2.0
-        cands = cum.where(F.col("_next").isNotNull() & (nl >= F.col("_msl")) & (nr >= F.col("_msl"))).select(
-            *key, "_node", "_f", F.when(mid < F.col("_next"), mid).otherwise(F.col("_v")).alias("_thr"),
-            imp.alias("_imp"))
-        best = cands.groupBy(*key, "_node").agg(
-            F.min_by(F.struct("_f", "_thr"), F.struct("_imp", "_f", "_thr")).alias("_b"))
+        mid = (F.col("_at") + F.col("_next")) / 2.0
+        best = after.select(*key, "_node", F.struct("_f", F.when(mid < F.col("_next"), mid).otherwise(F.col("_at")).alias(
+            "_thr")).alias("_b"))
         level = (stats.join(best, key + ["_node"], "left")
                  .select(*key, F.col("_node").alias("node"), F.lit(depth).alias("depth"),
                          F.col("_b._f").alias("feature"), F.col("_b._thr").alias("threshold"),
@@ -179,7 +192,8 @@ def tree_fit(train: DataFrame, key: Sequence[str], features: Sequence[str], max_
         level = materialize(level, "tree_level")
         nodes.append(level)
         splits = level.where(~F.col("is_leaf")).select(*key, F.col("node").alias("_node"), "feature", "threshold")
-        if splits.limit(1).count() == 0:
+        most = level.where(~F.col("is_leaf")).agg(F.max("n")).first()[0]
+        if most is None:
             break
         fv = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("feature") + 1)
         rows = materialize(rows.join(splits, key + ["_node"]).withColumn(
@@ -219,6 +233,45 @@ def tree_predict(tree: DataFrame, rows: DataFrame, key: Sequence[str], features:
             .select(*key, ident, "pred", "proba"))
 
 
+def tree_paths(tree: DataFrame, rows: DataFrame, key: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_path``: the nodes a row passes in its key's tree, the root first, as an array of (n, pred).
+
+    A tree stopped earlier, by its depth or by the rows that a split needs, is
+    this tree cut off there: its answer is the node at which the path is cut
+    (``pruned_prediction``), so one full tree answers for all of them.
+    """
+    key, feats = list(key), list(features)
+    size = tree.groupBy(*key).agg(F.count("*").alias("_n"), F.max("depth").alias("_d")).agg(
+        F.max("_n"), F.max("_d"), F.sum("_n")).first()
+    max_depth, values = int(size[1] or 0), F.array(*[F.col(f).cast("double") for f in feats])
+    if (size[0] or 0) <= treevalue.MOST_NODES:
+        folded = treevalue.fold_trees(tree, key)
+        folded = checked_broadcast(folded) if (size[2] or 0) <= 200_000 else folded
+        return rows.join(folded, key, "left").withColumn(
+            "_path", treevalue.walk(F.col("_nodes"), values, max_depth)).drop("_nodes")
+    nodes = tree.select(*key, F.col("node").alias("_node"), F.col("feature").alias("_f"), F.col("threshold").alias("_thr"),
+                        F.col("is_leaf").alias("_leaf"), F.struct("n", "pred").alias("_here"))
+    cur = rows.withColumn("_node", F.lit("1")).withColumn("_path", F.array().cast("array<struct<n:bigint,pred:int>>"))
+    for depth in range(max_depth + 1):
+        if depth and depth % STEPS_PER_PLAN == 0:
+            cur = materialize(cur, "tree_paths")
+        side = F.when(F.get(values, F.col("_f")) <= F.col("_thr"), "0").otherwise("1")
+        # A row that is at its leaf has no node any more: it meets nothing.
+        cur = (cur.join(nodes, key + ["_node"], "left")
+               .withColumn("_path", F.when(F.col("_here").isNull(), F.col("_path")).otherwise(
+                   F.concat("_path", F.array("_here"))))
+               .withColumn("_node", F.when(~F.col("_leaf"), F.concat("_node", side)))
+               .drop("_f", "_thr", "_leaf", "_here"))
+    return cur.drop("_node")
+
+
+def pruned_prediction(path: Column, max_depth: Column, min_samples_split: Column) -> Column:
+    """The class at the end of ``path`` in the tree that splits no node at ``max_depth`` (NULL: unlimited) or with
+    fewer rows than ``min_samples_split``."""
+    stops = F.filter(path, lambda x, i: F.coalesce(i >= max_depth, F.lit(False)) | (x["n"] < min_samples_split))
+    return F.coalesce(F.get(stops, F.lit(0)), F.element_at(path, -1))["pred"]
+
+
 def tree_importance(tree: DataFrame, key: Sequence[str], features: Sequence[str],
                     criterion: str = "gini") -> DataFrame:
     """Impurity importance per feature, normalised to sum 1 per key (5 dp)."""

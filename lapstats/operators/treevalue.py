@@ -24,15 +24,16 @@ MOST_NODES = 4096
 
 
 def fold_trees(tree: DataFrame, key: Sequence[str]) -> DataFrame:
-    """key and ``_nodes``: array of (feature, threshold, left, right, pred, proba), the root first; a leaf has feature NULL."""
+    """key and ``_nodes``: array of (feature, threshold, left, right, pred, proba, n), the root first; a leaf has feature NULL."""
     key = list(key)
     held = tree.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(
-        "depth", "node", F.when(~F.col("is_leaf"), F.col("feature")).alias("feature"), "threshold", "pred", "proba"))).alias("_n"))
+        "depth", "node", F.when(~F.col("is_leaf"), F.col("feature")).alias("feature"), "threshold", "pred", "proba", "n"))).alias("_n"))
     names = F.transform("_n", lambda n: n["node"])
     child = lambda n, bit: (F.array_position(F.col("_names"), F.concat(n["node"], F.lit(bit))) - 1).cast("int")
     return held.withColumn("_names", names).select(*key, F.transform("_n", lambda n: F.struct(
         n["feature"].alias("feature"), n["threshold"].alias("threshold"), child(n, "0").alias("left"),
-        child(n, "1").alias("right"), n["pred"].alias("pred"), n["proba"].alias("proba"))).alias("_nodes"))
+        child(n, "1").alias("right"), n["pred"].alias("pred"), n["proba"].alias("proba"),
+        n["n"].alias("n"))).alias("_nodes"))
 
 
 def descend(nodes: Column, values: Column, depth: int) -> Column:
@@ -45,6 +46,21 @@ def descend(nodes: Column, values: Column, depth: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
 
 
+def walk(nodes: Column, values: Column, depth: int) -> Column:
+    """The nodes that the array ``values`` passes in ``nodes``, from the root to its leaf, as an array of (n, pred)."""
+    def step(acc: Column, _: Column) -> Column:
+        node = F.get(nodes, acc["at"])
+        goes_left = F.get(values, node["feature"]) <= node["threshold"]
+        child = F.when(goes_left, node["left"]).otherwise(node["right"])
+        after = F.get(nodes, child)
+        met = F.concat(acc["path"], F.array(F.struct(after["n"].alias("n"), after["pred"].alias("pred"))))
+        return F.when(node["feature"].isNull(), acc).otherwise(F.struct(child.alias("at"), met.alias("path")))
+
+    root = F.get(nodes, F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array(F.struct(root["n"].alias("n"), root["pred"].alias("pred"))).alias("path"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step)["path"] if depth else start["path"]
+
+
 def predict(tree: DataFrame, rows: DataFrame, key: Sequence[str], features: Sequence[str], ident: str,
             depth: int, nodes: int) -> DataFrame:
     """key, ident, pred and proba of every row; ``depth`` and ``nodes`` are those of the deepest tree and of all trees."""

@@ -1,8 +1,9 @@
 """Hyper-parameter search and sweeps.
 
-Every configuration becomes an extra key column (config id, dropped feature,
-train size, ...), so one tree fit and one neighbour search per sweep train
-all configurations of all races and folds together.
+Every variant becomes an extra key column (fit, dropped feature, train size, ...),
+so one tree fit and one neighbour search per sweep train all variants of all races
+and folds together. Configurations that only end a tree earlier are read off one
+full tree.
 """
 
 from __future__ import annotations
@@ -50,6 +51,39 @@ def tree_cv_scores(train: DataFrame, test: DataFrame, keys: list[str], features:
     return out
 
 
+def nested_tree_scores(train: DataFrame, test: DataFrame, keys: list[str], features: Sequence[str],
+                       configs: list[dict], with_train: bool = False) -> DataFrame:
+    """``tree_cv_scores`` of every configuration (numbered by place, column ``config``) from few fits.
+
+    Configurations of one criterion and leaf size share a full tree: depth and
+    the rows that a split needs only say where it ends. So a row is copied once
+    per (criterion, leaf size), not once per configuration.
+    """
+    fits = list(dict.fromkeys((c["criterion"], c["min_samples_leaf"]) for c in configs))
+    depths = [c["max_depth"] for c in configs]
+    full = [{"max_depth": None if None in depths else max(depths), "min_samples_leaf": leaf, "criterion": crit,
+             "min_samples_split": min(c["min_samples_split"] for c in configs)} for crit, leaf in fits]
+    kf = keys + ["fit"]
+    tr = _explode_configs(train, full, "fit")
+    te = _explode_configs(test, full, "fit").select(*kf, "label", *features)
+    params = tr.select(*kf, *full[0]).distinct()
+    tree = ml.tree_fit(tr, kf, features, params=params)
+    ends = F.array(*[F.struct(F.lit(fits.index((c["criterion"], c["min_samples_leaf"]))).alias("fit"),
+                              F.lit(i).alias("config"), F.lit(c["max_depth"]).cast("int").alias("depth"),
+                              F.lit(c["min_samples_split"]).alias("split")) for i, c in enumerate(configs)])
+
+    def scores(rows: DataFrame) -> DataFrame:
+        own = F.explode(F.filter(ends, lambda c: c["fit"] == F.col("fit"))).alias("_c")
+        hit = ml.pruned_prediction(F.col("_path"), F.col("_c.depth"), F.col("_c.split")) == F.col("label")
+        return (ml.tree_paths(tree, rows, kf, features).select(*keys, "label", "_path", own)
+                .groupBy(*keys, F.col("_c.config").alias("config")).agg(F.avg(hit.cast("double")).alias("acc")))
+
+    out = scores(te).withColumnRenamed("acc", "val_acc")
+    if with_train:
+        out = out.join(scores(tr.select(*kf, "label", *features)).withColumnRenamed("acc", "train_acc"), keys + ["config"])
+    return out
+
+
 def knn_cv_scores(train: DataFrame, test: DataFrame, keys: list[str], features: Sequence[str],
                   ks: Sequence[int], metric: str = "euclidean", weights: Sequence[str] = ("uniform",),
                   with_train: bool = False) -> DataFrame:
@@ -94,11 +128,7 @@ def grid_search(matrix: DataFrame, key: Sequence[str], features: Sequence[str] =
     # Configurations are numbered by sorted parameter name, the last one fastest; ties go to the lowest number.
     names = sorted(DT_GRID)
     dt_cfgs = [dict(zip(names, v)) for v in itertools.product(*(DT_GRID[n] for n in names))]
-    kf = key + ["cv_fold", "config"]
-    tr = _explode_configs(train, dt_cfgs)
-    te = _explode_configs(test, dt_cfgs)
-    params = tr.select(*kf, "max_depth", "min_samples_split", "min_samples_leaf", "criterion").distinct()
-    dt = tree_cv_scores(tr, te, kf, features, params)
+    dt = nested_tree_scores(train, test, key + ["cv_fold"], features, dt_cfgs)
     dt = dt.groupBy(*key, "config").agg(F.avg("val_acc").alias("mean_score"))
     dt_names = F.element_at(F.array(*[F.lit(str(c)) for c in dt_cfgs]), F.col("config") + 1)
     dt = dt.select(*key, F.lit("Decision Tree").alias("model"), "config", dt_names.alias("params"), "mean_score")
@@ -136,10 +166,7 @@ def complexity_sweep(matrix: DataFrame, key: Sequence[str], features: Sequence[s
     key = list(key)
     data, train, test = _cv_data(matrix, key, features, folds)
     cfgs = [{"max_depth": d, "min_samples_split": 2, "min_samples_leaf": 1, "criterion": "gini"} for d in depths]
-    kf = key + ["cv_fold", "config"]
-    tr, te = _explode_configs(train, cfgs), _explode_configs(test, cfgs)
-    params = tr.select(*kf, "max_depth", "min_samples_split", "min_samples_leaf", "criterion").distinct()
-    dt = tree_cv_scores(tr, te, kf, features, params, with_train=True).groupBy(*key, "config").agg(
+    dt = nested_tree_scores(train, test, key + ["cv_fold"], features, cfgs, with_train=True).groupBy(*key, "config").agg(
         F.avg("train_acc").alias("train_acc"), F.avg("val_acc").alias("val_acc"))
     dt = dt.select(*key, F.lit("Decision Tree").alias("model"), F.lit("max_depth").alias("param"),
                    (F.col("config") + 1).alias("value"), "train_acc", "val_acc")

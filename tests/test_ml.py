@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lapstats.operators import explain as XP
 from lapstats.operators import ml as ML
 from lapstats.operators import neighbours, treevalue
+from lapstats.operators import tuning as TU
 
 FEATS = ["a", "b", "c"]
 
@@ -232,3 +233,45 @@ def test_comparison_rules_and_winner(spark):
     scores = summary.withColumnRenamed("cv_mean_acc", "accuracy")
     won = {r.race: r.winner for r in TU.model_winner(scores, key).collect()}
     assert won == {"a": "Decision Tree", "b": "kNN"}  # a tie goes to the tree
+
+
+CONFIGS = [{"criterion": c, "max_depth": d, "min_samples_leaf": m, "min_samples_split": n}
+           for c, d, m, n in itertools.product(("gini", "entropy"), (1, 3, None), (1, 3), (2, 7))]
+
+
+def _folds(spark):
+    data = _points(spark).where(F.col("race") == "r1").withColumn("label", F.when(
+        F.substring("driver", -1, 1) == "7", 1 - F.col("label")).otherwise(F.col("label")))
+    data = data.withColumn("fold", (F.substring("driver", 2, 3).cast("int") % 3)).withColumn("n_folds", F.lit(3))
+    return ML.fold_sets(data, ["race"])
+
+
+@pytest.mark.parametrize("most_nodes", [4096, 0])
+def test_nested_trees_equal_separate_fits(spark, monkeypatch, most_nodes):
+    """A pruned prefix of one full tree scores as the tree fitted with that depth and split size."""
+    train, test = _folds(spark)
+    kf = ["race", "cv_fold", "config"]
+    tr, te = TU._explode_configs(train, CONFIGS), TU._explode_configs(test, CONFIGS)
+    params = tr.select(*kf, *CONFIGS[0]).distinct()
+    apart = {tuple(r[c] for c in kf): (r["val_acc"], r["train_acc"])
+             for r in TU.tree_cv_scores(tr, te, kf, FEATS, params, with_train=True).collect()}
+    monkeypatch.setattr(treevalue, "MOST_NODES", most_nodes)
+    nested = {tuple(r[c] for c in kf): (r["val_acc"], r["train_acc"])
+              for r in TU.nested_tree_scores(train, test, ["race", "cv_fold"], FEATS, CONFIGS, with_train=True).collect()}
+    assert len(apart) == 3 * len(CONFIGS) and set(nested) == set(apart)
+    assert all(nested[k] == pytest.approx(apart[k]) for k in apart)
+    assert len({v for v in apart.values()}) > 10  # the configurations do differ
+
+
+def test_nested_trees_of_an_empty_table(spark):
+    train, test = _folds(spark)
+    none = TU.nested_tree_scores(train.limit(0), test.limit(0), ["race", "cv_fold"], FEATS, CONFIGS, with_train=True)
+    assert none.count() == 0
+
+
+def test_splits_by_ordered_pieces_equal_one_window(spark, monkeypatch):
+    data = _points(spark)
+    whole = sorted(map(tuple, ML.tree_fit(data, ["race"], FEATS, max_depth=2).collect()), key=str)
+    monkeypatch.setattr(ML, "WINDOW_MAX_ROWS", 20)
+    pieces = sorted(map(tuple, ML.tree_fit(data, ["race"], FEATS, max_depth=2).collect()), key=str)
+    assert whole == pieces and len(whole) > 4
