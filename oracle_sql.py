@@ -767,27 +767,176 @@ rb AS (SELECT season, race_name, first(threshold ORDER BY youden_j DESC, thresho
     doubles=("threshold", "tpr", "fpr", "youden_j"), ints=("season",)))
 
 HOLDOUT_FEATURES = MODEL_FEATURES + ("air_temp", "track_temp")
-ORACLE["knn_holdout"] = _q("events", _model_input(HOLDOUT_FEATURES) + """,
+HOLDOUT = _model_input(HOLDOUT_FEATURES) + """,
 hn AS (SELECT season, race_name, count(*) AS _n FROM mi GROUP BY season, race_name),
 hs AS (SELECT mi.*, row_number() OVER (PARTITION BY season, race_name, label
       ORDER BY md5(concat_ws('|', '42', CAST(season AS VARCHAR), race_name, driver)), driver) <= round(
       count(*) OVER (PARTITION BY season, race_name, label) * CASE WHEN _n < 6 THEN 0.2 ELSE 0.3 END)
-    AND count(*) OVER (PARTITION BY season, race_name, label) >= 2 AS is_test FROM mi JOIN hn USING (season, race_name)),
+    AND count(*) OVER (PARTITION BY season, race_name, label) >= 2 AS is_test FROM mi JOIN hn USING (season, race_name))"""
+HOLDOUT_KNN = """
 pr AS (SELECT q.season, q.race_name, q.driver AS qid, q.label, t.driver AS tid, t.label AS y,
     sqrt(""" + " + ".join(f"pow(q.{f} - t.{f}, 2)" for f in HOLDOUT_FEATURES) + """) AS d
   FROM hs q JOIN hs t ON q.season = t.season AND q.race_name = t.race_name AND q.is_test AND NOT t.is_test),
 rk AS (SELECT *, row_number() OVER (PARTITION BY season, race_name, qid ORDER BY d, tid) AS r FROM pr),
 vt AS (SELECT season, race_name, qid, label, y, count(*) AS s FROM rk WHERE r <= 5 GROUP BY ALL),
-pd_ AS (SELECT season, race_name, qid, label, first(y ORDER BY s DESC, y) AS p FROM vt GROUP BY ALL),
-cm AS (SELECT season, race_name, count(*) AS n_test, count(*) FILTER (WHERE label = 0 AND p = 0) AS tn,
-    count(*) FILTER (WHERE label = 0 AND p = 1) AS fp, count(*) FILTER (WHERE label = 1 AND p = 0) AS fn,
-    count(*) FILTER (WHERE label = 1 AND p = 1) AS tp FROM pd_ GROUP BY season, race_name),
-nt AS (SELECT season, race_name, count(*) AS n_train FROM hs WHERE NOT is_test GROUP BY season, race_name)""", fin("""
-  SELECT season, race_name, n_train, 'kNN' AS model, n_test, tn, fp, fn, tp, (tn + tp) / n_test AS accuracy,
+pd_ AS (SELECT season, race_name, qid, label, first(y ORDER BY s DESC, y) AS p FROM vt GROUP BY ALL)"""
+
+
+def _report(rel: str, model: str) -> str:
+    """Confusion counts and class report of ``rel`` (keys, label, p)."""
+    return f"""
+  SELECT season, race_name, n_train, '{model}' AS model, n_test, tn, fp, fn, tp, (tn + tp) / n_test AS accuracy,
     CASE WHEN tn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS precision_0, CASE WHEN tn > 0 THEN tn / (tn + fp) ELSE 0.0 END AS recall_0,
     CASE WHEN tn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0.0 END AS f1_0,
     CASE WHEN tp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision_1, CASE WHEN tp > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall_1,
     CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_1
-  FROM nt JOIN cm USING (season, race_name)""",
-    doubles=("accuracy", "precision_0", "recall_0", "f1_0", "precision_1", "recall_1", "f1_1"),
-    ints=("season", "n_train", "n_test", "tn", "fp", "fn", "tp")))
+  FROM (SELECT season, race_name, count(*) AS n_train FROM hs WHERE NOT is_test GROUP BY season, race_name) JOIN (
+    SELECT season, race_name, count(*) AS n_test, count(*) FILTER (WHERE label = 0 AND p = 0) AS tn,
+      count(*) FILTER (WHERE label = 0 AND p = 1) AS fp, count(*) FILTER (WHERE label = 1 AND p = 0) AS fn,
+      count(*) FILTER (WHERE label = 1 AND p = 1) AS tp FROM {rel} GROUP BY season, race_name) USING (season, race_name)"""
+
+
+REPORT = {"doubles": ("accuracy", "precision_0", "recall_0", "f1_0", "precision_1", "recall_1", "f1_1"),
+          "ints": ("season", "n_train", "n_test", "tn", "fp", "fn", "tp")}
+ORACLE["knn_holdout"] = _q("events", HOLDOUT + "," + HOLDOUT_KNN, fin(_report("pd_", "kNN"), **REPORT))
+
+
+def _tree(train: str, keys: str, features: tuple[str, ...], max_depth: int = 5) -> str:
+    """CTEs of a Gini tree per ``keys`` by its definition: every midpoint of every feature is a candidate.
+
+    ``train`` holds keys, driver, label and the features. ``tl{d}_b`` is the split of each node of level d and
+    ``tn`` every node with its class counts; a node is named by its path, 1 for the root.
+    """
+    kn = keys + ", node"
+    gini = lambda a, b: f"(1.0 - ((0.0 + pow({a} / ({a} + {b}), 2)) + pow({b} / ({a} + {b}), 2)))"
+    out = [f"""
+tl0 AS (SELECT {keys}, driver, label, {", ".join(features)}, '1' AS node FROM {train})"""]
+    for d in range(max_depth + 1):
+        out.append(f"""
+tl{d}_n AS (SELECT {kn}, count(*) AS n, count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
+  FROM tl{d} GROUP BY {kn})""")
+        if d == max_depth:
+            break
+        values = " UNION ALL ".join(f"SELECT {kn}, {i} AS f, {f} AS v, label FROM tl{d}" for i, f in enumerate(features))
+        out.append(f"""
+tl{d}_v AS (SELECT {kn}, f, v, count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1
+  FROM ({values}) GROUP BY {kn}, f, v),
+tl{d}_c AS (SELECT {kn}, f, v, lead(v) OVER w AS nx, sum(c0) OVER w AS l0, sum(c1) OVER w AS l1, n0 - l0 AS r0, n1 - l1 AS r1
+  FROM tl{d}_v JOIN tl{d}_n USING ({kn}) WHERE n0 > 0 AND n1 > 0 WINDOW w AS (PARTITION BY {kn}, f ORDER BY v)),
+tl{d}_i AS (SELECT *, CASE WHEN (v + nx) / 2.0 < nx THEN (v + nx) / 2.0 ELSE v END AS thr,
+    ((l0 + l1) * {gini("l0", "l1")} + (r0 + r1) * {gini("r0", "r1")}) / (l0 + l1 + r0 + r1) AS imp
+  FROM tl{d}_c WHERE nx IS NOT NULL),
+tl{d}_b AS (SELECT {kn}, f, thr FROM tl{d}_i
+  QUALIFY row_number() OVER (PARTITION BY {kn} ORDER BY imp, f, thr) = 1),
+tl{d + 1} AS (SELECT tl{d}.* REPLACE (node || CASE WHEN {_feature("f", features)} <= thr THEN '0' ELSE '1' END AS node)
+  FROM tl{d} JOIN tl{d}_b USING ({kn}))""")
+    nodes = " UNION ALL ".join(f"SELECT * FROM tl{d}_n" for d in range(max_depth + 1))
+    splits = " UNION ALL ".join(f"SELECT * FROM tl{d}_b" for d in range(max_depth))
+    out.append(f"""
+tn AS ({nodes}),
+ts AS ({splits})""")
+    return ",".join(out)
+
+
+def _feature(place: str, features: tuple[str, ...]) -> str:
+    return "CASE " + place + " " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(features)) + " END"
+
+
+def _route(test: str, keys: str, features: tuple[str, ...], max_depth: int = 5) -> str:
+    """CTEs that send the rows of ``test`` down the trees of ``_tree``; ``tq`` holds keys, driver, pred_dt and proba_dt."""
+    out = [f"""
+q0 AS (SELECT {keys}, driver, {", ".join(features)}, '1' AS node FROM {test})"""]
+    for d in range(max_depth):
+        out.append(f"""
+q{d + 1} AS (SELECT q{d}.* REPLACE (CASE WHEN f IS NULL THEN node
+      WHEN {_feature("f", features)} <= thr THEN node || '0' ELSE node || '1' END AS node)
+  FROM q{d} LEFT JOIN ts USING ({keys}, node))""")
+    out.append(f"""
+tq AS (SELECT {keys}, driver, CASE WHEN n0 >= n1 THEN 0 ELSE 1 END AS pred_dt, n1 / n AS proba_dt
+  FROM q{max_depth} JOIN tn USING ({keys}, node))""")
+    return ",".join(out)
+
+
+KF = K + ", cv_fold"
+CV_OOF = KNN_OOF + """,
+ft AS (SELECT fo.*, g.cv_fold FROM fo, LATERAL (SELECT unnest(range(0, n_folds)) AS cv_fold) g WHERE g.cv_fold <> fold),
+fq AS (SELECT *, fold AS cv_fold FROM fo),""" + _tree("ft", KF, MODEL_FEATURES) + "," + _route("fq", KF, MODEL_FEATURES) + """,
+cv AS (SELECT oof.*, pred_dt, proba_dt FROM oof LEFT JOIN tq USING (season, race_name, driver))"""
+
+ORACLE["cv_oof"] = _q("events", CV_OOF, fin(
+    "SELECT * FROM cv", doubles=("proba_knn", "proba_dt"), ints=("season", "label", "fold", "n_folds", "pred_knn", "pred_dt")))
+
+
+def _scores(m: str) -> str:
+    """CTE s_{m}: accuracy and macro precision, recall and F1 of each fold."""
+    return f"""
+s_{m} AS (SELECT * FROM (SELECT season, race_name, fold, avg(CAST(pred_{m} = label AS DOUBLE)) AS acc_{m} FROM cv
+    GROUP BY season, race_name, fold) JOIN (
+  SELECT season, race_name, fold, avg(CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END) AS precision_{m},
+    avg(CASE WHEN ap > 0 THEN tp / ap ELSE 0.0 END) AS recall_{m},
+    avg(CASE WHEN tp > 0 THEN 2.0 * tp / (pp + ap) ELSE 0.0 END) AS f1_{m} FROM (
+    SELECT season, race_name, fold, c, count(*) FILTER (WHERE pred_{m} = c AND label = c) AS tp,
+      count(*) FILTER (WHERE pred_{m} = c) AS pp, count(*) FILTER (WHERE label = c) AS ap
+    FROM cv JOIN (SELECT season, race_name, fold, label AS c FROM cv UNION SELECT season, race_name, fold, pred_{m} FROM cv)
+      USING (season, race_name, fold) GROUP BY season, race_name, fold, c) GROUP BY season, race_name, fold)
+  USING (season, race_name, fold))"""
+
+
+SCORES = CV_OOF + "," + _scores("dt") + "," + _scores("knn") + """,
+fs AS (SELECT * FROM s_dt JOIN s_knn USING (season, race_name, fold))"""
+SCORE_DOUBLES = tuple(f"{x}_{m}" for m in ("dt", "knn") for x in ("acc", "precision", "recall", "f1"))
+ORACLE["cv_fold_scores"] = _q("events", SCORES, fin("SELECT * FROM fs", doubles=SCORE_DOUBLES, ints=("season", "fold")))
+
+MODEL_NAMES = {"dt": "Decision Tree", "knn": "kNN"}
+ORACLE["error_analysis"] = _q("events", CV_OOF, fin(" UNION ALL ".join(f"""
+  SELECT season, race_name, '{name}' AS model, count(*) FILTER (WHERE pred_{m} = 1 AND label = 1) AS tp,
+    count(*) FILTER (WHERE pred_{m} = 1 AND label = 0) AS fp, count(*) FILTER (WHERE pred_{m} = 0 AND label = 0) AS tn,
+    count(*) FILTER (WHERE pred_{m} = 0 AND label = 1) AS fn, avg(CAST(pred_{m} <> label AS DOUBLE)) AS error_rate,
+    count(*) FILTER (WHERE pred_{m} <> label AND greatest(proba_{m}, 1 - proba_{m}) >= 0.7) AS high_conf_errors
+  FROM cv GROUP BY season, race_name""" for m, name in MODEL_NAMES.items()),
+    doubles=("error_rate",), ints=("season", "tp", "fp", "tn", "fn", "high_conf_errors")))
+
+ORACLE["entity_errors"] = _q("events", CV_OOF, fin("""
+  SELECT season, race_name, driver, label AS actual, pred_dt AS predicted_dt, pred_knn AS predicted_knn,
+    pred_dt = label AS correct_dt, pred_knn = label AS correct_knn, pred_dt <> label AND pred_knn <> label AS both_wrong,
+    CASE WHEN pred_dt = label THEN NULL WHEN pred_dt = 1 THEN 'FP' ELSE 'FN' END AS error_dt,
+    CASE WHEN pred_knn = label THEN NULL WHEN pred_knn = 1 THEN 'FP' ELSE 'FN' END AS error_knn,
+    greatest(proba_dt, 1 - proba_dt) AS confidence_dt, greatest(proba_knn, 1 - proba_knn) AS confidence_knn FROM cv""",
+    doubles=("confidence_dt", "confidence_knn"), ints=("season", "actual", "predicted_dt", "predicted_knn")))
+
+ORACLE["roc_curve"] = _q("events", CV_OOF + """,
+lo AS (SELECT season, race_name, 'dt' AS model, label, proba_dt AS p FROM cv
+  UNION ALL SELECT season, race_name, 'knn', label, proba_knn FROM cv),
+th AS (SELECT DISTINCT season, race_name, model, p AS threshold FROM lo
+  UNION SELECT DISTINCT season, race_name, model, CAST('Infinity' AS DOUBLE) FROM lo),
+rc AS (SELECT season, race_name, model, threshold,
+    count(*) FILTER (WHERE label = 1 AND p >= threshold) / nullif(count(*) FILTER (WHERE label = 1), 0) AS tpr,
+    count(*) FILTER (WHERE label = 0 AND p >= threshold) / nullif(count(*) FILTER (WHERE label = 0), 0) AS fpr
+  FROM th JOIN lo USING (season, race_name, model) GROUP BY season, race_name, model, threshold)""", fin(
+    "SELECT *, coalesce(tpr, 0.0) - coalesce(fpr, 0.0) AS youden_j FROM rc",
+    doubles=("threshold", "tpr", "fpr", "youden_j"), ints=("season",)))
+
+ORACLE["tree_importance"] = _q("events", _model_input(MODEL_FEATURES) + "," + _tree("mi", K, MODEL_FEATURES) + f""",
+gi AS (SELECT {K}, node, n, n * (1.0 - pow(n1 / n, 2) - pow(n0 / n, 2)) AS w FROM tn),
+gn AS (SELECT {K}, f, sum(p.w - l.w - r.w) AS g FROM ts JOIN gi p USING ({K}, node)
+  JOIN (SELECT {K}, left(node, -1) AS node, w FROM gi WHERE right(node, 1) = '0') l USING ({K}, node)
+  JOIN (SELECT {K}, left(node, -1) AS node, w FROM gi WHERE right(node, 1) = '1' AND length(node) > 1) r USING ({K}, node)
+  GROUP BY {K}, f)""", fin(f"""
+  SELECT {K}, {_feature("f", tuple(repr(x) for x in MODEL_FEATURES))} AS feature,
+    round(g / nullif(sum(g) OVER (PARTITION BY {K}), 0), 5) AS importance FROM gn""",
+    doubles=("importance",), ints=("season",)))
+
+ORACLE["holdout_scores"] = _q("events", HOLDOUT + "," + HOLDOUT_KNN + """,
+ht AS (SELECT * FROM hs WHERE NOT is_test), hq AS (SELECT * FROM hs WHERE is_test),""" + _tree("ht", K, HOLDOUT_FEATURES)
+    + "," + _route("hq", K, HOLDOUT_FEATURES) + """,
+td AS (SELECT season, race_name, label, pred_dt AS p FROM tq JOIN hq USING (season, race_name, driver))""", fin(
+    _report("pd_", "kNN") + " UNION ALL " + _report("td", "Decision Tree"), **REPORT))
+
+ORACLE["model_winner"] = _q("events", HOLDOUT + "," + HOLDOUT_KNN + """,
+ht AS (SELECT * FROM hs WHERE NOT is_test), hq AS (SELECT * FROM hs WHERE is_test),""" + _tree("ht", K, HOLDOUT_FEATURES)
+    + "," + _route("hq", K, HOLDOUT_FEATURES) + """,
+td AS (SELECT season, race_name, label, pred_dt AS p FROM tq JOIN hq USING (season, race_name, driver)),
+da AS (SELECT season, race_name, avg(CAST(p = label AS DOUBLE)) AS dt_acc FROM td GROUP BY season, race_name),
+ka AS (SELECT season, race_name, avg(CAST(p = label AS DOUBLE)) AS knn_acc FROM pd_ GROUP BY season, race_name)""", fin("""
+  SELECT season, race_name, dt_acc, knn_acc, CASE WHEN dt_acc >= knn_acc THEN 'Decision Tree' ELSE 'kNN' END AS winner
+  FROM da JOIN ka USING (season, race_name)""", doubles=("dt_acc", "knn_acc"), ints=("season",)))
