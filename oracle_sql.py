@@ -940,3 +940,95 @@ da AS (SELECT season, race_name, avg(CAST(p = label AS DOUBLE)) AS dt_acc FROM t
 ka AS (SELECT season, race_name, avg(CAST(p = label AS DOUBLE)) AS knn_acc FROM pd_ GROUP BY season, race_name)""", fin("""
   SELECT season, race_name, dt_acc, knn_acc, CASE WHEN dt_acc >= knn_acc THEN 'Decision Tree' ELSE 'kNN' END AS winner
   FROM da JOIN ka USING (season, race_name)""", doubles=("dt_acc", "knn_acc"), ints=("season",)))
+
+ALL_ROWS_TREE = _model_input(MODEL_FEATURES) + "," + _tree("mi", K, MODEL_FEATURES)
+ORACLE["local_explanations"] = _q("events", ALL_ROWS_TREE + "," + _route("mi", K, MODEL_FEATURES), fin(f"""
+  SELECT {K}, driver, pred_dt AS prediction, label AS actual, pred_dt = label AS correct,
+    greatest(proba_dt, 1 - proba_dt) AS confidence, {", ".join(MODEL_FEATURES)} FROM mi JOIN tq USING ({KD})""",
+    doubles=("confidence",) + MODEL_FEATURES, ints=("season", "prediction", "actual")))
+
+# Shapley values by their definition, all 32 coalitions: a leaf counts for a coalition with the product of "the row goes
+# there" over the features in it, and of the share of training rows that go there over the others.
+_BITS = range(len(MODEL_FEATURES))
+ORACLE["shap_importance"] = _q("events", ALL_ROWS_TREE + f""",
+lv AS (SELECT {K}, node AS leaf, n1 / n AS val FROM tn ANTI JOIN ts USING ({K}, node)),
+st_ AS (SELECT {K}, leaf, left(leaf, i) AS node, left(leaf, i + 1) AS nxt FROM lv, LATERAL (
+  SELECT unnest(range(1, length(leaf))) AS i)),
+sp AS (SELECT st_.*, f, thr, b.n / a.n AS share FROM st_ JOIN ts USING ({K}, node) JOIN tn a USING ({K}, node)
+  JOIN (SELECT {K}, node AS nxt, n FROM tn) b USING ({K}, nxt)),
+lb AS (SELECT {K}, leaf, any_value(val) AS val, """ + ", ".join(
+    f"max(thr) FILTER (WHERE f = {i} AND right(nxt, 1) = '1') AS lo{i}, "
+    f"min(thr) FILTER (WHERE f = {i} AND right(nxt, 1) = '0') AS hi{i}, "
+    f"coalesce(product(share) FILTER (WHERE f = {i}), 1.0) AS w{i}" for i in _BITS) + f"""
+  FROM lv LEFT JOIN sp USING ({K}, leaf) GROUP BY {K}, leaf),
+vs AS (SELECT {K}, driver, s, sum(val * """ + " * ".join(
+    f"CASE WHEN s & {1 << i} = 0 THEN w{i} WHEN coalesce({x} > lo{i}, true) AND coalesce({x} <= hi{i}, true) THEN 1.0 ELSE 0.0 END"
+    for i, x in enumerate(MODEL_FEATURES)) + f""") AS v
+  FROM mi JOIN lb USING ({K}), range({1 << len(MODEL_FEATURES)}) AS r(s) GROUP BY {K}, driver, s),
+ph AS (SELECT a.season, a.race_name, a.driver, i, sum((b.v - a.v) * [24, 6, 4, 6, 24][bit_count(a.s) + 1] / 120.0) AS phi
+  FROM vs a, range({len(MODEL_FEATURES)}) AS g(i), vs b WHERE a.season = b.season AND a.race_name = b.race_name
+    AND a.driver = b.driver AND a.s & (1 << i) = 0 AND b.s = a.s | (1 << i) GROUP BY ALL),
+ms AS (SELECT {K}, {_feature("i", tuple(repr(x) for x in MODEL_FEATURES))} AS feature, avg(abs(phi)) AS mean_abs_shap
+  FROM ph GROUP BY ALL)""", fin(f"""
+  SELECT *, row_number() OVER (PARTITION BY {K} ORDER BY round(mean_abs_shap, 10) DESC, feature) AS rank FROM ms""",
+    doubles=("mean_abs_shap",), ints=("season", "rank")))
+
+# One row per driver, feature and repeat: the feature's value comes from the driver at the same place of the md5 order.
+ORACLE["permutation_importance"] = _q("events", ALL_ROWS_TREE + f""",
+ex AS (SELECT mi.*, _f, _rep FROM mi, range({len(MODEL_FEATURES)}) AS a(_f), range(30) AS b(_rep)),
+xt AS (SELECT *, row_number() OVER (PARTITION BY {K}, _f, _rep ORDER BY driver) AS rk FROM ex),
+xs AS (SELECT {K}, _f, _rep, {_feature("_f", MODEL_FEATURES)} AS pv, row_number() OVER (PARTITION BY {K}, _f, _rep
+    ORDER BY md5(concat_ws('|', '42', CAST(_rep AS VARCHAR), CAST(_f AS VARCHAR), driver)), driver) AS rk FROM ex),
+xp AS (SELECT xt.* EXCLUDE (driver) REPLACE (""" + ", ".join(
+    f"CASE WHEN _f = {i} THEN pv ELSE {x} END AS {x}" for i, x in enumerate(MODEL_FEATURES)) + f"""),
+    driver || '|' || _f || '|' || _rep AS driver FROM xt JOIN xs USING ({K}, _f, _rep, rk)
+  UNION ALL BY NAME SELECT mi.*, -1 AS _f, -1 AS _rep FROM mi),""" + _route("xp", K, MODEL_FEATURES) + f""",
+xa AS (SELECT {K}, _f, _rep, avg(CAST(pred_dt = label AS DOUBLE)) AS acc FROM xp JOIN tq USING ({KD}) GROUP BY {K}, _f, _rep),
+xd AS (SELECT x.season, x.race_name, x._f, b.acc - x.acc AS d FROM xa x JOIN xa b ON x.season = b.season
+  AND x.race_name = b.race_name AND b._f = -1 AND x._f >= 0)""", fin(f"""
+  SELECT {K}, {_feature("_f", tuple(repr(x) for x in MODEL_FEATURES))} AS feature, avg(d) AS importance_mean,
+    stddev_pop(d) AS importance_std FROM xd GROUP BY {K}, _f""",
+    doubles=("importance_mean", "importance_std"), ints=("season",)))
+
+
+def _chi2_tail(x: str) -> str:
+    """P(chi-square with one degree of freedom > x), by the series of the lower incomplete gamma function."""
+    return (f"(CASE WHEN {x} <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 300), "
+            f"lambda n: exp((n + 0.5) * ln({x} / 2) - {x} / 2 - lgamma(n + 1.5))))) END)")
+
+
+def _t_tail(t: str, df: str) -> str:
+    """Two-sided p of Student's t, by the series of the incomplete beta function."""
+    y, a = f"({t} * {t} / ({df} + {t} * {t}))", f"({df} / 2.0)"
+    return (f"(CASE WHEN {t} = 0 THEN 1.0 ELSE greatest(0.0, 1 - exp(0.5 * ln({y}) + {a} * ln(1 - {y}) - ln(0.5) "
+            f"- lgamma(0.5) - lgamma({a}) + lgamma({a} + 0.5)) * list_sum(list_transform(range(0, 4000), lambda n: "
+            f"exp(lgamma({a} + 0.5 + n) - lgamma({a} + 0.5) - lgamma(1.5 + n) + lgamma(1.5) + n * ln({y}))))) END)")
+
+
+ORACLE["model_tests"] = _q("events", SCORES + f""",
+bc AS (SELECT {K}, count(*) FILTER (WHERE pred_dt = label AND pred_knn <> label) AS b,
+    count(*) FILTER (WHERE pred_dt <> label AND pred_knn = label) AS c FROM cv GROUP BY {K}),
+mn0 AS (SELECT {K}, CASE WHEN b + c = 0 THEN 0.0 ELSE pow(abs(b - c) - 1.0, 2) / (b + c) END AS x, b + c AS n FROM bc),
+mn1 AS (SELECT {K}, 'mcnemar' AS test, x AS statistic, CASE WHEN n = 0 THEN 1.0 ELSE {_chi2_tail("x")} END AS p_value FROM mn0),
+df_ AS (SELECT {K}, fold, acc_dt - acc_knn AS d FROM fs),
+tt0 AS (SELECT {K}, count(*) AS n, avg(d) AS m, stddev_samp(d) AS sd FROM df_ GROUP BY {K}),
+tt1 AS (SELECT *, CASE WHEN n < 2 THEN 0.0 WHEN sd > 0 THEN m / (sd / sqrt(n)) END AS t FROM tt0),
+tt2 AS (SELECT {K}, 'paired_ttest' AS test, t AS statistic, CASE WHEN n < 2 THEN 1.0 ELSE {_t_tail("t", "(n - 1)")} END AS p_value
+  FROM tt1),
+rk_ AS (SELECT {K}, d, rank() OVER (PARTITION BY {K} ORDER BY abs(d)) AS r, count(*) OVER (PARTITION BY {K}, abs(d)) AS ties
+  FROM df_ WHERE d <> 0),
+wx0 AS (SELECT {K}, count(*) AS n, max(ties) AS most, sum((pow(ties, 3) - ties) / ties) AS tie,
+    least(sum(CASE WHEN d > 0 THEN r + (ties - 1) / 2.0 ELSE 0.0 END), sum(CASE WHEN d < 0 THEN r + (ties - 1) / 2.0 ELSE 0.0 END)) AS s
+  FROM rk_ GROUP BY {K}),
+wx1 AS (SELECT {K}, coalesce(wx0.n, 0) AS n, tt0.n AS folds, most, s,
+    pow(s - wx0.n * (wx0.n + 1) / 4.0, 2) / (wx0.n * (wx0.n + 1) * (2 * wx0.n + 1) / 24.0 - tie / 48.0) AS z2
+  FROM tt0 LEFT JOIN wx0 USING ({K})),
+wx2 AS (SELECT {K}, 'wilcoxon' AS test, CASE WHEN folds < 3 OR n = 0 THEN 0.0 ELSE s END AS statistic,
+    CASE WHEN folds < 3 OR n = 0 THEN 1.0 WHEN most > 1 THEN {_chi2_tail("z2")}
+      ELSE least(1.0, 2.0 * len(list_filter(range(0, CAST(pow(2, n) AS BIGINT)), lambda i: list_sum(list_transform(
+        range(1, n + 1), lambda r: r * ((i >> CAST(r - 1 AS INTEGER)) & 1))) <= s)) / pow(2, n)) END AS p_value FROM wx1),
+ts_ AS (SELECT *, p_value < 0.05 AS significant FROM (FROM mn1 UNION ALL FROM tt2 UNION ALL FROM wx2)),
+vo AS (SELECT {K}, count(*) FILTER (WHERE significant) AS k FROM ts_ GROUP BY {K})""", fin(f"""
+  SELECT {K}, test, statistic, p_value, coalesce(significant, false) AS significant,
+    CASE WHEN k = 0 THEN 'none' WHEN k >= 2 THEN 'majority' ELSE 'mixed' END AS verdict FROM ts_ JOIN vo USING ({K})""",
+    doubles=("statistic", "p_value"), ints=("season",)))
