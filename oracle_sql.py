@@ -994,15 +994,15 @@ xd AS (SELECT x.season, x.race_name, x._f, b.acc - x.acc AS d FROM xa x JOIN xa
 def _chi2_tail(x: str) -> str:
     """P(chi-square with one degree of freedom > x), by the series of the lower incomplete gamma function."""
     return (f"(CASE WHEN {x} <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 300), "
-            f"lambda n: exp((n + 0.5) * ln({x} / 2) - {x} / 2 - lgamma(n + 1.5))))) END)")
+            f"lambda j: exp((j + 0.5) * ln({x} / 2) - {x} / 2 - lgamma(j + 1.5))))) END)")
 
 
 def _t_tail(t: str, df: str) -> str:
     """Two-sided p of Student's t, by the series of the incomplete beta function."""
     y, a = f"({t} * {t} / ({df} + {t} * {t}))", f"({df} / 2.0)"
     return (f"(CASE WHEN {t} = 0 THEN 1.0 ELSE greatest(0.0, 1 - exp(0.5 * ln({y}) + {a} * ln(1 - {y}) - ln(0.5) "
-            f"- lgamma(0.5) - lgamma({a}) + lgamma({a} + 0.5)) * list_sum(list_transform(range(0, 4000), lambda n: "
-            f"exp(lgamma({a} + 0.5 + n) - lgamma({a} + 0.5) - lgamma(1.5 + n) + lgamma(1.5) + n * ln({y}))))) END)")
+            f"- lgamma(0.5) - lgamma({a}) + lgamma({a} + 0.5)) * list_sum(list_transform(range(0, 4000), lambda j: "
+            f"exp(lgamma({a} + 0.5 + j) - lgamma({a} + 0.5) - lgamma(1.5 + j) + lgamma(1.5) + j * ln({y}))))) END)")
 
 
 ORACLE["model_tests"] = _q("events", SCORES + f""",
