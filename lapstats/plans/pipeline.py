@@ -16,19 +16,21 @@ from pyspark.sql import functions as F
 
 from lapstats.operators import analysis as A
 from lapstats.operators import evaluate as EV
+from lapstats.operators import explain as XP
 from lapstats.operators import features as FE
 from lapstats.operators import insights as INS
 from lapstats.operators import ml as ML
 from lapstats.operators import profile as PR
+from lapstats.operators import tuning as TU
 from lapstats.operators.clean import clean_laps
 from lapstats.operators.joins import pending_keys
-from lapstats.schema import KEY, MODEL_FEATURES
+from lapstats.schema import KEY, MATRIX_NUMERIC, MODEL_FEATURES
 from lapstats.sources import store
 from lapstats.session import materialize
 
 
 def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Sequence[str] = KEY,
-                 with_models: bool = True, incremental: bool = True) -> dict[str, str]:
+                 with_models: bool = True, incremental: bool = True, with_tuning: bool = True) -> dict[str, str]:
     """Process every race in ``raw_laps`` (or, incrementally, only those not yet
     complete in the ledger) and write all result tables under ``out_dir``.
 
@@ -36,6 +38,10 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
     entry: a file that arrives later reruns the race from all its files. Tables
     keep versions and switch together at the end (``store.read_table`` reads them).
 
+    ``with_models`` adds evaluation, hold-out scores, tests, explanations and
+    clusters; ``with_tuning`` also the grid search, the sweeps, the ablation and the
+    learning curve, which train many models.
+
     Returns the table name -> path map.
     """
     key = list(key)
@@ -88,16 +94,31 @@ def run_pipeline(spark: SparkSession, raw_laps: DataFrame, out_dir: str, key: Se
 
     matrix = write("driver_matrix", FE.strong_performance(FE.driver_matrix(laps, key), key))
     if with_models:
-        oof = write("cv_predictions", EV.cross_validate(matrix, key))
+        oof, on_training_rows = EV.cross_validate_fitted(matrix, key)
+        oof = write("cv_predictions", oof)
         scores = write("cv_fold_scores", EV.fold_scores(oof, key))
-        tables["comparison"] = write("model_comparison", EV.cv_summary(scores, oof, key))
+        comparison = EV.cv_summary(scores, oof, key, on_training_rows())
+        if with_tuning:
+            comparison = EV.comparison_table(comparison, write("grid_search", TU.grid_search(matrix, key)), key)
+            write("learning_curve", TU.learning_curve(matrix, key, MATRIX_NUMERIC))
+            write("ablation_study", TU.ablation(matrix, key, MATRIX_NUMERIC))
+            write("complexity_sweep", TU.complexity_sweep(matrix, key, MATRIX_NUMERIC))
+        tables["comparison"] = write("model_comparison", comparison)
+        holdout = write("holdout_scores", EV.holdout_scores(matrix, key))
+        write("model_winner", TU.model_winner(holdout, key))
+        write("roc_curve", EV.roc_curve(oof, key, "dt").unionByName(EV.roc_curve(oof, key, "knn")))
+        write("entity_errors", EV.entity_errors(oof, key))
         write("statistical_tests", EV.model_tests(oof, scores, key))
         write("error_analysis", EV.error_analysis(oof, key))
-        data = ML.model_input(matrix, key)
+        data = materialize(ML.model_input(matrix, key), "model_input")
         tree = write("decision_tree", ML.tree_fit(data, key, MODEL_FEATURES))
         tables["importance"] = write("feature_importance", ML.tree_importance(tree, key, MODEL_FEATURES))
+        write("permutation_importance", XP.permutation_importance(tree, data, key, MODEL_FEATURES))
+        write("shap_importance", XP.mean_abs_shap(XP.shapley_values(tree, data, key, MODEL_FEATURES), key))
+        write("local_explanations", XP.local_explanations(tree, data, key, MODEL_FEATURES))
         tables["clusters"] = write("driver_clusters", ML.labelled_clusters(data, key, MODEL_FEATURES))
     findings = write("findings", INS.race_findings(spark, tables, key))
+    write("race_top5", INS.top5(findings, key))
     write("race_conclusions", INS.conclusions(findings, key))
     write("driver_stats", store.driver_stats(matrix, stability, tables.get("clusters"), key))
     write("race_summary", store.race_summary(tables["overview"], key))

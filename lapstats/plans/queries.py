@@ -217,13 +217,9 @@ def q_weather_correlation(spark, sf_dir):
 
 
 from lapstats.operators import profile as PR  # noqa: E402
-from lapstats.schema import LAPS  # noqa: E402
+from lapstats.schema import LAPS, MATRIX_NUMERIC  # noqa: E402
 
 RAW_COLUMNS = [c for c in LAPS.fieldNames() if c not in ("season", "race_name")]
-MATRIX_NUMERIC = ["average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
-                  "tire_degradation_rate", "pit_stop_impact", "sector_consistency", "air_temp", "track_temp",
-                  "degradation_soft", "degradation_medium", "degradation_hard", "degradation_intermediate",
-                  "degradation_wet", "degradation_unknown", "avg_air_temp"]
 
 
 @register("basic_summary")

@@ -70,4 +70,9 @@ MODEL_FEATURES = ("average_lap_time", "consistency_score", "tire_degradation_rat
 MATRIX_FEATURES = ("average_lap_time", "best_lap_time", "lap_time_std", "consistency_score",
                    "average_race_pace", "tire_degradation_rate", "pit_stop_impact",
                    "sector_consistency", "air_temp", "track_temp")
+# Every numeric column of the driver matrix: what the sweeps train on.
+MATRIX_NUMERIC = ["average_lap_time", "best_lap_time", "lap_time_std", "consistency_score", "average_race_pace",
+                  "tire_degradation_rate", "pit_stop_impact", "sector_consistency", "air_temp", "track_temp",
+                  "degradation_soft", "degradation_medium", "degradation_hard", "degradation_intermediate",
+                  "degradation_wet", "degradation_unknown", "avg_air_temp"]
 SEED = 42

@@ -33,8 +33,16 @@ def test_pipeline_and_incremental(spark):
     races = sorted(r.race_name for r in raw.select("race_name").distinct().collect())
     assert races == ["Bahrain", "Great Britain"]
     assert raw.where(F.col("lap_time").isNull()).count() < raw.count()
-    paths = run_pipeline(spark, raw, out, with_models=True)
+    paths = run_pipeline(spark, raw, out, with_models=True, with_tuning=False)
     assert "model_comparison" in paths and "findings" in paths
+    drivers = store.read_table(spark, paths["driver_matrix"], paths["processed_races"]).count()
+    for name in ("cv_predictions", "entity_errors", "local_explanations"):
+        assert store.read_table(spark, paths[name], paths["processed_races"]).count() == drivers
+    for name in ("holdout_scores", "model_winner", "roc_curve", "permutation_importance", "shap_importance", "race_top5"):
+        found = store.read_table(spark, paths[name], paths["processed_races"])
+        assert found.select("race_name").distinct().count() == 2, name
+    summary = store.read_table(spark, paths["model_comparison"], paths["processed_races"])
+    assert summary.where("overfit_gap IS NULL").count() == 0
     assert spark.read.parquet(paths["driver_stability"]).select("race_name").distinct().count() == 2
     assert store.is_processed(spark, paths["processed_races"], 2024, "Bahrain")
     # second run: everything already complete -> nothing to do
