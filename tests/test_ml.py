@@ -275,3 +275,37 @@ def test_splits_by_ordered_pieces_equal_one_window(spark, monkeypatch):
     monkeypatch.setattr(ML, "WINDOW_MAX_ROWS", 20)
     pieces = sorted(map(tuple, ML.tree_fit(data, ["race"], FEATS, max_depth=2).collect()), key=str)
     assert whole == pieces and len(whole) > 4
+
+
+def test_knn_of_many_equal_rows_and_queries_stays_bounded(spark, monkeypatch):
+    """A place that half of the rows share is searched as k rows, its queries in several tasks; results are exact."""
+    x = np.random.default_rng(5).normal(size=(400, 2)).round(1)
+    x[:200] = 0.5
+    df = spark.createDataFrame([("r", f"d{i:03d}", i % 2, *map(float, x[i])) for i in range(400)],
+                               "race string, driver string, label int, a double, b double").cache()
+    monkeypatch.setattr(neighbours, "TASK_QUERIES", 50)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    met = []
+    search = neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda q, t, *a: (met.append(t.count()), search(q, t, *a))[1])
+    for metric in ("euclidean", "manhattan"):
+        got = {}
+        for r in ML.knn_neighbors(df, df, ["race"], ["a", "b"], k=5, metric=metric).collect():
+            got.setdefault(r._qid, {})[r._r] = r._tid
+        for i in range(0, 400, 7):
+            gap = np.abs(x - x[i])
+            d = gap.sum(1) if metric == "manhattan" else np.sqrt((gap ** 2).sum(1))
+            assert [got[f"d{i:03d}"][r] for r in range(1, 6)] == [f"d{j:03d}" for j in np.lexsort((np.arange(400), d))[:5]]
+    assert max(met) <= 205  # 5 of the 200 equal rows
+
+
+def test_list_vote_equals_row_vote(spark):
+    df = _points(spark)
+    train, query = df.where("driver >= 'd030'"), df.where("driver < 'd060'")
+    rows = ML.knn_neighbors(train, query, ["race"], FEATS, k=7)
+    for k, weights in ((3, "uniform"), (4, "uniform"), (7, "distance")):
+        want = {(r.race, r._qid): (r.pred, round(r.proba, 9)) for r in ML.knn_vote(rows, ["race"], k, weights).collect()}
+        lists = neighbours.knn_lists(train, query, ["race"], FEATS, k=7)
+        got = {(r.race, r._qid): (r.v.pred, round(r.v.proba, 9)) for r in lists.select(
+            "race", "_qid", ML.list_vote(F.col("_near"), k, weights).alias("v")).collect()}
+        assert got == want and len(got) == 120
