@@ -309,3 +309,30 @@ def test_list_vote_equals_row_vote(spark):
         got = {(r.race, r._qid): (r.v.pred, round(r.v.proba, 9)) for r in lists.select(
             "race", "_qid", ML.list_vote(F.col("_near"), k, weights).alias("v")).collect()}
         assert got == want and len(got) == 120
+
+
+@pytest.mark.parametrize("criterion,leaf", [("gini", 1), ("entropy", 3)])
+def test_subtrees_of_one_task_equal_levels(spark, monkeypatch, criterion, leaf):
+    """Levels over all rows and tasks that grow the rest below small nodes give one tree."""
+    data = _points(spark).withColumn("label", F.when(F.xxhash64("driver") % 5 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    data = data.select("race", "driver", "label", F.round("a", 1).alias("a"), F.round("b", 1).alias("b"), "c")
+    nodes = {}
+    for rows in (0, 30, 10_000):
+        monkeypatch.setattr(ML, "TASK_ROWS", rows)
+        tree = ML.tree_fit(data, ["race"], FEATS, max_depth=6, min_samples_leaf=leaf, criterion=criterion)
+        nodes[rows] = sorted(map(tuple, tree.collect()), key=str)
+    assert nodes[0] == nodes[30] == nodes[10_000] and len(nodes[0]) > 20
+
+
+def test_kmeans_steps_in_tasks_equal_steps_by_joins(spark, monkeypatch):
+    df = _points(spark, n=60)
+    runs = [(3, "distance"), (2, "hash"), (4, "spread")]
+    read = lambda out: [sorted((r.race, r.driver, r.cluster, round(r.sqdist, 9)) for r in a.collect()) for a, _ in out]
+    together = read(ML.kmeans_runs(df.repartition(5), ["race"], FEATS, runs, starts=2))
+    assert together == read([ML.kmeans(df, ["race"], FEATS, k=k, init=init, starts=2) for k, init in runs])
+    steps = []
+    step = ML._lloyd_step
+    monkeypatch.setattr(ML, "_lloyd_step", lambda *a: (steps.append(1), step(*a))[1])
+    assert read([ML.kmeans(df, ["race"], FEATS, k=3, starts=2)]) == together[:1] and not steps  # no join per step
+    monkeypatch.setattr(ML, "BROADCAST_MAX_COORDINATES", 0)
+    assert read([ML.kmeans(df, ["race"], FEATS, k=3, starts=2)]) == together[:1] and steps
