@@ -336,3 +336,48 @@ def test_kmeans_steps_in_tasks_equal_steps_by_joins(spark, monkeypatch):
     assert read([ML.kmeans(df, ["race"], FEATS, k=3, starts=2)]) == together[:1] and not steps  # no join per step
     monkeypatch.setattr(ML, "BROADCAST_MAX_COORDINATES", 0)
     assert read([ML.kmeans(df, ["race"], FEATS, k=3, starts=2)]) == together[:1] and steps
+
+
+def test_kmeans_steps_between_borders_need_few_passes(spark, monkeypatch):
+    df = _points(spark, n=400).repartition(3).cache()
+    read = lambda out: [sorted((r.race, r.driver, r.cluster, r.sqdist) for r in a.collect()) for a, _ in out]
+    passes = []
+
+    def counted(self, *a, f=type(df).mapInArrow):
+        passes.append(1)
+        return f(self, *a)
+
+    rest = ML._rest
+
+    def steps(*a):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(type(df), "mapInArrow", counted)
+            return rest(*a)
+
+    monkeypatch.setattr(ML, "_rest", steps)
+    runs = [(3, "hash")]
+    found, counts = [], []
+    for loose in (0, 400_000):  # one point a task, all of them: the same sums
+        monkeypatch.setattr(ML, "LOOSE_ROWS", loose)
+        passes.clear()
+        found.append(read(ML.kmeans_runs(df, ["race"], FEATS, runs, starts=2)))
+        counts.append(len(passes))
+    monkeypatch.setattr(ML, "PARTIAL_ROWS", 0)  # a pass per step, sums added up by Spark
+    passes.clear()
+    found.append(read(ML.kmeans_runs(df, ["race"], FEATS, runs, starts=2)))
+    assert all(f == found[0] for f in found)
+    assert counts[1] == 1 < len(passes) and counts[0] <= len(passes)
+
+
+def test_nearest_in_tasks_equals_nearest_by_join(spark):
+    rows = [("r", "a", 0.0, 1.0), ("r", "b", None, 2.0), ("r", "c", float("nan"), 0.0), ("r", "d", 5.0, 5.0), (None, "e", 1.0, 1.0),
+            ("q", "f", 1.0, 1.0), ("r", None, 0.5, 1.0)]
+    pts = spark.createDataFrame(rows, "race string, driver string, a double, b double")
+    cent = spark.createDataFrame([("r", 0, "x", 0.0, 1.0), ("r", 0, "y", 1.0, 1.0), ("r", 1, "u", None, 3.0), ("r", 1, "v", 4.0, 4.0),
+                                  ("r", 2, None, 9.0, 9.0), (None, 0, "z", 1.0, 1.0)],
+                                 "race string, _start int, cluster string, a double, b double")
+    by = ["race", "_start"]
+    sets = ML._sets(cent, by, ["a", "b"])
+    read = lambda f: sorted(map(str, f(pts, sets, ["race"], by, ["a", "b"]).collect()))
+    assert read(ML._to_nearest) == read(ML._joined_to_nearest)
+    assert len(read(ML._to_nearest)) == 15
