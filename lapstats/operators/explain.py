@@ -19,41 +19,47 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstats.functions.ranking import hash_piece, row_numbers
+from lapstats.functions.ranking import row_numbers
 from lapstats.operators import ml, treevalue
 from lapstats.schema import SEED
 from lapstats.session import materialize
 
 PERMUTATION_REPEATS = 30
+#: Hex digits of a permutation's hash that name a piece of it.
+PIECE_DIGITS = 2
 
 
 def _accuracy_by(pred: DataFrame, keys: list[str]) -> DataFrame:
     return pred.groupBy(*keys).agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("acc"))
 
 
+def _predicted(tree: DataFrame, rows: DataFrame, key: list[str], feats: list[str], kept: list[str]) -> DataFrame:
+    """key, the columns ``kept`` of each row and its prediction: they ride along as the row's name, so nothing is joined back."""
+    return ml.tree_predict(tree, rows.withColumn("_about", F.struct(*kept)), key, feats, ident="_about").select(
+        *key, "_about.*", "pred")
+
+
 def permutation_importance(tree: DataFrame, data: DataFrame, key: Sequence[str], features: Sequence[str],
                            repeats: int = PERMUTATION_REPEATS, seed: int = SEED) -> DataFrame:
     """Mean / std of the accuracy drop when one feature is shuffled (``repeats`` times)."""
     key = list(key)
     feats = list(features)
-    base_pred = ml.tree_predict(tree, data, key, feats).join(data.select(*key, "driver", "label"), key + ["driver"])
-    base = _accuracy_by(base_pred, key).withColumnRenamed("acc", "_base")
-    ex = (data.withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(len(feats) - 1))))
-          .withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))))
+    known = data.where(F.col("driver").isNotNull())
+    base = _accuracy_by(_predicted(tree, known, key, feats, ["label"]), key).withColumnRenamed("acc", "_base")
     g = key + ["_f", "_rep"]
     shuffle_order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_rep").cast("string"),
                                       F.col("_f").cast("string"), F.col("driver")))
-    tgt = row_numbers(ex, g, [F.col("driver")], "_rk")
-    fval = F.element_at(F.array(*[F.col(f).cast("double") for f in feats]), F.col("_f") + 1)
-    src = (row_numbers(ex, g, [shuffle_order, F.col("driver")], "_rk", hash_piece(shuffle_order))
-           .select(*g, "_rk", fval.alias("_pv")))
-    perm = tgt.join(src, g + ["_rk"]).select(
-        *key, "label", F.concat_ws("|", "driver", F.col("_f").cast("string"), F.col("_rep").cast("string")).alias("_rid"),
-        "_f", "_rep", *[F.when(F.col("_f") == i, F.col("_pv")).otherwise(F.col(f)).alias(f) for i, f in enumerate(feats)])
-    perm = materialize(perm, "perm_rows")
-    pred = ml.tree_predict(tree, perm, key, feats, ident="_rid").join(
-        perm.select(*key, "_rid", "_f", "_rep", "label"), key + ["_rid"])
-    acc = _accuracy_by(pred, g).join(base, key)
+    # The order of the rows is the same for every feature and repeat: they are ranked once.
+    tgt = materialize(row_numbers(data.select(*key, "driver", "label", *feats), key, [F.col("driver")], "_rk"), "perm_rows")
+    # A copy carries its value only. Few pieces: there is a row per key, feature, repeat and piece.
+    one = F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).cast("double").alias("_pv")) for i, f in enumerate(feats)]))
+    ex = (data.select(*key, "driver", one.alias("_e")).select(*key, "driver", "_e._f", "_e._pv")
+          .withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))))
+    src = row_numbers(ex, g, [shuffle_order, F.col("driver")], "_rk", F.substring(shuffle_order, 1, PIECE_DIGITS)).drop("driver")
+    perm = tgt.join(src, key + ["_rk"]).select(
+        *key, "label", "_f", "_rep",
+        *[F.when(F.col("_f") == i, F.col("_pv")).otherwise(F.col(f)).alias(f) for i, f in enumerate(feats)])
+    acc = _accuracy_by(_predicted(tree, perm, key, feats, ["_f", "_rep", "label"]), g).join(base, key)
     names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_f") + 1)
     return (acc.groupBy(*key, names.alias("feature"))
             .agg(F.avg(F.col("_base") - F.col("acc")).alias("importance_mean"),

@@ -1,5 +1,6 @@
 """Property checks for the ML operators (exactness against brute force, invariants)."""
 
+import hashlib
 import itertools
 import math
 
@@ -381,3 +382,27 @@ def test_nearest_in_tasks_equals_nearest_by_join(spark):
     read = lambda f: sorted(map(str, f(pts, sets, ["race"], by, ["a", "b"]).collect()))
     assert read(ML._to_nearest) == read(ML._joined_to_nearest)
     assert len(read(ML._to_nearest)) == 15
+
+
+def test_permutations_rank_the_rows_once_and_carry_one_value(spark, monkeypatch):
+    df = _points(spark, n=60)
+    tree = ML.tree_fit(df, ["race"], FEATS)
+    ranked, rank = [], XP.row_numbers
+    monkeypatch.setattr(XP, "row_numbers", lambda d, *a: (ranked.append((d.count(), len(d.columns))), rank(d, *a))[1])
+    got = {(r.race, r.feature): (r.importance_mean, r.importance_std)
+           for r in XP.permutation_importance(tree, df, ["race"], FEATS, repeats=3).collect()}
+    assert ranked == [(120, 6), (120 * 3 * 3, 5)]
+    # The same by hand: the i-th row by name gets the value of the i-th row by hash.
+    drops = {}
+    pred = lambda p: ML.tree_predict(tree, spark.createDataFrame(p), ["race"], FEATS).toPandas().sort_values("driver").pred
+    for race, p in df.toPandas().groupby("race"):
+        p = p.sort_values("driver").reset_index(drop=True)
+        base = (pred(p).to_numpy() == p.label).mean()
+        for f, name in enumerate(FEATS):
+            for rep in range(3):
+                order = sorted(range(len(p)), key=lambda i: hashlib.md5(f"{XP.SEED}|{rep}|{f}|{p.driver[i]}".encode()).hexdigest())
+                q = p.assign(**{name: p[name].to_numpy()[order]})
+                drops.setdefault((race, name), []).append(base - (pred(q).to_numpy() == q.label).mean())
+    assert got.keys() == drops.keys()
+    for k, d in drops.items():
+        assert got[k] == pytest.approx((np.mean(d), np.std(d)), abs=1e-9)
