@@ -406,3 +406,23 @@ def test_permutations_rank_the_rows_once_and_carry_one_value(spark, monkeypatch)
     assert got.keys() == drops.keys()
     for k, d in drops.items():
         assert got[k] == pytest.approx((np.mean(d), np.std(d)), abs=1e-9)
+
+
+def test_knn_of_keys_of_two_types_meets_every_cell(spark):
+    """Training rows come with a long fold, queries with an int one: they meet also where tasks are not put together."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = [(race, f"d{i:02d}", i % 2, float(i), i % 3) for race in ("r1", "r2", "r3") for i in range(24)]
+        df = spark.createDataFrame(rows, "race string, driver string, label int, a double, fold int")
+        train, query = df.withColumn("fold", F.col("fold").cast("long")), df
+        got = neighbours.knn_lists(train, query, ["race", "fold"], ["a"], k=3).collect()
+        assert len(got) == 72
+        for r in got:
+            x = int(r._qid[1:])
+            want = sorted((abs(x - i), f"d{i:02d}") for i in range(24) if i % 3 == r.fold)[:3]
+            assert [(n._d, n._tid) for n in r._near] == want
+        folds = ML.fold_sets(df.withColumn("n_folds", F.lit(3).cast("long")), ["race"])
+        assert folds[0].schema["cv_fold"].dataType == folds[1].schema["cv_fold"].dataType
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
