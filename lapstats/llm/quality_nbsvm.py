@@ -109,14 +109,15 @@ def dual_coordinate_descent(docs: list[np.ndarray], ratio: np.ndarray, y: np.nda
     return w, bias
 
 
-def logistic_curve(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and shift of P(label 1 | margin), by Newton's method on smoothed targets."""
-    pos, neg = int((y > 0).sum()), int((y < 0).sum())
+def logistic_curve(margin: np.ndarray, y: np.ndarray, steps: int = 50, count: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope and shift of P(label 1 | margin), by Newton's method on smoothed targets; ``count`` rows share a margin and label."""
+    count = np.ones(len(y)) if count is None else count
+    pos, neg = int(count[y > 0].sum()), int(count[y < 0].sum())
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x, p = np.stack([margin, np.ones_like(margin)], 1), np.array([1.0, 0.0])
     for _ in range(steps):
         q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 1e-4 * np.eye(2), x.T @ (q - target) + 1e-4 * p)
+        step = np.linalg.solve((x * (count * q * (1 - q))[:, None]).T @ x + 1e-4 * np.eye(2), x.T @ (count * (q - target)) + 1e-4 * p)
         p = p - np.clip(step, -2, 2)
     return float(p[0]), float(p[1])
 

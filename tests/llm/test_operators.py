@@ -284,6 +284,29 @@ def test_toxicity_trains_away_from_the_driver(spark, monkeypatch):
     assert min(scores[i] for i in range(1, 60, 2)) > max(scores[i] for i in range(0, 60, 2))
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Several tasks train, every row is in one of them, and what few rows alone tell is learned."""
+    monkeypatch.setattr(toxicity_cnn, "TASK_ROWS", 700)
+    rare = range(0, 12000, 150)  # 80 rows of a word that no other toxic row has
+    docs = spark.createDataFrame([(i, ("vile" if i in rare else "bad" if i % 2 else "good") + f" words {i % 50}") for i in range(12000)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in rare or i % 2)) for i in range(12000)], "doc_id long, toxic int")
+    seen = []
+    whole = toxicity_cnn._round
+
+    def counted(rows, *rest):
+        seen.append((rows.count(), rows.select("__part").distinct().count()))
+        return whole(rows, *rest)
+
+    monkeypatch.setattr(toxicity_cnn, "_round", counted)
+    model = toxicity_cnn.fit(docs, labels, "toxic", F.lit(True))
+    assert len(seen) == toxicity_cnn.ROUNDS and all(n > 9000 and parts > 10 for n, parts in seen)
+    got = toxicity_cnn.score(docs, model).drop("toxic").join(labels, "doc_id").groupBy("toxic").agg(
+        F.min("score").alias("lo"), F.max("score").alias("hi")).collect()
+    got = {r.toxic: (r.lo, r.hi) for r in got}
+    assert got[1][0] > 0.7 > 0.3 > got[0][1]
+
+
 def test_sample_holds_each_id_once(spark):
     docs = spark.createDataFrame([(i, f"text {k % 7} of {i}", "en") for i in range(6) for k in range(20)], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
