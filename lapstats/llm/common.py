@@ -74,13 +74,29 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """Mark ``df`` so that a join with it shuffles both sides, whatever size Spark expects.
+
+    Spark broadcasts by an expected size, which is too low by far after an
+    explode, whose rows it counts as one each, and for files in which values
+    repeat. Adaptive execution keeps such a broadcast, as leaving it takes one
+    more shuffle.
+    """
+    return df.hint("merge")
+
+
+def broadcast_or_shuffled(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df``, of at most ``rows`` rows, for broadcast up to ``limit`` rows, and as ``shuffled`` beyond."""
+    return F.broadcast(df) if rows <= limit else shuffled(df)
+
+
 def small_or_shuffled(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when a count proves it to be at most ``limit`` rows.
 
     Use it on narrow, written tables only. Beyond the bound the join shuffles
     both sides, and adaptive execution splits its skewed partitions.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return broadcast_or_shuffled(df, df.limit(limit + 1).count(), limit)
 
 
 def from_files(df: DataFrame, name: str) -> DataFrame:

@@ -18,6 +18,9 @@ Two fingerprints of one entry are thus either connected already or compared, so
 no link that matters for a component is lost, and a tight group of near copies
 never emits its square.
 
+Joins: tables that a count proves small are broadcast, all others shuffled. The
+entries are 64 times the fingerprints, which Spark's expected sizes do not know.
+
 Defined cases: null and empty texts have fingerprint zero and link like any
 other; a text of fewer words is one shingle; rows with equal ids or texts are
 rows of their own; null ids are ignored for the smallest id (a component of null
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapstats.llm.common import SLICE, gives_back, parts_of, small_or_shuffled, text_or_empty
+from lapstats.llm.common import SLICE, gives_back, parts_of, shuffled, small_or_shuffled, text_or_empty
 from lapstats.llm.graph import components
 from lapstats.session import materialize
 
@@ -111,7 +114,7 @@ def link_components(prints: DataFrame, distance: int = 4) -> DataFrame:
     hubs = hubs.withColumn("h3", F.col("h3").bitwiseXOR(F.lit(_FLIP))).withColumnRenamed("entry", "__entry")
     # The distance is checked in the join: of small entries only members that link to a hub come out.
     links = [(F.col("fp") != F.col(h)) & (_differ("fp", h) <= distance) for h in ("h1", "h2", "h3")]
-    shared = materialize(entries.join(hubs, (F.col("entry") == F.col("__entry"))
+    shared = materialize(entries.join(shuffled(hubs), (F.col("entry") == F.col("__entry"))
                                       & ((F.col("members") > 3) | links[0] | links[1] | links[2])).drop("__entry"),
                          "simhash-entries")
     star = (shared.select("fp", F.explode(F.array("h1", "h2", "h3")).alias("hub"))
@@ -119,11 +122,12 @@ def link_components(prints: DataFrame, distance: int = 4) -> DataFrame:
     first = materialize(components(star, "fp", "hub"), "simhash-first")
     # Entries of three members or fewer had all their pairs compared with the hubs.
     large = shared.filter("members > 3").select("entry", "fp", "h1")
-    of = lambda c, name: first.select(F.col("node").alias(c), F.col("root").alias(name))
+    near = small_or_shuffled(first)
+    of = lambda c, name: near.select(F.col("node").alias(c), F.col("root").alias(name))
     large = (large.join(of("fp", "r"), "fp", "left").join(of("h1", "hr"), "h1", "left")
              .select("entry", "fp", F.coalesce("r", "fp").alias("root"), F.coalesce("hr", "h1").alias("hub_root")))
     large = materialize(large, "simhash-large")
-    apart = large.filter("root <> hub_root").select("entry", F.col("fp").alias("a"), F.col("root").alias("ra"))
+    apart = small_or_shuffled(large.filter("root <> hub_root").select("entry", F.col("fp").alias("a"), F.col("root").alias("ra")))
     rest = large.select("entry", F.col("fp").alias("b"), F.col("root").alias("rb"), (F.col("root") != F.col("hub_root")).alias("also"))
     more = (apart.join(rest, "entry").filter((F.col("ra") != F.col("rb")) & (~F.col("also") | (F.col("a") < F.col("b")))
                                              & (_differ("a", "b") <= distance))
@@ -132,7 +136,7 @@ def link_components(prints: DataFrame, distance: int = 4) -> DataFrame:
     if more.isEmpty():
         return first
     joined = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    return joined
+    return materialize(joined, "simhash-joined")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4,
@@ -142,10 +146,10 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4,
     # The row that stays: smallest id, then smallest text hash.
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     prints = materialize(rows.groupBy("fp").agg(F.min(order).alias("least")), "simhash-prints")
-    linked = link_components(prints.select("fp"), distance)
+    linked = small_or_shuffled(link_components(prints.select("fp"), distance))
     roots = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("least").alias("stays"))
-    of_print = materialize(roots.join(least, "root").select("fp", "stays"), "simhash-roots")
+    of_print = small_or_shuffled(materialize(roots.join(least, "root").select("fp", "stays"), "simhash-roots"))
     return rows.join(of_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("stays.doc_id").alias("component_id"),
