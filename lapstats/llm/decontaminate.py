@@ -115,12 +115,13 @@ def window_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     found = (_shingles(hashed, widths, "at").join(prefix, ["width", "token"])
              .filter((start >= 0) & (start + F.col("size") <= F.col("n")))
              .select("__key", start.alias("start"), "size", "window_id"))
-    found = materialize(found, "bench-candidates")
+    found = materialize(found.distinct(), "bench-candidates")
     # Only documents with a candidate are read again, for their words.
     keys = small_or_shuffled(materialize(found.select("__key").distinct(), "bench-keys"))
     texts = docs.join(keys, "__key").dropDuplicates(["__key"]).select("__key", word_list(F.col("__text")).alias("words"))
     exact = F.slice("words", F.col("start") + 1, F.col("size")) == F.col("window_words")
-    return (found.distinct().join(texts, "__key")
+    # Documents share few windows, so candidates take little room in a file: their size says nothing about their rows.
+    return (small_or_shuffled(found).join(texts, "__key")
             .join(small_or_shuffled(windows.select("window_id", F.col("words").alias("window_words"))), "window_id")
             .filter(exact).select("__key", "start", "size", "window_id"))
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from lapstats.llm import graph, simhash
+from lapstats.llm import decontaminate, exact_dedup, graph, simhash
 from lapstats.llm.common import broadcast_or_shuffled, shuffled, small_or_shuffled, table
 from tests.llm.helpers import on_disk
 
@@ -70,3 +70,29 @@ def test_components_beyond_the_bound(spark, large, plans):
     links = spark.createDataFrame([(i * 37 % 101, (i + 1) * 37 % 101) for i in range(100)], "a long, b long")
     assert {r.root for r in graph.components(links).collect()} == {0}
     assert all("Broadcast" not in p for p in seen.values())
+
+
+def test_copies_of_a_text_are_shuffled(spark, tmp_path, plans):
+    """Their file is small: it holds the text once."""
+    seen = plans(exact_dedup)
+    docs = on_disk(spark.range(300).selectExpr("id AS doc_id", "repeat(concat('copied ', id % 3), 2000) AS text"), tmp_path)
+    assert {r.doc_id for r in exact_dedup.keep_first(docs).collect()} == {0, 1, 2}
+    assert "Broadcast" not in seen["dedup-wrong"] and "Broadcast" not in seen["dedup-dropped"]
+
+
+def test_exact_dedup_beyond_the_bound_is_the_same(spark, large):
+    docs = table(spark, SF, "documents")
+    kept = lambda: sorted(r.doc_id for r in exact_dedup.keep_first(docs).collect())
+    want = kept()
+    large(exact_dedup)
+    assert kept() == want
+
+
+def test_candidates_of_windows_beyond_the_bound(spark, large, plans):
+    docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    clean = lambda: sorted(r.doc_id for r in decontaminate.keep_clean(docs, bench).collect())
+    want = clean()
+    large(decontaminate)
+    seen = plans(decontaminate)
+    assert clean() == want
+    assert "SortMergeJoin" in seen["bench-hit"] and "Broadcast" not in seen["bench-hit"]
